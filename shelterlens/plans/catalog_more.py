@@ -1 +1,38 @@
 """Further registered queries (imported by ``catalog._load_all``)."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shelterlens.plans import surgery as sx
+from shelterlens.plans.catalog import register
+from shelterlens.plans.oracle_surgery import surgery_sql
+from shelterlens.plans.params import AS_OF, SPINE
+from shelterlens.plans.roles import model_from_driver
+
+# Site groups of the benchmark run (sites are supplier nations in the role mapping).
+SITE_GROUPS = ((("NATION_0", "NATION_1"), "Shelter"), (("NATION_2", "NATION_3", "NATION_4"), "Public clinic"))
+
+
+# ---------------------------------------------------------------- surgery
+@register("surgery_dedup", surgery_sql(sx.GENERAL, SITE_GROUPS, "den"))
+def surgery_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sx.surgeries(model_from_driver(spark, sf_dir), SPINE, sx.GENERAL, SITE_GROUPS)
+
+
+@register("complication_min_days", surgery_sql(sx.GENERAL, SITE_GROUPS, "num"))
+def complication_min_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sx.surgical_complications(model_from_driver(spark, sf_dir), SPINE, sx.GENERAL, SITE_GROUPS)
+
+
+@register("merge_complications", surgery_sql(sx.GENERAL, SITE_GROUPS, "merged"))
+def merge_complications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sx.surgery_report(model_from_driver(spark, sf_dir), SPINE, AS_OF, sx.GENERAL, SITE_GROUPS)["merged"]
+
+
+@register("type_share_grid", surgery_sql(sx.GENERAL, SITE_GROUPS, "share"))
+def type_share_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sx.surgery_report(model_from_driver(spark, sf_dir), SPINE, AS_OF, sx.GENERAL, SITE_GROUPS)["share"]
+
+
+@register("dental_surgeries", surgery_sql(sx.DENTAL, SITE_GROUPS, "den"))
+def dental_surgeries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sx.surgeries(model_from_driver(spark, sf_dir), SPINE, sx.DENTAL, SITE_GROUPS)

@@ -57,7 +57,7 @@ LOCATION_CASE = ("CASE event_type WHEN 'view' THEN 'Fosters' WHEN 'error' THEN '
 MEDICATION_CASE = ("CASE p_type WHEN 'STANDARD' THEN 'Ovariohysterectomy' WHEN 'MEDIUM' THEN 'Orchidectomy' "
                    "WHEN 'LARGE' THEN 'Dental Extraction' WHEN 'PROMO' THEN 'Orchidectomy, cryptorchid' "
                    "WHEN 'SMALL' THEN 'Mass Removal' ELSE 'COHAT' END")
-LINE_ID = "l_orderkey * 10 + l_linenumber"
+LINE_ID = "((l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey) * 16384 + l_suppkey"
 SURGEON_LAST = "CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_nationkey AS STRING) END"
 
 
