@@ -92,3 +92,38 @@ def previous_row_equal(df: DataFrame, partition: Sequence[str], order: Sequence[
         e = F.col(c) == F.lag(c).over(w)
         cond = e if cond is None else cond & e
     return df.withColumn(name, F.coalesce(cond, F.lit(False)))
+
+
+def asof_backward_bucketed(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,
+                           right_cols: Sequence[str]) -> DataFrame:
+    """J9 for unbounded look-back: latest right row strictly before each left row.
+
+    Two levels so that no window partition holds a key's whole history:
+    (1) inside the left row's own month, a running ``last`` over both sides
+    partitioned by (key, month); (2) otherwise the latest right row of any earlier
+    month: per (key, month) maxima, then a running max over one row per month of
+    the key. Ties in time go to the largest ``right_cols``.
+    """
+    from shelterlens.functions.dates import month_start
+    keys = list(by)
+    rcols = list(right_cols)
+    r = right.select(*keys, F.col(right_ts).alias("_rt"), *rcols).withColumn("_b", month_start("_rt"))
+    l = left.withColumn("_b", month_start(left_ts))
+    in_month = asof_backward(l, r, keys, left_ts, "_rt", ["_rt"] + rcols, strict=True, partition_extra=["_b"])
+    packed = F.struct(F.col("_rt").alias("ts"), *[F.col(c) for c in rcols])
+    per_month = r.groupBy(*keys, "_b").agg(F.max(packed).alias("_best"))
+    best_type = per_month.schema["_best"].dataType
+    left_months = l.select(*keys, "_b").distinct()
+    u = (left_months.select(*keys, "_b", F.lit(None).cast(best_type).alias("_best"), F.lit(1).alias("_is_l"))
+         .unionByName(per_month.withColumn("_is_l", F.lit(0))))
+    # left rows sort before the same month's right row, so the frame holds earlier months only
+    w = (Window.partitionBy(*keys).orderBy(F.col("_b"), F.col("_is_l").desc())
+         .rowsBetween(Window.unboundedPreceding, -1))
+    earlier = (u.withColumn("_earlier", F.max("_best").over(w)).where(F.col("_is_l") == 1)
+               .select(*keys, "_b", "_earlier"))
+    out = in_month.join(earlier, keys + ["_b"], "left")
+    pick = F.when(F.col("_rt").isNotNull(), F.struct(F.col("_rt").alias("ts"), *[F.col(c) for c in rcols])) \
+        .otherwise(F.col("_earlier"))
+    out = out.withColumn("_pick", pick)
+    return out.select(*left.columns, F.col("_pick.ts").alias(right_ts),
+                      *[F.col("_pick." + c).alias(c) for c in rcols])

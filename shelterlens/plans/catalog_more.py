@@ -36,3 +36,30 @@ def type_share_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dental_surgeries", surgery_sql(sx.DENTAL, SITE_GROUPS, "den"))
 def dental_surgeries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sx.surgeries(model_from_driver(spark, sf_dir), SPINE, sx.DENTAL, SITE_GROUPS)
+
+
+@register("dental_complications", surgery_sql(sx.DENTAL, SITE_GROUPS, "num"))
+def dental_complications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sx.surgical_complications(model_from_driver(spark, sf_dir), SPINE, sx.DENTAL, SITE_GROUPS)
+
+
+# ---------------------------------------------------------------- wait time (C13, C14), delayed
+from shelterlens.plans import delayed as dl  # noqa: E402
+from shelterlens.plans import wait as wt  # noqa: E402
+from shelterlens.plans.oracle_more import delayed_sql, wait_sql  # noqa: E402
+from shelterlens.plans.params import WAIT_HISTORY_START  # noqa: E402
+
+
+@register("wait_by_category", wait_sql("wait"))
+def wait_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wt.surgery_wait(model_from_driver(spark, sf_dir), SPINE, spark, WAIT_HISTORY_START)
+
+
+@register("wait_buckets", wait_sql("buckets"))
+def wait_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wt.wait_buckets(wt.surgery_wait(model_from_driver(spark, sf_dir), SPINE, spark, WAIT_HISTORY_START), AS_OF)
+
+
+@register("delayed_outcome", delayed_sql())
+def delayed_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dl.delayed_outcome(model_from_driver(spark, sf_dir), SPINE)

@@ -15,3 +15,5 @@ SPINE = MonthSpine.for_run(START_YEAR, END_YEAR, AS_OF)
 # P11 window for AS_OF: [first of month - 13 months, first of month)
 TRAILING_START = _dt.date(2000, 11, 1)
 TRAILING_END = _dt.date(2001, 12, 1)
+# Look-back start of the wait-time as-of join (the report's own default is 2019-01-01).
+WAIT_HISTORY_START = _dt.date(1995, 1, 1)
