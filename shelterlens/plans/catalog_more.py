@@ -63,3 +63,20 @@ def wait_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("delayed_outcome", delayed_sql())
 def delayed_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dl.delayed_outcome(model_from_driver(spark, sf_dir), SPINE)
+
+
+# ---------------------------------------------------------------- kitten mortality
+from shelterlens.plans import kitten as kt  # noqa: E402
+from shelterlens.plans.oracle_more import kitten_sql  # noqa: E402
+from shelterlens.plans.params import KITTEN_AS_OF, KITTEN_SPINE, KITTEN_START  # noqa: E402
+
+
+@register("weekly_presence_cohort", kitten_sql("cohort", KITTEN_START, AS_OF))
+def weekly_presence_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kt.kitten_cohort(model_from_driver(spark, sf_dir), SPINE, AS_OF, KITTEN_START)
+
+
+@register("mortality_percent", kitten_sql("percent", KITTEN_START, KITTEN_AS_OF, KITTEN_SPINE))
+def mortality_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cohort = kt.kitten_cohort(model_from_driver(spark, sf_dir), KITTEN_SPINE, KITTEN_AS_OF, KITTEN_START)
+    return kt.mortality_percent(kt.fill_kitten_grid(cohort), KITTEN_AS_OF)
