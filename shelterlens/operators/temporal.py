@@ -95,7 +95,7 @@ def previous_row_equal(df: DataFrame, partition: Sequence[str], order: Sequence[
 
 
 def asof_backward_bucketed(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,
-                           right_cols: Sequence[str]) -> DataFrame:
+                           right_cols: Sequence[str], strict: bool = True) -> DataFrame:
     """J9 for unbounded look-back: latest right row strictly before each left row.
 
     Two levels so that no window partition holds a key's whole history:
@@ -109,7 +109,7 @@ def asof_backward_bucketed(left: DataFrame, right: DataFrame, by: Sequence[str],
     rcols = list(right_cols)
     r = right.select(*keys, F.col(right_ts).alias("_rt"), *rcols).withColumn("_b", month_start("_rt"))
     l = left.withColumn("_b", month_start(left_ts))
-    in_month = asof_backward(l, r, keys, left_ts, "_rt", ["_rt"] + rcols, strict=True, partition_extra=["_b"])
+    in_month = asof_backward(l, r, keys, left_ts, "_rt", ["_rt"] + rcols, strict=strict, partition_extra=["_b"])
     packed = F.struct(F.col("_rt").alias("ts"), *[F.col(c) for c in rcols])
     per_month = r.groupBy(*keys, "_b").agg(F.max(packed).alias("_best"))
     best_type = per_month.schema["_best"].dataType
@@ -127,3 +127,20 @@ def asof_backward_bucketed(left: DataFrame, right: DataFrame, by: Sequence[str],
     out = out.withColumn("_pick", pick)
     return out.select(*left.columns, F.col("_pick.ts").alias(right_ts),
                       *[F.col("_pick." + c).alias(c) for c in rcols])
+
+
+def interval_contains_bucketed(points: DataFrame, intervals: DataFrame, by: Sequence[str], point_ts: str,
+                               start: str, end: str) -> DataFrame:
+    """(point, interval) pairs of the same key with ``start < ts < end``.
+
+    Intervals are exploded into the months they span and points carry their own
+    month, so the equi-join on (key, month) only meets intervals that can hold
+    the point: work is linear in interval months plus output, not in the product
+    of a key's points and intervals.
+    """
+    from shelterlens.functions.dates import month_start
+    from shelterlens.operators.spine import months_between_cols
+    iv = intervals.withColumn("_m", F.explode(months_between_cols(month_start(start), month_start(end))))
+    pt = points.withColumn("_m", month_start(point_ts))
+    return (pt.join(iv, list(by) + ["_m"], "inner")
+            .where((F.col(point_ts) > F.col(start)) & (F.col(point_ts) < F.col(end))).drop("_m"))

@@ -80,3 +80,18 @@ def weekly_presence_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mortality_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     cohort = kt.kitten_cohort(model_from_driver(spark, sf_dir), KITTEN_SPINE, KITTEN_AS_OF, KITTEN_START)
     return kt.mortality_percent(kt.fill_kitten_grid(cohort), KITTEN_AS_OF)
+
+
+# ---------------------------------------------------------------- length of stay
+from shelterlens.plans import stay as sy  # noqa: E402
+from shelterlens.plans.oracle_more import stay_sql  # noqa: E402
+
+
+@register("stay_with_dwell", stay_sql("outcomed"))
+def stay_with_dwell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sy.los_outcomed(model_from_driver(spark, sf_dir, line_locations=True), SPINE)
+
+
+@register("open_stay_with_dwell", stay_sql("open"))
+def open_stay_with_dwell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sy.los_not_outcomed(model_from_driver(spark, sf_dir, line_locations=True), SPINE)

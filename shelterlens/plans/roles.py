@@ -54,6 +54,9 @@ STAGE_CASE = ("CASE WHEN l_returnflag = 'A' THEN 'Evaluate' "
 STATUS_CASE = "CASE WHEN l_tax < 0.02 THEN 'I' ELSE 'A' END"
 LOCATION_CASE = ("CASE event_type WHEN 'view' THEN 'Fosters' WHEN 'error' THEN 'Off Site Clinic' "
                  "WHEN 'click' THEN 'Kennel' WHEN 'signup' THEN 'Intake Room' ELSE 'Clinic' END")
+LINE_LOCATION_CASE = ("CASE WHEN l_returnflag = 'R' THEN 'Kennel' "
+                      "WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'Clinic' "
+                      "WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'Off Site Clinic' ELSE 'Fosters' END")
 MEDICATION_CASE = ("CASE p_type WHEN 'STANDARD' THEN 'Ovariohysterectomy' WHEN 'MEDIUM' THEN 'Orchidectomy' "
                    "WHEN 'LARGE' THEN 'Dental Extraction' WHEN 'PROMO' THEN 'Orchidectomy, cryptorchid' "
                    "WHEN 'SMALL' THEN 'Mass Removal' ELSE 'COHAT' END")
@@ -61,10 +64,21 @@ LINE_ID = "((l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey) * 16384 + l_s
 SURGEON_LAST = "CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_nationkey AS STRING) END"
 
 
-def model_from_driver(spark: SparkSession, sf_dir: str) -> Model:
-    """Resolved shelter model over the benchmark parquet tables (lazy)."""
+def model_from_driver(spark: SparkSession, sf_dir: str, line_locations: bool = False) -> Model:
+    """Resolved shelter model over the benchmark parquet tables (lazy).
+
+    ``line_locations`` takes the location history from the order lines instead of
+    the events, so that moves fall inside the stays (used by the stay report).
+    """
     t = read_driver_tables(spark, sf_dir)
-    return model_from_driver_tables(t)
+    m = model_from_driver_tables(t)
+    if line_locations:
+        lines = t["lineitem"].join(t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"),
+                                   "l_orderkey", "inner")
+        m["locations"] = lines.select(F.col("o_custkey").alias("AnimalID"),
+                                      F.expr(LINE_LOCATION_CASE).alias("Location"),
+                                      F.col("l_shipdate").alias("LastUpdated"))
+    return m
 
 
 def model_from_driver_tables(t: dict[str, DataFrame]) -> Model:
@@ -145,6 +159,7 @@ statuses AS (
   SELECT o_custkey AS AnimalID, {STAGE_CASE} AS Stage, {STATUS_CASE} AS Status, l_shipdate AS LastUpdated,
          l_orderkey AS OperationPrimaryID
   FROM lines),
+line_locations AS (SELECT o_custkey AS AnimalID, {LINE_LOCATION_CASE} AS Location, l_shipdate AS LastUpdated FROM lines),
 locations AS (SELECT user_id AS AnimalID, {LOCATION_CASE} AS Location, ts AS LastUpdated FROM events),
 euthanasia AS (SELECT o_custkey AS AnimalID, l_shipdate AS DateCreated FROM lines WHERE l_returnflag = 'R'),
 treatments AS (
