@@ -88,14 +88,19 @@ def _sort_col(o: Ord) -> Column:
     return c.desc_nulls_last() if o.nulls_last else c.desc_nulls_first()
 
 
-def keep_min_ties(df: DataFrame, keys: Sequence[str], value_col: str) -> DataFrame:
+def keep_min_ties(df: DataFrame, keys: Sequence[str], value_col: str, method: str = "window") -> DataFrame:
     """All rows whose ``value_col`` equals the group minimum (ties kept).
 
-    Group minimum is a combining aggregate; rows are matched back with an
-    equi-join on (keys, value) - one build row per key, so no fan-out.
+    ``window``: one shuffle on the key and a running-free window minimum - for
+    groups bounded by the data's grain. ``join``: a combining aggregate matched
+    back with an equi-join on (keys, value) - one build row per key, and AQE's
+    skew-join split applies when a key is hot.
     """
-    mins = df.groupBy(*keys).agg(F.min(value_col).alias(value_col))
-    return df.join(mins, list(keys) + [value_col], "left_semi")
+    if method == "join":
+        mins = df.groupBy(*keys).agg(F.min(value_col).alias(value_col))
+        return df.join(mins, list(keys) + [value_col], "left_semi")
+    w = Window.partitionBy(*keys)
+    return df.withColumn("_min", F.min(value_col).over(w)).where(F.col(value_col) == F.col("_min")).drop("_min")
 
 
 def group_extreme_rows(df: DataFrame, keys: Sequence[str], value_col: str, largest: bool = True) -> DataFrame:
@@ -106,6 +111,6 @@ def group_extreme_rows(df: DataFrame, keys: Sequence[str], value_col: str, large
 
 
 def flag_group_size(df: DataFrame, keys: Sequence[str], name: str = "num_in_group") -> DataFrame:
-    """Size of each row's group, via a combining aggregate + equi-join."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return df.join(sizes, list(keys), "inner")
+    """Size of each row's group (window count; the reference's outer
+    merge with indicator needs no join because its right side derives from the left)."""
+    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)))

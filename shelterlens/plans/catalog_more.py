@@ -7,6 +7,7 @@ from shelterlens.plans.catalog import register
 from shelterlens.plans.oracle_surgery import surgery_sql
 from shelterlens.plans.params import AS_OF, SPINE
 from shelterlens.plans.roles import model_from_driver
+from shelterlens.session import materialize
 
 # Site groups of the benchmark run (sites are supplier nations in the role mapping).
 SITE_GROUPS = ((("NATION_0", "NATION_1"), "Shelter"), (("NATION_2", "NATION_3", "NATION_4"), "Public clinic"))
@@ -57,7 +58,8 @@ def wait_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("wait_buckets", wait_sql("buckets"))
 def wait_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wt.wait_buckets(wt.surgery_wait(model_from_driver(spark, sf_dir), SPINE, spark, WAIT_HISTORY_START), AS_OF)
+    wait = materialize(wt.surgery_wait(model_from_driver(spark, sf_dir), SPINE, spark, WAIT_HISTORY_START))
+    return wt.wait_buckets(wait, AS_OF)
 
 
 @register("delayed_outcome", delayed_sql())
@@ -78,7 +80,7 @@ def weekly_presence_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("mortality_percent", kitten_sql("percent", KITTEN_START, KITTEN_AS_OF, KITTEN_SPINE))
 def mortality_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cohort = kt.kitten_cohort(model_from_driver(spark, sf_dir), KITTEN_SPINE, KITTEN_AS_OF, KITTEN_START)
+    cohort = materialize(kt.kitten_cohort(model_from_driver(spark, sf_dir), KITTEN_SPINE, KITTEN_AS_OF, KITTEN_START))
     return kt.mortality_percent(kt.fill_kitten_grid(cohort), KITTEN_AS_OF)
 
 

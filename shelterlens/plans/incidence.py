@@ -21,6 +21,7 @@ from shelterlens.functions.dates import (as_timestamp, day_diff, first_month_sta
 from shelterlens.functions.predicates import isin_or_null
 from shelterlens.operators.spine import MonthSpine, explode_months, fill_missing_months, trailing_months
 from shelterlens.operators.temporal import exists_prior_within_days
+from shelterlens.session import materialize
 from shelterlens.sources.model import Model
 
 # Fixed values of the incidence reports.
@@ -244,9 +245,9 @@ def infection_percent(chart: DataFrame, as_of: _dt.date) -> DataFrame:
 
 def incidence_report(m: Model, spine: MonthSpine, disease: Disease, as_of: _dt.date) -> dict[str, DataFrame]:
     """Whole report: numerator, denominator, chart rows and the percent table."""
-    num = incidence_numerator(m, spine, disease)
-    den = population_at_risk(m, spine, disease)
-    chart = harmonise_outcomes(num, den, disease)
+    num = materialize(incidence_numerator(m, spine, disease))
+    den = materialize(population_at_risk(m, spine, disease))
+    chart = materialize(harmonise_outcomes(num, den, disease))
     out = {"numerator": num, "denominator": den, "chart": chart}
     if disease.weighted:
         out["percent"] = infection_percent(chart, as_of)

@@ -17,12 +17,13 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import as_timestamp, month_end_midnight, month_start
 from shelterlens.functions.predicates import case_in_lists, ne_keep_null
-from shelterlens.operators.dedupe import Ord, keep_first, keep_min_ties
+from shelterlens.operators.dedupe import Ord, flag_group_size, keep_first, keep_min_ties
+from shelterlens.session import materialize
 from shelterlens.operators.spine import MonthSpine, observed_grid, trailing_months
 from shelterlens.sources.model import Model
 
@@ -147,9 +148,8 @@ def surgeries(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_gr
     s = s.withColumn("SurgeryDate", F.to_date("SurgeryTs"))
     s = keep_first(s, ["AnimalID", "SurgeryType", "SurgeryDate", "reference_date"],
                    [Ord("SurgeryTs"), Ord("UniqueSurgeryID")] + tb)
-    sizes = (s.groupBy("AnimalID", "SurgeryDate", "SurgeryID", "reference_date")
-             .agg(F.count(F.lit(1)).alias("_n")))
-    s = s.join(sizes, ["AnimalID", "SurgeryDate", "SurgeryID", "reference_date"], "inner")
+    # surgeries of one exam on one day: a group bounded by the grain, so a window count
+    s = flag_group_size(s, ["AnimalID", "SurgeryDate", "SurgeryID", "reference_date"], "_n")
     s = (s.withColumn("SurgeryCategory_refined",
                       F.when(F.col("_n") > 1, F.lit("Multiple")).otherwise(F.col("SurgeryCategory")))
          .withColumn("num_surg_mapping", F.col("_n")).drop("_n"))
@@ -180,8 +180,7 @@ def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GEN
     latest = c.groupBy(*keys, "SxComp").agg(F.max("_cday").alias("_maxc"))
     elig = s.join(latest, keys, "inner").where(F.date_sub("_sday", 2) <= F.col("_maxc")).drop("_maxc")
     grp = keys + ["SurgeryType", "SxComp"]
-    best = elig.groupBy(*grp).agg(F.min("UniqueSurgeryID").alias("UniqueSurgeryID"))
-    cand = elig.join(best, grp + ["UniqueSurgeryID"], "left_semi")
+    cand = keep_min_ties(elig, grp, "UniqueSurgeryID", method="join")
     pairs = (cand.join(c, keys + ["SxComp"], "inner").where(F.col("_cday") >= F.date_sub("_sday", 2))
              .withColumn("DaysAfterSurgery", F.datediff("_cday", "_sday")).drop("_cday", "_sday"))
     order = [Ord("UniqueCompID"), Ord("SurgeryTs"), Ord("CompDate"), Ord("DaysAfterSurgery")] + \
@@ -189,9 +188,7 @@ def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GEN
     first = keep_first(pairs, grp, order)
     out = keep_min_ties(first, ["AnimalID", "reference_date", "SxComp"], "DaysAfterSurgery")
     out = out.withColumn("SurgeryDate", F.to_date("SurgeryTs")).withColumn("CompDate", F.to_date("CompDate"))
-    sizes = (out.groupBy("AnimalID", "SxComp", "SurgeryDate", "reference_date")
-             .agg(F.count(F.lit(1)).alias("_n")))
-    out = out.join(sizes, ["AnimalID", "SxComp", "SurgeryDate", "reference_date"], "inner")
+    out = flag_group_size(out, ["AnimalID", "SxComp", "SurgeryDate", "reference_date"], "_n")
     out = out.withColumn("SurgeryCategory_refined",
                          F.when(F.col("_n") > 1, F.lit("Multiple")).otherwise(F.col("SurgeryCategory")))
     return out.drop("_n", "SurgeryTs")
@@ -224,9 +221,9 @@ def type_share(df: DataFrame, category_col: str, as_of: _dt.date, date_col: str
                  .alias("SpeciesGroup"), category_col, month_start(date_col).alias("SurgeryMonth"), "Type"))
     dims = ["SpeciesGroup", category_col, "SurgeryMonth"]
     counts = d.groupBy(*dims, "Type").agg(F.count(F.lit(1)).alias("_n"))
-    totals = counts.groupBy(*dims).agg(F.sum("_n").alias("_t"))
-    share = counts.join(totals, dims, "inner").select(*dims, "Type",
-                                                      (F.col("_n") / F.col("_t") * 100).alias("Percentage"))
+    # counts hold one row per grid cell (a few hundred at most): window total
+    total = F.sum("_n").over(Window.partitionBy(*dims))
+    share = counts.select(*dims, "Type", (F.col("_n") / total * 100).alias("Percentage"))
     grid = observed_grid(d, dims + ["Type"])
     return (grid.join(share, dims + ["Type"], "left")
             .select(*dims, "Type", F.round(F.coalesce("Percentage", F.lit(0.0)), 1).alias("Percentage")))
@@ -234,8 +231,8 @@ def type_share(df: DataFrame, category_col: str, as_of: _dt.date, date_col: str
 
 def surgery_report(m: Model, spine: MonthSpine, as_of: _dt.date, cfg: SurgeryConfig = GENERAL,
                    site_groups: Sequence = ()) -> dict[str, DataFrame]:
-    den = surgeries(m, spine, cfg, site_groups)
-    num = surgical_complications(m, spine, cfg, site_groups)
-    merged = merge_complications(num, den)
+    den = materialize(surgeries(m, spine, cfg, site_groups))
+    num = materialize(surgical_complications(m, spine, cfg, site_groups))
+    merged = materialize(merge_complications(num, den))
     return {"denominator": den, "numerator": num, "merged": merged,
             "share": type_share(merged, "SurgeryCategory_refined", as_of)}

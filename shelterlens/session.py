@@ -46,6 +46,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_CKPT: dict = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set.
 
@@ -53,9 +56,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if _CKPT.get(id(spark)) != configured:
+            spark.sparkContext.setCheckpointDir(configured)
+            _CKPT[id(spark)] = configured
         return configured
     local = tempfile.mkdtemp(prefix="shelterlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
+    _CKPT[id(spark)] = local
     return local
+
+
+def materialize(df, eager: bool = True):
+    """Cut lineage of an intermediate a report reads several times.
+
+    A reliable checkpoint: rows are written to the shared ``spark.checkpoint.dir``
+    (never a local checkpoint), so later stages read them back instead of
+    re-planning and recomputing the subtree, and a lost executor does not force
+    recomputation from the sources.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
