@@ -97,3 +97,19 @@ def stay_with_dwell(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("open_stay_with_dwell", stay_sql("open"))
 def open_stay_with_dwell(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sy.los_not_outcomed(model_from_driver(spark, sf_dir, line_locations=True), SPINE)
+
+
+# ---------------------------------------------------------------- clinic invoices
+from shelterlens.plans import invoices as iv  # noqa: E402
+from shelterlens.plans.oracle_more import invoice_sql  # noqa: E402
+from shelterlens.plans.roles import exports_from_driver  # noqa: E402
+
+
+@register("invoice_complications", invoice_sql("rows", AS_OF))
+def invoice_complications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iv.invoice_complications(*exports_from_driver(spark, sf_dir))
+
+
+@register("invoice_type_share", invoice_sql("share", AS_OF))
+def invoice_type_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iv.invoice_share(materialize(iv.invoice_complications(*exports_from_driver(spark, sf_dir))), AS_OF)

@@ -60,6 +60,19 @@ LINE_LOCATION_CASE = ("CASE WHEN l_returnflag = 'R' THEN 'Kennel' "
 MEDICATION_CASE = ("CASE p_type WHEN 'STANDARD' THEN 'Ovariohysterectomy' WHEN 'MEDIUM' THEN 'Orchidectomy' "
                    "WHEN 'LARGE' THEN 'Dental Extraction' WHEN 'PROMO' THEN 'Orchidectomy, cryptorchid' "
                    "WHEN 'SMALL' THEN 'Mass Removal' ELSE 'COHAT' END")
+# Export files of the external clinic (all text, as read from CSV).
+PROBLEMS_CASE = ("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Surgical complication' "
+                 "WHEN 'BUILDING' THEN 'Incision complications' WHEN 'FURNITURE' THEN 'Anesthetic complication' "
+                 "WHEN 'MACHINERY' THEN 'Vomiting,Surgical complication,Anesthetic arrest,Anemia' END")
+PRODUCT_CASE = ("CASE p_type WHEN 'STANDARD' THEN 'Spay - Canine' WHEN 'MEDIUM' THEN 'Neuter - Feline' "
+                "WHEN 'LARGE' THEN 'COHAT Level 2' WHEN 'PROMO' THEN 'Pre-Anesthetic Bloodwork, Spay' "
+                "WHEN 'SMALL' THEN 'Spay TNR' ELSE 'Exam' END")
+STAFF_CASE = "CASE WHEN s_acctbal < 0 THEN NULL WHEN s_acctbal < 100 THEN 'Ezy Support' ELSE s_name END"
+CASE_OWNER_CASE = "CASE WHEN l_linestatus = 'O' THEN 'Owner ' || CAST(s_nationkey AS STRING) END"
+BUSINESS_CASE = "CASE WHEN l_tax >= 0.08 THEN 'ezyVet Software Support' ELSE 'Main Clinic' END"
+PATIENT_CASE = ("CASE WHEN l_discount >= 0.1 THEN 'TNR cat ' || CAST(o_custkey AS STRING) "
+                "ELSE 'Pet ' || CAST(o_custkey AS STRING) END")
+INVOICE_SPECIES_CASE = "CASE WHEN p_size < 10 THEN 'Special Species' ELSE 'Cat' END"
 LINE_ID = "((l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey) * 16384 + l_suppkey"
 SURGEON_LAST = "CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_nationkey AS STRING) END"
 
@@ -133,6 +146,30 @@ def model_from_driver_tables(t: dict[str, DataFrame]) -> Model:
     }
 
 
+def exports_from_driver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two clinic export tables (animals, invoices) as all-text frames."""
+    t = read_driver_tables(spark, sf_dir, ("customer", "nation", "orders", "lineitem", "part", "supplier"))
+    nation = F.broadcast(t["nation"].select("n_nationkey", "n_regionkey"))  # 25 rows
+    animals = (t["customer"].join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+               .select(F.col("c_custkey").cast("string").alias("Animal Code"), F.col("c_name").alias("Animal Name"),
+                       F.expr(SPECIES_CASE).alias("Species"), F.lit("Owner").alias("Owner First Name"),
+                       F.col("c_nationkey").cast("string").alias("Owner Last Name"),
+                       F.expr(PROBLEMS_CASE).alias("Master Problems"),
+                       F.lit(None).cast("string").alias("Last Visit")))
+    lines = (t["lineitem"].join(t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"),
+                                "l_orderkey", "inner")
+             .join(t["part"].select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_size"), "l_partkey", "inner")
+             .join(t["supplier"].select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_acctbal", "s_nationkey"),
+                   "l_suppkey", "inner"))
+    invoices = lines.select(
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("Invoice Date"),
+        F.col("l_returnflag").alias("Department"), F.expr(BUSINESS_CASE).alias("Business Name"),
+        F.col("o_custkey").cast("string").alias("Animal Code"), F.expr(PATIENT_CASE).alias("Patient Name"),
+        F.expr(INVOICE_SPECIES_CASE).alias("Species"), F.expr(PRODUCT_CASE).alias("Product Name"),
+        F.expr(STAFF_CASE).alias("Staff Member"), F.expr(CASE_OWNER_CASE).alias("Case Owner"))
+    return animals, invoices
+
+
 # The same mapping as DuckDB SQL views, prefixed to every oracle query.
 ROLE_SQL = f"""
 first_order AS (SELECT o_custkey AS c_custkey, min(o_orderdate) AS DateOfBirth FROM orders GROUP BY o_custkey),
@@ -162,6 +199,17 @@ statuses AS (
 line_locations AS (SELECT o_custkey AS AnimalID, {LINE_LOCATION_CASE} AS Location, l_shipdate AS LastUpdated FROM lines),
 locations AS (SELECT user_id AS AnimalID, {LOCATION_CASE} AS Location, ts AS LastUpdated FROM events),
 euthanasia AS (SELECT o_custkey AS AnimalID, l_shipdate AS DateCreated FROM lines WHERE l_returnflag = 'R'),
+animals_csv AS (
+  SELECT CAST(c_custkey AS STRING) AS "Animal Code", c_name AS "Animal Name", {SPECIES_CASE} AS Species,
+         'Owner' AS "Owner First Name", CAST(c_nationkey AS STRING) AS "Owner Last Name",
+         {PROBLEMS_CASE} AS "Master Problems", CAST(NULL AS STRING) AS "Last Visit"
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+invoices_csv AS (
+  SELECT strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS "Invoice Date", l_returnflag AS Department,
+         {BUSINESS_CASE} AS "Business Name", CAST(o_custkey AS STRING) AS "Animal Code", {PATIENT_CASE} AS "Patient Name",
+         {INVOICE_SPECIES_CASE} AS Species, {PRODUCT_CASE} AS "Product Name", {STAFF_CASE} AS "Staff Member",
+         {CASE_OWNER_CASE} AS "Case Owner"
+  FROM lines JOIN part p ON p.p_partkey = lines.l_partkey JOIN supplier s ON s.s_suppkey = lines.l_suppkey),
 treatments AS (
   SELECT {LINE_ID} AS ExamTreatmentID, l_orderkey AS ExamID, o_custkey AS AnimalID, l_partkey AS TreatmentID,
          {MEDICATION_CASE} AS Medication, l_shipdate AS StatusDateTime, o_orderdate AS DateCreated,
