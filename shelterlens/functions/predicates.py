@@ -83,3 +83,17 @@ def concat_null(*cols) -> Column:
 def flag(cond: Column) -> Column:
     """0/1 integer flag; NULL condition -> 0."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
+
+
+def rank_code(c, values) -> Column:
+    """Integer code of ``c`` within a fixed list, ordered like the strings (binary
+    order), so min / max over it equal min / max over the text. Values outside the
+    list get NULL. Lets aggregations keep fixed-width (hash-aggregatable) buffers."""
+    ordered = sorted(set(values))
+    return case_map(c, {v: i for i, v in enumerate(ordered)})
+
+
+def rank_decode(code, values) -> Column:
+    """Inverse of ``rank_code``."""
+    ordered = sorted(set(values))
+    return F.element_at(F.array(*[F.lit(v) for v in ordered]), (F.col(code) if isinstance(code, str) else code) + 1)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from shelterlens.functions.dates import (as_timestamp, day_diff, first_month_start_on_or_after,
                                          last_month_start_before, month_end_midnight, month_start,
                                          week_diff)
-from shelterlens.functions.predicates import isin_or_null
+from shelterlens.functions.predicates import isin_or_null, rank_code, rank_decode
 from shelterlens.operators.spine import MonthSpine, explode_months, fill_missing_months, trailing_months
 from shelterlens.operators.temporal import exists_prior_within_days
 from shelterlens.session import materialize
@@ -152,18 +152,26 @@ def stock_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame
     tin_cap = F.add_months(month_start("tin_DateCreated"), 12)
     latest_hi = F.add_months(last_month_start_before("ts"), 12)
     latest_hi = F.when(F.col("tin_DateCreated").isNull(), latest_hi).otherwise(F.least(latest_hi, tin_cap))
-    per_month = explode_months(base, first_month_start_on_or_after("ts"), latest_hi, spine)
-    neg_us = -F.unix_micros(F.col("ts").cast("timestamp"))
-    latest = (per_month.groupBy("AnimalID", "reference_date")
-              .agg(F.max("ts").alias("stagedate"),
-                   F.min(F.when(F.col("Status") == "A", F.struct(neg_us.alias("k"), F.col("Stage").alias("stage"))))
-                   .alias("_a")))
-    latest = (latest.where(F.col("_a").isNotNull() & (-F.col("_a.k") == F.unix_micros(F.col("stagedate").cast("timestamp"))))
-              .select("AnimalID", "reference_date", "stagedate", F.col("_a.stage").alias("stage")))
+    # Latest stage date and, among active rows at that instant, the smallest stage (Q4).
+    # Rows sharing (animal, first month, last month) are combined before the explode
+    # (map-side), and the keys are fixed-width (time, stage rank): hash aggregates only.
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    active = F.when(F.col("Status") == "A", F.struct(us.alias("t"), (-rank_code("Stage", disease.stages)).alias("r")))
+    spans = (base.groupBy("AnimalID", first_month_start_on_or_after("ts").alias("_lo"), latest_hi.alias("_hi"))
+             .agg(F.max(us).alias("_t"), F.max(active).alias("_a")))
+    latest = (explode_months(spans, "_lo", "_hi", spine)
+              .groupBy("AnimalID", "reference_date").agg(F.max("_t").alias("_t"), F.max("_a").alias("_a")))
+    latest = (latest.where(F.col("_a").isNotNull() & (F.col("_a.t") == F.col("_t")))
+              .select("AnimalID", "reference_date",
+                      F.timestamp_micros("_t").cast("timestamp_ntz").alias("stagedate"),
+                      rank_decode(-F.col("_a.r"), disease.stages).alias("stage")))
     with_tin = base.where(F.col("tin_DateCreated").isNotNull())
     past_hi = F.least(F.add_months(month_start("ts"), 12), tin_cap)
-    past = (explode_months(with_tin, F.add_months(month_start("tin_DateCreated"), 1), past_hi, spine)
-            .groupBy("AnimalID", "reference_date").agg(F.max("tin_DateCreated").alias("intakedate")))
+    past_spans = (with_tin.groupBy("AnimalID", F.add_months(month_start("tin_DateCreated"), 1).alias("_lo"),
+                                   past_hi.alias("_hi"))
+                  .agg(F.max("tin_DateCreated").alias("_tin")))
+    past = (explode_months(past_spans, "_lo", "_hi", spine)
+            .groupBy("AnimalID", "reference_date").agg(F.max("_tin").alias("intakedate")))
     animals = _cohort_animals(m, disease).where(F.col("DateOfBirth").isNotNull())
     out = latest.join(past, ["AnimalID", "reference_date"], "inner").join(animals, "AnimalID", "inner")
     return out.select(

@@ -125,6 +125,8 @@ chart0 AS (
   SELECT animalid, species, Agegroup, 'Healthy' AS Outcome, 'Denominator' AS Intaketype, Referencedate, 1 AS sum FROM den
   UNION ALL
   SELECT animalid, species, Agegroup, 'Infected' AS Outcome, Intaketype, Referencedate, 1 AS sum FROM num)"""
+    if not d.weighted:
+        return body + ",\nchart AS (SELECT * EXCLUDE (sum) FROM chart0)"
     if not d.gap_fill:
         return body + ",\nchart AS (SELECT * FROM chart0)"
     return body + """,

@@ -92,6 +92,11 @@ den_final AS (
 
 def numerator_ctes(cfg, site_groups) -> str:
     drop = f"AND SurgeryType IS DISTINCT FROM '{cfg.drop_medication}'" if cfg.drop_medication else ""
+    gap = ""
+    if cfg.gap_filter:
+        gap = """WINDOW g AS (PARTITION BY ref ORDER BY AnimalID, SurgeryType, SxComp, CAST(SurgeryTs AS DATE), CompDate)
+  QUALIFY coalesce(date_diff('day', lag(CAST(SurgeryTs AS DATE)) OVER g, CAST(SurgeryTs AS DATE)) > 1, false)
+       OR coalesce(CompDate - lag(CompDate) OVER g > INTERVAL 72 HOUR, false)"""
     return f"""
 pairs AS (
   SELECT m.ref, a.AnimalID, a.Name, {_species(cfg)} AS Species, {_sex(cfg)} AS Sex, a.DateOfBirth,
@@ -113,8 +118,10 @@ p2 AS (
     SELECT *, row_number() OVER (PARTITION BY ref, AnimalID, SurgeryType, SxComp
       ORDER BY UniqueSurgeryID, UniqueCompID, SurgeryTs, CompDate, DaysAfterSurgery, {TB}) AS rn FROM p1)
   WHERE rn = 1),
-p3 AS (SELECT * FROM p2 WHERE DaysAfterSurgery = (SELECT min(DaysAfterSurgery) FROM p2 x
-                                                 WHERE x.ref = p2.ref AND x.AnimalID = p2.AnimalID AND x.SxComp = p2.SxComp)),
+p2g AS (
+  SELECT * FROM p2 {gap}),
+p3 AS (SELECT * FROM p2g WHERE DaysAfterSurgery = (SELECT min(DaysAfterSurgery) FROM p2g x
+                                                 WHERE x.ref = p2g.ref AND x.AnimalID = p2g.AnimalID AND x.SxComp = p2g.SxComp)),
 p4 AS (SELECT p3.* EXCLUDE (SurgeryTs, CompDate), CAST(SurgeryTs AS DATE) AS SurgeryDate, CAST(CompDate AS DATE) AS CompDate
        FROM p3),
 num AS (

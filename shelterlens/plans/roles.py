@@ -43,11 +43,13 @@ OUTCOME_TYPE_CASE = ("CASE o_orderstatus WHEN 'F' THEN 'Adoption' WHEN 'O' THEN
                      "ELSE 'PreEuthanasia' END")
 OPERATION_STATUS_CASE = "CASE o_orderstatus WHEN 'P' THEN 'Pending' ELSE 'Completed' END"
 CONDITION_CASE = ("CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'Diarrhea' "
-                  "WHEN l_returnflag = 'R' THEN 'Diarrhea, acute, nonspecific' "
+                  "WHEN l_returnflag = 'R' AND l_discount >= 0.05 THEN 'Diarrhea, acute, nonspecific' "
+                  "WHEN l_returnflag = 'R' THEN 'Parvovirus, canine' "
                   "WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'Surgical complication' "
                   "WHEN l_returnflag = 'A' THEN 'Incision complications' "
-                  "WHEN l_linestatus = 'F' THEN 'Anesthetic complication' "
-                  "ELSE 'Upper respiratory infection' END")
+                  "WHEN l_linestatus = 'F' AND l_discount >= 0.05 THEN 'Anesthetic complication' "
+                  "WHEN l_linestatus = 'F' THEN 'Ringworm, confirmed' "
+                  "ELSE 'URI, feline' END")
 STAGE_CASE = ("CASE WHEN l_returnflag = 'A' THEN 'Evaluate' "
               "WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'Surgery Needed' "
               "WHEN l_returnflag = 'N' THEN 'Foster Program' ELSE 'Post -Op' END")

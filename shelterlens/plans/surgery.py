@@ -63,6 +63,8 @@ class SurgeryConfig:
     infer_sex: bool = True         # U + spay/neuter -> F/M
     drop_medication: str | None = None   # dental: repair rows removed
     collapse_multiple: str | None = None  # dental: one row per animal-day, relabelled
+    gap_filter: bool = False             # dental: previous-row gap filter (W6, Q8)
+    gap_per_animal: bool = False         # repaired variant: previous row of the same animal
 
 
 GENERAL = SurgeryConfig(
@@ -72,7 +74,10 @@ GENERAL = SurgeryConfig(
 DENTAL = SurgeryConfig(
     "dental", DENTAL_SURGERIES, DENTAL_SURGERIES, DENTAL_COMPLICATIONS,
     ((DENTAL_SURGERIES, "Dental"),), ((DENTAL_SURGERIES, "Dental"),),
-    group_species=False, infer_sex=False, drop_medication=DENTAL_REPAIR, collapse_multiple="Dental")
+    group_species=False, infer_sex=False, drop_medication=DENTAL_REPAIR, collapse_multiple="Dental",
+    gap_filter=True)
+SURGERY_GAP_DAYS = 1
+COMPLICATION_GAP_HOURS = 72
 
 SURGERY_TIEBREAK = ("SurgeryID", "SurgeonName", "AssistantName", "Site", "SiteName")
 
@@ -186,6 +191,8 @@ def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GEN
     order = [Ord("UniqueCompID"), Ord("SurgeryTs"), Ord("CompDate"), Ord("DaysAfterSurgery")] + \
         [Ord(x) for x in SURGERY_TIEBREAK]
     first = keep_first(pairs, grp, order)
+    if cfg.gap_filter:
+        first = previous_row_gap_filter(first, cfg.gap_per_animal)
     out = keep_min_ties(first, ["AnimalID", "reference_date", "SxComp"], "DaysAfterSurgery")
     out = out.withColumn("SurgeryDate", F.to_date("SurgeryTs")).withColumn("CompDate", F.to_date("CompDate"))
     out = flag_group_size(out, ["AnimalID", "SxComp", "SurgeryDate", "reference_date"], "_n")
@@ -194,6 +201,28 @@ def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GEN
     return out.drop("_n", "SurgeryTs")
 
 
+def previous_row_gap_filter(df: DataFrame, per_animal: bool = False) -> DataFrame:
+    """Keep a row only if its surgery day is more than one day after the
+    previous row's, or its complication time more than 72 hours after it.
+
+    The report compares with the previous row of the whole month in the order
+    (animal, type, complication, surgery date, complication time), so rows of
+    different animals are compared and the first row of a month is always
+    dropped; that is the default (a window per report month - rows here are one
+    per animal, type and complication). ``per_animal`` partitions by animal.
+    """
+    part = ["reference_date", "AnimalID"] if per_animal else ["reference_date"]
+    w = Window.partitionBy(*part).orderBy("AnimalID", "SurgeryType", "SxComp", "SurgeryTs", "CompDate")
+    sday = F.to_date("SurgeryTs")
+    s_gap = F.datediff(sday, F.lag(sday).over(w)) > SURGERY_GAP_DAYS
+    c_us = F.unix_micros(F.col("CompDate").cast("timestamp"))
+    c_gap = (c_us - F.lag(c_us).over(w)) > COMPLICATION_GAP_HOURS * 3600 * 1000000
+    keep = F.coalesce(s_gap, F.lit(False)) | F.coalesce(c_gap, F.lit(False))
+    if per_animal:
+        keep = keep | F.lag(sday).over(w).isNull()
+    return df.withColumn("_keep", keep).where(F.col("_keep")).drop("_keep")
+
+
 MERGE_COLS = ["AnimalID", "Name", "Species", "Sex", "SurgeryType", "SurgeryCategory", "SurgeryDate",
               "SurgeryCategory_refined", "SurgeonName"]
 

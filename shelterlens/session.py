@@ -26,6 +26,13 @@ DEFAULT_CONF = {
 }
 
 
+LOCAL_CONF = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.files.maxPartitionBytes": "4m",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "shelterlens") -> SparkSession:
     """Return the active session or build a local one (tests, bench)."""
@@ -39,6 +46,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # Small local inputs: keep AQE from coalescing every shuffle into one task,
+        # since several operators multiply rows after a shuffle (bounded month
+        # explodes). Cluster sessions keep their own (64-128 MB) partition targets.
+        for key, value in LOCAL_CONF.items():
+            builder = builder.config(key, value)
     builder = builder.config("spark.driver.memory", os.environ.get("SHELTERLENS_DRIVER_MEM", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -67,13 +80,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def materialize(df, eager: bool = True):
+def materialize(df):
     """Cut lineage of an intermediate a report reads several times.
 
-    A reliable checkpoint: rows are written to the shared ``spark.checkpoint.dir``
-    (never a local checkpoint), so later stages read them back instead of
-    re-planning and recomputing the subtree, and a lost executor does not force
-    recomputation from the sources.
+    The rows are written once as a parquet table under the shared
+    ``spark.checkpoint.dir`` (never a local checkpoint or a machine-local folder
+    on a cluster) and read back: later stages scan the table - with column
+    pruning and filter pushdown - instead of re-planning and recomputing the
+    subtree, and a lost executor does not force recomputation from the sources.
+    Unlike ``Dataset.checkpoint`` this runs the subtree once.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/shelterlens-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
