@@ -49,7 +49,7 @@ def _load_all() -> None:
         return
     _loaded = True
     # importing the modules registers their queries
-    from shelterlens.plans import catalog_more  # noqa: F401
+    from shelterlens.plans import basics, catalog_more  # noqa: F401
 
 
 # ---------------------------------------------------------------- incidence
