@@ -73,8 +73,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
             _CKPT[id(spark)] = configured
         return configured
+    if id(spark) in _CKPT:
+        return _CKPT[id(spark)]
     local = tempfile.mkdtemp(prefix="shelterlens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:  # a core setting: not modifiable at runtime in every deployment
+        pass
     spark.sparkContext.setCheckpointDir(local)
     _CKPT[id(spark)] = local
     return local

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reports this library rebuilds are monthly batch reports over event-history
+tables; they have no stream, watermark, late-data or state handling, so there is
+no Structured Streaming operator to provide. A month's report is one batch job
+over the spine (``shelterlens.operators.spine``); rerunning it for a new as-of
+date is the refresh path.
+"""
