@@ -11,7 +11,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     """One relation to one dataset (parquet by default, CSV with header)."""
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # RFC 4180 quoting (doubled quotes), the form the export reader expects
+        writer = writer.option("header", True).option("escape", '"')
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
