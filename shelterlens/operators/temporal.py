@@ -78,9 +78,26 @@ def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts:
 
 def next_event_days(df: DataFrame, by: Sequence[str], ts: str, name: str,
                     tie_break: Sequence[str] = ()) -> DataFrame:
-    """Day boundaries from each event to the next event of the same key (NULL for the last)."""
-    w = Window.partitionBy(*by).orderBy(F.col(ts), *[F.col(c) for c in tie_break])
-    return df.withColumn(name, day_diff(F.col(ts), F.lead(ts).over(w)))
+    """Day boundaries from each event to the next event of the same key
+    (ordered by time, then ``tie_break``); NULL for the last event.
+
+    Two levels so that no window partition holds a key's whole history: ``lead``
+    inside (key, month) partitions, and for the last event of a month the first
+    event of the key's next month, from one row per (key, month) and a ``lead``
+    over those rows (a partition of at most one row per month).
+    """
+    from shelterlens.functions.dates import month_start
+    keys = list(by)
+    order = [F.col(ts)] + [F.col(c) for c in tie_break]
+    d = df.withColumn("_nb", month_start(ts))
+    w_in = Window.partitionBy(*keys, "_nb").orderBy(*order)
+    d = d.withColumn("_next", F.lead(ts).over(w_in))
+    firsts = d.groupBy(*keys, "_nb").agg(F.min(ts).alias("_first"))
+    w_m = Window.partitionBy(*keys).orderBy("_nb")
+    firsts = firsts.select(*keys, "_nb", F.lead("_first").over(w_m).alias("_next_month_first"))
+    d = d.join(firsts, keys + ["_nb"], "left")
+    nxt = F.coalesce(F.col("_next"), F.col("_next_month_first"))
+    return d.withColumn(name, day_diff(F.col(ts), nxt)).drop("_nb", "_next", "_next_month_first")
 
 
 def previous_row_equal(df: DataFrame, partition: Sequence[str], order: Sequence[Column],

@@ -40,7 +40,7 @@ def delayed_outcome(m: Model, spine: MonthSpine, lo: int = MIN_DAYS, hi: int = M
                .withColumn("_eday", F.date_add("_vday", F.col("TimetoEuth"))))
     pairs = (eu.join(shifted, ["AnimalID", "_eday"], "inner")
              .join(animals.select("AnimalID"), "AnimalID", "left_semi"))
-    best = keep_min_ties(pairs, ["AnimalID", "ReportDate"], "TimetoEuth")
+    best = keep_min_ties(pairs, ["AnimalID", "ReportDate"], "TimetoEuth", method="join")
     out = best.join(animals, "AnimalID", "inner")
     return out.select("AnimalID", "Name", "Species", "DateOfBirth", "Sex",
                       F.col("_first.k").alias("IntakeType"), F.col("_first.t").alias("IntakeDate"),

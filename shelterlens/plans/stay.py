@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shelterlens.functions.dates import as_timestamp, day_diff, first_month_start_on_or_after, month_start
 from shelterlens.functions.predicates import isin_or_null
 from shelterlens.operators.spine import MonthSpine, explode_months
-from shelterlens.operators.temporal import asof_backward_bucketed, interval_contains_bucketed
+from shelterlens.operators.temporal import asof_backward_bucketed, interval_contains_bucketed, next_event_days
 from shelterlens.sources.model import Model
 
 # Fixed values of the stay report.
@@ -65,9 +65,8 @@ def _foster_days(m: Model, stays: DataFrame, open_spell: bool) -> DataFrame:
                            F.col("_o").alias("_o"))
     inside = (interval_contains_bucketed(loc, windows, ["AnimalID"], "_lts", "_i", "_o")
               .select("AnimalID", "reference_date", "_lts", "Location").distinct())
-    w = Window.partitionBy("AnimalID", "reference_date").orderBy("_lts", "Location")
-    nxt = F.lead("_lts").over(w)
-    days = day_diff("_lts", nxt)
+    inside = next_event_days(inside, ["AnimalID", "reference_date"], "_lts", "_dn", tie_break=["Location"])
+    days = F.col("_dn")
     if open_spell:
         days = F.coalesce(days, day_diff("_lts", as_timestamp("reference_date")))
     rows = inside.withColumn("_d", days).where((F.col("Location") == FOSTER) & F.col("_d").isNotNull())
