@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelterlens.functions.dates import (as_timestamp, day_diff, eomonth, month_end_midnight, month_label,
+from shelterlens.functions.dates import (day_diff, eomonth, month_end_midnight, month_label,
                                          month_start, week_diff)
 from shelterlens.functions.predicates import (concat_null, contains_regex, isin_or_null, last_rule_wins,
                                               ne_keep_null, ne_sql, regex_exclude)

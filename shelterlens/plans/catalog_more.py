@@ -113,3 +113,15 @@ def invoice_complications(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("invoice_type_share", invoice_sql("share", AS_OF))
 def invoice_type_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iv.invoice_share(materialize(iv.invoice_complications(*exports_from_driver(spark, sf_dir))), AS_OF)
+
+
+
+@register("surgery_rank", surgery_sql(sx.GENERAL, SITE_GROUPS, "rank"))
+def surgery_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sx.surgery_rank(model_from_driver(spark, sf_dir), SPINE)
+
+
+@register("kitten_numerator", kitten_sql("numerator", KITTEN_START, KITTEN_AS_OF, KITTEN_SPINE))
+def kitten_numerator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cohort = materialize(kt.kitten_cohort(model_from_driver(spark, sf_dir), KITTEN_SPINE, KITTEN_AS_OF, KITTEN_START))
+    return kt.kitten_numerator(kt.fill_kitten_grid(cohort))

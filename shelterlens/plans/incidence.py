@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelterlens.functions.dates import (as_timestamp, day_diff, first_month_start_on_or_after,
+from shelterlens.functions.dates import (as_timestamp, first_month_start_on_or_after,
                                          last_month_start_before, month_end_midnight, month_start,
                                          week_diff)
 from shelterlens.functions.predicates import isin_or_null, rank_code, rank_decode

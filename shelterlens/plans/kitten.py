@@ -157,3 +157,8 @@ def mortality_percent(filled: DataFrame, as_of: _dt.date) -> DataFrame:
     pct = F.coalesce(F.try_divide(F.col("_dec").cast("double"), (F.col("_dec") + F.col("_alv")).cast("double")),
                      F.lit(0.0)) * 100
     return g.select("Month", F.round(pct, 2).alias("deceased_pct"), "AgeGroupCategory")
+
+
+def kitten_numerator(filled: DataFrame) -> DataFrame:
+    """C17: the report's numerator sheet - deceased rows, grid rows included (Q23)."""
+    return filled.where(F.col("Outcometype").isin("Died", "Euthanised"))

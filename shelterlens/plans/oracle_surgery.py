@@ -169,6 +169,14 @@ pct AS (
 
 
 def surgery_sql(cfg, site_groups, part: str) -> str:
+    if part == "rank":
+        return with_roles(f"""
+WITH {months_cte()}
+SELECT t.ExamTreatmentID, t.AnimalID, t.Medication, t.StatusDateTime, m.ref AS reference_date,
+       row_number() OVER (PARTITION BY m.ref, t.AnimalID, t.Medication ORDER BY t.StatusDateTime, t.ExamTreatmentID)
+         AS Rank
+FROM months m JOIN treatments t ON t.StatusDateTime BETWEEN m.ref AND {eom('m.ref')}
+WHERE t.Medication IN ({q(cfg.den_medications)})""")
     ctes = [months_cte()]
     if part in ("den", "merged", "share"):
         ctes.append(denominator_ctes(cfg, site_groups).strip())

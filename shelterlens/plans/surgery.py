@@ -201,6 +201,19 @@ def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GEN
     return out.drop("_n", "SurgeryTs")
 
 
+def surgery_rank(m: Model, spine: MonthSpine, meds: Sequence[str] = SURGERY_MEDICATIONS) -> DataFrame:
+    """``ROW_NUMBER`` of each surgery per (animal, medication) by time within a report month.
+
+    Computed on the treatment rows themselves; the report computes it over rows
+    multiplied by the location history, whose order is undefined (see README).
+    The partition is bounded by one animal's surgeries of one kind in one month.
+    """
+    t = _in_month(m["treatments"].where(F.col("Medication").isin(list(meds))), "StatusDateTime", spine)
+    w = Window.partitionBy("AnimalID", "Medication", "reference_date").orderBy("StatusDateTime", "ExamTreatmentID")
+    return t.select("ExamTreatmentID", "AnimalID", "Medication", "StatusDateTime", "reference_date",
+                    F.row_number().over(w).alias("Rank"))
+
+
 def previous_row_gap_filter(df: DataFrame, per_animal: bool = False) -> DataFrame:
     """Keep a row only if its surgery day is more than one day after the
     previous row's, or its complication time more than 72 hours after it.
