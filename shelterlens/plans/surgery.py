@@ -221,19 +221,34 @@ def previous_row_gap_filter(df: DataFrame, per_animal: bool = False) -> DataFram
     The report compares with the previous row of the whole month in the order
     (animal, type, complication, surgery date, complication time), so rows of
     different animals are compared and the first row of a month is always
-    dropped; that is the default (a window per report month - rows here are one
-    per animal, type and complication). ``per_animal`` partitions by animal.
+    dropped; that is the default. ``per_animal`` compares within an animal only.
+
+    Two levels, since the animal leads the order: ``lag`` inside (month, animal)
+    partitions, and for an animal's first row the last row of the previous animal
+    of the month, from one row per (month, animal) - the month-wide window only
+    sees one row per animal.
     """
-    part = ["reference_date", "AnimalID"] if per_animal else ["reference_date"]
-    w = Window.partitionBy(*part).orderBy("AnimalID", "SurgeryType", "SxComp", "SurgeryTs", "CompDate")
-    sday = F.to_date("SurgeryTs")
-    s_gap = F.datediff(sday, F.lag(sday).over(w)) > SURGERY_GAP_DAYS
-    c_us = F.unix_micros(F.col("CompDate").cast("timestamp"))
-    c_gap = (c_us - F.lag(c_us).over(w)) > COMPLICATION_GAP_HOURS * 3600 * 1000000
-    keep = F.coalesce(s_gap, F.lit(False)) | F.coalesce(c_gap, F.lit(False))
+    order = ["SurgeryType", "SxComp", "SurgeryTs", "CompDate"]
+    d = (df.withColumn("_sday", F.to_date("SurgeryTs"))
+         .withColumn("_cus", F.unix_micros(F.col("CompDate").cast("timestamp"))))
+    w_in = Window.partitionBy("reference_date", "AnimalID").orderBy(*order)
+    d = d.withColumn("_p_sday", F.lag("_sday").over(w_in)).withColumn("_p_cus", F.lag("_cus").over(w_in))
+    if not per_animal:
+        last = (d.groupBy("reference_date", "AnimalID")
+                .agg(F.max(F.struct(*[F.col(c) for c in order], F.col("_sday").alias("s"), F.col("_cus").alias("c")))
+                     .alias("_last")))
+        w_m = Window.partitionBy("reference_date").orderBy("AnimalID")
+        prev = last.select("reference_date", "AnimalID", F.lag("_last").over(w_m).alias("_prev"))
+        d = (d.join(prev, ["reference_date", "AnimalID"], "left")
+             .withColumn("_first_of_animal", F.col("_p_sday").isNull() & F.col("_p_cus").isNull())
+             .withColumn("_p_sday", F.when(F.col("_first_of_animal"), F.col("_prev.s")).otherwise(F.col("_p_sday")))
+             .withColumn("_p_cus", F.when(F.col("_first_of_animal"), F.col("_prev.c")).otherwise(F.col("_p_cus"))))
+    s_gap = F.coalesce(F.datediff("_sday", "_p_sday") > SURGERY_GAP_DAYS, F.lit(False))
+    c_gap = F.coalesce((F.col("_cus") - F.col("_p_cus")) > COMPLICATION_GAP_HOURS * 3600 * 1000000, F.lit(False))
+    keep = s_gap | c_gap
     if per_animal:
-        keep = keep | F.lag(sday).over(w).isNull()
-    return df.withColumn("_keep", keep).where(F.col("_keep")).drop("_keep")
+        keep = keep | F.col("_p_sday").isNull()
+    return d.where(keep).select(*df.columns)
 
 
 MERGE_COLS = ["AnimalID", "Name", "Species", "Sex", "SurgeryType", "SurgeryCategory", "SurgeryDate",
