@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelterlens.session import materialize
 from shelterlens.sources.model import Model
 from shelterlens.sources.tables import read_driver_tables
 
@@ -79,73 +80,114 @@ LINE_ID = "((l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey) * 16384 + l_s
 SURGEON_LAST = "CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_nationkey AS STRING) END"
 
 
+class LazyModel(dict):
+    """A model whose frames are built on first access (a plain dict to callers)."""
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, key):
+        if key not in self._builders:
+            raise KeyError(key)
+        value = self._builders[key]()
+        self[key] = value
+        return value
+
+
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_tax",
+                "l_discount", "l_shipdate")
+
+
 def model_from_driver(spark: SparkSession, sf_dir: str, line_locations: bool = False) -> Model:
-    """Resolved shelter model over the benchmark parquet tables (lazy).
+    """Resolved shelter model over the benchmark parquet tables (frames built on first use).
 
     ``line_locations`` takes the location history from the order lines instead of
     the events, so that moves fall inside the stays (used by the stay report).
     """
-    t = read_driver_tables(spark, sf_dir)
-    m = model_from_driver_tables(t)
-    if line_locations:
-        lines = t["lineitem"].join(t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"),
-                                   "l_orderkey", "inner")
-        m["locations"] = lines.select(F.col("o_custkey").alias("AnimalID"),
-                                      F.expr(LINE_LOCATION_CASE).alias("Location"),
-                                      F.col("l_shipdate").alias("LastUpdated"))
-    return m
-
-
-def model_from_driver_tables(t: dict[str, DataFrame]) -> Model:
+    return model_from_driver_tables(read_driver_tables(spark, sf_dir), line_locations)
+
+
+def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = False) -> Model:
     orders, lineitem = t["orders"], t["lineitem"]
-    first_order = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.min("o_orderdate").alias("DateOfBirth"))
     # nation has 25 rows by definition of the schema: a bounded broadcast.
     nation = F.broadcast(t["nation"].select("n_nationkey", "n_regionkey", "n_name"))
-    animals = (t["customer"].join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
-               .join(first_order, "c_custkey", "left")
-               .select(F.col("c_custkey").alias("AnimalID"), F.col("c_name").alias("Name"),
-                       F.expr(SPECIES_CASE).alias("Species"), F.expr(SEX_CASE).alias("Sex"),
-                       "DateOfBirth", F.lit(True).alias("has_details")))
-    visits = orders.select(F.col("o_orderkey").alias("InPrimaryKey"), F.col("o_custkey").alias("AnimalID"),
-                           F.col("o_orderdate").alias("tin_DateCreated"),
-                           F.expr(INTAKE_TYPE_CASE).alias("IntakeType"),
-                           F.col("o_orderpriority").alias("IntakeSubType"),
-                           F.expr(OUTCOME_TYPE_CASE).alias("OutComeType"))
-    last_ship = lineitem.groupBy(F.col("l_orderkey").alias("InPrimaryKey")).agg(
-        F.max("l_shipdate").alias("tOut_DateCreated"))
-    visits_out = visits.join(last_ship, "InPrimaryKey", "left")
-    intake_status = orders.select(F.col("o_orderkey").alias("OperationRecordID"),
-                                  F.col("o_orderdate").alias("StatusDateTime"),
-                                  F.expr(OPERATION_STATUS_CASE).alias("OperationStatus"))
-    lines = lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"),
-                          "l_orderkey", "inner")
-    exam_conditions = lines.select(F.expr(LINE_ID).alias("ExamConditionID"), F.col("l_orderkey").alias("ExamID"),
-                                   F.col("o_custkey").alias("AnimalID"), F.expr(CONDITION_CASE).alias("Condition"),
-                                   F.col("l_shipdate").alias("DateCreated"),
-                                   F.col("l_shipdate").alias("DateTimeDiagnosed"))
-    statuses = lines.select(F.col("o_custkey").alias("AnimalID"), F.expr(STAGE_CASE).alias("Stage"),
-                            F.expr(STATUS_CASE).alias("Status"), F.col("l_shipdate").alias("LastUpdated"),
-                            F.col("l_orderkey").alias("OperationPrimaryID"))
-    locations = t["events"].select(F.col("user_id").alias("AnimalID"), F.expr(LOCATION_CASE).alias("Location"),
-                                   F.col("ts").alias("LastUpdated"))
-    euthanasia = lines.where(F.col("l_returnflag") == "R").select(
-        F.col("o_custkey").alias("AnimalID"), F.col("l_shipdate").alias("DateCreated"))
-    supplier = (t["supplier"].join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
-                .select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("SiteName"),
-                        F.concat(F.col("s_name"), F.lit(" "), F.expr(SURGEON_LAST)).alias("SurgeonName")))
-    part = t["part"].select(F.col("p_partkey").alias("l_partkey"), F.expr(MEDICATION_CASE).alias("Medication"))
-    treatments = (lines.join(part, "l_partkey", "inner").join(supplier, "l_suppkey", "inner")
-                  .select(F.expr(LINE_ID).alias("ExamTreatmentID"), F.col("l_orderkey").alias("ExamID"),
-                          F.col("o_custkey").alias("AnimalID"), F.col("l_partkey").alias("TreatmentID"),
-                          "Medication", F.col("l_shipdate").alias("StatusDateTime"),
-                          F.col("o_orderdate").alias("DateCreated"), "SiteName", "SurgeonName",
-                          F.col("SurgeonName").alias("AssistantName")))
-    return {
+    cache: dict = {}
+
+    def lines() -> DataFrame:
+        # Order lines with their customer: several roles derive from this join, so it
+        # runs once per query and is read back from the shared checkpoint folder.
+        if "lines" not in cache:
+            joined = lineitem.select(*LINE_COLUMNS).join(
+                orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"),
+                "l_orderkey", "inner")
+            cache["lines"] = materialize(joined)
+        return cache["lines"]
+
+    def animals() -> DataFrame:
+        first_order = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+            F.min("o_orderdate").alias("DateOfBirth"))
+        return (t["customer"].join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+                .join(first_order, "c_custkey", "left")
+                .select(F.col("c_custkey").alias("AnimalID"), F.col("c_name").alias("Name"),
+                        F.expr(SPECIES_CASE).alias("Species"), F.expr(SEX_CASE).alias("Sex"),
+                        "DateOfBirth", F.lit(True).alias("has_details")))
+
+    def visits() -> DataFrame:
+        return orders.select(F.col("o_orderkey").alias("InPrimaryKey"), F.col("o_custkey").alias("AnimalID"),
+                             F.col("o_orderdate").alias("tin_DateCreated"),
+                             F.expr(INTAKE_TYPE_CASE).alias("IntakeType"),
+                             F.col("o_orderpriority").alias("IntakeSubType"),
+                             F.expr(OUTCOME_TYPE_CASE).alias("OutComeType"))
+
+    def visits_out() -> DataFrame:
+        last_ship = lineitem.groupBy(F.col("l_orderkey").alias("InPrimaryKey")).agg(
+            F.max("l_shipdate").alias("tOut_DateCreated"))
+        return visits().join(last_ship, "InPrimaryKey", "left")
+
+    def intake_status() -> DataFrame:
+        return orders.select(F.col("o_orderkey").alias("OperationRecordID"),
+                             F.col("o_orderdate").alias("StatusDateTime"),
+                             F.expr(OPERATION_STATUS_CASE).alias("OperationStatus"))
+
+    def exam_conditions() -> DataFrame:
+        return lines().select(F.expr(LINE_ID).alias("ExamConditionID"), F.col("l_orderkey").alias("ExamID"),
+                              F.col("o_custkey").alias("AnimalID"), F.expr(CONDITION_CASE).alias("Condition"),
+                              F.col("l_shipdate").alias("DateCreated"), F.col("l_shipdate").alias("DateTimeDiagnosed"))
+
+    def statuses() -> DataFrame:
+        return lines().select(F.col("o_custkey").alias("AnimalID"), F.expr(STAGE_CASE).alias("Stage"),
+                              F.expr(STATUS_CASE).alias("Status"), F.col("l_shipdate").alias("LastUpdated"),
+                              F.col("l_orderkey").alias("OperationPrimaryID"))
+
+    def locations() -> DataFrame:
+        if line_locations:
+            return lines().select(F.col("o_custkey").alias("AnimalID"), F.expr(LINE_LOCATION_CASE).alias("Location"),
+                                  F.col("l_shipdate").alias("LastUpdated"))
+        return t["events"].select(F.col("user_id").alias("AnimalID"), F.expr(LOCATION_CASE).alias("Location"),
+                                  F.col("ts").alias("LastUpdated"))
+
+    def euthanasia() -> DataFrame:
+        return lines().where(F.col("l_returnflag") == "R").select(
+            F.col("o_custkey").alias("AnimalID"), F.col("l_shipdate").alias("DateCreated"))
+
+    def treatments() -> DataFrame:
+        supplier = (t["supplier"].join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
+                    .select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("SiteName"),
+                            F.concat(F.col("s_name"), F.lit(" "), F.expr(SURGEON_LAST)).alias("SurgeonName")))
+        part = t["part"].select(F.col("p_partkey").alias("l_partkey"), F.expr(MEDICATION_CASE).alias("Medication"))
+        return (lines().join(part, "l_partkey", "inner").join(supplier, "l_suppkey", "inner")
+                .select(F.expr(LINE_ID).alias("ExamTreatmentID"), F.col("l_orderkey").alias("ExamID"),
+                        F.col("o_custkey").alias("AnimalID"), F.col("l_partkey").alias("TreatmentID"),
+                        "Medication", F.col("l_shipdate").alias("StatusDateTime"),
+                        F.col("o_orderdate").alias("DateCreated"), "SiteName", "SurgeonName",
+                        F.col("SurgeonName").alias("AssistantName")))
+
+    return LazyModel({
         "animals": animals, "visits": visits, "visits_out": visits_out, "intake_status": intake_status,
         "exam_conditions": exam_conditions, "statuses": statuses, "locations": locations,
         "euthanasia": euthanasia, "treatments": treatments,
-    }
+    })
 
 
 def exports_from_driver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
