@@ -96,6 +96,16 @@ def last_month_start_on_or_before(ts) -> Column:
     return month_start(_col(ts))
 
 
+def ntz_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a zone-less timestamp, independent of the
+    session time zone (no detour through an instant-based timestamp)."""
+    c = _col(ts)
+    day_us = F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+    clock_us = (F.hour(c).cast("long") * F.lit(3_600_000_000) + F.minute(c).cast("long") * F.lit(60_000_000)
+                + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long"))
+    return day_us + clock_us
+
+
 def python_week_diff(a: _dt.date, b: _dt.date) -> int:
     """Reference implementation of ``week_diff`` for tests."""
     origin = _dt.date(1970, 1, 4)

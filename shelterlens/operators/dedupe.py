@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelterlens.functions.dates import ntz_micros
+
 
 @dataclass(frozen=True)
 class Ord:
@@ -43,7 +45,7 @@ def _asc_key(df: DataFrame, o: Ord) -> list[Column] | None:
     if not isinstance(dtype, _NEGATABLE):
         return None
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        v = -F.unix_micros(c.cast("timestamp")) if isinstance(dtype, T.TimestampNTZType) else -F.unix_micros(c)
+        v = -ntz_micros(c) if isinstance(dtype, T.TimestampNTZType) else -F.unix_micros(c)
     elif isinstance(dtype, T.DateType):
         v = -F.unix_date(c)
     else:

@@ -155,15 +155,15 @@ def stock_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame
     # Latest stage date and, among active rows at that instant, the smallest stage (Q4).
     # Rows sharing (animal, first month, last month) are combined before the explode
     # (map-side), and the keys are fixed-width (time, stage rank): hash aggregates only.
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    active = F.when(F.col("Status") == "A", F.struct(us.alias("t"), (-rank_code("Stage", disease.stages)).alias("r")))
+    ts = F.col("ts")  # zone-less timestamp: a fixed-width aggregation key as it is
+    active = F.when(F.col("Status") == "A", F.struct(ts.alias("t"), (-rank_code("Stage", disease.stages)).alias("r")))
     spans = (base.groupBy("AnimalID", first_month_start_on_or_after("ts").alias("_lo"), latest_hi.alias("_hi"))
-             .agg(F.max(us).alias("_t"), F.max(active).alias("_a")))
+             .agg(F.max(ts).alias("_t"), F.max(active).alias("_a")))
     latest = (explode_months(spans, "_lo", "_hi", spine)
               .groupBy("AnimalID", "reference_date").agg(F.max("_t").alias("_t"), F.max("_a").alias("_a")))
     latest = (latest.where(F.col("_a").isNotNull() & (F.col("_a.t") == F.col("_t")))
               .select("AnimalID", "reference_date",
-                      F.timestamp_micros("_t").cast("timestamp_ntz").alias("stagedate"),
+                      F.col("_t").alias("stagedate"),
                       rank_decode(-F.col("_a.r"), disease.stages).alias("stage")))
     with_tin = base.where(F.col("tin_DateCreated").isNotNull())
     past_hi = F.least(F.add_months(month_start("ts"), 12), tin_cap)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelterlens.functions.dates import as_timestamp, month_end_midnight, month_start
+from shelterlens.functions.dates import as_timestamp, month_end_midnight, month_start, ntz_micros
 from shelterlens.functions.predicates import case_in_lists, ne_keep_null
 from shelterlens.operators.dedupe import Ord, flag_group_size, keep_first, keep_min_ties
 from shelterlens.session import materialize
@@ -230,7 +230,7 @@ def previous_row_gap_filter(df: DataFrame, per_animal: bool = False) -> DataFram
     """
     order = ["SurgeryType", "SxComp", "SurgeryTs", "CompDate"]
     d = (df.withColumn("_sday", F.to_date("SurgeryTs"))
-         .withColumn("_cus", F.unix_micros(F.col("CompDate").cast("timestamp"))))
+         .withColumn("_cus", ntz_micros("CompDate")))
     w_in = Window.partitionBy("reference_date", "AnimalID").orderBy(*order)
     d = d.withColumn("_p_sday", F.lag("_sday").over(w_in)).withColumn("_p_cus", F.lag("_cus").over(w_in))
     if not per_animal:

@@ -61,3 +61,19 @@ def test_spine_frame_is_a_set(spark):
     assert got == [dt.date(2023, m, 1) for m in range(1, 13)]
     assert spine.contiguous
     assert spine.frame(spark).where(F.col("reference_date").isNull()).count() == 0
+
+
+def test_ntz_micros_ignores_session_zone(spark):
+    from shelterlens.functions.dates import ntz_micros
+    rows = [(dt.datetime(2024, 3, 10, 2, 30, 0, 123456),),   # inside a US DST gap
+            (dt.datetime(1969, 12, 31, 23, 59, 59, 999999),), (dt.datetime(2001, 11, 4, 1, 30),)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    epoch = dt.datetime(1970, 1, 1)
+    want = [((r[0] - epoch) // dt.timedelta(microseconds=1)) for r in rows]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert [r.u for r in df.select(ntz_micros("t").alias("u")).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
