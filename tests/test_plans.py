@@ -18,10 +18,29 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     from shelterlens.plans import delayed as dl
     from shelterlens.plans.params import SPINE
     from shelterlens.plans.roles import model_from_driver
-    df = dl.delayed_outcome(model_from_driver(spark, SF), SPINE)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    line_scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "lineitem" in ln]
-    assert line_scan, plan
-    for ln in line_scan:
-        assert "l_extendedprice" not in ln  # only the needed columns are read
-    assert any("PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in ln for ln in line_scan)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        df = dl.delayed_outcome(model_from_driver(spark, SF), SPINE)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
+    assert scans, plan
+    for ln in scans:
+        assert "l_extendedprice" not in ln and "l_quantity" not in ln  # only needed columns are read
+    # the return-flag filter reaches the scan of the order lines
+    assert any("EqualTo(l_returnflag,R)" in ln for ln in scans), scans
+
+
+def test_month_bounds_reach_the_scan(spark):
+    from shelterlens.plans import incidence as inc
+    from shelterlens.plans.params import SPINE
+    from shelterlens.plans.roles import model_from_driver
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        df = inc.incidence_numerator(model_from_driver(spark, SF), SPINE, inc.DISEASES["diarrhea"])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "l_shipdate" in ln]
+    assert any("GreaterThanOrEqual(l_shipdate" in ln and "LessThanOrEqual(l_shipdate" in ln for ln in scans), scans
