@@ -161,3 +161,32 @@ def interval_contains_bucketed(points: DataFrame, intervals: DataFrame, by: Sequ
     pt = points.withColumn("_m", month_start(point_ts))
     return (pt.join(iv, list(by) + ["_m"], "inner")
             .where((F.col(point_ts) > F.col(start)) & (F.col(point_ts) < F.col(end))).drop("_m"))
+
+
+def asof_at_month_starts(left: DataFrame, right: DataFrame, by: Sequence[str], month: str, right_ts: str,
+                         name: str, strict: bool = True) -> DataFrame:
+    """Latest ``right_ts`` before 00:00 of each left row's ``month`` (a month-start DATE),
+    or at/before it when ``strict`` is False.
+
+    For month-start lookups no per-row pass is needed: right rows are reduced to
+    one maximum per (key, month) (plus the maximum exactly at the month's first
+    instant), and a running max over one row per (key, month) answers every left
+    month of the key.
+    """
+    from shelterlens.functions.dates import as_timestamp, month_start
+    keys = list(by)
+    r = right.select(*keys, F.col(right_ts).alias("_rt")).withColumn("_m", month_start("_rt"))
+    per_month = r.groupBy(*keys, "_m").agg(
+        F.max("_rt").alias("_mx"),
+        F.max(F.when(F.col("_rt") == as_timestamp("_m"), F.col("_rt"))).alias("_at_start"))
+    lm = left.select(*keys, F.col(month).alias("_m")).distinct()
+    u = (lm.select(*keys, "_m", F.lit(None).cast(per_month.schema["_mx"].dataType).alias("_mx"), F.lit(1).alias("_l"))
+         .unionByName(per_month.select(*keys, "_m", "_mx", F.lit(0).alias("_l"))))
+    # left rows sort before the same month's right row: the frame holds earlier months only
+    w = Window.partitionBy(*keys).orderBy(F.col("_m"), F.col("_l").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = u.withColumn("_before", F.max("_mx").over(w)).where(F.col("_l") == 1).select(*keys, "_m", "_before")
+    if not strict:
+        earlier = (earlier.join(per_month.select(*keys, "_m", "_at_start"), keys + ["_m"], "left")
+                   .select(*keys, "_m", F.greatest("_before", "_at_start").alias("_before")))
+    out = left.join(earlier.withColumnRenamed("_m", month), keys + [month], "left")
+    return out.withColumnRenamed("_before", name)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shelterlens.functions.dates import as_timestamp, day_diff, first_month_start_on_or_after, month_start
 from shelterlens.functions.predicates import isin_or_null
 from shelterlens.operators.spine import MonthSpine, explode_months
-from shelterlens.operators.temporal import asof_backward_bucketed, interval_contains_bucketed, next_event_days
+from shelterlens.operators.temporal import asof_at_month_starts, interval_contains_bucketed, next_event_days
 from shelterlens.sources.model import Model
 
 # Fixed values of the stay report.
@@ -42,19 +42,18 @@ def _type_label(intake_date: Column, report: Column) -> Column:
         .otherwise(F.lit("Already in Shelter"))
 
 
-def _latest_before(m: Model, left: DataFrame, ts: str, status: str | None, strict: bool) -> DataFrame:
-    """Latest status time (optionally of one status value) at/before ``ts`` per (animal, month)."""
+def _latest_before(m: Model, left: DataFrame, status: str | None, strict: bool) -> DataFrame:
+    """Latest status time (optionally of one status value) at/before each report date."""
     st = m["statuses"]
     if status is not None:
         st = st.where(F.col("Status") == status)
-    st = st.select("AnimalID", F.col("LastUpdated").alias("_st"))
-    return asof_backward_bucketed(left, st, ["AnimalID"], ts, "_st", [], strict=strict)
+    return asof_at_month_starts(left, st, ["AnimalID"], "reference_date", "LastUpdated", "_st", strict=strict)
 
 
-def _past_intake(m: Model, left: DataFrame, ts: str) -> DataFrame:
-    v = m["visits"].where(F.col("tin_DateCreated").isNotNull()).select(
-        "AnimalID", F.col("tin_DateCreated").alias("_pi"))
-    return asof_backward_bucketed(left, v, ["AnimalID"], ts, "_pi", [], strict=True)
+def _past_intake(m: Model, left: DataFrame) -> DataFrame:
+    """Latest intake strictly before each report date."""
+    v = m["visits"].where(F.col("tin_DateCreated").isNotNull())
+    return asof_at_month_starts(left, v, ["AnimalID"], "reference_date", "tin_DateCreated", "_pi", strict=True)
 
 
 def _foster_days(m: Model, stays: DataFrame, open_spell: bool) -> DataFrame:
@@ -92,10 +91,10 @@ def los_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
            .withColumn("reference_date", F.add_months(month_start("outcomedate"), 1))
            .where(spine.in_spine("reference_date"))
            .select("AnimalID", "reference_date", "outcomedate", F.col("OutComeType").alias("Outcome")))
-    keys = inv.select("AnimalID", "reference_date").distinct().withColumn("_ref_ts", as_timestamp("reference_date"))
-    keys = _latest_before(m, keys, "_ref_ts", "I", strict=False)
+    keys = inv.select("AnimalID", "reference_date").distinct()
+    keys = _latest_before(m, keys, "I", strict=False)
     keys = keys.where(F.col("_st") > as_timestamp(F.add_months("reference_date", -12 * LOOKBACK_YEARS)))
-    keys = _past_intake(m, keys.drop("_st"), "_ref_ts").where(F.col("_pi").isNotNull())
+    keys = _past_intake(m, keys.drop("_st")).where(F.col("_pi").isNotNull())
     inv = (inv.join(keys.select("AnimalID", "reference_date", F.to_date("_pi").alias("intakedate")),
                     ["AnimalID", "reference_date"], "inner")
            .select("AnimalID", "reference_date", "intakedate", "outcomedate", "Outcome"))
@@ -129,12 +128,11 @@ def los_not_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
     hi = month_start(F.col("_tout_max"))
     grid = explode_months(span, lo, hi, spine).where(
         F.col("_tout_max") > as_timestamp("reference_date")).select("AnimalID", "reference_date")
-    grid = grid.withColumn("_ref_ts", as_timestamp("reference_date"))
-    grid = _latest_before(m, grid, "_ref_ts", None, strict=False)
+    grid = _latest_before(m, grid, None, strict=False)
     grid = grid.where(F.col("_st") > as_timestamp(F.add_months("reference_date", -12 * LOOKBACK_YEARS)))
     active_ts = m["statuses"].where(F.col("Status") == "A").select(F.col("LastUpdated").alias("_st")).distinct()
     grid = grid.join(active_ts, "_st", "left_semi")  # any animal's active row at that instant (Q11)
-    grid = _past_intake(m, grid.drop("_st"), "_ref_ts").where(F.col("_pi").isNotNull())
+    grid = _past_intake(m, grid.drop("_st")).where(F.col("_pi").isNotNull())
     inv = grid.select("AnimalID", "reference_date", F.to_date("_pi").alias("intakedate"))
     stays = (inv.unionByName(flow).join(animals, "AnimalID", "inner")
              .withColumn("outcomedate", F.col("reference_date"))

@@ -56,3 +56,20 @@ def test_interval_contains_bucketed_brute_force(spark):
     want = sorted((pid, iid) for pid, a, ts in points for iid, a2, s, e in ivs
                   if a == a2 and dt.datetime.combine(s, dt.time()) < ts < dt.datetime.combine(e, dt.time()))
     assert got == want
+
+
+def test_asof_at_month_starts_brute_force(spark):
+    from shelterlens.operators.temporal import asof_at_month_starts
+    rng = random.Random(5)
+    months = [dt.date(2020, m, 1) for m in range(1, 13)]
+    left = [(a, m) for a in range(4) for m in months]
+    right = [(rng.randint(0, 3), _rand_ts(rng, days=360)) for _ in range(80)]
+    right += [(1, dt.datetime(2020, 5, 1)), (2, dt.datetime(2020, 9, 1))]  # exactly at a month start
+    ldf = spark.createDataFrame(left, "a int, m date")
+    rdf = spark.createDataFrame(right, "a int, ts timestamp_ntz")
+    for strict in (True, False):
+        got = {(r.a, r.m): r.x for r in asof_at_month_starts(ldf, rdf, ["a"], "m", "ts", "x", strict).collect()}
+        for a, m in left:
+            start = dt.datetime.combine(m, dt.time())
+            cands = [ts for a2, ts in right if a2 == a and (ts < start if strict else ts <= start)]
+            assert got[(a, m)] == (max(cands) if cands else None), (a, m, strict)
