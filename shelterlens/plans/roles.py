@@ -28,7 +28,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelterlens.session import materialize
 from shelterlens.sources.model import Model
 from shelterlens.sources.tables import read_driver_tables
 
@@ -115,13 +114,14 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
     cache: dict = {}
 
     def lines() -> DataFrame:
-        # Order lines with their customer: several roles derive from this join, so it
-        # runs once per query and is read back from the shared checkpoint folder.
+        # Order lines with their customer. A report reads at most two roles built on
+        # this join, so it is left to the plan (each use prunes its own columns)
+        # rather than written out: a write + two reads costs about what a second
+        # join does, and one-role reports would pay the write for nothing.
         if "lines" not in cache:
-            joined = lineitem.select(*LINE_COLUMNS).join(
+            cache["lines"] = lineitem.select(*LINE_COLUMNS).join(
                 orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"),
                 "l_orderkey", "inner")
-            cache["lines"] = materialize(joined)
         return cache["lines"]
 
     def animals() -> DataFrame:
