@@ -1,4 +1,4 @@
-"""Ordered-event operators (J7, J8, J9, W4, W5, W6) without pair explosion.
+"""Ordered-event operators (J7, J8, J9, W2, W4) without pair explosion.
 
 The reference writes these as theta joins (``b.ts > a.ts AND DATEDIFF(...)``),
 which emit every pair of events per animal. Here each one is a combining
@@ -100,17 +100,6 @@ def next_event_days(df: DataFrame, by: Sequence[str], ts: str, name: str,
     return d.withColumn(name, day_diff(F.col(ts), nxt)).drop("_nb", "_next", "_next_month_first")
 
 
-def previous_row_equal(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
-                       cols: Sequence[str], name: str = "same_as_previous") -> DataFrame:
-    """W5 / W6 helper: flag rows whose ``cols`` equal those of the previous row."""
-    w = Window.partitionBy(*partition).orderBy(*order) if partition else Window.orderBy(*order)
-    cond = None
-    for c in cols:
-        e = F.col(c) == F.lag(c).over(w)
-        cond = e if cond is None else cond & e
-    return df.withColumn(name, F.coalesce(cond, F.lit(False)))
-
-
 def asof_backward_bucketed(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,
                            right_cols: Sequence[str], strict: bool = True) -> DataFrame:
     """J9 for unbounded look-back: latest right row strictly before each left row.
