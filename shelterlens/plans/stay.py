@@ -137,7 +137,11 @@ def los_not_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
     stays = (inv.unionByName(flow).join(animals, "AnimalID", "inner")
              .withColumn("outcomedate", F.col("reference_date"))
              .withColumn("_o", F.col("reference_date")))
-    foster = _foster_days(m, stays, open_spell=True)
+    # every stay window of an (animal, month) ends at the report date, so their union is
+    # one window from the earliest intake: explode that instead of each stay row
+    windows = (stays.groupBy("AnimalID", "reference_date").agg(F.min("intakedate").alias("intakedate"))
+               .withColumn("_o", F.col("reference_date")))
+    foster = _foster_days(m, windows, open_spell=True)
     return _finish(stays, foster)
 
 
