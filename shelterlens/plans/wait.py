@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import as_timestamp, day_diff, month_start, week_diff
-from shelterlens.functions.predicates import flag, ne_sql
+from shelterlens.functions.predicates import flag, ne_sql, rank_code
 from shelterlens.operators.dedupe import Ord, keep_first
 from shelterlens.operators.spine import MonthSpine, current_year, months_between_cols, trailing_months
 from shelterlens.operators.temporal import asof_backward_bucketed
@@ -80,10 +80,13 @@ def surgery_wait(m: Model, spine: MonthSpine, spark: SparkSession,
         week_diff("DateOfBirth", "tin_DateCreated").alias("IntakeAge"),
         day_diff("tin_DateCreated", "StatusDateTime").alias("SurgeryWait"), "reference_date")
     s = s.where(F.col("IntakeAge") >= MIN_INTAKE_AGE_WEEKS)
+    # stage descending as its rank in the fixed stage list (binary text order), so the
+    # keep-first stays a combining aggregate instead of a row_number window
+    s = s.withColumn("_stage_rank", rank_code("Stage", WAIT_STAGES))
     one = keep_first(s, ["AnimalID", "Surgerycategory", "reference_date"],
-                     [Ord("Stage", asc=False), Ord("SurgeryDate"), Ord("ExamID"), Ord("Medication"),
-                      Ord("StageDate"), Ord("IntakeDate"), Ord("IntakeType")], method="window")
-    return (one.drop("ExamID").withColumn("Agegroup", F.lit("7 wks+"))
+                     [Ord("_stage_rank", asc=False), Ord("SurgeryDate"), Ord("ExamID"), Ord("Medication"),
+                      Ord("StageDate"), Ord("IntakeDate"), Ord("IntakeType"), Ord("Stage")])
+    return (one.drop("ExamID", "_stage_rank").withColumn("Agegroup", F.lit("7 wks+"))
             .withColumn("Sx_goal", goal("Surgerycategory")))
 
 
