@@ -100,3 +100,22 @@ def test_kitten_cohort_rules(spark):
                  for r in kt.kitten_cohort(m, MonthSpine([D(2024, 3, 1)]), D(2024, 6, 1)).collect())
     assert got == [(1, "3-6 wks", "Alive", D(2024, 3, 1)), (1, "7-12 wks", "Alive", D(2024, 3, 1)),
                    (2, "3-6 wks", "Died", D(2024, 3, 12)), (5, "3-6 wks", "Euthanised", D(2024, 3, 20))]
+
+
+def test_gap_filter_month_wide_and_per_animal(spark):
+    rows = [  # AnimalID, SurgeryType, SxComp, SurgeryTs, CompDate, reference_date
+        (1, "Orchidectomy", "Surgical complication", T(2024, 3, 1), T(2024, 3, 2), D(2024, 3, 1)),
+        (1, "Ovariohysterectomy", "Surgical complication", T(2024, 3, 1), T(2024, 3, 4), D(2024, 3, 1)),
+        (2, "Orchidectomy", "Surgical complication", T(2024, 3, 10), T(2024, 3, 11), D(2024, 3, 1)),
+        (2, "Orchidectomy", "Surgical complication", T(2024, 3, 10), T(2024, 3, 11), D(2024, 4, 1)),
+    ]
+    df = spark.createDataFrame(rows, "AnimalID long, SurgeryType string, SxComp string, SurgeryTs timestamp_ntz, "
+                                     "CompDate timestamp_ntz, reference_date date")
+    month_wide = sorted((r.AnimalID, r.SurgeryType, r.reference_date)
+                        for r in sx.previous_row_gap_filter(df).collect())
+    # first row of each month dropped; row 2 only 48 h after row 1; animal 2 compared with animal 1's last row
+    assert month_wide == [(2, "Orchidectomy", D(2024, 3, 1))]
+    per_animal = sorted((r.AnimalID, r.SurgeryType, r.reference_date)
+                        for r in sx.previous_row_gap_filter(df, per_animal=True).collect())
+    assert per_animal == [(1, "Orchidectomy", D(2024, 3, 1)), (2, "Orchidectomy", D(2024, 3, 1)),
+                          (2, "Orchidectomy", D(2024, 4, 1))]
