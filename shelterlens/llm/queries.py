@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelterlens.llm import chat_format, ngram_join, quality_rules
+from shelterlens.llm import chat_format, fingerprints, ngram_join, packing, quality_rules
 from shelterlens.llm.common import table
 
 
@@ -26,8 +26,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op6_chat_formatting, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op6_chat_formatting, op7_quality_rules,
+                                    op8_document_fingerprints, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
