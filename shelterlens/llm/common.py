@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shelterlens.session import materialize
 
 SHINGLE = 5
+CHUNK_BYTES = 2 << 20   # text handled at a time
 WORD = r"[^\x20\x09-\x0D]+"
 
 _SPACE = np.zeros(256, bool)
@@ -148,6 +149,13 @@ def shingle_sets(column) -> tuple[np.ndarray, np.ndarray]:
     words have none. A-Z is lower-cased first.
     """
     buf, off = text_buffer(column)
+    if off[-1] > CHUNK_BYTES and len(off) > 2:  # long columns in pieces: numbers take several times the text's memory
+        cut = np.unique(np.r_[0, np.searchsorted(off, np.arange(CHUNK_BYTES, off[-1], CHUNK_BYTES)), len(off) - 1])
+        if len(cut) == 2:
+            cut = np.arange(len(off))
+        found = [shingle_sets(column[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        sizes = np.concatenate([np.diff(o) for _, o in found])
+        return np.concatenate([h for h, _ in found]), np.r_[0, np.cumsum(sizes)]
     buf = lowered(buf)
     starts, ends, first = word_spans(buf, off)
     h = word_hashes(buf, starts, ends)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from shelterlens.llm import common as C
 from shelterlens.session import materialize
 
-BLOCK_SHINGLES = 2_000_000   # shingles of documents that are combined before they are shuffled
+BLOCK_SHINGLES = 1_500_000   # shingles of documents that are combined before they are shuffled
 UNIT_ENTRIES = 600_000       # shingles that one verification task holds
 SUBSET = 2                   # size of the enumerated subsets
 SUB_BUCKETS = 4              # hash ranges per shuffle partition, handled one after another
