@@ -35,14 +35,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+_RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000   # rows of an Arrow batch where the session has no setting of its own
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on the executors, whatever their working folder is."""
+    """Make this package importable on the executors, whatever their working folder is,
+    and keep Arrow batches of whole texts small (they lie outside the JVM heap, several at once)."""
     import pathlib
     import tempfile
     import zipfile
 
+    if spark.conf.get(_RECORDS) == "10000":   # Spark's default: too many for whole texts
+        spark.conf.set(_RECORDS, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
