@@ -1,8 +1,57 @@
-"""Corpus pipeline: quality rules, near-duplicates, repeated passages, mixing, packing."""
+"""Corpus pipeline: quality rules, near-duplicates, repeated passages, mixing, packing.
 
-STAGES = []
+``STAGES`` are (name, function) pairs; a function takes (spark, docs, sf_dir) and returns a
+DataFrame, which is written as Parquet and read again as the next one's docs. All but
+the last return the columns of ``documents``, only with the rows (and, for repeated
+passages, texts) that the stage keeps. ``run`` applies them to the documents table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shelterlens.llm import mixing, ngram_join, packing, quality_rules, substring_dedup
+from shelterlens.llm.common import table
+from shelterlens.session import materialize
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return quality_rules.keep_good(docs).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return ngram_join.keep_one(docs).select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that an earlier document has."""
+    return substring_dedup.without_repeats(docs).select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled to the target weights of sources, languages and topics."""
+    return mixing.keep_mixed(docs).select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of the documents' token pieces in sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates),
+          ("substring dedup", repeated_passages), ("mixing to target weights", mix), ("best-fit packing", pack)]
+
+# Tokenizers, content-defined chunks and raking are not expressible in SQL; see tests/llm.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        docs = out if k == len(STAGES) - 1 else materialize(out)
+    return docs
