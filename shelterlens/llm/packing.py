@@ -54,11 +54,11 @@ def _cut(path: str, capacity: int):
         ids: dict[bytes, bytes] = {}
         end = np.uint32(END_ID).tobytes()
 
-        def learn(words):
-            new = [w for w in set(words) if w not in ids]
+        def learn(words: set):
+            new = [w for w in words if w not in ids]
             if len(ids) + len(new) > CACHE_WORDS:
                 ids.clear()
-                new = list(set(words))
+                new = list(words)
             for x in range(0, len(new), 2000):
                 some = new[x:x + 2000]
                 for w, e in zip(some, tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
@@ -70,7 +70,7 @@ def _cut(path: str, capacity: int):
             texts = batch.column("text").cast(pa.large_binary())
             for a in range(0, len(docs), 200):
                 lists = [(t.as_py() or b"").split() for t in texts[a:a + 200]]
-                learn(itertools.chain.from_iterable(lists))
+                learn(set(itertools.chain.from_iterable(lists)))
                 for doc, words in zip(docs[a:a + 200], lists):
                     raw = b"".join([ids[w] for w in words]) + end if len(words) else end
                     n = len(raw) // 4
