@@ -18,6 +18,8 @@ places of their own; a null doc_id stays null.
 from __future__ import annotations
 
 import itertools
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -39,40 +41,81 @@ def tokenizer_path() -> str:
 
 
 # ---------------------------------------------------------------- tokens
-def _cut(path: str, capacity: int):
-    """White space separates tokens in this vocabulary, so words are encoded one by one
-    and a task encodes each distinct word once while it remembers it."""
-    def run(batches):
-        import os
+# Punctuation, Latin-1 letters, punctuation: the vocabulary's splitter makes one piece of each
+# part, and no normalisation but lower-casing touches them. All else goes through the full pipeline.
+_MARKS = r"[!-&(-/:-@\[-`{-~]*"
+_PLAIN = re.compile(f"({_MARKS})([A-Za-zÀ-ÖØ-öø-ÿ]+)({_MARKS})")
 
-        import pyarrow as pa
+
+class WordIds:
+    """Token ids of words (UTF-8) as little-endian bytes, remembered up to CACHE_WORDS words.
+
+    White space separates tokens in this vocabulary, so a text's ids are those of its words.
+    """
+
+    def __init__(self, path: str):
+        import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        self.as_chars = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def part(self, text: str) -> bytes:
+        got = self.parts.get(text)
+        if got is None:
+            chars = text if text.isascii() else self.as_chars.pre_tokenize_str(text)[0][0]
+            ids = [t.id for t in self.model.tokenize(chars)]
+            got = self.parts[text] = struct.pack(f"<{len(ids)}I", *ids)
+        return got
+
+    def learn(self, words: set[bytes]) -> None:
+        """Makes ``words`` known."""
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words.clear()
+            self.parts = {"": b""}
+            new = words
+        rest = []
+        for w in new:
+            m = _PLAIN.fullmatch(text := w.decode())
+            if m is None:
+                rest.append((w, text))
+            else:
+                a, b, c = m.groups()
+                self.words[w] = self.part(a) + self.part(b.lower()) + self.part(c)
+        for x in range(0, len(rest), 2000):
+            some = rest[x:x + 2000]
+            found = self.whole.encode_batch_fast([t for _, t in some], add_special_tokens=False)
+            for (w, _), e in zip(some, found):
+                self.words[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+
+_KNOWN: dict[str, WordIds] = {}   # of this worker process, by vocabulary file
 
-        tok = Tokenizer.from_file(path)
-        ids: dict[bytes, bytes] = {}
-        end = np.uint32(END_ID).tobytes()
 
-        def learn(words: set):
-            new = [w for w in words if w not in ids]
-            if len(ids) + len(new) > CACHE_WORDS:
-                ids.clear()
-                new = list(words)
-            for x in range(0, len(new), 2000):
-                some = new[x:x + 2000]
-                for w, e in zip(some, tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                    ids[w] = np.array(e.ids, "<u4").tobytes()
+def _cut(path: str, capacity: int):
+    def run(batches):
+        import pyarrow as pa
 
+        if path not in _KNOWN:
+            _KNOWN[path] = WordIds(path)
+        known = _KNOWN[path]
+        end = np.uint32(END_ID).tobytes()
         for batch in batches:
             out = []
             docs = batch.column("doc_id").to_pylist()
             texts = batch.column("text").cast(pa.large_binary())
             for a in range(0, len(docs), 200):
                 lists = [(t.as_py() or b"").split() for t in texts[a:a + 200]]
-                learn(set(itertools.chain.from_iterable(lists)))
+                known.learn(set(itertools.chain.from_iterable(lists)))
+                ids = known.words
                 for doc, words in zip(docs[a:a + 200], lists):
-                    raw = b"".join([ids[w] for w in words]) + end if len(words) else end
+                    raw = b"".join([ids[w] for w in words]) + end
                     n = len(raw) // 4
                     for k, at in enumerate(range(0, n, capacity)):
                         piece = raw[4 * at:4 * (at + capacity)]
