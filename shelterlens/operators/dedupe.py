@@ -105,13 +105,6 @@ def keep_min_ties(df: DataFrame, keys: Sequence[str], value_col: str, method: st
     return df.withColumn("_min", F.min(value_col).over(w)).where(F.col(value_col) == F.col("_min")).drop("_min")
 
 
-def group_extreme_rows(df: DataFrame, keys: Sequence[str], value_col: str, largest: bool = True) -> DataFrame:
-    """Rows at the group maximum (or minimum) of ``value_col``."""
-    agg = F.max if largest else F.min
-    ext = df.groupBy(*keys).agg(agg(value_col).alias(value_col))
-    return df.join(ext, list(keys) + [value_col], "left_semi")
-
-
 def flag_group_size(df: DataFrame, keys: Sequence[str], name: str = "num_in_group") -> DataFrame:
     """Size of each row's group (window count; the reference's outer
     merge with indicator needs no join because its right side derives from the left)."""

@@ -76,6 +76,12 @@ class MonthSpine:
             d = _add_months(d, 1)
         return cls(out)
 
+    def trailing(self, as_of: _dt.date, n: int = 13) -> "MonthSpine | None":
+        """The report months inside the trailing window of P11 (none: no such month)."""
+        end = _dt.date(as_of.year, as_of.month, 1)
+        kept = [d for d in self.months if _add_months(end, -n) <= d < end]
+        return MonthSpine(kept) if kept else None
+
     def in_spine(self, month_col) -> Column:
         """Predicate: month (a month-start DATE) is a report month."""
         c = _col(month_col)
@@ -123,11 +129,6 @@ def explode_months(df: DataFrame, first_month, last_month, spine: MonthSpine,
     return out
 
 
-def assign_month(df: DataFrame, ts_col, spine: MonthSpine, name: str = "reference_date") -> DataFrame:
-    """Month of a point event (exam, surgery, outcome): ``trunc(ts, 'MM')``, spine only."""
-    return df.withColumn(name, month_start(ts_col)).where(spine.in_spine(name))
-
-
 def trailing_months(df: DataFrame, date_col, as_of: _dt.date, n: int = 13) -> DataFrame:
     """Rows with ``date`` in ``[first of as-of month - n months, first of as-of month)``."""
     end = _dt.date(as_of.year, as_of.month, 1)
@@ -177,12 +178,20 @@ def fill_missing_months(observed: DataFrame, month_col: str, months: DataFrame,
 def observed_grid(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Cartesian product of the observed values of ``cols``.
 
-    Each column's domain is collected into one aggregate row and exploded; use
-    only for low-cardinality report dimensions (groups, categories, a bounded
-    set of months), which is what the reports densify over.
+    For report dimensions (groups, categories, months): the product is the result.
+    """
+    return product_of([df.select(c) for c in cols])
+
+
+def product_of(domains: Sequence[DataFrame]) -> DataFrame:
+    """Product of the distinct non-null rows of one-column frames.
+
+    The domains are aggregated with map-side combining and meet one after another in an
+    equi-join on a constant, so no row ever holds a whole column.
     """
-    sets = df.agg(*[F.collect_set(c).alias("_s_" + c) for c in cols])
-    out = sets
-    for c in cols:
-        out = out.withColumn(c, F.explode("_s_" + c))
-    return out.select(*cols)
+    out = None
+    for d in domains:
+        c = d.columns[0]
+        d = d.where(F.col(c).isNotNull()).distinct().withColumn("_one", F.lit(1))
+        out = d if out is None else out.join(d, "_one", "inner")
+    return out.drop("_one")

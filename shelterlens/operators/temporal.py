@@ -29,8 +29,10 @@ def exists_prior_within_days(targets: DataFrame, sources: DataFrame, by: Sequenc
     time, then offset by each allowed day difference (``hi - lo + 1`` rows) and
     equi-joined on (key, day).
     """
-    if hi < lo or hi - lo > 62:
-        raise ValueError("use a bucketed operator for windows longer than two months")
+    if hi < lo:
+        raise ValueError("empty window")
+    if hi - lo > SHORT_WINDOW_DAYS:
+        return _exists_in_long_window(targets, sources, by, target_ts, source_ts, lo, hi)
     per_day = (sources.groupBy(*by, F.to_date(source_ts).alias("_sday"))
                .agg(F.min(source_ts).alias("_sfirst")))
     shifted = (per_day.withColumn("_k", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
@@ -45,6 +47,29 @@ def exists_prior_within_days(targets: DataFrame, sources: DataFrame, by: Sequenc
     return t.join(shifted, cond_all & residual, "left_semi").drop("_tday")
 
 
+SHORT_WINDOW_DAYS = 62   # up to here each source day is offset; longer windows look up the latest day
+
+
+def _exists_in_long_window(targets: DataFrame, sources: DataFrame, by: Sequence[str], target_ts: str,
+                           source_ts: str, lo: int, hi: int) -> DataFrame:
+    """``exists_prior_within_days`` for any window: the latest source day at or before the
+    window's end is in the window iff any source day is; one row per (key, target time) is
+    looked up. A window from day 0 on also holds an earlier source of the same day."""
+    from shelterlens.functions.dates import as_timestamp
+    keys = [*by, target_ts]
+    asked = targets.select(*keys).distinct().withColumn(
+        "_until", as_timestamp(F.date_sub(F.to_date(target_ts), max(lo, 1) - 1)))
+    days = sources.select(*by, as_timestamp(F.to_date(source_ts)).alias("_day")).distinct()
+    found = (asof_backward_bucketed(asked, days, by, "_until", "_day", [])
+             .where(F.datediff(F.to_date(target_ts), F.to_date("_day")) <= hi).select(*keys))
+    if lo <= 0:
+        same = (sources.groupBy(*by, F.to_date(source_ts).alias("_sd")).agg(F.min(source_ts).alias("_sf"))
+                .withColumnRenamed("_sd", "_td"))
+        found = found.union(asked.withColumn("_td", F.to_date(target_ts)).join(same, [*by, "_td"], "inner")
+                            .where(F.col("_sf") < F.col(target_ts)).select(*keys)).distinct()
+    return targets.join(found, keys, "left_semi")
+
+
 def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,
                   right_cols: Sequence[str], strict: bool = True, partition_extra: Sequence[str] = (),
                   left_id: Sequence[str] | None = None) -> DataFrame:

@@ -83,13 +83,13 @@ def incidence_chart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("infection_percent", incidence_sql(DIARRHEA, "percent"))
 def infection_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inc.incidence_report(model_from_driver(spark, sf_dir), SPINE, DIARRHEA, AS_OF)["percent"]
+    return inc.infection_percent_report(model_from_driver(spark, sf_dir), SPINE, DIARRHEA, AS_OF)
 
 
 # the other three disease configurations (one implementation, four parameter sets)
 @register("uri_infection_percent", incidence_sql(inc.DISEASES["uri"], "percent"))
 def uri_infection_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inc.incidence_report(model_from_driver(spark, sf_dir), SPINE, inc.DISEASES["uri"], AS_OF)["percent"]
+    return inc.infection_percent_report(model_from_driver(spark, sf_dir), SPINE, inc.DISEASES["uri"], AS_OF)
 
 
 @register("parvo_chart_rows", incidence_sql(inc.DISEASES["parvo"], "chart"))

@@ -31,7 +31,7 @@ def merge_complications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("type_share_grid", surgery_sql(sx.GENERAL, SITE_GROUPS, "share"))
 def type_share_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sx.surgery_report(model_from_driver(spark, sf_dir), SPINE, AS_OF, sx.GENERAL, SITE_GROUPS)["share"]
+    return sx.type_share_report(model_from_driver(spark, sf_dir), SPINE, AS_OF, sx.GENERAL, SITE_GROUPS)
 
 
 @register("dental_surgeries", surgery_sql(sx.DENTAL, SITE_GROUPS, "den"))
@@ -121,7 +121,7 @@ def surgery_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sx.surgery_rank(model_from_driver(spark, sf_dir), SPINE)
 
 
-@register("kitten_numerator", kitten_sql("numerator", KITTEN_START, KITTEN_AS_OF, KITTEN_SPINE))
+@register("kitten_numerator", kitten_sql("numerator", KITTEN_START, AS_OF))
 def kitten_numerator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cohort = materialize(kt.kitten_cohort(model_from_driver(spark, sf_dir), KITTEN_SPINE, KITTEN_AS_OF, KITTEN_START))
+    cohort = materialize(kt.kitten_cohort(model_from_driver(spark, sf_dir), SPINE, AS_OF, KITTEN_START))
     return kt.kitten_numerator(kt.fill_kitten_grid(cohort))

@@ -10,7 +10,7 @@ large share of the rows (no pair of exam x visit is ever materialised).
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,8 @@ from shelterlens.functions.dates import (as_timestamp, first_month_start_on_or_a
                                          last_month_start_before, month_end_midnight, month_start,
                                          week_diff)
 from shelterlens.functions.predicates import isin_or_null, rank_code, rank_decode
-from shelterlens.operators.spine import MonthSpine, explode_months, fill_missing_months, trailing_months
+from shelterlens.operators.spine import (MonthSpine, _add_months, explode_months, fill_missing_months,
+                                         trailing_months)
 from shelterlens.operators.temporal import exists_prior_within_days
 from shelterlens.session import materialize
 from shelterlens.sources.model import Model
@@ -47,7 +48,6 @@ class Disease:
     intake_types: tuple = INTAKE_TYPES
     species: tuple = SPECIES
     stages: tuple = STOCK_STAGES
-    extra: dict = field(default_factory=dict)
 
 
 # The four disease configurations.
@@ -96,15 +96,19 @@ def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFr
     matching visit + ``lo`` days.
     """
     lo, hi = disease.onset_days
-    if hi - lo < 31 or lo < 1:
-        raise ValueError("onset window must start after day 0 and be longer than a month")
     animals = _cohort_animals(m, disease)
     exams = _listed_exams(m, disease, spine).join(animals.select("AnimalID"), "AnimalID", "left_semi")
     exams = exams.withColumn("eday", F.to_date("DateCreated"))
+    # intakes that any report month can see: literal bounds for the scan
+    first_day = spine.first - _dt.timedelta(days=hi)
+    intakes = m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types))
+                                & (F.col("tin_DateCreated") >= as_timestamp(F.lit(first_day)))
+                                & (F.col("tin_DateCreated") <= month_end_midnight(F.lit(spine.last))))
+    if hi - lo < 31 or lo < 1:
+        return _numerator_rows(_short_window_matches(exams, intakes, lo, hi), animals)
     groups = exams.groupBy("AnimalID", "Condition", "reference_date").agg(
         F.min("eday").alias("mind"), F.max("eday").alias("maxd"))
-    visits = (m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types)))
-              .join(animals.select("AnimalID"), "AnimalID", "left_semi")
+    visits = (intakes.join(animals.select("AnimalID"), "AnimalID", "left_semi")
               .select("AnimalID", "IntakeType", "tin_DateCreated",
                       F.to_date("tin_DateCreated").alias("vday")))
     vx = explode_months(visits, month_start(F.date_add("vday", lo)), month_start(F.date_add("vday", hi)), spine)
@@ -118,9 +122,27 @@ def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFr
                   .where(F.col("eday") >= F.date_add("_vmin", lo))
                   .groupBy("AnimalID", "Condition", "reference_date")
                   .agg(F.min("DateCreated").alias("examdate")))
-    out = (matched.join(first_exam, ["AnimalID", "Condition", "reference_date"], "inner")
-           .join(animals, "AnimalID", "inner")
-           .where(F.col("DateOfBirth").isNotNull()))
+    return _numerator_rows(matched.join(first_exam, ["AnimalID", "Condition", "reference_date"], "inner"), animals)
+
+
+def _short_window_matches(exams: DataFrame, intakes: DataFrame, lo: int, hi: int) -> DataFrame:
+    """The numerator's matches for any window, by day: each intake meets the exams of the days it allows.
+
+    Windows shorter than a month (or from day 0 on, where the exam must be later than the intake);
+    a longer one than that works too, only with more rows per intake.
+    """
+    days = (intakes.select("AnimalID", "IntakeType", "tin_DateCreated",
+                           F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("_k"))
+            .withColumn("eday", F.date_add(F.to_date("tin_DateCreated"), F.col("_k"))))
+    return (exams.distinct().join(days, ["AnimalID", "eday"], "inner")
+            .where(F.col("DateCreated") > F.col("tin_DateCreated"))
+            .groupBy("AnimalID", "Condition", "reference_date")
+            .agg(F.max("IntakeType").alias("Intaketype"), F.max("tin_DateCreated").alias("intakedate"),
+                 F.min("DateCreated").alias("examdate")))
+
+
+def _numerator_rows(matched: DataFrame, animals: DataFrame) -> DataFrame:
+    out = matched.join(animals, "AnimalID", "inner").where(F.col("DateOfBirth").isNotNull())
     return out.select(
         F.col("AnimalID").alias("animalid"), F.col("Name").alias("name"), F.col("Species").alias("species"),
         F.col("DateOfBirth").alias("dateofbirth"), "Intaketype", F.col("Condition").alias("condition"),
@@ -128,10 +150,11 @@ def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFr
         age_group("DateOfBirth", "reference_date", "Species").alias("Agegroup"))
 
 
-def _inventory_base(m: Model, d: Disease) -> DataFrame:
+def _inventory_base(m: Model, d: Disease, spine: MonthSpine) -> DataFrame:
     """Status rows of listed stages joined to their own visit (left) and the animal."""
     animals = _cohort_animals(m, d)
-    st = m["statuses"].where(F.col("Stage").isin(list(d.stages)))
+    st = m["statuses"].where(F.col("Stage").isin(list(d.stages))
+                             & (F.col("LastUpdated") >= as_timestamp(F.lit(_add_months(spine.first, -12)))))
     v = m["visits"].select(F.col("AnimalID").alias("_vid"), F.col("InPrimaryKey"),
                            "IntakeType", "tin_DateCreated")
     base = (st.join(v, (F.col("AnimalID") == F.col("_vid")) & (F.col("OperationPrimaryID") == F.col("InPrimaryKey")),
@@ -148,7 +171,7 @@ def stock_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame
     a visit, ``M - 1y <= intake``): at most 12 months per row. Past intakes use
     the inventory bound ``ts >= M - 1y`` only (Q5).
     """
-    base = _inventory_base(m, disease)
+    base = _inventory_base(m, disease, spine)
     tin_cap = F.add_months(month_start("tin_DateCreated"), 12)
     latest_hi = F.add_months(last_month_start_before("ts"), 12)
     latest_hi = F.when(F.col("tin_DateCreated").isNull(), latest_hi).otherwise(F.least(latest_hi, tin_cap))
@@ -197,7 +220,10 @@ def flow_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame:
     # Early-onset exclusion: any listed exam in the month within lo..hi days after any listed intake.
     e_lo, e_hi = disease.early_days
     exams = _listed_exams(m, disease, spine).join(animals.select("AnimalID"), "AnimalID", "left_semi")
-    all_visits = (m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types)))
+    first_day = spine.first - _dt.timedelta(days=e_hi)
+    all_visits = (m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types))
+                                    & (F.col("tin_DateCreated") >= as_timestamp(F.lit(first_day)))
+                                    & (F.col("tin_DateCreated") <= month_end_midnight(F.lit(spine.last))))
                   .join(animals.select("AnimalID"), "AnimalID", "left_semi"))
     excluded = exists_prior_within_days(exams, all_visits, ["AnimalID"], "DateCreated", "tin_DateCreated",
                                         e_lo, e_hi).select("AnimalID", "reference_date").distinct()
@@ -260,3 +286,20 @@ def incidence_report(m: Model, spine: MonthSpine, disease: Disease, as_of: _dt.d
     if disease.weighted:
         out["percent"] = infection_percent(chart, as_of)
     return out
+
+
+def infection_percent_report(m: Model, spine: MonthSpine, disease: Disease, as_of: _dt.date) -> DataFrame:
+    """The percent table alone: only the trailing months of P11 are computed.
+
+    Every month's rows stand for themselves; only the gap fill looks at the first and the
+    last month with any row. If the trailing months have rows in their own first and last
+    month, no month outside can matter; else the whole spine is computed.
+    """
+    cut = spine.trailing(as_of)
+    if cut is not None:
+        num = materialize(incidence_numerator(m, cut, disease))
+        den = materialize(population_at_risk(m, cut, disease))
+        months = num.select("Referencedate").union(den.select("Referencedate"))
+        if tuple(months.agg(F.min("Referencedate"), F.max("Referencedate")).first()) == (cut.first, cut.last):
+            return infection_percent(harmonise_outcomes(num, den, disease), as_of)
+    return incidence_report(m, spine, disease, as_of)["percent"]

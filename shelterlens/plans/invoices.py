@@ -32,7 +32,6 @@ NO_PROBLEMS = "No Complications"
 COMP_RULES = (
     ("Surgical complication", "SIC"),
     ("Incision complications", "SIC"),
-    ("Incision complications", "SIC"),
     ("Surgical complication,Pyometra,Dehiscence, dental,COHAT 1-2", "Multiple"),
     ("Vomiting,Surgical complication,Anesthetic arrest,Anemia", "Multiple"),
     ("Vomiting,Surgical complication,Arrest, anesthetic,Anemia", "Multiple"),
@@ -41,17 +40,25 @@ COMP_RULES = (
 )
 TNR_ANY_CASE = "tnr|tnR|tNr|tNR|Tnr|TnR|TNr|TNR*"
 PRE_ANESTHETIC = "Pre-Anesthetic*"
-DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"
+DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "MM/dd/yyyy HH:mm",
+                "MM/dd/yyyy", "M/d/yyyy")
+
+
+def parsed_date(text, formats=DATE_FORMATS):
+    """Zone-less time of a text by the first format that fits; null and blank stay null, other text is an error."""
+    c = F.col(text) if isinstance(text, str) else text
+    t = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    bad = c.isNotNull() & (F.trim(c) != "") & t.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit("no known date format: "), c)).cast("timestamp_ntz")).otherwise(t)
 
 
-def invoice_complications(animals: DataFrame, invoices: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
+def invoice_complications(animals: DataFrame, invoices: DataFrame, date_formats=DATE_FORMATS) -> DataFrame:
     a = animals.select(*[F.col(f"`{c}`") for c in ANIMAL_COLUMNS])
     for p in ANIMAL_NAME_EXCLUDE:
         a = a.where(regex_exclude(F.col("`Animal Name`"), p))
     a = a.where(F.col("`Master Problems`").isNotNull())
     d = invoices.select(*[F.col(f"`{c}`") for c in INVOICE_COLUMNS])
-    d = d.withColumn("Invoice Date", F.try_to_timestamp(F.col("`Invoice Date`"), F.lit(date_format))
-                     .cast("timestamp_ntz"))
+    d = d.withColumn("Invoice Date", parsed_date(F.col("`Invoice Date`"), date_formats))
     for p in PATIENT_NAME_EXCLUDE:
         d = d.where(regex_exclude(F.col("`Patient Name`"), p))
     d = (d.withColumn("Staff Member", F.coalesce(F.col("`Staff Member`"), F.col("`Case Owner`")))

@@ -1,5 +1,8 @@
-"""DuckDB oracle SQL for the incidence queries, written month by month like the
-original report queries (a month list joined to the facts by range)."""
+"""DuckDB oracle SQL for the incidence queries.
+
+Written from the rules, in another form than the Spark plans: the events of an animal are
+gathered into lists, and a rule is a filter over the lists of one (animal, month).
+"""
 
 from __future__ import annotations
 
@@ -37,85 +40,85 @@ def agegroup(dob: str, ref: str, species: str) -> str:
             f"WHEN {wk(dob, ref)} < 20 AND {species} = 'Cat' THEN 'Kitten' ELSE 'Puppy' END")
 
 
+def listed_ctes(d) -> str:
+    """Animals of the report with the intakes that count, as one list each."""
+    return f"""
+who AS (
+  SELECT AnimalID AS animalid, Name AS name, Species AS species, DateOfBirth AS dateofbirth,
+         (SELECT list({{'at': v.tin_DateCreated, 'kind': v.IntakeType}}) FROM visits v
+          WHERE v.AnimalID = animals.AnimalID AND v.IntakeType IN ({q(d.intake_types)})) AS intakes
+  FROM animals WHERE has_details AND Species IN ({q(d.species)})),
+sick AS (
+  SELECT AnimalID AS animalid, Condition AS condition, CAST(date_trunc('month', DateCreated) AS DATE) AS ref,
+         list(DateCreated) AS exams
+  FROM exam_conditions
+  WHERE Condition IN ({q(d.conditions)}) AND DateCreated <= {eom("CAST(DateCreated AS DATE)")}
+    AND CAST(date_trunc('month', DateCreated) AS DATE) IN (SELECT ref FROM months)
+  GROUP BY ALL)"""
+
+
+def _within(lo: int, hi: int) -> str:
+    return f"i.at < e AND {dd('i.at', 'e')} BETWEEN {lo} AND {hi}"
+
+
 def numerator_cte(d) -> str:
-    lo, hi = d.onset_days
+    rule = _within(*d.onset_days)
     return f"""
-num_base AS (
-  SELECT DISTINCT m.ref, a.AnimalID, a.Name, a.Species, a.DateOfBirth, v.IntakeType, v.IntakeSubType,
-         v.tin_DateCreated AS IntakeDate, e.Condition, e.ExamID, e.DateCreated AS ExamDate
-  FROM months m
-  JOIN exam_conditions e ON e.DateCreated >= m.ref AND e.DateCreated <= {eom('m.ref')}
-  JOIN animals a ON a.AnimalID = e.AnimalID AND a.has_details
-  JOIN visits v ON v.AnimalID = a.AnimalID AND e.DateCreated > v.tin_DateCreated
-  WHERE a.Species IN ({q(d.species)}) AND v.IntakeType IN ({q(d.intake_types)})
-    AND e.Condition IN ({q(d.conditions)})
-    AND {dd('v.tin_DateCreated', 'e.DateCreated')} BETWEEN {lo} AND {hi}),
+onset AS (
+  SELECT who.*, sick.condition, sick.ref,
+         list_filter(intakes, lambda i: len(list_filter(exams, lambda e: {rule})) > 0) AS causes,
+         list_filter(exams, lambda e: len(list_filter(intakes, lambda i: {rule})) > 0) AS effects
+  FROM sick JOIN who USING (animalid)
+  WHERE intakes IS NOT NULL AND dateofbirth IS NOT NULL),
 num AS (
-  SELECT AnimalID AS animalid, Name AS name, Species AS species, DateOfBirth AS dateofbirth,
-         max(IntakeType) AS Intaketype, Condition AS condition, max(IntakeDate) AS intakedate,
-         min(ExamDate) AS examdate, ref AS Referencedate, {agegroup('DateOfBirth', 'ref', 'Species')} AS Agegroup
-  FROM num_base WHERE DateOfBirth IS NOT NULL
-  GROUP BY ref, AnimalID, Name, Species, Condition, DateOfBirth)"""
+  SELECT animalid, name, species, dateofbirth, list_max(list_transform(causes, lambda i: i.kind)) AS Intaketype,
+         condition, list_max(list_transform(causes, lambda i: i.at)) AS intakedate, list_min(effects) AS examdate,
+         ref AS Referencedate, {agegroup('dateofbirth', 'ref', 'species')} AS Agegroup
+  FROM onset WHERE len(effects) > 0)"""
 
 
 def stock_cte(d) -> str:
+    year = "(ref - INTERVAL 1 YEAR)"
     return f"""
-inventory AS (
-  SELECT DISTINCT m.ref, s.AnimalID, a.Name, a.Species, a.DateOfBirth, s.Stage, s.LastUpdated AS StageDate,
-         v.IntakeType, v.IntakeSubType, v.tin_DateCreated AS intakedate, s.Status
-  FROM months m
-  JOIN statuses s ON s.LastUpdated >= m.ref - INTERVAL 1 YEAR
-  JOIN animals a ON a.AnimalID = s.AnimalID AND a.has_details
-  LEFT JOIN visits v ON v.AnimalID = s.AnimalID AND v.InPrimaryKey = s.OperationPrimaryID
-  WHERE a.Species IN ({q(d.species)}) AND s.Stage IN ({q(d.stages)})
-    AND (v.IntakeType IN ({q(d.intake_types)}) OR v.IntakeType IS NULL)
-    AND (v.tin_DateCreated >= m.ref - INTERVAL 1 YEAR OR v.tin_DateCreated IS NULL)),
-latest_stagedate AS (
-  SELECT ref, AnimalID, Name, max(StageDate) AS stagedate FROM inventory
-  WHERE StageDate > ref - INTERVAL 1 YEAR AND StageDate <= ref GROUP BY ref, AnimalID, Name),
-past_intakes AS (
-  SELECT ref, AnimalID, max(intakedate) AS intakedate FROM inventory
-  WHERE intakedate IS NOT NULL AND intakedate < ref GROUP BY ref, AnimalID),
+held AS (
+  SELECT who.animalid, who.name, who.species, who.dateofbirth, list({{'at': s.LastUpdated, 'stage': s.Stage,
+         'active': s.Status = 'A', 'came': v.tin_DateCreated}}) AS events
+  FROM who JOIN statuses s ON s.AnimalID = who.animalid
+  LEFT JOIN visits v ON v.InPrimaryKey = s.OperationPrimaryID AND v.AnimalID = s.AnimalID
+  WHERE s.Stage IN ({q(d.stages)}) AND coalesce(v.IntakeType IN ({q(d.intake_types)}), TRUE)
+  GROUP BY ALL),
+seen AS (
+  SELECT held.* EXCLUDE (events), ref, list_filter(events, lambda x: x.at >= {year}
+         AND coalesce(x.came >= {year}, TRUE)) AS events
+  FROM held, months WHERE dateofbirth IS NOT NULL),
+newest AS (
+  SELECT *, list_max(list_transform(list_filter(events, lambda x: x.at > {year} AND x.at <= ref), lambda x: x.at)) AS top,
+         list_max(list_transform(list_filter(events, lambda x: x.came < ref), lambda x: x.came)) AS came
+  FROM seen),
 stock AS (
-  SELECT l.AnimalID AS animalid, l.Name AS name, i.Species AS species, i.DateOfBirth AS dateofbirth,
-         l.stagedate, max(i.Status) AS status, min(i.Stage) AS stage, p.intakedate, l.ref AS Referencedate,
-         {agegroup('i.DateOfBirth', 'l.ref', 'i.Species')} AS Agegroup
-  FROM latest_stagedate l
-  JOIN inventory i ON i.ref = l.ref AND i.StageDate = l.stagedate AND i.AnimalID = l.AnimalID
-  JOIN past_intakes p ON p.ref = l.ref AND p.AnimalID = l.AnimalID
-  WHERE i.Status = 'A' AND i.DateOfBirth IS NOT NULL
-  GROUP BY l.ref, l.AnimalID, i.Species, l.stagedate, p.intakedate, l.Name, i.DateOfBirth)"""
+  SELECT animalid, name, species, dateofbirth, top AS stagedate, 'A' AS status,
+         list_min(list_transform(list_filter(events, lambda x: x.active AND x.at = top), lambda x: x.stage)) AS stage,
+         came AS intakedate, ref AS Referencedate, {agegroup('dateofbirth', 'ref', 'species')} AS Agegroup
+  FROM newest WHERE came IS NOT NULL AND len(list_filter(events, lambda x: x.active AND x.at = top)) > 0)"""
 
 
 def flow_cte(d) -> str:
-    elo, ehi = d.early_days
+    rule = _within(*d.early_days)
     return f"""
-total_intake AS (
-  SELECT DISTINCT m.ref, v.tin_DateCreated AS IntakeDate, a.AnimalID, a.Name, a.Species, a.DateOfBirth,
-         v.IntakeType, v.IntakeSubType, st.OperationStatus
-  FROM months m
-  JOIN visits v ON v.tin_DateCreated >= m.ref AND v.tin_DateCreated < {eom('m.ref')}
-  JOIN animals a ON a.AnimalID = v.AnimalID AND a.has_details
-  LEFT JOIN intake_status st ON v.tin_DateCreated = st.StatusDateTime AND v.InPrimaryKey = st.OperationRecordID
-  WHERE a.Species IN ({q(d.species)}) AND v.IntakeType IN ({q(d.intake_types)})
-    AND st.OperationStatus = 'Completed'),
-intake_exclusion AS (
-  SELECT DISTINCT m.ref, a.AnimalID
-  FROM months m
-  JOIN exam_conditions e ON e.DateCreated >= m.ref AND e.DateCreated <= {eom('m.ref')}
-  JOIN animals a ON a.AnimalID = e.AnimalID AND a.has_details
-  JOIN visits v ON v.AnimalID = a.AnimalID AND e.DateCreated > v.tin_DateCreated
-  WHERE a.Species IN ({q(d.species)}) AND v.IntakeType IN ({q(d.intake_types)})
-    AND e.Condition IN ({q(d.conditions)})
-    AND {dd('v.tin_DateCreated', 'e.DateCreated')} BETWEEN {elo} AND {ehi}),
+early AS (
+  SELECT who.animalid, sick.ref FROM sick JOIN who USING (animalid)
+  WHERE len(list_filter(exams, lambda e: len(list_filter(intakes, lambda i: {rule})) > 0)) > 0),
 flow AS (
-  SELECT t.AnimalID AS animalid, t.Name AS name, t.Species AS species, t.DateOfBirth AS dateofbirth,
-         CAST(t.ref AS TIMESTAMP) AS stagedate, 'A' AS status, 'Intake' AS stage, max(t.IntakeDate) AS intakedate,
-         t.ref AS Referencedate, {agegroup('t.DateOfBirth', 't.ref', 't.Species')} AS Agegroup
-  FROM total_intake t
-  WHERE NOT EXISTS (SELECT 1 FROM intake_exclusion x WHERE x.ref = t.ref AND x.AnimalID = t.AnimalID)
-    AND t.DateOfBirth IS NOT NULL
-  GROUP BY t.ref, t.AnimalID, t.Name, t.Species, t.DateOfBirth)"""
+  SELECT who.animalid, name, species, dateofbirth, CAST(ref AS TIMESTAMP) AS stagedate, 'A' AS status,
+         'Intake' AS stage, max(v.tin_DateCreated) AS intakedate, ref AS Referencedate,
+         {agegroup('dateofbirth', 'ref', 'species')} AS Agegroup
+  FROM who JOIN visits v ON v.AnimalID = who.animalid
+  JOIN months ON ref = CAST(date_trunc('month', v.tin_DateCreated) AS DATE)
+  WHERE v.IntakeType IN ({q(d.intake_types)}) AND v.tin_DateCreated < {eom('ref')} AND dateofbirth IS NOT NULL
+    AND (v.InPrimaryKey, v.tin_DateCreated, 'Completed') IN
+        (SELECT (OperationRecordID, StatusDateTime, OperationStatus) FROM intake_status)
+    AND (who.animalid, ref) NOT IN (SELECT (animalid, ref) FROM early)
+  GROUP BY ALL)"""
 
 
 def chart_cte(d) -> str:
@@ -144,7 +147,7 @@ chart AS (SELECT * FROM chart0 UNION ALL SELECT * FROM fill)"""
 
 
 def incidence_sql(d, part: str) -> str:
-    ctes = [months_cte()]
+    ctes = [months_cte(), listed_ctes(d).strip()]
     if part in ("numerator", "chart", "percent"):
         ctes.append(numerator_cte(d).strip())
     if part in ("stock", "population", "chart", "percent"):

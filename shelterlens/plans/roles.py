@@ -75,7 +75,9 @@ BUSINESS_CASE = "CASE WHEN l_tax >= 0.08 THEN 'ezyVet Software Support' ELSE 'Ma
 PATIENT_CASE = ("CASE WHEN l_discount >= 0.1 THEN 'TNR cat ' || CAST(o_custkey AS STRING) "
                 "ELSE 'Pet ' || CAST(o_custkey AS STRING) END")
 INVOICE_SPECIES_CASE = "CASE WHEN p_size < 10 THEN 'Special Species' ELSE 'Cat' END"
-LINE_ID = "((l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey) * 16384 + l_suppkey"
+# A line's identity is its four keys: fixed-width text, so it sorts as the keys do and cannot overflow or collide.
+LINE_ID = " || '-' || ".join(f"lpad(CAST({key} AS STRING), 19, '0')"
+                             for key in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
 SURGEON_LAST = "CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_nationkey AS STRING) END"
 
 

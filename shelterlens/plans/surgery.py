@@ -293,3 +293,15 @@ def surgery_report(m: Model, spine: MonthSpine, as_of: _dt.date, cfg: SurgeryCon
     merged = merge_complications(num, den)
     return {"denominator": den, "numerator": num, "merged": merged,
             "share": type_share(merged, "SurgeryCategory_refined", as_of)}
+
+
+def type_share_report(m: Model, spine: MonthSpine, as_of: _dt.date, cfg: SurgeryConfig = GENERAL,
+                      site_groups: Sequence = ()) -> DataFrame:
+    """The share table alone: the surgeries of the trailing months of P11 only.
+
+    Surgeries and complications pair within a month, so no other month can matter.
+    """
+    cut = spine.trailing(as_of) or spine
+    merged = merge_complications(surgical_complications(m, cut, cfg, site_groups),
+                                 surgeries(m, cut, cfg, site_groups))
+    return type_share(materialize(merged), "SurgeryCategory_refined", as_of)

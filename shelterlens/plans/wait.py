@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from shelterlens.functions.dates import as_timestamp, day_diff, month_start, week_diff
 from shelterlens.functions.predicates import flag, ne_sql, rank_code
 from shelterlens.operators.dedupe import Ord, keep_first
-from shelterlens.operators.spine import MonthSpine, current_year, months_between_cols, trailing_months
+from shelterlens.operators.spine import (MonthSpine, _add_months, current_year, months_between_cols, product_of,
+                                         trailing_months)
 from shelterlens.operators.temporal import asof_backward_bucketed
 from shelterlens.sources.model import Model
 
@@ -53,24 +54,31 @@ def surgery_wait(m: Model, spine: MonthSpine, spark: SparkSession,
     """One row per (animal, surgery category, report month)."""
     hs = as_timestamp(F.lit(history_start))
     et = m["treatments"].select("ExamID", "AnimalID", "Medication", "StatusDateTime")
-    # As-of intake per exam: latest visit before the exam's last treatment time.
-    exam_last = et.groupBy("ExamID", "AnimalID").agg(F.max("StatusDateTime").alias("_exam_ts"))
+    # surgeries of the months before the report months: literal bounds, so they reach the scan
+    surgeries = et.where(F.col("Medication").isin([k for k, _ in SURGERY_MAP])
+                         & (F.col("StatusDateTime") >= as_timestamp(F.lit(_add_months(spine.first, -1))))
+                         & (F.col("StatusDateTime") < as_timestamp(F.lit(spine.last))))
+    # As-of intake per exam, of the exams that have such a surgery: latest visit before the last
+    # treatment time of each of its animals, and of those the latest (one row per exam).
+    exam_last = (et.join(surgeries.select("ExamID").distinct(), "ExamID", "left_semi")
+                 .groupBy("ExamID", "AnimalID").agg(F.max("StatusDateTime").alias("_exam_ts")))
     visits = (m["visits"].where(F.col("IntakeType").isin(list(INTAKE_TYPES)) & (F.col("tin_DateCreated") >= hs))
               .select("AnimalID", "tin_DateCreated", "IntakeType"))
     visit_rank = asof_backward_bucketed(exam_last, visits, ["AnimalID"], "_exam_ts", "tin_DateCreated",
                                         ["IntakeType"]).where(F.col("tin_DateCreated").isNotNull())
+    visit_rank = visit_rank.groupBy("ExamID").agg(
+        F.max(F.struct("tin_DateCreated", "IntakeType")).alias("_v")).select("ExamID", "_v.*")
     smap = F.broadcast(surgery_map_frame(spark))  # 9 fixed rows
-    s = (et.withColumn("reference_date", F.add_months(month_start("StatusDateTime"), 1))
+    s = (surgeries.withColumn("reference_date", F.add_months(month_start("StatusDateTime"), 1))
          .where(spine.in_spine("reference_date"))
-         .join(smap, "Medication", "inner")
-         .join(visit_rank.select("ExamID", F.col("AnimalID").alias("_va"), "tin_DateCreated", "IntakeType"),
-               "ExamID", "inner"))
+         .join(smap, "Medication", "inner").join(visit_rank, "ExamID", "inner"))
     animals = (m["animals"].where(F.col("has_details") & F.col("Species").isin(list(WAIT_SPECIES)))
                .select("AnimalID", "Name", "Species", "DateOfBirth"))
     s = s.join(animals, "AnimalID", "inner")
     # Highest listed stage (other than the excluded one) seen in [history_start, report date): first date per stage.
     st = (m["statuses"].where(F.col("Stage").isin(list(WAIT_STAGES)) & ne_sql("Stage", EXCLUDED_STAGE)
-                              & (F.col("LastUpdated") >= hs))
+                              & (F.col("LastUpdated") >= hs)
+                              & (F.col("LastUpdated") < as_timestamp(F.lit(spine.last))))
           .groupBy("AnimalID", "Stage").agg(F.min("LastUpdated").alias("StageDate")))
     s = s.join(st, "AnimalID", "inner").where(F.col("StageDate") < as_timestamp("reference_date"))
     s = s.select(
@@ -94,13 +102,10 @@ def wait_buckets(wait: DataFrame, as_of: _dt.date) -> DataFrame:
     """C14: month grid rows (every month start from the first surgery to ``as_of``
     x observed category x observed species, Q9), bucket flags and goals."""
     rows = wait.withColumn("SurgeryDate", F.to_date("SurgeryDate"))
-    dom = rows.agg(F.min("SurgeryDate").alias("_lo"), F.collect_set("Surgerycategory").alias("_cats"),
-                   F.collect_set("Species").alias("_sp"))
+    dom = rows.agg(F.min("SurgeryDate").alias("_lo"))
     first = F.when(F.trunc("_lo", "MM") == F.col("_lo"), F.col("_lo")).otherwise(F.add_months(F.trunc("_lo", "MM"), 1))
-    grid = (dom.select(F.explode(months_between_cols(first, F.lit(as_of))).alias("SurgeryDate"),
-                       "_cats", "_sp")
-            .select("SurgeryDate", F.explode("_cats").alias("Surgerycategory"), "_sp")
-            .select("SurgeryDate", "Surgerycategory", F.explode("_sp").alias("Species")))
+    months = dom.select(F.explode(months_between_cols(first, F.lit(as_of))).alias("SurgeryDate"))
+    grid = product_of([months, rows.select("Surgerycategory"), rows.select("Species")])
     out = rows.unionByName(grid, allowMissingColumns=True)
     w = F.col("SurgeryWait")
     return (out.withColumn("<10", flag(w < 10)).withColumn("10-20", flag((w >= 10) & (w <= 20)))

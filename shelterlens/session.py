@@ -59,32 +59,36 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-_CKPT: dict = {}
+_CKPT: dict[str, str] = {}   # by application id
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set.
 
-    Only a local test session without the setting gets a private scratch folder.
+    Only a local session (one machine) without the setting gets a private scratch
+    folder; on a cluster the executors could not see it, so the setting is required.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    app, configured = spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if _CKPT.get(id(spark)) != configured:
+        if _CKPT.get(app) != configured:
             spark.sparkContext.setCheckpointDir(configured)
-            _CKPT[id(spark)] = configured
+            _CKPT[app] = configured
         return configured
-    if id(spark) in _CKPT:
-        return _CKPT[id(spark)]
+    if app in _CKPT:
+        return _CKPT[app]
+    if not is_local_master(spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="shelterlens-ckpt-")
-    try:
-        spark.conf.set("spark.checkpoint.dir", local)
-    except Exception:  # a core setting: not modifiable at runtime in every deployment
-        pass
     spark.sparkContext.setCheckpointDir(local)
-    _CKPT[id(spark)] = local
+    _CKPT[app] = local
     return local
 
 
+def is_local_master(master: str) -> bool:
+    """Driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def materialize(df):
     """Cut lineage of an intermediate a report reads several times.
 
@@ -93,10 +97,19 @@ def materialize(df):
     on a cluster) and read back: later stages scan the table - with column
     pruning and filter pushdown - instead of re-planning and recomputing the
     subtree, and a lost executor does not force recomputation from the sources.
-    Unlike ``Dataset.checkpoint`` this runs the subtree once.
+    This runs the subtree at once. The application's tables are deleted when it ends.
     """
     import uuid
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/shelterlens-tables/{uuid.uuid4().hex}"
+    root = f"{checkpoint_dir(spark).rstrip('/')}/shelterlens-tables-{spark.sparkContext.applicationId}"
+    path = f"{root}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    if root not in _CLEANED:
+        _CLEANED.add(root)
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(root)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.parquet(path)
+
+
+_CLEANED: set[str] = set()

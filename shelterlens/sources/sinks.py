@@ -32,6 +32,10 @@ def write_numerator_denominator(numerator: DataFrame, denominator: DataFrame, ro
 
 
 def write_by_month_label(df: DataFrame, date_col: str, root: str, fmt: str = "parquet") -> None:
-    """One output folder per report month, labelled like ``Jan`` (``report_month=Jan``)."""
-    labelled = df.withColumn("report_month", F.date_format(F.col(date_col), "MMM"))
-    write_table(labelled, root, fmt, ["report_month"])
+    """One output folder per report month, labelled like ``2024-Jan`` (``report_month=2024-Jan``).
+
+    A run replaces the folders of the months it holds and leaves all others as they are.
+    """
+    labelled = df.withColumn("report_month", F.date_format(F.col(date_col), "yyyy-MMM"))
+    labelled.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic").options(
+        **({"header": True, "escape": '"'} if fmt == "csv" else {})).partitionBy("report_month").save(root)

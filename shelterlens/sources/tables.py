@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -41,15 +41,6 @@ SHELTER_SCHEMAS: dict[str, str] = {
     "Person": "PersonID bigint, NameFirst string, NameLast string",
 }
 
-ANIMALS_CSV_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in (
-    "Animal Code", "Animal Name", "Species", "Owner First Name", "Owner Last Name",
-    "Master Problems", "Last Visit")])
-
-INVOICES_CSV_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in (
-    "Invoice Date", "Department", "Business Name", "Animal Code", "Patient Name", "Species",
-    "Product Name", "Staff Member", "Case Owner")])
-
-
 def read_driver_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
     """S1 for the benchmark layout: one parquet per table under ``sf_dir``."""
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
@@ -61,24 +52,36 @@ def read_parquet_tables(spark: SparkSession, root: str, names: Iterable[str] = S
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str,
-                    lower: int, upper: int, num_partitions: int, properties: dict | None = None) -> DataFrame:
-    """S1 against a live database: parallel range reads on ``partition_column``."""
+                    lower: int, upper: int, num_partitions: int, properties: dict | None = None,
+                    since: tuple[str, str] | None = None) -> DataFrame:
+    """S1 against a live database: parallel range reads on ``partition_column``.
+
+    Zone-less datetimes come as ``timestamp_ntz``, so they do not move with the session
+    time zone. ``since``: (datetime column, ISO time); earlier rows stay in the database.
+    """
     reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
               .option("partitionColumn", partition_column).option("lowerBound", lower)
               .option("upperBound", upper).option("numPartitions", num_partitions)
-              .option("fetchsize", 10000))
+              .option("fetchsize", 10000).option("preferTimestampNTZ", True))
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
-    return reader.load()
-
-
-def read_export_csv(spark: SparkSession, path: str, schema: T.StructType, columns: Iterable[str]) -> DataFrame:
-    """Headered CSV export with quoted multi-line fields, explicit schema, column subset."""
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .option("mode", "PERMISSIVE").schema(schema).csv(path))
-    return df.select(*[df[c] for c in columns])
-
-
-def shelter_frames_from_rows(spark: SparkSession, rows: dict[str, list]) -> dict[str, DataFrame]:
-    """Build shelter tables from Python rows (unit fixtures)."""
-    return {n: spark.createDataFrame(r, SHELTER_SCHEMAS[n]) for n, r in rows.items()}
+    df = reader.load()
+    if since:
+        df = df.where(F.col(since[0]) >= F.lit(since[1]).cast("timestamp_ntz"))
+    return df
+
+
+def read_export_csv(spark: SparkSession, path: str, columns: Iterable[str], multi_line: bool = True) -> DataFrame:
+    """Headered CSV export, all text, columns taken by their header names.
+
+    The file may hold further columns and any column order; a missing one is an error.
+    ``multi_line`` allows line breaks inside quoted fields, at the price of one task per
+    file; turn it off for exports without them to split large files.
+    """
+    df = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+          .option("enforceSchema", False).csv(path))
+    columns = list(columns)
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {missing}")
+    return df.select(*[F.col(f"`{c}`") for c in columns])
