@@ -67,6 +67,21 @@ def delayed_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dl.delayed_outcome(model_from_driver(spark, sf_dir), SPINE)
 
 
+@register("wait_current_year", wait_sql("current_year"))
+def wait_current_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wt.wait_subsets(wait_buckets(spark, sf_dir), AS_OF)["current_year"]
+
+
+@register("wait_trailing", wait_sql("trailing"))
+def wait_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wt.wait_subsets(wait_buckets(spark, sf_dir), AS_OF)["trailing"]
+
+
+@register("dental_merge", surgery_sql(sx.DENTAL, SITE_GROUPS, "merged"))
+def dental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sx.surgery_report(model_from_driver(spark, sf_dir), SPINE, AS_OF, sx.DENTAL, SITE_GROUPS)["merged"]
+
+
 # ---------------------------------------------------------------- kitten mortality
 from shelterlens.plans import kitten as kt  # noqa: E402
 from shelterlens.plans.oracle_more import kitten_sql  # noqa: E402
@@ -115,6 +130,10 @@ def invoice_type_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iv.invoice_share(materialize(iv.invoice_complications(*exports_from_driver(spark, sf_dir))), AS_OF)
 
 
+@register("invoice_numerator", invoice_sql("numerator", AS_OF))
+def invoice_numerator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iv.report_numerator(iv.invoice_complications(*exports_from_driver(spark, sf_dir)))
+
 
 @register("surgery_rank", surgery_sql(sx.GENERAL, SITE_GROUPS, "rank"))
 def surgery_rank(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,9 +43,10 @@ s_rows AS (
   SELECT m.ref, a.AnimalID, a.Name, {_species(cfg)} AS Species, {_sex(cfg)} AS Sex, a.DateOfBirth,
          t.ExamTreatmentID AS UniqueSurgeryID, t.ExamID AS SurgeryID, t.Medication AS SurgeryType,
          {_case_lists('t.Medication', cfg.den_category, 'Other')} AS SurgeryCategory, t.StatusDateTime AS SurgeryTs,
-         t.SurgeonName, t.AssistantName, {_site(site_groups)} AS Site, t.SiteName, l.Location, l.LastUpdated AS LocationDate
+         t.SurgeonName, t.AssistantName, {_site(site_groups)} AS Site, t.SiteName, l.Location, l.LastUpdated AS LocationDate,
+         t.Rank
   FROM months m
-  JOIN treatments t ON t.StatusDateTime BETWEEN m.ref AND {eom('m.ref')}
+  JOIN ranked t ON t.StatusDateTime BETWEEN m.ref AND {eom('m.ref')}
   JOIN animals a ON a.AnimalID = t.AnimalID AND a.has_details
   LEFT JOIN locations l ON l.AnimalID = a.AnimalID
   WHERE t.Medication IN ({q(cfg.den_medications)})),
@@ -67,7 +68,7 @@ den AS (
   SELECT AnimalID, Name, Species, Sex, DateOfBirth, UniqueSurgeryID, SurgeryID, SurgeryType, SurgeryCategory,
          SurgeonName, AssistantName, Site, SiteName, ref AS reference_date, Location, LocationDate, SurgeryDate,
          CASE WHEN num_surg_mapping > 1 THEN 'Multiple' ELSE SurgeryCategory END AS SurgeryCategory_refined,
-         num_surg_mapping
+         num_surg_mapping, Rank
   FROM s4)"""
     if cfg.collapse_multiple:
         out += f""",
@@ -82,7 +83,7 @@ den_multi AS (
   WHERE rn = 1),
 den_final AS (
   SELECT * EXCLUDE (Location, LocationDate, num_surg_mapping) FROM den WHERE SurgeryCategory_refined <> 'Multiple'
-  UNION ALL
+  UNION ALL BY NAME
   SELECT * EXCLUDE (Location, LocationDate, num_surg_mapping, SurgeryTs, SurgeryCategory_refined),
          '{cfg.collapse_multiple}' AS SurgeryCategory_refined FROM den_multi)"""
     else:
@@ -104,9 +105,9 @@ pairs AS (
          {_case_lists('t.Medication', cfg.num_category, 'Other')} AS SurgeryCategory, t.StatusDateTime AS SurgeryTs,
          e.Condition AS SxComp, e.DateTimeDiagnosed AS CompDate, {dd('t.DateCreated', 'e.DateCreated')} AS DaysAfterSurgery,
          t.SurgeonName, t.AssistantName, {_site(site_groups)} AS Site, t.SiteName,
-         e.ExamConditionID AS UniqueCompID, t.ExamTreatmentID AS UniqueSurgeryID, l.Location
+         e.ExamConditionID AS UniqueCompID, t.ExamTreatmentID AS UniqueSurgeryID, l.Location, t.Rank
   FROM months m
-  JOIN treatments t ON t.StatusDateTime BETWEEN m.ref AND {eom('m.ref')}
+  JOIN ranked t ON t.StatusDateTime BETWEEN m.ref AND {eom('m.ref')}
   JOIN animals a ON a.AnimalID = t.AnimalID AND a.has_details
   JOIN exam_conditions e ON e.AnimalID = a.AnimalID AND e.DateTimeDiagnosed BETWEEN m.ref AND {eom('m.ref')}
   LEFT JOIN locations l ON l.AnimalID = a.AnimalID
@@ -129,7 +130,7 @@ num AS (
          DaysAfterSurgery, SurgeonName, AssistantName, Site, SiteName, UniqueCompID, UniqueSurgeryID,
          ref AS reference_date, SurgeryDate,
          CASE WHEN count(*) OVER (PARTITION BY ref, AnimalID, SxComp, SurgeryDate) > 1 THEN 'Multiple'
-              ELSE SurgeryCategory END AS SurgeryCategory_refined
+              ELSE SurgeryCategory END AS SurgeryCategory_refined, Rank
   FROM p4)"""
 
 
@@ -177,7 +178,11 @@ SELECT t.ExamTreatmentID, t.AnimalID, t.Medication, t.StatusDateTime, m.ref AS r
          AS Rank
 FROM months m JOIN treatments t ON t.StatusDateTime BETWEEN m.ref AND {eom('m.ref')}
 WHERE t.Medication IN ({q(cfg.den_medications)})""")
-    ctes = [months_cte()]
+    ctes = [months_cte(), f"""
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY AnimalID, Medication, date_trunc('month', StatusDateTime)
+                               ORDER BY StatusDateTime, ExamTreatmentID) AS Rank
+  FROM treatments WHERE StatusDateTime <= {eom('CAST(StatusDateTime AS DATE)')})""".strip()]
     if part in ("den", "merged", "share"):
         ctes.append(denominator_ctes(cfg, site_groups).strip())
     if part in ("num", "merged", "share"):

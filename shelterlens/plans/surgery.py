@@ -125,7 +125,8 @@ def _with_location(df: DataFrame, m: Model) -> DataFrame:
 
 def _surgery_base(m: Model, spine: MonthSpine, meds: Sequence[str], category: Sequence, cfg: SurgeryConfig,
                   site_groups: Sequence) -> DataFrame:
-    t = _in_month(m["treatments"].where(F.col("Medication").isin(list(meds))), "StatusDateTime", spine)
+    t = with_surgery_rank(_in_month(m["treatments"].where(F.col("Medication").isin(list(meds))),
+                                    "StatusDateTime", spine))
     animals = m["animals"].where(F.col("has_details")).select("AnimalID", "Name", "Species", "Sex", "DateOfBirth")
     t = t.join(animals, "AnimalID", "inner")
     med = F.col("Medication")
@@ -137,7 +138,7 @@ def _surgery_base(m: Model, spine: MonthSpine, meds: Sequence[str], category: Se
         med.alias("SurgeryType"), case_in_lists(med, category, "Other").alias("SurgeryCategory"),
         F.col("StatusDateTime").alias("SurgeryTs"), F.to_date("DateCreated").alias("_sday"),
         "SurgeonName", "AssistantName", site_label(F.col("SiteName"), site_groups).alias("Site"), "SiteName",
-        "reference_date")
+        "reference_date", "Rank")
 
 
 def surgeries(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_groups: Sequence = ()) -> DataFrame:
@@ -201,17 +202,19 @@ def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GEN
     return out.drop("_n", "SurgeryTs")
 
 
-def surgery_rank(m: Model, spine: MonthSpine, meds: Sequence[str] = SURGERY_MEDICATIONS) -> DataFrame:
-    """``ROW_NUMBER`` of each surgery per (animal, medication) by time within a report month.
+def with_surgery_rank(t: DataFrame) -> DataFrame:
+    """Adds ``Rank``, the place of each treatment among those of its (animal, medication, report
+    month) by time, then id - a total order, where the original numbers rows multiplied by the
+    location history in no stated order. The partition is one animal's surgeries of one kind in a month."""
+    w = Window.partitionBy("AnimalID", "Medication", "reference_date").orderBy("StatusDateTime", "ExamTreatmentID")
+    return t.withColumn("Rank", F.row_number().over(w))
 
-    Computed on the treatment rows themselves; the report computes it over rows
-    multiplied by the location history, whose order is undefined (see README).
-    The partition is bounded by one animal's surgeries of one kind in one month.
-    """
+
+def surgery_rank(m: Model, spine: MonthSpine, meds: Sequence[str] = SURGERY_MEDICATIONS) -> DataFrame:
+    """``ROW_NUMBER`` of each surgery per (animal, medication) by time within a report month."""
     t = _in_month(m["treatments"].where(F.col("Medication").isin(list(meds))), "StatusDateTime", spine)
-    w = Window.partitionBy("AnimalID", "Medication", "reference_date").orderBy("StatusDateTime", "ExamTreatmentID")
-    return t.select("ExamTreatmentID", "AnimalID", "Medication", "StatusDateTime", "reference_date",
-                    F.row_number().over(w).alias("Rank"))
+    return with_surgery_rank(t).select("ExamTreatmentID", "AnimalID", "Medication", "StatusDateTime",
+                                       "reference_date", "Rank")
 
 
 def previous_row_gap_filter(df: DataFrame, per_animal: bool = False) -> DataFrame:
