@@ -109,7 +109,7 @@ def materialize(df):
         jvm = spark.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(root)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # no job to infer it, and none needed for no rows
 
 
 _CLEANED: set[str] = set()
