@@ -18,8 +18,9 @@ a prefix; the size boundary is where the estimated cost of both is least (``boun
    pair by block pair, so no task holds an unbounded cluster.
 5. Links to components (``connected``).
 
-Nulls and empty texts have no shingles and link with nothing. Repeated rows are kept;
-rows with the same doc_id are one vertex.
+Defined results: null and empty texts have no shingles and link with nothing; repeated
+rows are all returned, rows with the same doc_id are one vertex; rows without a doc_id
+are left out of the result of the join and always kept by ``keep_one``.
 """
 
 from __future__ import annotations

@@ -193,9 +193,8 @@ def _cut_out(batches):
     import pyarrow as pa
 
     for batch in batches:
-        at = batch.schema.get_field_index("text")
         out = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist()):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("__sd_spans").to_pylist()):
             if spans:
                 raw, kept, pos = text.encode(), [], 0
                 for s in sorted(spans, key=lambda s: s["start"]):
@@ -204,10 +203,9 @@ def _cut_out(batches):
                 kept.append(raw[pos:])
                 text = b"\n".join(k for k in kept if k).decode()
             out.append(text)
-        names = [n for n in batch.schema.names if n != "_spans"]
+        names = [n for n in batch.schema.names if n != "__sd_spans"]
         yield pa.RecordBatch.from_arrays(
             [pa.array(out, batch.schema.field(n).type) if n == "text" else batch.column(n) for n in names], names=names)
-        del at
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -215,14 +213,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     All columns stay; n_chars, where there is one, is counted anew for texts that changed.
     """
-    spans = repeats(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("_spans"))
-    spans = spans.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(spans, docs["doc_id"] == spans["_id"], "left").drop("_id")
+    spans = repeats(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("__sd_spans"))
+    spans = spans.withColumnRenamed("doc_id", "__sd_id")
+    joined = docs.join(spans, docs["doc_id"] == spans["__sd_id"], "left").drop("__sd_id")
     schema = docs.schema
-    out = C.arrow_map(joined.select(*docs.columns, "_spans", F.col("_spans").isNotNull().alias("_cut")),
-                      _cut_out, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", _cut boolean")
-    out = out.filter("not _cut or length(trim(text)) > 0")
+    out = C.arrow_map(joined.select(*docs.columns, "__sd_spans", F.col("__sd_spans").isNotNull().alias("__sd_cut")),
+                      _cut_out, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", __sd_cut boolean")
+    out = out.filter("not __sd_cut or length(trim(text)) > 0")
     if "n_chars" in docs.columns:
         kind = schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("__sd_cut"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
