@@ -111,6 +111,12 @@ def next_event_days(df: DataFrame, by: Sequence[str], ts: str, name: str,
     event of the key's next month, from one row per (key, month) and a ``lead``
     over those rows (a partition of at most one row per month).
     """
+    d = next_event_time(df, by, ts, "_next_event", tie_break)
+    return d.withColumn(name, day_diff(F.col(ts), F.col("_next_event"))).drop("_next_event")
+
+
+def next_event_time(df: DataFrame, by: Sequence[str], ts: str, name: str, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Time of the next event of the same key (see ``next_event_days``)."""
     from shelterlens.functions.dates import month_start
     keys = list(by)
     order = [F.col(ts)] + [F.col(c) for c in tie_break]
@@ -122,7 +128,43 @@ def next_event_days(df: DataFrame, by: Sequence[str], ts: str, name: str,
     firsts = firsts.select(*keys, "_nb", F.lead("_first").over(w_m).alias("_next_month_first"))
     d = d.join(firsts, keys + ["_nb"], "left")
     nxt = F.coalesce(F.col("_next"), F.col("_next_month_first"))
-    return d.withColumn(name, day_diff(F.col(ts), nxt)).drop("_nb", "_next", "_next_month_first")
+    return d.withColumn(name, nxt).drop("_nb", "_next", "_next_month_first")
+
+
+def running_total_before(df: DataFrame, by: Sequence[str], ts: str, value: str, name: str,
+                         tie_break: Sequence[str] = ()) -> DataFrame:
+    """Sum of ``value`` over the earlier events of the same key (ordered by time, then ``tie_break``).
+
+    Two levels like ``next_event_days``: inside (key, month), and over one row per month of a key.
+    """
+    from shelterlens.functions.dates import month_start
+    keys = list(by)
+    d = df.withColumn("_nb", month_start(ts))
+    w_in = (Window.partitionBy(*keys, "_nb").orderBy(F.col(ts), *[F.col(c) for c in tie_break])
+            .rowsBetween(Window.unboundedPreceding, -1))
+    w_m = Window.partitionBy(*keys).orderBy("_nb").rowsBetween(Window.unboundedPreceding, -1)
+    months = (d.groupBy(*keys, "_nb").agg(F.sum(value).alias("_s"))
+              .select(*keys, "_nb", F.coalesce(F.sum("_s").over(w_m), F.lit(0)).alias("_before")))
+    d = d.withColumn("_in", F.coalesce(F.sum(value).over(w_in), F.lit(0))).join(months, [*keys, "_nb"], "inner")
+    return d.withColumn(name, F.col("_before") + F.col("_in")).drop("_nb", "_in", "_before")
+
+
+def latest_before_months(left: DataFrame, right: DataFrame, by: Sequence[str], month: str,
+                         right_cols: Sequence[str], name: str) -> DataFrame:
+    """Struct of the right row that is last in ``right_cols`` order (its time first) before 00:00 of
+    each left row's ``month`` (a month start): one maximum per (key, month), then a running maximum
+    over one row per month of a key."""
+    from shelterlens.functions.dates import month_start
+    keys = list(by)
+    packed = F.struct(*[F.col(c) for c in right_cols])
+    per_month = (right.withColumn("_m", month_start(right_cols[0])).groupBy(*keys, "_m").agg(F.max(packed).alias("_best"))
+                 .withColumn("_l", F.lit(0)))
+    asked = left.select(*keys, F.col(month).alias("_m")).distinct().select(
+        *keys, "_m", F.lit(None).cast(per_month.schema["_best"].dataType).alias("_best"), F.lit(1).alias("_l"))
+    w = Window.partitionBy(*keys).orderBy(F.col("_m"), F.col("_l").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    found = (asked.unionByName(per_month).withColumn(name, F.max("_best").over(w)).where(F.col("_l") == 1)
+             .select(*keys, F.col("_m").alias(month), name))
+    return left.join(found, [*keys, month], "left")
 
 
 def asof_backward_bucketed(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,

@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import as_timestamp, day_diff, first_month_start_on_or_after, month_start
 from shelterlens.functions.predicates import isin_or_null
-from shelterlens.operators.spine import MonthSpine, explode_months
-from shelterlens.operators.temporal import asof_at_month_starts, interval_contains_bucketed, next_event_days
+from shelterlens.operators.spine import MonthSpine, _add_months, explode_months
+from shelterlens.operators.temporal import (asof_at_month_starts, asof_backward_bucketed, interval_contains_bucketed,
+                                            latest_before_months, next_event_days, next_event_time,
+                                            running_total_before)
+from shelterlens.session import materialize
 from shelterlens.sources.model import Model
 
 # Fixed values of the stay report.
@@ -42,6 +45,11 @@ def _type_label(intake_date: Column, report: Column) -> Column:
         .otherwise(F.lit("Already in Shelter"))
 
 
+def _month_before(spine: MonthSpine, ts: str) -> Column:
+    """Time in the month before some report month, as literal bounds for the scan (null: no)."""
+    return ((F.col(ts) >= as_timestamp(F.lit(_add_months(spine.first, -1)))) & (F.col(ts) < as_timestamp(F.lit(spine.last))))
+
+
 def _latest_before(m: Model, left: DataFrame, status: str | None, strict: bool) -> DataFrame:
     """Latest status time (optionally of one status value) at/before each report date."""
     st = m["statuses"]
@@ -56,7 +64,35 @@ def _past_intake(m: Model, left: DataFrame) -> DataFrame:
     return asof_at_month_starts(left, v, ["AnimalID"], "reference_date", "tin_DateCreated", "_pi", strict=True)
 
 
-def _foster_days(m: Model, stays: DataFrame, open_spell: bool) -> DataFrame:
+def _open_foster_days(m: Model, windows: DataFrame, spine: MonthSpine) -> DataFrame:
+    """Foster days of one open window (intakedate, reference_date) per (animal, month).
+
+    Prefix sums over an animal's location rows: foster days gathered up to the report date,
+    less those gathered up to the intake. A row counts to the next one or to the report date,
+    whichever is first; a row at or before the intake does not count, its days after the
+    intake included. Two look-ups per window, however long it is.
+    """
+    rows = (m["locations"].where(F.col("LastUpdated") < as_timestamp(F.lit(spine.last)))
+            .select("AnimalID", F.col("LastUpdated").alias("_lts"), "Location")
+            .join(windows.select("AnimalID").distinct(), "AnimalID", "left_semi").distinct())
+    rows = next_event_time(rows, ["AnimalID"], "_lts", "_nts", tie_break=["Location"])
+    rows = rows.withColumn("_foster", F.col("Location") == FOSTER)
+    rows = rows.withColumn("_days", F.when(F.col("_foster"), F.coalesce(day_diff("_lts", "_nts"), F.lit(0))).otherwise(0))
+    rows = running_total_before(rows, ["AnimalID"], "_lts", "_days", "_sum", tie_break=["Location"])
+    rows = materialize(rows.select("AnimalID", "_lts", "Location", "_sum", "_foster", "_nts"))
+    cols = ["_lts", "Location", "_sum", "_foster", "_nts"]
+    report = as_timestamp("reference_date")
+    w = latest_before_months(windows, rows, ["AnimalID"], "reference_date", cols, "_r")
+    starts = windows.select("AnimalID", "intakedate").distinct().withColumn("_its", as_timestamp("intakedate"))
+    starts = asof_backward_bucketed(starts, rows, ["AnimalID"], "_its", "_lts", cols[1:], strict=False)
+    w = w.join(starts.drop("_its"), ["AnimalID", "intakedate"], "left")
+    upto = F.col("_r._sum") + F.when(F.col("_r._foster"), day_diff(F.col("_r._lts"), report)).otherwise(0)
+    before = F.col("_sum") + F.when(F.col("_foster"), day_diff(F.col("_lts"), F.least(F.col("_nts"), report))).otherwise(0)
+    return w.select("AnimalID", "reference_date",
+                    (F.coalesce(upto, F.lit(0)) - F.coalesce(before, F.lit(0))).alias("_foster"))
+
+
+def _foster_days(m: Model, stays: DataFrame) -> DataFrame:
     """Sum of day counts from each Fosters row to the next location row, over the
     distinct location rows inside any stay window of the (animal, month)."""
     loc = m["locations"].select("AnimalID", F.col("LastUpdated").alias("_lts"), "Location")
@@ -65,11 +101,8 @@ def _foster_days(m: Model, stays: DataFrame, open_spell: bool) -> DataFrame:
     inside = (interval_contains_bucketed(loc, windows, ["AnimalID"], "_lts", "_i", "_o")
               .select("AnimalID", "reference_date", "_lts", "Location").distinct())
     inside = next_event_days(inside, ["AnimalID", "reference_date"], "_lts", "_dn", tie_break=["Location"])
-    days = F.col("_dn")
-    if open_spell:
-        days = F.coalesce(days, day_diff("_lts", as_timestamp("reference_date")))
-    rows = inside.withColumn("_d", days).where((F.col("Location") == FOSTER) & F.col("_d").isNotNull())
-    return rows.groupBy("AnimalID", "reference_date").agg(F.sum("_d").alias("_foster"))
+    rows = inside.where((F.col("Location") == FOSTER) & F.col("_dn").isNotNull())
+    return rows.groupBy("AnimalID", "reference_date").agg(F.sum("_dn").alias("_foster"))
 
 
 def los_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
@@ -77,7 +110,7 @@ def los_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
     animals = m["animals"].select("AnimalID", "Name", "Species")
     vo = m["visits_out"]
     # stays that started and ended in the previous month
-    flow = (vo.where(isin_or_null("IntakeType", INTAKE_TYPES) & F.col("tin_DateCreated").isNotNull())
+    flow = (vo.where(isin_or_null("IntakeType", INTAKE_TYPES) & _month_before(spine, "tin_DateCreated"))
             .withColumn("reference_date", F.add_months(month_start("tin_DateCreated"), 1))
             .where(spine.in_spine("reference_date"))
             .withColumn("intakedate", F.to_date("tin_DateCreated"))
@@ -87,6 +120,7 @@ def los_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
                     F.coalesce("OutComeType", F.lit(NO_OUTCOME)).alias("Outcome")))
     # outcomes of the previous month for animals with an inactive status in the last five years
     inv = (vo.where(F.col("OutComeType").isin(list(OUTCOME_TYPES)) & F.col("tOut_DateCreated").isNotNull())
+           .where(_month_before(spine, "tOut_DateCreated"))
            .withColumn("outcomedate", F.to_date("tOut_DateCreated"))
            .withColumn("reference_date", F.add_months(month_start("outcomedate"), 1))
            .where(spine.in_spine("reference_date"))
@@ -104,7 +138,7 @@ def los_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
              .agg(F.min("outcomedate").alias("outcomedate")))
     stays = stays.withColumn("_o", F.col("outcomedate"))
     k = stays.groupBy("AnimalID", "reference_date").agg(F.count(F.lit(1)).alias("_k"))
-    foster = (_foster_days(m, stays, open_spell=False).join(k, ["AnimalID", "reference_date"], "inner")
+    foster = (_foster_days(m, stays).join(k, ["AnimalID", "reference_date"], "inner")
               .select("AnimalID", "reference_date", (F.col("_foster") * F.col("_k")).alias("_foster")))
     return _finish(stays, foster)
 
@@ -113,7 +147,7 @@ def los_not_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
     """Animals still in care at each report date (open foster spell counted to it)."""
     animals = m["animals"].where(F.col("Species").isin(list(SPECIES))).select("AnimalID", "Name", "Species")
     v = m["visits_out"]
-    flow = (v.where(isin_or_null("IntakeType", INTAKE_TYPES) & F.col("tin_DateCreated").isNotNull())
+    flow = (v.where(isin_or_null("IntakeType", INTAKE_TYPES) & _month_before(spine, "tin_DateCreated"))
             .withColumn("reference_date", F.add_months(month_start("tin_DateCreated"), 1))
             .where(spine.in_spine("reference_date"))
             .where(F.col("tOut_DateCreated").isNull()
@@ -135,13 +169,12 @@ def los_not_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
     grid = _past_intake(m, grid.drop("_st")).where(F.col("_pi").isNotNull())
     inv = grid.select("AnimalID", "reference_date", F.to_date("_pi").alias("intakedate"))
     stays = (inv.unionByName(flow).join(animals, "AnimalID", "inner")
-             .withColumn("outcomedate", F.col("reference_date"))
-             .withColumn("_o", F.col("reference_date")))
+             .withColumn("outcomedate", F.col("reference_date")))
     # every stay window of an (animal, month) ends at the report date, so their union is
-    # one window from the earliest intake: explode that instead of each stay row
-    windows = (stays.groupBy("AnimalID", "reference_date").agg(F.min("intakedate").alias("intakedate"))
-               .withColumn("_o", F.col("reference_date")))
-    foster = _foster_days(m, windows, open_spell=True)
+    # one window from the earliest intake
+    stays = materialize(stays)
+    windows = stays.groupBy("AnimalID", "reference_date").agg(F.min("intakedate").alias("intakedate"))
+    foster = _open_foster_days(m, windows, spine)
     return _finish(stays, foster)
 
 
