@@ -35,6 +35,7 @@ from shelterlens.session import materialize
 BLOCK_SHINGLES = 1_500_000   # shingles of documents that are combined before they are shuffled
 UNIT_ENTRIES = 600_000       # shingles that one verification task holds
 SUBSET = 2                   # size of the enumerated subsets
+LIST_COST = 5.0              # cost of a posting in an inverted list, in enumerated subsets
 SUB_BUCKETS = 4              # hash ranges per shuffle partition, handled one after another
 
 
@@ -169,13 +170,15 @@ def shared_shingles(docs: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- 3 keys
-def boundary(sizes: list[tuple[int, int]], list_length: float) -> int:
+def boundary(sizes: list[tuple[int, int]], list_cost: float = LIST_COST) -> int:
     """Size up to which enumerating subsets costs no more than scanning lists.
 
     ``sizes``: (set size, number of sets). A light set of size n emits C(q, 2) subsets of
     its prefix of q = n - need(n) + 2 shingles; a listed one emits q - 1 postings, each of
-    which meets ``list_length`` others. Sets down to 75 % of the boundary are listed too,
-    because a larger partner finds them there.
+    which costs ``list_cost`` subsets: a list joins its members to one of them, however
+    long it is, but one shared shingle lets more strangers pass to verification than a
+    shared pair does. Sets down to 75 % of the boundary are listed too, because a larger
+    partner finds them there.
     """
     best, at = None, 0
     for b in [0, *sorted({n for n, _ in sizes})]:
@@ -185,7 +188,7 @@ def boundary(sizes: list[tuple[int, int]], list_length: float) -> int:
             if n <= b:
                 cost += c * q * (q - 1) / 2
             if n > 0.75 * b:
-                cost += c * (q - 1) * (1 + list_length)
+                cost += c * (q - 1) * list_cost
         if best is None or cost < best:
             best, at = cost, b
     return at
@@ -313,12 +316,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ranked = post.join(df, "item").groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct("df", "item"))).alias("ranked"))
     sets = (reps.select("doc_id", "n").join(ranked, "doc_id").filter("4 * size(ranked) >= 3 * n")
-            .select("doc_id", "n", F.col("ranked.item").alias("items"),
-                    F.aggregate("ranked", F.lit(0).cast("long"), lambda s, r: s + r["df"]).alias("meets")))
+            .select("doc_id", "n", F.col("ranked.item").alias("items")))
     sets = materialize(sets)
-    mean = sets.agg(F.sum("meets") / F.sum(F.size("items"))).first()[0] or 1.0
     sizes = [(r[0], r[1]) for r in sets.filter("n <= 512").groupBy("n").count().collect()]  # at most 512 rows
-    light = boundary(sizes, float(mean))
+    light = boundary(sizes)
     keys = join_keys(sets, light)
     hubs = keys.groupBy("key").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).filter("b < top")
     edges = keys.join(hubs.select("key", "b"), "key").select(F.col("doc_id").alias("a"), "b").distinct()

@@ -110,6 +110,8 @@ def test_links_by_lists_equal_all_pairs():
 
 def test_boundary_follows_the_cost():
     small = [(n, 1000) for n in range(3, 9)]
-    assert nj.boundary(small, list_length=50) >= 8        # crowded lists: enumerate
-    assert nj.boundary([(400, 1000)], list_length=2) == 0  # large sets: lists
-    assert nj.boundary([], 1.0) == 0
+    assert nj.boundary(small) >= 8                                    # a few pairs each: enumerate
+    assert nj.boundary([(400, 1000)]) == 0                            # large sets: lists
+    assert nj.boundary([*small, (400, 1000)]) == 8                    # both: small ones only
+    assert nj.boundary([(40, 9)], list_cost=1) == 0 < nj.boundary([(40, 9)], list_cost=20)
+    assert nj.boundary([]) == 0
