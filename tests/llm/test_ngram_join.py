@@ -113,5 +113,6 @@ def test_boundary_follows_the_cost():
     assert nj.boundary(small) >= 8                                    # a few pairs each: enumerate
     assert nj.boundary([(400, 1000)]) == 0                            # large sets: lists
     assert nj.boundary([*small, (400, 1000)]) == 8                    # both: small ones only
-    assert nj.boundary([(40, 9)], list_cost=1) == 0 < nj.boundary([(40, 9)], list_cost=20)
+    even = [(n, 100) for n in range(3, 600)]
+    assert 8 < nj.boundary(even) < nj.boundary(even, list_cost=50)
     assert nj.boundary([]) == 0
