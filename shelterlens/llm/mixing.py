@@ -17,8 +17,8 @@ small sources and languages; explicit ones can be given per dimension.
 Documents have no topic column, so without one ``topic_of`` derives a coarse one from
 the form of the text.
 
-Defined results: a null in a dimension is the level ""; null texts have no tokens, their
-cell takes part with probability 1; repeated rows are sampled alike (same doc_id); a
+Defined results: a null in a dimension is the level ""; a null text has no tokens and is
+sampled like its cell, a cell without any tokens is kept; repeated rows are sampled alike (same doc_id); a
 null doc_id is hashed as the empty string.
 """
 
