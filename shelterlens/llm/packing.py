@@ -82,7 +82,8 @@ class WordIds:
             new = words
         rest = []
         for w in new:
-            m = _PLAIN.fullmatch(text := w.decode())
+            text = w.decode()
+            m = None if "<|" in text else _PLAIN.fullmatch(text)    # its special tokens look like <|this|>
             if m is None:
                 rest.append((w, text))
             else:
