@@ -13,6 +13,7 @@ from shelterlens.llm import (
     lm_score,
     mixing,
     ngram_join,
+    oracles,
     packing,
     quality_rules,
     substring_dedup,
@@ -77,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
