@@ -77,6 +77,7 @@ DENTAL = SurgeryConfig(
     group_species=False, infer_sex=False, drop_medication=DENTAL_REPAIR, collapse_multiple="Dental",
     gap_filter=True)
 SURGERY_GAP_DAYS = 1
+ANIMAL_RANGE = 1 << 16   # ids of one range of the gap filter: at most so many rows in one window
 COMPLICATION_GAP_HOURS = 72
 
 SURGERY_TIEBREAK = ("SurgeryID", "SurgeonName", "AssistantName", "Site", "SiteName")
@@ -226,10 +227,10 @@ def previous_row_gap_filter(df: DataFrame, per_animal: bool = False) -> DataFram
     different animals are compared and the first row of a month is always
     dropped; that is the default. ``per_animal`` compares within an animal only.
 
-    Two levels, since the animal leads the order: ``lag`` inside (month, animal)
-    partitions, and for an animal's first row the last row of the previous animal
-    of the month, from one row per (month, animal) - the month-wide window only
-    sees one row per animal.
+    Three levels, since the animal leads the order: ``lag`` inside (month, animal)
+    partitions; for an animal's first row the last row of the previous animal of its
+    range of ids, from one row per (month, animal); and for the first animal of a range
+    the last row of the range before, from one row per (month, range).
     """
     order = ["SurgeryType", "SxComp", "SurgeryTs", "CompDate"]
     d = (df.withColumn("_sday", F.to_date("SurgeryTs"))
@@ -240,8 +241,12 @@ def previous_row_gap_filter(df: DataFrame, per_animal: bool = False) -> DataFram
         last = (d.groupBy("reference_date", "AnimalID")
                 .agg(F.max(F.struct(*[F.col(c) for c in order], F.col("_sday").alias("s"), F.col("_cus").alias("c")))
                      .alias("_last")))
-        w_m = Window.partitionBy("reference_date").orderBy("AnimalID")
-        prev = last.select("reference_date", "AnimalID", F.lag("_last").over(w_m).alias("_prev"))
+        last = last.withColumn("_range", F.floor(F.col("AnimalID") / ANIMAL_RANGE))
+        w_r = Window.partitionBy("reference_date", "_range").orderBy("AnimalID")
+        ends = (last.groupBy("reference_date", "_range").agg(F.max_by("_last", "AnimalID").alias("_end"))
+                .withColumn("_end", F.lag("_end").over(Window.partitionBy("reference_date").orderBy("_range"))))
+        prev = (last.withColumn("_lag", F.lag("_last").over(w_r)).join(ends, ["reference_date", "_range"], "inner")
+                .select("reference_date", "AnimalID", F.coalesce("_lag", "_end").alias("_prev")))
         d = (d.join(prev, ["reference_date", "AnimalID"], "left")
              .withColumn("_first_of_animal", F.col("_p_sday").isNull() & F.col("_p_cus").isNull())
              .withColumn("_p_sday", F.when(F.col("_first_of_animal"), F.col("_prev.s")).otherwise(F.col("_p_sday")))

@@ -1,6 +1,8 @@
 """Shelter-shaped fixtures for the delayed, surgery and stay reports (hand-computed)."""
 import datetime as dt
 
+import pytest
+
 from shelterlens.operators.spine import MonthSpine
 from shelterlens.plans import delayed as dl
 from shelterlens.plans import stay as sy
@@ -102,7 +104,9 @@ def test_kitten_cohort_rules(spark):
                    (2, "3-6 wks", "Died", D(2024, 3, 12)), (5, "3-6 wks", "Euthanised", D(2024, 3, 20))]
 
 
-def test_gap_filter_month_wide_and_per_animal(spark):
+@pytest.mark.parametrize("width", [1, 2, 1 << 16])
+def test_gap_filter_month_wide_and_per_animal(spark, monkeypatch, width):
+    monkeypatch.setattr(sx, "ANIMAL_RANGE", width)   # ranges of ids: none, or every animal of its own
     rows = [  # AnimalID, SurgeryType, SxComp, SurgeryTs, CompDate, reference_date
         (1, "Orchidectomy", "Surgical complication", T(2024, 3, 1), T(2024, 3, 2), D(2024, 3, 1)),
         (1, "Ovariohysterectomy", "Surgical complication", T(2024, 3, 1), T(2024, 3, 4), D(2024, 3, 1)),
