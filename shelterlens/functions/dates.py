@@ -73,10 +73,6 @@ def month_label(d, fmt: str = "MMM") -> Column:
     return F.date_format(_col(d), fmt)
 
 
-def shift_years(d, n: int) -> Column:
-    return F.add_months(_col(d), 12 * n)
-
-
 def first_month_start_on_or_after(ts) -> Column:
     """Smallest month start (as DATE) that is >= ``ts``."""
     c = _col(ts)
@@ -104,9 +100,3 @@ def ntz_micros(ts) -> Column:
     clock_us = (F.hour(c).cast("long") * F.lit(3_600_000_000) + F.minute(c).cast("long") * F.lit(60_000_000)
                 + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long"))
     return day_us + clock_us
-
-
-def python_week_diff(a: _dt.date, b: _dt.date) -> int:
-    """Reference implementation of ``week_diff`` for tests."""
-    origin = _dt.date(1970, 1, 4)
-    return ((b - origin).days // 7) - ((a - origin).days // 7)

@@ -48,6 +48,7 @@ class Disease:
     intake_types: tuple = INTAKE_TYPES
     species: tuple = SPECIES
     stages: tuple = STOCK_STAGES
+    closed_month: bool = False   # repair of Q3: the last day of the month counts as a whole
 
 
 # The four disease configurations.
@@ -80,10 +81,11 @@ def _listed_exams(m: Model, d: Disease, spine: MonthSpine) -> DataFrame:
     """Exams with a listed condition inside a report month, closed at 00:00 of the last day (Q3)."""
     e = m["exam_conditions"].where(F.col("Condition").isin(list(d.conditions)))
     e = e.where((F.col("DateCreated") >= as_timestamp(F.lit(spine.first)))
-                & (F.col("DateCreated") <= month_end_midnight(F.lit(spine.last))))
+                & (F.col("DateCreated") < as_timestamp(F.lit(_add_months(spine.last, 1)))))
     e = e.withColumn("reference_date", month_start("DateCreated")).where(spine.in_spine("reference_date"))
-    return (e.where(F.col("DateCreated") <= month_end_midnight("reference_date"))
-            .select("AnimalID", "Condition", "DateCreated", "reference_date"))
+    if not d.closed_month:
+        e = e.where(F.col("DateCreated") <= month_end_midnight("reference_date"))
+    return e.select("AnimalID", "Condition", "DateCreated", "reference_date")
 
 
 def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame:
@@ -103,7 +105,7 @@ def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFr
     first_day = spine.first - _dt.timedelta(days=hi)
     intakes = m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types))
                                 & (F.col("tin_DateCreated") >= as_timestamp(F.lit(first_day)))
-                                & (F.col("tin_DateCreated") <= month_end_midnight(F.lit(spine.last))))
+                                & (F.col("tin_DateCreated") < as_timestamp(F.lit(_add_months(spine.last, 1)))))
     if hi - lo < 31 or lo < 1:
         return _numerator_rows(_short_window_matches(exams, intakes, lo, hi), animals)
     groups = exams.groupBy("AnimalID", "Condition", "reference_date").agg(
@@ -212,9 +214,10 @@ def flow_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame:
         F.col("OperationRecordID").alias("InPrimaryKey"), F.col("StatusDateTime").alias("tin_DateCreated"))
     v = (m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types)))
          .where((F.col("tin_DateCreated") >= as_timestamp(F.lit(spine.first)))
-                & (F.col("tin_DateCreated") < month_end_midnight(F.lit(spine.last))))
-         .withColumn("reference_date", month_start("tin_DateCreated"))
-         .where(spine.in_spine("reference_date") & (F.col("tin_DateCreated") < month_end_midnight("reference_date"))))
+                & (F.col("tin_DateCreated") < as_timestamp(F.lit(_add_months(spine.last, 1)))))
+         .withColumn("reference_date", month_start("tin_DateCreated")).where(spine.in_spine("reference_date")))
+    if not disease.closed_month:
+        v = v.where(F.col("tin_DateCreated") < month_end_midnight("reference_date"))
     intakes = (v.join(completed, ["InPrimaryKey", "tin_DateCreated"], "left_semi")
                .join(animals.select("AnimalID"), "AnimalID", "left_semi"))
     # Early-onset exclusion: any listed exam in the month within lo..hi days after any listed intake.
@@ -223,7 +226,7 @@ def flow_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame:
     first_day = spine.first - _dt.timedelta(days=e_hi)
     all_visits = (m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types))
                                     & (F.col("tin_DateCreated") >= as_timestamp(F.lit(first_day)))
-                                    & (F.col("tin_DateCreated") <= month_end_midnight(F.lit(spine.last))))
+                                    & (F.col("tin_DateCreated") < as_timestamp(F.lit(_add_months(spine.last, 1)))))
                   .join(animals.select("AnimalID"), "AnimalID", "left_semi"))
     excluded = exists_prior_within_days(exams, all_visits, ["AnimalID"], "DateCreated", "tin_DateCreated",
                                         e_lo, e_hi).select("AnimalID", "reference_date").distinct()

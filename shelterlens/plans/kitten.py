@@ -128,15 +128,19 @@ def kitten_cohort(m: Model, spine: MonthSpine, now: _dt.date, cohort_start: _dt.
     return one.drop("_is_alive").withColumn("IntakeAge", F.col("IntakeAge").cast("bigint"))
 
 
-def fill_kitten_grid(cohort: DataFrame) -> DataFrame:
+def fill_kitten_grid(cohort: DataFrame, only_missing: bool = False) -> DataFrame:
     """G2 as the report does it (Q9): every month start between the first and last
-    ReferenceDate x every band x every outcome is added with no animal."""
+    ReferenceDate x every band x every outcome is added with no animal;
+    ``only_missing`` adds only the cells whose month has no row."""
     dom = cohort.agg(F.min("ReferenceDate").alias("_lo"), F.max("ReferenceDate").alias("_hi"))
     first = F.when(F.trunc("_lo", "MM") == F.col("_lo"), F.col("_lo")).otherwise(F.add_months(F.trunc("_lo", "MM"), 1))
     grid = (dom.select(F.explode(months_between_cols(first, F.col("_hi"))).alias("ReferenceDate"))
             .select("ReferenceDate", F.explode(F.array(*[F.lit(b[0]) for b in AGE_BANDS])).alias("Agegroup"))
             .select("ReferenceDate", "Agegroup", F.explode(F.array(*[F.lit(o) for o in FILL_OUTCOMES]))
                     .alias("Outcometype")))
+    if only_missing:
+        held = cohort.select(month_start("ReferenceDate").alias("ReferenceDate"), "Agegroup", "Outcometype").distinct()
+        grid = grid.join(held, ["ReferenceDate", "Agegroup", "Outcometype"], "left_anti")
     return cohort.unionByName(grid, allowMissingColumns=True)
 
 

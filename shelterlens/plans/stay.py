@@ -39,9 +39,12 @@ OUT_COLUMNS = ["animalid", "name", "species", "intakedate", "outcomedate", "days
                "days_in_shelter", "OutcomeType", "Reportdate", "Type"]
 
 
-def _type_label(intake_date: Column, report: Column) -> Column:
-    """New intake when the intake month number equals the previous month's (year ignored, Q14)."""
-    return F.when(F.month(intake_date) == F.month(F.add_months(report, -1)), F.lit("New Intake")) \
+def _type_label(intake_date: Column, report: Column, same_year: bool = False) -> Column:
+    """New intake when the intake month number equals the previous month's (year ignored, Q14;
+    ``same_year`` repairs that)."""
+    last = F.add_months(report, -1)
+    new = (month_start(intake_date) == month_start(last)) if same_year else (F.month(intake_date) == F.month(last))
+    return F.when(new, F.lit("New Intake")) \
         .otherwise(F.lit("Already in Shelter"))
 
 
@@ -105,7 +108,7 @@ def _foster_days(m: Model, stays: DataFrame) -> DataFrame:
     return rows.groupBy("AnimalID", "reference_date").agg(F.sum("_dn").alias("_foster"))
 
 
-def los_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
+def los_outcomed(m: Model, spine: MonthSpine, same_year: bool = False) -> DataFrame:
     """C11: animals that left in the month before each report month."""
     animals = m["animals"].select("AnimalID", "Name", "Species")
     vo = m["visits_out"]
@@ -140,10 +143,10 @@ def los_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
     k = stays.groupBy("AnimalID", "reference_date").agg(F.count(F.lit(1)).alias("_k"))
     foster = (_foster_days(m, stays).join(k, ["AnimalID", "reference_date"], "inner")
               .select("AnimalID", "reference_date", (F.col("_foster") * F.col("_k")).alias("_foster")))
-    return _finish(stays, foster)
+    return _finish(stays, foster, same_year)
 
 
-def los_not_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
+def los_not_outcomed(m: Model, spine: MonthSpine, same_year: bool = False) -> DataFrame:
     """Animals still in care at each report date (open foster spell counted to it)."""
     animals = m["animals"].where(F.col("Species").isin(list(SPECIES))).select("AnimalID", "Name", "Species")
     v = m["visits_out"]
@@ -175,10 +178,10 @@ def los_not_outcomed(m: Model, spine: MonthSpine) -> DataFrame:
     stays = materialize(stays)
     windows = stays.groupBy("AnimalID", "reference_date").agg(F.min("intakedate").alias("intakedate"))
     foster = _open_foster_days(m, windows, spine)
-    return _finish(stays, foster)
+    return _finish(stays, foster, same_year)
 
 
-def _finish(stays: DataFrame, foster: DataFrame) -> DataFrame:
+def _finish(stays: DataFrame, foster: DataFrame, same_year: bool) -> DataFrame:
     out = stays.join(foster, ["AnimalID", "reference_date"], "left")
     fd = F.coalesce(F.col("_foster"), F.lit(0)).cast("bigint")
     total = F.datediff("outcomedate", "intakedate").cast("bigint")
@@ -187,4 +190,4 @@ def _finish(stays: DataFrame, foster: DataFrame) -> DataFrame:
         "intakedate", "outcomedate", fd.alias("days_in_foster"), total.alias("total_los"),
         (total - fd).alias("days_in_shelter"), F.lit("Outcomed").alias("OutcomeType"),
         F.col("reference_date").alias("Reportdate"),
-        _type_label(F.col("intakedate"), F.col("reference_date")).alias("Type")).distinct()
+        _type_label(F.col("intakedate"), F.col("reference_date"), same_year).alias("Type")).distinct()

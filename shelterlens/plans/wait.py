@@ -98,14 +98,18 @@ def surgery_wait(m: Model, spine: MonthSpine, spark: SparkSession,
             .withColumn("Sx_goal", goal("Surgerycategory")))
 
 
-def wait_buckets(wait: DataFrame, as_of: _dt.date) -> DataFrame:
+def wait_buckets(wait: DataFrame, as_of: _dt.date, only_missing: bool = False) -> DataFrame:
     """C14: month grid rows (every month start from the first surgery to ``as_of``
-    x observed category x observed species, Q9), bucket flags and goals."""
+    x observed category x observed species, Q9; ``only_missing``: only of months without such a
+    surgery), bucket flags and goals."""
     rows = wait.withColumn("SurgeryDate", F.to_date("SurgeryDate"))
     dom = rows.agg(F.min("SurgeryDate").alias("_lo"))
     first = F.when(F.trunc("_lo", "MM") == F.col("_lo"), F.col("_lo")).otherwise(F.add_months(F.trunc("_lo", "MM"), 1))
     months = dom.select(F.explode(months_between_cols(first, F.lit(as_of))).alias("SurgeryDate"))
     grid = product_of([months, rows.select("Surgerycategory"), rows.select("Species")])
+    if only_missing:
+        held = rows.select(month_start("SurgeryDate").alias("SurgeryDate"), "Surgerycategory", "Species").distinct()
+        grid = grid.join(held, ["SurgeryDate", "Surgerycategory", "Species"], "left_anti")
     out = rows.unionByName(grid, allowMissingColumns=True)
     w = F.col("SurgeryWait")
     return (out.withColumn("<10", flag(w < 10)).withColumn("10-20", flag((w >= 10) & (w <= 20)))

@@ -4,7 +4,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shelterlens.functions.dates import day_diff, python_week_diff, week_diff
+from shelterlens.functions.dates import day_diff, week_diff
+from week_reference import python_week_diff
 from shelterlens.operators.spine import MonthSpine, report_months
 
 dates = st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2100, 12, 31))

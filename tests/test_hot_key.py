@@ -3,7 +3,7 @@ brute-force listing of every (visit, exam) pair."""
 import datetime as dt
 import random
 
-from shelterlens.functions.dates import python_week_diff
+from week_reference import python_week_diff
 from shelterlens.operators.spine import MonthSpine
 from shelterlens.plans import incidence as inc
 from shelterlens.sources.model import resolve
