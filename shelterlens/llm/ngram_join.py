@@ -341,4 +341,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     A null doc_id cannot be grouped: such rows stay.
     """
     gone = jaccard_components(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(materialize(gone), "doc_id", "left_anti")   # ids only: stored before any text moves
