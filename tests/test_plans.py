@@ -1,15 +1,15 @@
 """Plan checks: no cartesian products or nested-loop joins, scans pruned and filtered."""
 import pytest
 
-import __spark_entry__ as entry
+from shelterlens.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_no_cartesian_or_nested_loop(spark, name):
-    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
