@@ -72,10 +72,8 @@ def targets(cells: DataFrame, given: dict[str, dict[str, float]] | None = None)
                 weight = F.when(F.col(f"_{d}") == level, F.lit(float(w))).otherwise(weight)
         else:
             weight = F.pow(F.col("m").cast("double"), F.lit(EXPONENTS[d]))
-        margin = margin.select(f"_{d}", weight.alias("w"))
-        total = margin.agg(F.sum("w").alias("all_w"))   # one row
-        margin = margin.crossJoin(F.broadcast(total)).select(
-            f"_{d}", F.coalesce(F.try_divide("w", "all_w"), F.lit(0.0)).alias(f"t_{d}"))
+        margin = margin.select(f"_{d}", weight.alias("w"))   # a row per level
+        margin = margin.selectExpr(f"_{d}", f"coalesce(try_divide(w, sum(w) over ()), 0D) as t_{d}")
         cells = cells.join(margin, f"_{d}")
     return cells
 
