@@ -101,3 +101,8 @@ def test_no_python_in_native_plans(spark):
     for q in (queries.op6_chat_formatting, queries.op7_quality_rules):
         plan = q(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_filter_does_not_copy_the_measures(spark):
+    kept = qr.keep_good(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert len(kept._jdf.queryExecution().optimizedPlan().toString()) < 50_000
