@@ -1,15 +1,17 @@
 """Main text of web pages by site template removal.
 
-Every page is parsed into blocks; every element subtree has a hash of its tag, its text
-and its children. Spark counts on how many pages of a host each subtree occurs; what
-recurs on many of them is template and is deleted. Inside the article itself only what
-stands on nearly all pages of a large host counts as template, so that a paragraph
-which several articles share stays.
-
-What a page says about itself goes first: navigation, header, footer, aside, form,
-script and the like, and elements whose class, id or role names an advert, a notice, a
-sidebar, a menu or reader comments - that also covers hosts with too few pages to count.
-If a page marks its article (``article``, else ``main``), only that is looked at.
+1. Every page is parsed whole; every element subtree has a hash of its tag, its text and
+   its children. Spark counts on how many pages of a host each subtree occurs; what
+   recurs on many of them is template and is deleted on every page. Inside an article
+   only what stands on nearly all pages of a large host counts as template, so that a
+   paragraph which several articles share stays.
+2. Of what the counts leave, the page's own marks go: navigation, header, footer, aside,
+   form and the like, and elements whose class, id or role names an advert, a notice, a
+   sidebar, a menu or reader comments - that also covers hosts with too few pages to count.
+3. If an ``article`` (else ``main``) holds a fair part of the text still left, only that
+   stays. Where it holds less, its elements are teasers or the like and all the rest stays.
+
+Scripts, styles, form controls and the like are no text at any step.
 
 Defined results: null or empty html gives an empty text; broken and cut-off markup is
 read as browsers do in the main (implied ends, unclosed elements); repeated rows are
@@ -31,14 +33,16 @@ from shelterlens.session import materialize
 
 OUTSIDE_SHARE, OUTSIDE_PAGES = 0.1, 3    # outside the article: template from this share and number of pages on
 INSIDE_SHARE, INSIDE_PAGES = 0.9, 20     # inside the article
+HINT_SHARE = 1 / 3                       # an article is followed if it holds this share of the text left
 SALTS = 16
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title iframe noembed noframes xmp".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s "
              "samp small span strike strong sub sup time tt u var wbr label".split())
-REMOVED = set("head script style nav footer aside form noscript template iframe object embed svg math canvas button "
-              "select option textarea input dialog menu audio video map title noembed noframes xmp".split())
+NO_TEXT = set("head script style noscript template iframe object embed svg math canvas button select option textarea "
+              "input audio video map title noembed noframes xmp".split())
+MARKED = set("nav footer aside form dialog menu".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer "
                "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dd dt".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -61,15 +65,15 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "drop", "parts", "inside")
+    __slots__ = ("tag", "drop", "mark", "parts", "inside", "hash")
 
-    def __init__(self, tag, drop=False, inside=False):
-        self.tag, self.drop, self.inside, self.parts = tag, drop, inside, []
+    def __init__(self, tag, drop=False, mark=False, inside=False):
+        self.tag, self.drop, self.mark, self.inside, self.parts, self.hash = tag, drop, mark, inside, [], None
 
 
-def _dropped(tag: str, attrs: str, in_article: bool) -> bool:
+def _marked(tag: str, attrs: str, in_article: bool) -> bool:
     """Whether the page itself marks this element as something else than the article."""
-    if tag in REMOVED or (tag == "header" and not in_article):
+    if tag in MARKED or (tag == "header" and not in_article):
         return True
     if not attrs or "=" not in attrs and "hidden" not in attrs:
         return False
@@ -127,7 +131,7 @@ def tree(text: str) -> Node:
                 write(" ") if tag != "wbr" else None
                 if tag == "hr":
                     top.parts.append(Node("hr"))
-            elif tag in INLINE and _dropped(tag, attrs, inside):
+            elif tag in INLINE and _marked(tag, attrs, inside):
                 end = re.compile(rf"</{tag}\s*/?>", re.I).search(text, at)   # an inline advert or hidden span
                 at = end.end() if end else at
             continue
@@ -145,7 +149,8 @@ def tree(text: str) -> Node:
             if stack[k].tag in ("ul", "ol", "dl", "table", "select"):
                 break
         top = stack[-1]
-        node = Node(tag, top.drop or _dropped(tag, attrs, top.inside), top.inside or tag in ("article", "main"))
+        inside = top.inside or tag in ("article", "main")
+        node = Node(tag, top.drop or tag in NO_TEXT, _marked(tag, attrs, top.inside), inside)
         if not node.drop:
             top.parts.append(node)
         if not attrs.rstrip().endswith("/") or tag not in ("svg", "path"):
@@ -153,70 +158,102 @@ def tree(text: str) -> Node:
     return root
 
 
-def roots(top: Node) -> list[Node]:
-    """The page's articles, else its main parts, else the whole page."""
-    for name in ("article", "main"):
-        found, todo = [], [top]
-        while todo:
-            n = todo.pop()
-            if n.tag == name:
-                found.append(n)
-            else:
-                todo += [p for p in reversed(n.parts) if isinstance(p, Node)]
-        if found:
-            return found
-    return [top]
-
-
-def hashed(top: Node) -> tuple[list[tuple[str, tuple[int, ...]]], dict[int, bool]]:
-    """Blocks in page order, each with the hashes of the subtrees it lies in, and all hashes
-    with whether they lie inside an article."""
-    blocks, found = [], {}
-
-    def close(run, at):
-        text = _SPACE.sub(" ", "".join(run)).strip()
-        run.clear()
-        if text:
-            blocks.append([text, at])
-        return text
+def hashed(top: Node) -> dict[int, bool]:
+    """Hashes of all subtrees with text, each with whether it lies inside an article on this page."""
+    found = {}
 
     def walk(node):
-        begin, run, inner = len(blocks), [], []
+        run, inner = [], []
         for p in node.parts:
             if isinstance(p, Node):
-                if t := close(run, []):
+                if t := _clean(run):
+                    inner.append(t)
+                if t := walk(p):
                     inner.append(t)
-                inner.append(walk(p))
             else:
                 run.append(p)
-        if t := close(run, []):
+        if t := _clean(run):
             inner.append(t)
-        if len(blocks) == begin:
+        if not inner:
             return ""
         raw = hashlib.blake2b(f"{node.tag}\n{'\n'.join(inner)}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
-        h = int.from_bytes(raw, "little", signed=True)
+        node.hash = int.from_bytes(raw, "little", signed=True)
         if node.tag not in ("#", "html", "body", "article", "main"):
-            found[h] = found.get(h, True) and node.inside
-            for b in blocks[begin:]:
-                b[1].append(h)
+            found[node.hash] = found.get(node.hash, True) and node.inside
         return raw.hex()
 
     walk(top)
-    return [(t, tuple(a)) for t, a in blocks], found
+    return found
 
 
-def page_blocks(text: str):
-    """Blocks of the page's own choice of content, with subtree hashes."""
+def _clean(run: list[str]) -> str:
+    text = _SPACE.sub(" ", "".join(run)).strip()
+    run.clear()
+    return text
+
+
+def _blocks(top: Node, kept) -> list[str]:
+    """Text blocks of the kept elements in page order."""
+    out, run = [], []
+
+    def close():
+        if t := _clean(run):
+            out.append(t)
+
+    def walk(node):
+        for p in node.parts:
+            if isinstance(p, Node):
+                close()
+                if kept(p):
+                    walk(p)
+            else:
+                run.append(p)
+        close()
+
+    walk(top)
+    return out
+
+
+def _outermost(top: Node, name: str, kept) -> list[Node]:
+    found, todo = [], [top]
+    while todo:
+        n = todo.pop()
+        if n.tag == name:
+            found.append(n)
+        else:
+            todo += [p for p in reversed(n.parts) if isinstance(p, Node) and kept(p)]
+    return found
+
+
+def chosen(top: Node, outside=frozenset(), inside=frozenset()) -> list[str]:
+    """Blocks of the page's main text: without the host's recurring subtrees (``outside``
+    articles, ``inside`` them), then without marked elements, then the articles alone if
+    they hold a fair part of what is left."""
+    def kept(n):
+        return not n.mark and n.hash not in inside and (n.inside or n.hash not in outside)
+
+    left = _blocks(top, kept)
+    size = sum(map(len, left))
+    for name in ("article", "main"):
+        own = [b for r in _outermost(top, name, kept) for b in _blocks(r, kept)]
+        if own and sum(map(len, own)) >= HINT_SHARE * size:
+            return own
+    return left
+
+
+def page_tree(text: str) -> tuple[Node, dict[int, bool]]:
+    """Tree and subtree hashes of a page."""
     import sys
 
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
-    blocks, found = [], {}
-    for r in roots(tree(text)):
-        b, f = hashed(r)
-        blocks += b
-        for h, inside in f.items():
-            found[h] = found.get(h, True) and inside
-    return blocks, found
+    top = tree(text)
+    return top, hashed(top)
+
+
+def page_blocks(text: str):
+    """Blocks that the page alone yields, without counts of its host, and its subtree hashes."""
+    top, found = page_tree(text)
+    return [(t, ()) for t in chosen(top)], found
 
 
 def host_of(url: str | None) -> str:
@@ -234,7 +271,7 @@ def _count(batches):
         for url, text in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             host = host_of(url)
             seen[host, None, False] += 1
-            for h, inside in page_blocks(text or "")[1].items():
+            for h, inside in page_tree(text or "")[1].items():
                 seen[host, h, inside] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()),
@@ -247,17 +284,16 @@ def _extract(batches):
 
     for batch in batches:
         out = []
-        for text, gone in zip(batch.column("html").to_pylist(), batch.column("gone").to_pylist()):
-            drop = set(gone or ())
-            blocks, _ = page_blocks(text or "")
-            out.append("\n".join(t for t, a in blocks if drop.isdisjoint(a)))
+        for text, outside, inside in zip(*(batch.column(c).to_pylist() for c in ("html", "outside", "inside"))):
+            top, _ = page_tree(text or "")
+            out.append("\n".join(chosen(top, set(outside or ()), set(inside or ()))))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()),
              pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, gone): hashes of the template subtrees of each host.
+    """(host, outside, inside): hashes of the template subtrees of each host.
 
     A host's list is bounded: a subtree needs a tenth of its pages, so there are at most
     ten times as many as a page has subtrees (more only for hosts of under 30 pages).
@@ -269,7 +305,9 @@ def templates(pages: DataFrame) -> DataFrame:
     often = sums.filter("subtree is not null").join(total, "host").filter(
         (~F.col("inside") & (F.col("pages") >= OUTSIDE_SHARE * F.col("total")))
         | (F.col("inside") & (F.col("pages") >= INSIDE_PAGES) & (F.col("pages") >= INSIDE_SHARE * F.col("total"))))
-    return materialize(often.groupBy("host").agg(F.collect_set("subtree").alias("gone")))
+    return materialize(often.groupBy("host").agg(
+        F.collect_set(F.when(~F.col("inside"), F.col("subtree"))).alias("outside"),
+        F.collect_set(F.when(F.col("inside"), F.col("subtree"))).alias("inside")))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -280,5 +318,5 @@ def main_text(pages: DataFrame) -> DataFrame:
                                     r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/?#:]*)", 1))
     salted = pages.withColumn("host", host).withColumn(
         "salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    met = salted.join(found, ["host", "salt"], "left").select("page_id", "url", "html", "gone")
+    met = salted.join(found, ["host", "salt"], "left").select("page_id", "url", "html", "outside", "inside")
     return C.arrow_map(met, _extract, "page_id long, url string, text string, n_chars long")

@@ -114,6 +114,18 @@ def test_site_templates_go_and_articles_stay(spark):
     assert got[101].text == "text 1"
 
 
+def test_counts_decide_before_the_article_mark(spark):
+    teaser = "<article><p>teaser of another story</p></article>"
+    pages = [(i, f"http://cards.example/{i}", f"<div><p>Motto</p></div><div><p>{f'long story {i} ' * 20}</p></div>{teaser}")
+             for i in range(25)]
+    pages += [(100 + i, f"http://own.example/{i}", f"<div><p>Motto</p></div><article><p>{f'text {i} ' * 9}</p></article>"
+               f"<div><p>by author {i}</p></div>") for i in range(5)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in hx.main_text(df).collect()}
+    assert got[3] == ("long story 3 " * 20).strip()       # the recurring motto and teaser are gone, the story is not
+    assert got[103] == ("text 3 " * 9).strip()            # left open by the counts: the article mark decides
+
+
 def test_odd_pages_extract(spark, odd_pages):
     got = hx.main_text(odd_pages).collect()
     assert len(got) == odd_pages.count()
