@@ -6,8 +6,11 @@
    only what stands on nearly all pages of a large host counts as template, so that a
    paragraph which several articles share stays.
 2. Of what the counts leave, the page's own marks go: navigation, header, footer, aside,
-   form and the like, and elements whose class, id or role names an advert, a notice, a
-   sidebar, a menu or reader comments - that also covers hosts with too few pages to count.
+   form and the like, and elements with a class or id that as a whole names an advert, a
+   notice, a sidebar, a menu or reader comments (``ad``, ``cookie-notice``, ``comment-12``,
+   not ``no-sidebar``) - that also covers hosts with too few pages to count. A name alone
+   never takes the article or most of the page's text, and on a host with enough pages it
+   must stand on several of them (``Judge``).
 3. If an ``article`` (else ``main``) holds a fair part of the text still left, only that
    stays. Where it holds less, its elements are teasers or the like and all the rest stays.
 
@@ -33,6 +36,8 @@ from shelterlens.session import materialize
 
 OUTSIDE_SHARE, OUTSIDE_PAGES = 0.1, 3    # outside the article: template from this share and number of pages on
 INSIDE_SHARE, INSIDE_PAGES = 0.9, 20     # inside the article
+SLOT_PAGES, JUDGED_PAGES = 3, 10         # pages that confirm a name, on hosts of this many pages and more
+LONG_TEXT = 1000                         # characters that no name but comments takes from beside a much shorter article
 HINT_SHARE = 1 / 3                       # an article is followed if it holds this share of the text left
 SALTS = 16
 
@@ -54,6 +59,7 @@ NAMED = set("ad ads adv advert adverts advertisement advertisements adsense bann
             "breadcrumbs comment comments disqus respond replies share sharing social related recommended newsletter "
             "subscribe subscription popup modal overlay footer masthead pagination pager toolbar login signup "
             "skip".split())
+COMMENTS = set("comment comments disqus respond replies".split())
 ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar "
             "note".split())
 
@@ -64,30 +70,45 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
+OUTSIDE, INSIDE, SLOT = 0, 1, 2     # what a hash stands for
+
+
 class Node:
-    __slots__ = ("tag", "drop", "mark", "parts", "inside", "hash")
+    __slots__ = ("tag", "drop", "mark", "parts", "inside", "hash", "size", "art")
 
-    def __init__(self, tag, drop=False, mark=False, inside=False):
+    def __init__(self, tag, drop=False, mark="", inside=False):
         self.tag, self.drop, self.mark, self.inside, self.parts, self.hash = tag, drop, mark, inside, [], None
+        self.size = self.art = 0
+
 
+def _name(value: str) -> str:
+    """The first class or id made of nothing but NAMED words (and numbers), "" if there is none."""
+    for one in value.split():
+        words = [w for w in _SPLIT.split(one) if w and not w.isdigit()]
+        if words and NAMED.issuperset(words):
+            return "-".join(words)
+    return ""
 
-def _marked(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether the page itself marks this element as something else than the article."""
+
+def _marked(tag: str, attrs: str, in_article: bool) -> str:
+    """How the page itself marks this element as something else than the article: "#" by
+    its tag, role or style, "tag.name" by a class or id, "" not at all."""
     if tag in MARKED or (tag == "header" and not in_article):
-        return True
+        return "#"
     if not attrs or "=" not in attrs and "hidden" not in attrs:
-        return False
+        return ""
+    named = ""
     for name, a, b, c, bare in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
         if bare or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and tag not in ("html", "body") and not NAMED.isdisjoint(_SPLIT.split(value)):
-            return True
+            return "#"
+        if name in ("class", "id") and tag not in ("html", "body") and not named and (own := _name(value)):
+            named = f"{tag}.{own}"
         if name == "role" and value in ROLES:
-            return True
+            return "#"
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return "#"
+    return named
 
 
 def tree(text: str) -> Node:
@@ -131,8 +152,16 @@ def tree(text: str) -> Node:
                 write(" ") if tag != "wbr" else None
                 if tag == "hr":
                     top.parts.append(Node("hr"))
-            elif tag in INLINE and _marked(tag, attrs, inside):
+            elif tag in INLINE and (mark := _marked(tag, attrs, inside)):
                 end = re.compile(rf"</{tag}\s*/?>", re.I).search(text, at)   # an inline advert or hidden span
+                if end and mark != "#":
+                    held = text[at:end.start()]
+                    if any((m[2] or m[5] or "br").lower() not in INLINE for m in _TAG.finditer(held)):
+                        continue        # it goes round whole elements: no inline advert
+                    node = Node(tag, mark=mark, inside=inside)
+                    node.parts.append(html_lib.unescape(_TAG.sub(" ", held)))
+                    if not top.drop:
+                        top.parts.append(node)
                 at = end.end() if end else at
             continue
         if tag in CLOSES_P:
@@ -158,14 +187,23 @@ def tree(text: str) -> Node:
     return root
 
 
-def hashed(top: Node) -> dict[int, bool]:
-    """Hashes of all subtrees with text, each with whether it lies inside an article on this page."""
+def slot(mark: str) -> int:
+    return int.from_bytes(hashlib.blake2b(f"slot\n{mark}".encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def hashed(top: Node) -> dict[int, int]:
+    """Hashes of all subtrees with text, each with whether it lies inside an article on this
+    page (OUTSIDE, INSIDE), and hashes of the names that mark elements (SLOT)."""
     found = {}
 
     def walk(node):
         run, inner = [], []
         for p in node.parts:
             if isinstance(p, Node):
+                if p.mark not in ("", "#"):
+                    found[slot(p.mark)] = SLOT
+                if p.tag in INLINE:
+                    continue
                 if t := _clean(run):
                     inner.append(t)
                 if t := walk(p):
@@ -179,7 +217,7 @@ def hashed(top: Node) -> dict[int, bool]:
         raw = hashlib.blake2b(f"{node.tag}\n{'\n'.join(inner)}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
         node.hash = int.from_bytes(raw, "little", signed=True)
         if node.tag not in ("#", "html", "body", "article", "main"):
-            found[node.hash] = found.get(node.hash, True) and node.inside
+            found[node.hash] = min(found.get(node.hash, INSIDE), INSIDE if node.inside else OUTSIDE)
         return raw.hex()
 
     walk(top)
@@ -202,7 +240,9 @@ def _blocks(top: Node, kept) -> list[str]:
 
     def walk(node):
         for p in node.parts:
-            if isinstance(p, Node):
+            if isinstance(p, Node) and p.tag in INLINE:
+                run.extend(p.parts if kept(p) else ())
+            elif isinstance(p, Node):
                 close()
                 if kept(p):
                     walk(p)
@@ -225,12 +265,53 @@ def _outermost(top: Node, name: str, kept) -> list[Node]:
     return found
 
 
-def chosen(top: Node, outside=frozenset(), inside=frozenset()) -> list[str]:
-    """Blocks of the page's main text: without the host's recurring subtrees (``outside``
-    articles, ``inside`` them), then without marked elements, then the articles alone if
-    they hold a fair part of what is left."""
+class Judge:
+    """What a host's counts say: hashes of recurring subtrees outside and inside articles,
+    names confirmed by standing on several pages, whether the host has pages enough to tell."""
+
+    def __init__(self, outside=(), inside=(), slots=(), judged=False):
+        self.outside, self.inside, self.slots, self.judged = set(outside or ()), set(inside or ()), set(slots or ()), judged
+
+    def open(self, n: Node) -> bool:
+        """Neither recurring nor marked by tag, role or style."""
+        return n.mark != "#" and n.hash not in self.inside and (n.inside or n.hash not in self.outside)
+
+    def weigh(self, n: Node, name: str, free: bool = True, within: bool = False) -> int:
+        """Set size and art of all open nodes: their text, and what of it ``name`` elements
+        hold. Returns how much of the latter lies in no named element."""
+        n.size, n.art, plain = 0, 0, 0
+        free, within = free and not n.mark, within or n.tag == name
+        for p in n.parts:
+            if not isinstance(p, Node):
+                n.size += len(p.strip())
+                plain += len(p.strip()) if free and within else 0
+            elif self.open(p):
+                plain += self.weigh(p, name, free, within)
+                n.size, n.art = n.size + p.size, n.art + p.art
+        if n.tag == name:
+            n.art = n.size
+        return plain
+
+    def follows(self, n: Node, top: Node, plain: int) -> bool:
+        """Whether a named element goes. ``plain``: article text outside of named elements."""
+        if self.judged and slot(n.mark) not in self.slots:
+            return False
+        if 2 * n.size <= top.size and 2 * n.art <= top.art:
+            return True
+        # the name is not alone if the page marks an article elsewhere: short text goes, and comments of any length
+        return plain > 0 and (n.size < LONG_TEXT or HINT_SHARE * n.size <= plain
+                              or not COMMENTS.isdisjoint(n.mark.split(".")[1].split("-")))
+
+
+def chosen(top: Node, judge: Judge = Judge()) -> list[str]:
+    """Blocks of the page's main text: without the host's recurring subtrees, then without
+    marked elements, then the articles alone if they hold a fair part of what is left."""
+    plain = judge.weigh(top, "article")
+    if not top.art:
+        plain = judge.weigh(top, "main")
+
     def kept(n):
-        return not n.mark and n.hash not in inside and (n.inside or n.hash not in outside)
+        return judge.open(n) and not (n.mark and judge.follows(n, top, plain))
 
     left = _blocks(top, kept)
     size = sum(map(len, left))
@@ -241,7 +322,7 @@ def chosen(top: Node, outside=frozenset(), inside=frozenset()) -> list[str]:
     return left
 
 
-def page_tree(text: str) -> tuple[Node, dict[int, bool]]:
+def page_tree(text: str) -> tuple[Node, dict[int, int]]:
     """Tree and subtree hashes of a page."""
     import sys
 
@@ -263,20 +344,23 @@ def host_of(url: str | None) -> str:
 
 # ---------------------------------------------------------------- Spark
 def _count(batches):
-    """(host, subtree, inside, pages) of each batch; subtree null counts the host's pages."""
+    """(host, subtree, kind, pages) of each batch; subtree null counts the host's pages."""
     import pyarrow as pa
 
     for batch in batches:
         seen = Counter()
         for url, text in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             host = host_of(url)
-            seen[host, None, False] += 1
-            for h, inside in page_tree(text or "")[1].items():
-                seen[host, h, inside] += 1
+            seen[host, None, OUTSIDE] += 1
+            for h, kind in page_tree(text or "")[1].items():
+                seen[host, h, kind] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()),
-             pa.array([k[2] for k in seen], pa.bool_()), pa.array(list(seen.values()), pa.int64())],
-            names=["host", "subtree", "inside", "pages"])
+             pa.array([k[2] for k in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())],
+            names=["host", "subtree", "kind", "pages"])
+
+
+JUDGE = ("outside", "inside", "slots", "judged")
 
 
 def _extract(batches):
@@ -284,30 +368,34 @@ def _extract(batches):
 
     for batch in batches:
         out = []
-        for text, outside, inside in zip(*(batch.column(c).to_pylist() for c in ("html", "outside", "inside"))):
+        for text, *counts in zip(*(batch.column(c).to_pylist() for c in ("html", *JUDGE))):
             top, _ = page_tree(text or "")
-            out.append("\n".join(chosen(top, set(outside or ()), set(inside or ()))))
+            out.append("\n".join(chosen(top, Judge(*counts))))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()),
              pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, outside, inside): hashes of the template subtrees of each host.
+    """(host, outside, inside, slots, judged): what each host's counts say (``Judge``).
 
     A host's list is bounded: a subtree needs a tenth of its pages, so there are at most
-    ten times as many as a page has subtrees (more only for hosts of under 30 pages).
+    ten times as many as a page has subtrees (more only for hosts of under 30 pages), and
+    names come from a fixed vocabulary.
     """
-    counted = C.arrow_map(pages.select("url", "html"), _count, "host string, subtree long, inside boolean, pages long")
-    sums = counted.groupBy("host", "subtree", "inside").agg(F.sum("pages").alias("pages"))
-    sums = materialize(sums.filter(F.col("subtree").isNull() | (F.col("pages") >= OUTSIDE_PAGES)))
+    counted = C.arrow_map(pages.select("url", "html"), _count, "host string, subtree long, kind int, pages long")
+    sums = counted.groupBy("host", "subtree", "kind").agg(F.sum("pages").alias("pages"))
+    sums = materialize(sums.filter(F.col("subtree").isNull() | (F.col("pages") >= min(OUTSIDE_PAGES, SLOT_PAGES))))
     total = sums.filter("subtree is null").select("host", F.col("pages").alias("total"))
-    often = sums.filter("subtree is not null").join(total, "host").filter(
-        (~F.col("inside") & (F.col("pages") >= OUTSIDE_SHARE * F.col("total")))
-        | (F.col("inside") & (F.col("pages") >= INSIDE_PAGES) & (F.col("pages") >= INSIDE_SHARE * F.col("total"))))
-    return materialize(often.groupBy("host").agg(
-        F.collect_set(F.when(~F.col("inside"), F.col("subtree"))).alias("outside"),
-        F.collect_set(F.when(F.col("inside"), F.col("subtree"))).alias("inside")))
+    kind, seen = F.col("kind"), F.col("pages")
+    often = sums.join(total, "host").filter(
+        F.col("subtree").isNull()
+        | ((kind == OUTSIDE) & (seen >= OUTSIDE_PAGES) & (seen >= OUTSIDE_SHARE * F.col("total")))
+        | ((kind == INSIDE) & (seen >= INSIDE_PAGES) & (seen >= INSIDE_SHARE * F.col("total")))
+        | ((kind == SLOT) & (seen >= SLOT_PAGES)))
+    lists = [F.collect_set(F.when(kind == k, F.col("subtree"))).alias(name)
+             for k, name in ((OUTSIDE, "outside"), (INSIDE, "inside"), (SLOT, "slots"))]
+    return materialize(often.groupBy("host").agg(*lists, (F.max("total") >= JUDGED_PAGES).alias("judged")))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -318,5 +406,5 @@ def main_text(pages: DataFrame) -> DataFrame:
                                     r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/?#:]*)", 1))
     salted = pages.withColumn("host", host).withColumn(
         "salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    met = salted.join(found, ["host", "salt"], "left").select("page_id", "url", "html", "outside", "inside")
+    met = salted.join(found, ["host", "salt"], "left").select("page_id", "url", "html", *JUDGE)
     return C.arrow_map(met, _extract, "page_id long, url string, text string, n_chars long")

@@ -126,6 +126,33 @@ def test_counts_decide_before_the_article_mark(spark):
     assert got[103] == ("text 3 " * 9).strip()            # left open by the counts: the article mark decides
 
 
+@pytest.mark.parametrize("raw,want", [
+    ('<div class="content no-sidebar"><p>all the text</p></div>', "all the text"),
+    ('<nav>n</nav><article class="post comments-open"><p>text</p></article>', "text"),
+    ('<div id="with-footer"><p>text</p></div>', "text"),
+    ('<p>one</p><p class="social-policy">two</p>', "one\ntwo"),
+    ('<div class="sidebar"><article><p>the article</p></article></div><p>x</p>', "the article"),
+    ('<article class="notice"><p>the only article</p></article><div>rest</div>', "the only article"),
+    ('<p>a</p><div class="comments"><p>most of the text of the page</p></div>', "a\nmost of the text of the page"),
+    ('<article><p>a</p></article><div class="comments"><p>longer than the article</p></div>', "a"),
+    ('<article><p>a</p></article><div class="ad">longer than the article</div>', "a"),
+    (f'<article><p>teaser</p></article><div class="notice">{"x" * 1000}</div>', f'teaser\n{"x" * 1000}'),
+    ('<p>some words <span class="ad">buy</span> and <b class="notice">go on</b> here</p>', "some words and here"),
+    ('<p><span class="notice">most of it</span> x</p>', "most of it x"),
+    ('<div class="sidebar ad-2">s</div><p>text</p>', "text"),
+])
+def test_names_are_whole_and_weighed(raw, want):
+    assert text_of(raw) == want
+
+
+def test_counts_confirm_names(spark):
+    pages = [(i, f"http://n.example/{i}", f"<div class='ad'>buy {i}</div><p>{f'text {i} ' * 9}</p>"
+              + ("<div class='notice'>only here</div>" if i == 7 else "")) for i in range(12)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in hx.main_text(df).collect()}
+    assert got[7] == ("text 7 " * 9).strip() + "\nonly here" and got[3] == ("text 3 " * 9).strip()
+
+
 def test_odd_pages_extract(spark, odd_pages):
     got = hx.main_text(odd_pages).collect()
     assert len(got) == odd_pages.count()
