@@ -1,10 +1,11 @@
 """Main text of web pages by site template removal.
 
 1. Every page is parsed whole; every element subtree has a hash of its tag, its text and
-   its children. Spark counts on how many pages of a host each subtree occurs; what
-   recurs on many of them is template and is deleted on every page. Inside an article
-   only what stands on nearly all pages of a large host counts as template, so that a
-   paragraph which several articles share stays.
+   its children. Spark counts on how many pages of a host each subtree occurs, copies of
+   one page (pages that alone yield the same text) counting once; what recurs on many of
+   them is template and is deleted on every page. Inside an article only what stands on
+   half of a larger host's pages, or nearly all of a smaller one's, counts as template, so
+   that a paragraph which several articles share stays.
 2. Of what the counts leave, the page's own marks go: navigation, header, footer, aside,
    form and the like, and elements with a class or id that as a whole names an advert, a
    notice, a sidebar, a menu or reader comments (``ad``, ``cookie-notice``, ``comment-12``,
@@ -18,7 +19,7 @@ Scripts, styles, form controls and the like are no text at any step.
 
 Defined results: null or empty html gives an empty text; broken and cut-off markup is
 read as browsers do in the main (implied ends, unclosed elements); repeated rows are
-extracted alike but counted as one page each; a null url is a host of its own, "".
+extracted alike and counted as one page; a null url is a host of its own, "".
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ from pyspark.sql import functions as F
 from shelterlens.llm import common as C
 from shelterlens.session import materialize
 
-OUTSIDE_SHARE, OUTSIDE_PAGES = 0.1, 3    # outside the article: template from this share and number of pages on
-INSIDE_SHARE, INSIDE_PAGES = 0.9, 20     # inside the article
+OUTSIDE_SHARE, OUTSIDE_PAGES = 0.1, 3    # outside the article: template from this share and number of distinct pages on
+INSIDE_SHARE, INSIDE_PAGES = 0.9, 3      # inside the article
+LARGE_SHARE, LARGE_PAGES = 0.5, 20       # inside the article, on hosts of this many distinct pages and more
 SLOT_PAGES, JUDGED_PAGES = 3, 10         # pages that confirm a name, on hosts of this many pages and more
 LONG_TEXT = 1000                         # characters that no name but comments takes from beside a much shorter article
 HINT_SHARE = 1 / 3                       # an article is followed if it holds this share of the text left
@@ -337,28 +339,72 @@ def page_blocks(text: str):
     return [(t, ()) for t in chosen(top)], found
 
 
+def content_of(top: Node) -> int:
+    """Hash of the text that the page alone yields: copies under other addresses, with other
+    navigation or adverts, have the same."""
+    text = "\n".join(chosen(top))
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little",
+                          signed=True)
+
+
 def host_of(url: str | None) -> str:
     m = re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/?#:]*)", url or "")
     return m[1].lower() if m else ""
 
 
 # ---------------------------------------------------------------- Spark
-def _count(batches):
-    """(host, subtree, kind, pages) of each batch; subtree null counts the host's pages."""
+def _contents(batches):
+    """(host, content, subtrees, kinds): hashes on the pages of one content, copies of a batch as one."""
     import pyarrow as pa
 
     for batch in batches:
-        seen = Counter()
+        seen = {}
         for url, text in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-            host = host_of(url)
-            seen[host, None, OUTSIDE] += 1
-            for h, kind in page_tree(text or "")[1].items():
-                seen[host, h, kind] += 1
+            top, found = page_tree(text or "")
+            _merge(seen.setdefault((host_of(url), content_of(top)), {}), found.items())
         yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()),
+             pa.array([list(v) for v in seen.values()], pa.list_(pa.int64())),
+             pa.array([bytes(v.values()) for v in seen.values()], pa.binary())],
+            names=["host", "content", "subtrees", "kinds"])
+
+
+def _merge(held: dict[int, int], found) -> None:
+    for h, kind in found:
+        held[h] = min(held.get(h, kind), kind)
+
+
+def _count(batches):
+    """(host, subtree, kind, pages) of contents that arrive in order; subtree null counts the contents."""
+    import pyarrow as pa
+
+    last, held = None, {}
+
+    def add(seen):
+        if last is not None:
+            seen[last[0], None, OUTSIDE] += 1
+            for h, kind in held.items():
+                seen[last[0], h, kind] += 1
+
+    def rows(seen):
+        return pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()),
              pa.array([k[2] for k in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())],
             names=["host", "subtree", "kind", "pages"])
 
+    for batch in batches:
+        seen = Counter()
+        for host, content, subtrees, kinds in zip(*(batch.column(c).to_pylist()
+                                                    for c in ("host", "content", "subtrees", "kinds"))):
+            if (host, content) != last:
+                add(seen)
+                last, held = (host, content), {}
+            _merge(held, zip(subtrees, kinds))
+        yield rows(seen)
+    seen = Counter()
+    add(seen)
+    yield rows(seen)
+
 
 JUDGE = ("outside", "inside", "slots", "judged")
 
@@ -379,19 +425,24 @@ def _extract(batches):
 def templates(pages: DataFrame) -> DataFrame:
     """(host, outside, inside, slots, judged): what each host's counts say (``Judge``).
 
-    A host's list is bounded: a subtree needs a tenth of its pages, so there are at most
+    A host's list is bounded: a subtree needs a tenth of its distinct pages, so there are at most
     ten times as many as a page has subtrees (more only for hosts of under 30 pages), and
     names come from a fixed vocabulary.
     """
-    counted = C.arrow_map(pages.select("url", "html"), _count, "host string, subtree long, kind int, pages long")
+    contents = C.arrow_map(pages.select("url", "html"), _contents,
+                           "host string, content long, subtrees array<bigint>, kinds binary")
+    contents = contents.repartition("host", "content").sortWithinPartitions("host", "content")
+    counted = C.arrow_map(contents, _count, "host string, subtree long, kind int, pages long")
     sums = counted.groupBy("host", "subtree", "kind").agg(F.sum("pages").alias("pages"))
-    sums = materialize(sums.filter(F.col("subtree").isNull() | (F.col("pages") >= min(OUTSIDE_PAGES, SLOT_PAGES))))
+    least = min(OUTSIDE_PAGES, INSIDE_PAGES, SLOT_PAGES)
+    sums = materialize(sums.filter(F.col("subtree").isNull() | (F.col("pages") >= least)))
     total = sums.filter("subtree is null").select("host", F.col("pages").alias("total"))
     kind, seen = F.col("kind"), F.col("pages")
     often = sums.join(total, "host").filter(
         F.col("subtree").isNull()
         | ((kind == OUTSIDE) & (seen >= OUTSIDE_PAGES) & (seen >= OUTSIDE_SHARE * F.col("total")))
-        | ((kind == INSIDE) & (seen >= INSIDE_PAGES) & (seen >= INSIDE_SHARE * F.col("total")))
+        | ((kind == INSIDE) & (seen >= INSIDE_PAGES) & (seen >= F.col("total") * F.when(
+            F.col("total") >= LARGE_PAGES, LARGE_SHARE).otherwise(INSIDE_SHARE)))
         | ((kind == SLOT) & (seen >= SLOT_PAGES)))
     lists = [F.collect_set(F.when(kind == k, F.col("subtree"))).alias(name)
              for k, name in ((OUTSIDE, "outside"), (INSIDE, "inside"), (SLOT, "slots"))]

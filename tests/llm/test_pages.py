@@ -153,6 +153,29 @@ def test_counts_confirm_names(spark):
     assert got[7] == ("text 7 " * 9).strip() + "\nonly here" and got[3] == ("text 3 " * 9).strip()
 
 
+def test_copies_count_once_and_notices_inside_go(spark):
+    def story(k, n=9):
+        return f"<p>{f'story {k} ' * n}</p>"
+
+    pages = [(i, f"http://bare.example/{min(i, 9)}?ref={i}", f"<div>{story(min(i, 9))}{story(min(i, 9), 5)}</div>")
+             for i in range(13)]                                     # page 9 under four addresses
+    pages += [(100 + i, f"http://mirror.example/{i}", f"<nav>way {i}</nav><article>{story(min(i, 2))}</article>")
+              for i in range(30)]                                    # 28 copies, each with its own navigation
+    notice = "<p>Read this in our app</p>"
+    pages += [(200 + i, f"http://large.example/{i}", f"<article>{story(i)}{notice if i % 2 else ''}</article>")
+              for i in range(24)]
+    pages += [(300 + i, f"http://small.example/{i}", f"<article>{story(i)}{notice}</article>") for i in range(5)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in hx.main_text(df).collect()}
+
+    def text(k, n=9):
+        return (f"story {k} " * n).strip()
+
+    assert all(got[i] == f"{text(min(i, 9))}\n{text(min(i, 9), 5)}" for i in range(13))
+    assert all(got[100 + i] == text(min(i, 2)) for i in range(30))
+    assert all(got[200 + i] == text(i) for i in range(24)) and all(got[300 + i] == text(i) for i in range(5))
+
+
 def test_odd_pages_extract(spark, odd_pages):
     got = hx.main_text(odd_pages).collect()
     assert len(got) == odd_pages.count()
