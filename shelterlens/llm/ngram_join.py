@@ -16,7 +16,8 @@ a prefix; the size boundary is where the estimated cost of both is least (``boun
 4. Each cluster is verified exactly: inverted-list scans count every overlap. Small
    clusters share a task; large ones are cut into blocks of documents and verified block
    pair by block pair, so no task holds an unbounded cluster.
-5. Links to components (``connected``).
+5. Links to components (``connected``). Every pair meets in one unit, so the units' counts
+   of hits add up to each document's number of links (``jaccard_links``).
 
 Defined results: null and empty texts have no shingles and link with nothing; repeated
 rows are all returned, rows with the same doc_id are one vertex; rows without a doc_id
@@ -216,10 +217,12 @@ def join_keys(sets: DataFrame, light: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- 4 verification
-def _links(ids, sizes, items, side=None):
+def _links(ids, sizes, items, side=None, copies=None, met_copies=None):
     """Spanning links (a, b) of the documents of one unit, every overlap counted exactly.
 
     ``side``: 0 or 1 per document; with two sides only pairs across are looked at.
+    ``copies``: members of the class that each document stands for; ``met_copies`` gets the
+    sum of them over all documents that one links with.
     """
     lengths = np.array([len(x) for x in items], np.int64)
     flat = np.concatenate(items) if len(items) else np.empty(0, np.int64)
@@ -250,6 +253,9 @@ def _links(ids, sizes, items, side=None):
             continue
         who, common = np.unique(met, return_counts=True)
         hit = who[100 * common >= 75 * (sizes[who] + sizes[x] - common)]
+        if met_copies is not None:
+            met_copies[hit] += copies[x]
+            met_copies[x] += copies[hit].sum()
         for y in hit.tolist():
             a, b = find(x), find(y)
             if a != b:
@@ -261,14 +267,17 @@ def _links(ids, sizes, items, side=None):
 def _verify(key, frame):
     import pandas as pd
 
-    ids, sizes = frame["doc_id"].to_numpy(), frame["n"].to_numpy()
-    side = frame["side"].to_numpy()
-    links = _links(ids, sizes, list(frame["items"]), side if side.max() > 0 else None)
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    ids, sizes, copies = (frame[c].to_numpy() for c in ("doc_id", "n", "copies"))
+    # a unit of two blocks looks at pairs across only, also if one of the blocks is empty
+    met, side = np.zeros(len(ids), np.int64), frame["side"].to_numpy() if key[1] != key[2] else None
+    links = _links(ids, sizes, list(frame["items"]), side, copies, met)
+    rows = [(a, b, 0) for a, b in links] + [(i, i, k) for i, k in zip(ids.tolist(), met.tolist()) if k]
+    return pd.DataFrame(rows, columns=["a", "b", "met"], dtype="int64")
 
 
 def verified_links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Links (a, b) within the clusters (doc_id, cluster) of the sets (doc_id, n, items).
+    """Links (a, b, 0) within the clusters (doc_id, cluster) of the sets (doc_id, n, items,
+    copies), enough to span what links join, and (a, a, met): copies that a links with in a unit.
 
     Units of work: clusters of at most UNIT_ENTRIES shingles share units by hash; a larger
     one is dealt over ``k`` blocks by document and each pair of blocks is one unit, so a
@@ -283,23 +292,33 @@ def verified_links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
     load = load.withColumn("k", F.ceil(F.col("entries") / UNIT_ENTRIES).cast("int"))
     small = (sized.join(load.filter("k <= 1"), "cluster")
              .select(F.pmod(F.xxhash64("cluster"), F.lit(units)).alias("u1"), F.lit(-1).alias("u2"),
-                     F.lit(-1).alias("u3"), "doc_id", "n", "items", F.lit(0).alias("side")))
+                     F.lit(-1).alias("u3"), "doc_id", "n", "items", "copies", F.lit(0).alias("side")))
     big = sized.join(load.filter("k > 1"), "cluster").withColumn(
         "own", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.col("k")).cast("int"))
     big = (big.withColumn("other", F.explode(F.expr("sequence(0, k - 1)")))
            .select(F.col("cluster").alias("u1"), F.least("own", "other").alias("u2"),
-                   F.greatest("own", "other").alias("u3"), "doc_id", "n", "items",
+                   F.greatest("own", "other").alias("u3"), "doc_id", "n", "items", "copies",
                    F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side")))
     return (small.unionByName(big).groupBy("u1", "u2", "u3")
-            .applyInPandas(_verify, "a long, b long"))
+            .applyInPandas(_verify, "a long, b long, met long"))
 
 
 # ---------------------------------------------------------------- the operator
+def jaccard_links(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of documents (doc_id, text): beside the
+    component the number of other documents that a document itself is linked with."""
+    return _joined(docs, True)
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of documents (doc_id, text), linked at 0.75.
 
     component_id is the smallest doc_id reachable through links, the document included.
     """
+    return _joined(docs, False)
+
+
+def _joined(docs: DataFrame, counted: bool) -> DataFrame:
     base = materialize(shared_shingles(docs))
     able = base.filter("shared is not null")
     # equal sets: fully shared with the same shingles; everything else is its own class
@@ -307,16 +326,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         F.concat_ws(",", F.transform("shared", lambda x: x.cast("string"))))).otherwise(
         F.concat(F.lit("d"), F.col("doc_id"))))
     able = materialize(able)
-    classes = able.groupBy("same").agg(F.min("doc_id").alias("rep"))
-    reps = able.join(classes, (able["same"] == classes["same"]) & (able["doc_id"] == classes["rep"]), "left_semi")
-    reps = materialize(reps.select("doc_id", "n", "shared").dropDuplicates(["doc_id"]))
+    # rows with the same doc_id are one member; sizes are only looked at for the number of links
+    members = able.select("same", "doc_id").distinct() if counted else able
+    classes = members.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    if counted:
+        classes = materialize(classes)
+    reps = able.join(classes.withColumnRenamed("same", "of"), (F.col("same") == F.col("of"))
+                     & (F.col("doc_id") == F.col("rep")))
+    reps = materialize(reps.select("doc_id", "n", "shared", "copies").dropDuplicates(["doc_id"]))
     # exact document frequencies among what can still link
     post = reps.select("doc_id", F.explode("shared").alias("item"))
     df = post.groupBy("item").agg(F.count("*").alias("df")).filter("df > 1")
     ranked = post.join(df, "item").groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct("df", "item"))).alias("ranked"))
-    sets = (reps.select("doc_id", "n").join(ranked, "doc_id").filter("4 * size(ranked) >= 3 * n")
-            .select("doc_id", "n", F.col("ranked.item").alias("items")))
+    sets = (reps.select("doc_id", "n", "copies").join(ranked, "doc_id").filter("4 * size(ranked) >= 3 * n")
+            .select("doc_id", "n", F.col("ranked.item").alias("items"), "copies"))
     sets = materialize(sets)
     sizes = [(r[0], r[1]) for r in sets.filter("n <= 512").groupBy("n").count().collect()]  # at most 512 rows
     light = boundary(sizes)
@@ -326,12 +350,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     clusters = C.connected(edges).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster")
     # the smallest document of a cluster is itself no source of an edge
     clusters = clusters.union(clusters.select(F.col("cluster").alias("doc_id"), "cluster").distinct())
-    links = materialize(verified_links(sets, materialize(clusters)))
+    verified = materialize(verified_links(sets, materialize(clusters)))
+    links = verified.filter("a <> b").select("a", "b")
     of_class = able.join(classes.filter("rep is not null"), "same").select("doc_id", "rep").filter("doc_id <> rep")
     found = C.connected(links.union(of_class.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
-    return (base.select("doc_id", F.col("n").alias("n_shingles"))
-            .join(found, F.col("doc_id") == F.col("node"), "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
+    out = (base.select("doc_id", F.col("n").alias("n_shingles"))
+           .join(found, F.col("doc_id") == F.col("node"), "left")
+           .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
+    if not counted:
+        return out
+    met = verified.filter("a = b").groupBy("a").agg(F.sum("met").alias("met"))
+    of_rep = classes.join(met, F.col("rep") == F.col("a"), "left").select(
+        "same", (F.col("copies") - 1 + F.coalesce("met", F.lit(0))).alias("n_links")).filter("n_links > 0")
+    numbers = members.join(of_rep, "same").groupBy("doc_id").agg(F.max("n_links").alias("n_links"))
+    return out.join(numbers, "doc_id", "left").select(*out.columns, F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

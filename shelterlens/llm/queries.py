@@ -26,6 +26,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op1_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_links(table(spark, sf_dir, "documents"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.new_folder(spark)
     return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), folder), folder)
@@ -68,9 +72,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_ngram_jaccard_join, op2_warc, op3_html_extraction, op4_substring_dedup, op5_lm_scoring,
-           op6_chat_formatting, op7_quality_rules, op8_document_fingerprints, op9_mixing_to_target_weights,
-           op10_best_fit_packing)
+QUERIES = (op1_ngram_jaccard_join, op1_ngram_jaccard_links, op2_warc, op3_html_extraction, op4_substring_dedup,
+           op5_lm_scoring, op6_chat_formatting, op7_quality_rules, op8_document_fingerprints,
+           op9_mixing_to_target_weights, op10_best_fit_packing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

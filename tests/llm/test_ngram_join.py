@@ -66,6 +66,24 @@ def test_components_equal_brute_force(spark, monkeypatch, seed):
     assert got == brute(rows)
 
 
+def brute_links(rows):
+    sets = {i: shingles(t) for i, t in rows if i is not None}
+    return {i: sum(i != j and bool(a & b) and 100 * len(a & b) >= 75 * len(a | b) for j, b in sets.items())
+            for i, a in sets.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_equal_brute_force(spark, monkeypatch, seed):
+    rows = corpus(seed)
+    if seed == 2:   # units of two blocks, some with one block empty
+        monkeypatch.setattr(nj, "BLOCK_SHINGLES", 300)
+        monkeypatch.setattr(nj, "UNIT_ENTRIES", 200)
+    got = nj.jaccard_links(spark.createDataFrame(rows + rows[:5], "doc_id long, text string")).collect()
+    want = brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want and len(got) == len(rows) + 5
+    assert {r.doc_id: r.n_links for r in got} == brute_links(rows)
+
+
 def test_odd_rows(spark, odd_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     got = nj.jaccard_components(odd_docs).collect()
