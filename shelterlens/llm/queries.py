@@ -15,6 +15,8 @@ from shelterlens.llm import (
     ngram_join,
     oracles,
     packing,
+    periodic_runs,
+    pivot_index,
     quality_rules,
     substring_dedup,
     warc,
@@ -72,9 +74,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.near_links(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = (op1_ngram_jaccard_join, op1_ngram_jaccard_links, op2_warc, op3_html_extraction, op4_substring_dedup,
            op5_lm_scoring, op6_chat_formatting, op7_quality_rules, op8_document_fingerprints,
-           op9_mixing_to_target_weights, op10_best_fit_packing)
+           op9_mixing_to_target_weights, op10_best_fit_packing, op12_periodic_runs, op13_embedding_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
