@@ -95,11 +95,11 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return buf[off[0]:off[-1]] if n else buf[:0], (off - off[0]) if n else np.zeros(1, np.int64)
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first word of each row and one past the last) of all words."""
+def word_spans(buf: np.ndarray, off: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first word of each row and one past the last) of all words, the runs of bytes not ``blank``."""
     if not len(buf):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(off), np.int64)
-    solid = ~_SPACE[buf]
+    solid = ~blank[buf]
     before = np.zeros(len(buf), bool)
     before[1:] = solid[:-1]
     inner = off[:-1][off[:-1] < off[1:]]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelterlens.llm import chat_format, quality_rules, warc
+from shelterlens.llm import chat_format, collocations, pivot_index, quality_rules, warc
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -100,6 +100,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM base"""
 
 
+def collocation_sql() -> str:
+    upper = "".join(map(chr, range(65, 91)))
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+one AS (SELECT lang, w[i] AS x, count(*) AS f FROM placed GROUP BY ALL),
+two AS (SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS f FROM placed WHERE i < len(w) GROUP BY ALL),
+three AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f FROM placed WHERE i + 1 < len(w)
+  GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+longer AS (SELECT lang, x, y, max(f) AS f FROM (
+  SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three) GROUP BY lang, x, y),
+cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, t.f AS a, 1 AS k, p.f AS l, q.f AS r
+  FROM two t JOIN one p ON p.lang = t.lang AND p.x = t.x JOIN one q ON q.lang = t.lang AND q.x = t.y
+  LEFT JOIN longer b ON b.lang = t.lang AND b.x = t.x AND b.y = t.y
+  WHERE t.f >= {collocations.LEAST} AND (b.f IS NULL OR 100 * b.f < 50 * t.f)
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 1, p.f, q.f
+  FROM three t JOIN one p ON p.lang = t.lang AND p.x = t.x JOIN two q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 2, p.f, q.f
+  FROM three t JOIN two p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y JOIN one q ON q.lang = t.lang AND q.x = t.z),
+scored AS (SELECT *, 1000000::HUGEINT * a * a // (l::HUGEINT * r) AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT ranked.lang, rank, phrase, a, l, r, totals.n, score::BIGINT AS score
+FROM ranked JOIN (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang) totals ON totals.lang = ranked.lang
+WHERE rank <= {collocations.TOP}"""
+
+
+def pivot_index_sql() -> str:
+    """Every pair of a label compared: what the index is to find."""
+    return f"""
+WITH RECURSIVE fine AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= {pivot_index.THRESHOLD}),
+reach(vec_id, node) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.node)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, c.component_id,
+       e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(node) AS component_id FROM reach GROUP BY vec_id) c USING (vec_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard_join": ngram_join_sql(), "op2_warc": warc_sql(), "op6_chat_formatting": chat_sql(),
-            "op7_quality_rules": quality_sql()}
+            "op7_quality_rules": quality_sql(), "op11_phrase_collocations": collocation_sql(),
+            "op13_embedding_near_dedup": pivot_index_sql()}

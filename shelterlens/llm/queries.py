@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelterlens.llm import (
     chat_format,
+    collocations,
     fingerprints,
     html_extract,
     lm_score,
@@ -74,6 +75,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
 
@@ -84,7 +89,8 @@ def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (op1_ngram_jaccard_join, op1_ngram_jaccard_links, op2_warc, op3_html_extraction, op4_substring_dedup,
            op5_lm_scoring, op6_chat_formatting, op7_quality_rules, op8_document_fingerprints,
-           op9_mixing_to_target_weights, op10_best_fit_packing, op12_periodic_runs, op13_embedding_near_dedup)
+           op9_mixing_to_target_weights, op10_best_fit_packing, op11_phrase_collocations,
+           op12_periodic_runs, op13_embedding_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
