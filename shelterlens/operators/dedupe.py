@@ -90,17 +90,21 @@ def _sort_col(o: Ord) -> Column:
     return c.desc_nulls_last() if o.nulls_last else c.desc_nulls_first()
 
 
-def keep_min_ties(df: DataFrame, keys: Sequence[str], value_col: str, method: str = "window") -> DataFrame:
-    """All rows whose ``value_col`` equals the group minimum (ties kept).
-
-    ``window``: one shuffle on the key and a running-free window minimum - for
-    groups bounded by the data's grain. ``join``: a combining aggregate matched
-    back with an equi-join on (keys, value) - one build row per key, and AQE's
-    skew-join split applies when a key is hot.
+def keep_min_ties(df: DataFrame, keys: Sequence[str], value_col: str, method: str = "rank") -> DataFrame:
+    """All rows whose ``value_col`` equals the group minimum (ties kept; null values never).
+
+    ``rank``: rows of rank 1 by the value. The filter on the rank becomes a group limit that also runs
+    before the shuffle, so each map task sends only the ties of its own minimum and a hot key
+    shrinks to those; the input is read once. ``window``: a window minimum over whole groups bounded by
+    the data's grain. ``join``: a combining aggregate matched back by an equi-join on (keys, value), for
+    inputs that are stored.
     """
     if method == "join":
         mins = df.groupBy(*keys).agg(F.min(value_col).alias(value_col))
         return df.join(mins, list(keys) + [value_col], "left_semi")
+    if method == "rank":
+        w = Window.partitionBy(*keys).orderBy(value_col)
+        return df.where(F.col(value_col).isNotNull()).withColumn("_rank", F.rank().over(w)).where("_rank = 1").drop("_rank")
     w = Window.partitionBy(*keys)
     return df.withColumn("_min", F.min(value_col).over(w)).where(F.col(value_col) == F.col("_min")).drop("_min")
 

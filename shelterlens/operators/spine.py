@@ -175,23 +175,39 @@ def fill_missing_months(observed: DataFrame, month_col: str, months: DataFrame,
     return missing
 
 
-def observed_grid(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Cartesian product of the observed values of ``cols``.
-
-    For report dimensions (groups, categories, months): the product is the result.
-    """
-    return product_of([df.select(c) for c in cols])
+DOMAIN_BOUND = 10_000       # most values of one report dimension
+GRID_BOUND = 1_000_000      # most cells of a product of dimensions
 
 
-def product_of(domains: Sequence[DataFrame]) -> DataFrame:
-    """Product of the distinct non-null rows of one-column frames.
+def domain(df: DataFrame, column: str, bound: int = DOMAIN_BOUND) -> list:
+    """A11 as a checked domain: the distinct non-null values of a report dimension, in order.
 
-    The domains are aggregated with map-side combining and meet one after another in an
-    equi-join on a constant, so no row ever holds a whole column.
+    At most ``bound`` of them come to the driver; more raise, since the column is no report dimension then.
     """
-    out = None
-    for d in domains:
-        c = d.columns[0]
-        d = d.where(F.col(c).isNotNull()).distinct().withColumn("_one", F.lit(1))
-        out = d if out is None else out.join(d, "_one", "inner")
-    return out.drop("_one")
+    c = F.col(column)
+    values = [r[0] for r in df.where(c.isNotNull()).select(c).distinct().limit(bound + 1).collect()]
+    if len(values) > bound:
+        raise ValueError(f"{column}: more than {bound} values, no report dimension")
+    return sorted(values)
+
+
+def product_of(spark: SparkSession, domains: dict, types: dict, bound: int = GRID_BOUND) -> DataFrame:
+    """Product of checked domains ``{column: values}`` as literal arrays, exploded one
+    after another (as in G1), so there is no join at all; ``types``: the columns' data types."""
+    cells = 1
+    for values in domains.values():
+        cells *= len(values)
+    if cells > bound:
+        raise ValueError(f"a grid of {cells} cells is over the bound of {bound}")
+    out = spark.range(1).select()
+    for name, values in domains.items():
+        kind = types[name].simpleString()
+        held = F.array(*[F.lit(v).cast(kind) for v in values]) if values else F.array().cast(f"array<{kind}>")
+        out = out.select("*", F.explode(held).alias(name))
+    return out
+
+
+def observed_grid(df: DataFrame, cols: Sequence[str], bound: int = DOMAIN_BOUND) -> DataFrame:
+    """Product of the observed values of ``cols`` (report dimensions: groups, categories, months)."""
+    return product_of(df.sparkSession, {c: domain(df, c, bound) for c in cols},
+                      {c: df.schema[c].dataType for c in cols})

@@ -246,3 +246,25 @@ def asof_at_month_starts(left: DataFrame, right: DataFrame, by: Sequence[str], m
                    .select(*keys, "_m", F.greatest("_before", "_at_start").alias("_before")))
     out = left.join(earlier.withColumnRenamed("_m", month), keys + [month], "left")
     return out.withColumnRenamed("_before", name)
+
+
+def latest_at_month_starts(asked: DataFrame, by: Sequence[str], month: str, sources: dict) -> DataFrame:
+    """Of each (key, ``month``) in ``asked`` (a month-start DATE) the latest time of every source before
+    00:00 of it: ``sources`` is ``{name: (frame, time column, strict)}``, ``strict`` leaving out that instant.
+
+    Each source row counts from one month start on, so all sources and the asked months fold into one row
+    per (key, month) - combined before the shuffle, a hot key shrinks to its months - and one running
+    maximum over the months of a key answers all of them: one shuffle for any number of sources.
+    """
+    from shelterlens.functions.dates import as_timestamp, month_start
+    keys = list(by)
+    events = asked.select(*keys, F.col(month).alias("_m"), F.lit(1).alias("_asked"))
+    for name, (frame, ts, strict) in sources.items():
+        start, next_start = month_start(ts), F.add_months(month_start(ts), 1)
+        since = next_start if strict else F.when(F.col(ts) == as_timestamp(start), start).otherwise(next_start)
+        events = events.unionByName(frame.select(*keys, since.alias("_m"), F.col(ts).alias(name)), allowMissingColumns=True)
+    names = list(sources)
+    months = events.groupBy(*keys, "_m").agg(F.max("_asked").alias("_asked"), *[F.max(c).alias(c) for c in names])
+    w = Window.partitionBy(*keys).orderBy("_m").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (months.select(*keys, F.col("_m").alias(month), "_asked", *[F.max(c).over(w).alias(c) for c in names])
+            .filter("_asked = 1").drop("_asked"))

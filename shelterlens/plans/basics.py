@@ -12,7 +12,7 @@ from shelterlens.functions.predicates import (concat_null, contains_regex, isin_
                                               ne_keep_null, ne_sql, regex_exclude)
 from shelterlens.operators.dedupe import Ord, keep_first, keep_last
 from shelterlens.operators.spine import current_year, observed_grid, trailing_months
-from shelterlens.operators.temporal import asof_backward_bucketed, next_event_days
+from shelterlens.operators.timeline import asof_ranged, next_event_ranged
 from shelterlens.plans.catalog import register
 from shelterlens.plans.kitten import age_band
 from shelterlens.plans.oracle_incidence import dd, eom, months_cte, wk
@@ -196,7 +196,7 @@ FROM (SELECT AnimalID, Location, date_diff('day', CAST(LastUpdated AS DATE),
 GROUP BY AnimalID, Location"""))
 def dwell_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     loc = model_from_driver(spark, sf_dir)["locations"]
-    d = next_event_days(loc, ["AnimalID"], "LastUpdated", "d", tie_break=["Location"])
+    d = next_event_ranged(loc, ["AnimalID"], "LastUpdated", "d", tie_break=["Location"])
     return d.groupBy("AnimalID", "Location").agg(F.sum("d").cast("bigint").alias("dwell_days"),
                                                  F.count(F.lit(1)).alias("n_rows"))
 
@@ -213,7 +213,7 @@ def asof_latest_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = model_from_driver(spark, sf_dir)
     exams = m["treatments"].groupBy("ExamID", "AnimalID").agg(F.max("StatusDateTime").alias("exam_ts"))
     v = m["visits"].select("AnimalID", "tin_DateCreated", "IntakeType")
-    return asof_backward_bucketed(exams, v, ["AnimalID"], "exam_ts", "tin_DateCreated", ["IntakeType"])
+    return asof_ranged(exams, v, ["AnimalID"], "exam_ts", "tin_DateCreated", ["IntakeType"])
 
 
 # Order-safe keep-first and keep-last per customer

@@ -26,7 +26,7 @@ def complication_min_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("merge_complications", surgery_sql(sx.GENERAL, SITE_GROUPS, "merged"))
 def merge_complications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sx.surgery_report(model_from_driver(spark, sf_dir), SPINE, AS_OF, sx.GENERAL, SITE_GROUPS)["merged"]
+    return sx.merged_report(model_from_driver(spark, sf_dir), SPINE, sx.GENERAL, SITE_GROUPS)
 
 
 @register("type_share_grid", surgery_sql(sx.GENERAL, SITE_GROUPS, "share"))
@@ -79,7 +79,7 @@ def wait_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dental_merge", surgery_sql(sx.DENTAL, SITE_GROUPS, "merged"))
 def dental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sx.surgery_report(model_from_driver(spark, sf_dir), SPINE, AS_OF, sx.DENTAL, SITE_GROUPS)["merged"]
+    return sx.merged_report(model_from_driver(spark, sf_dir), SPINE, sx.DENTAL, SITE_GROUPS)
 
 
 # ---------------------------------------------------------------- kitten mortality

@@ -8,22 +8,26 @@ counts from each location row to the next one inside the stay windows.
 The reference's fan-out is kept by default (Q10): location rows are listed once
 per stay row of the animal before the next-row difference, and, for animals that
 left, the foster sum is joined to the stays again, which multiplies it by the
-number of stay rows. Here the location rows are reduced to distinct rows per
-(animal, month) and the multiplicity is applied as a factor, which gives the
-same numbers without materialising the copies.
+number of stay rows. Here the location rows are reduced to distinct rows and the
+multiplicity is applied as a factor, which gives the same numbers without
+materialising the copies (``per_stay`` leaves the factor out).
+
+An animal's events are read as timelines. Past intake and last status of all report dates come
+from one fold over (animal, month) (``latest_at_month_starts``). Foster days come from one timeline of
+location rows and the ends of the stay windows (``_probes``): running foster days, read at a
+window's start and end, so that a window costs two events however long it is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import as_timestamp, day_diff, first_month_start_on_or_after, month_start
 from shelterlens.functions.predicates import isin_or_null
 from shelterlens.operators.spine import MonthSpine, _add_months, explode_months
-from shelterlens.operators.temporal import (asof_at_month_starts, asof_backward_bucketed, interval_contains_bucketed,
-                                            latest_before_months, next_event_days, next_event_time,
-                                            running_total_before)
+from shelterlens.operators.temporal import latest_at_month_starts
+from shelterlens.operators.timeline import Timeline, islands
 from shelterlens.session import materialize
 from shelterlens.sources.model import Model
 
@@ -53,67 +57,98 @@ def _month_before(spine: MonthSpine, ts: str) -> Column:
     return ((F.col(ts) >= as_timestamp(F.lit(_add_months(spine.first, -1)))) & (F.col(ts) < as_timestamp(F.lit(spine.last))))
 
 
-def _latest_before(m: Model, left: DataFrame, status: str | None, strict: bool) -> DataFrame:
-    """Latest status time (optionally of one status value) at/before each report date."""
-    st = m["statuses"]
+def _last_status_and_intake(m: Model, keys: DataFrame, spine: MonthSpine, status: str | None) -> DataFrame:
+    """Latest status time at or before 00:00 of each (AnimalID, reference_date), optionally of one status value,
+    where it is not older than five years, and the latest intake strictly before it (``_st``, ``_pi``)."""
+    oldest = as_timestamp(F.lit(_add_months(spine.first, -12 * LOOKBACK_YEARS)))
+    until = as_timestamp(F.lit(spine.last))
+    st = m["statuses"].where((F.col("LastUpdated") > oldest) & (F.col("LastUpdated") <= until))
     if status is not None:
         st = st.where(F.col("Status") == status)
-    return asof_at_month_starts(left, st, ["AnimalID"], "reference_date", "LastUpdated", "_st", strict=strict)
-
-
-def _past_intake(m: Model, left: DataFrame) -> DataFrame:
-    """Latest intake strictly before each report date."""
-    v = m["visits"].where(F.col("tin_DateCreated").isNotNull())
-    return asof_at_month_starts(left, v, ["AnimalID"], "reference_date", "tin_DateCreated", "_pi", strict=True)
+    came = m["visits"].where(F.col("tin_DateCreated") < until).select("AnimalID", "tin_DateCreated")
+    found = latest_at_month_starts(keys, ["AnimalID"], "reference_date", {
+        "_st": (st.select("AnimalID", "LastUpdated"), "LastUpdated", False), "_pi": (came, "tin_DateCreated", True)})
+    return found.where((F.col("_st") > as_timestamp(F.add_months("reference_date", -12 * LOOKBACK_YEARS)))
+                       & F.col("_pi").isNotNull())
+
+
+def _probes(m: Model, windows: DataFrame, last_day) -> DataFrame:
+    """Per window (AnimalID, reference_date, _i, _o): ``_a``, the last location row at or before its start, and
+    ``_b``, the last one before its end - structs of time, foster flag, next row's time and the foster
+    days gathered up to the row (each foster row counts to the animal's next row)."""
+    held = (m["locations"].where(F.col("LastUpdated") < last_day)
+            .select("AnimalID", F.col("LastUpdated").alias("_t"), "Location")
+            .join(windows.select("AnimalID").distinct(), "AnimalID", "left_semi").distinct()
+            .withColumn("_kind", F.lit(1)))
+    end = windows.select("AnimalID", "reference_date", F.to_date("_i").alias("_i"), as_timestamp("_o").alias("_t"),
+                         F.lit(0).alias("_kind"))
+    start = windows.select("AnimalID", "reference_date", F.to_date("_i").alias("_i"), as_timestamp("_i").alias("_t"),
+                           F.lit(2).alias("_kind"))
+    ends = start.unionByName(end)
+    # at one time: ends of windows, location rows, starts of windows
+    line = Timeline(held.unionByName(ends, allowMissingColumns=True), ["AnimalID"],
+                    ["_t", "_kind", "Location", "reference_date", "_i"])
+    at = F.when(F.col("_kind") == 1, F.col("_t"))
+    line = line.next("_next", at)
+    foster = F.col("Location") == FOSTER
+    days = F.when((F.col("_kind") == 1) & foster, F.coalesce(day_diff("_t", "_next"), F.lit(0))).otherwise(F.lit(0))
+    line = line.total("_upto", days)
+    row = F.when(F.col("_kind") == 1, F.struct(
+        F.col("_t").alias("t"), foster.alias("foster"), F.col("_next").alias("next"), (F.col("_upto") - days).alias("sum")))
+    found = line.last("_row", row).rows("AnimalID", "reference_date", "_i", "_kind", "_row").where(F.col("_kind") != 1)
+    return found.groupBy("AnimalID", "reference_date", "_i").agg(
+        F.max(F.when(F.col("_kind") == 2, F.col("_row"))).alias("_a"), F.max(F.when(F.col("_kind") == 0, F.col("_row"))).alias("_b"))
 
 
 def _open_foster_days(m: Model, windows: DataFrame, spine: MonthSpine) -> DataFrame:
     """Foster days of one open window (intakedate, reference_date) per (animal, month).
 
-    Prefix sums over an animal's location rows: foster days gathered up to the report date,
-    less those gathered up to the intake. A row counts to the next one or to the report date,
-    whichever is first; a row at or before the intake does not count, its days after the
-    intake included. Two look-ups per window, however long it is.
+    Foster days gathered up to the report date, less those gathered up to the intake. A row counts
+    to the next one or to the report date, whichever is first; a row at or before the intake does
+    not count, its days after the intake included.
     """
-    rows = (m["locations"].where(F.col("LastUpdated") < as_timestamp(F.lit(spine.last)))
-            .select("AnimalID", F.col("LastUpdated").alias("_lts"), "Location")
-            .join(windows.select("AnimalID").distinct(), "AnimalID", "left_semi").distinct())
-    rows = next_event_time(rows, ["AnimalID"], "_lts", "_nts", tie_break=["Location"])
-    rows = rows.withColumn("_foster", F.col("Location") == FOSTER)
-    rows = rows.withColumn("_days", F.when(F.col("_foster"), F.coalesce(day_diff("_lts", "_nts"), F.lit(0))).otherwise(0))
-    rows = running_total_before(rows, ["AnimalID"], "_lts", "_days", "_sum", tie_break=["Location"])
-    rows = materialize(rows.select("AnimalID", "_lts", "Location", "_sum", "_foster", "_nts"))
-    cols = ["_lts", "Location", "_sum", "_foster", "_nts"]
     report = as_timestamp("reference_date")
-    w = latest_before_months(windows, rows, ["AnimalID"], "reference_date", cols, "_r")
-    starts = windows.select("AnimalID", "intakedate").distinct().withColumn("_its", as_timestamp("intakedate"))
-    starts = asof_backward_bucketed(starts, rows, ["AnimalID"], "_its", "_lts", cols[1:], strict=False)
-    w = w.join(starts.drop("_its"), ["AnimalID", "intakedate"], "left")
-    upto = F.col("_r._sum") + F.when(F.col("_r._foster"), day_diff(F.col("_r._lts"), report)).otherwise(0)
-    before = F.col("_sum") + F.when(F.col("_foster"), day_diff(F.col("_lts"), F.least(F.col("_nts"), report))).otherwise(0)
+    w = _probes(m, windows.select("AnimalID", "reference_date", F.col("intakedate").alias("_i"),
+                                  F.col("reference_date").alias("_o")), as_timestamp(F.lit(spine.last)))
+    upto = F.col("_b.sum") + F.when(F.col("_b.foster"), day_diff(F.col("_b.t"), report)).otherwise(0)
+    before = F.col("_a.sum") + F.when(F.col("_a.foster"), day_diff(F.col("_a.t"), F.least(F.col("_a.next"), report))).otherwise(0)
     return w.select("AnimalID", "reference_date",
                     (F.coalesce(upto, F.lit(0)) - F.coalesce(before, F.lit(0))).alias("_foster"))
 
 
-def _foster_days(m: Model, stays: DataFrame) -> DataFrame:
+def _foster_days(m: Model, stays: DataFrame, spine: MonthSpine) -> DataFrame:
     """Sum of day counts from each Fosters row to the next location row, over the
-    distinct location rows inside any stay window of the (animal, month)."""
-    loc = m["locations"].select("AnimalID", F.col("LastUpdated").alias("_lts"), "Location")
-    windows = stays.select("AnimalID", "reference_date", F.col("intakedate").alias("_i"),
-                           F.col("_o").alias("_o"))
-    inside = (interval_contains_bucketed(loc, windows, ["AnimalID"], "_lts", "_i", "_o")
-              .select("AnimalID", "reference_date", "_lts", "Location").distinct())
-    inside = next_event_days(inside, ["AnimalID", "reference_date"], "_lts", "_dn", tie_break=["Location"])
-    rows = inside.where((F.col("Location") == FOSTER) & F.col("_dn").isNotNull())
-    return rows.groupBy("AnimalID", "reference_date").agg(F.sum("_dn").alias("_foster"))
-
-
-def los_outcomed(m: Model, spine: MonthSpine, same_year: bool = False) -> DataFrame:
-    """C11: animals that left in the month before each report month."""
-    animals = m["animals"].select("AnimalID", "Name", "Species")
+    distinct location rows inside any stay window of the (animal, month).
+
+    The windows are joined where they overlap. Inside one the days are those gathered between its first and
+    last row; from the last row of one window the next row is the first one of the next window that
+    holds any (the row after the last one at or before its start).
+    """
+    keys = ["AnimalID", "reference_date"]
+    joined = islands(stays.select(*keys, F.col("intakedate").alias("_i"), F.col("_o").alias("_o")), keys, "_i", "_o")
+    # a window ends in the month before its report date: no later location row matters
+    w = _probes(m, joined, as_timestamp(F.lit(spine.last)))
+    first_sum = F.coalesce(F.col("_a.sum") + F.when(F.col("_a.foster"), day_diff(F.col("_a.t"), F.col("_a.next"))).otherwise(0), F.lit(0))
+    held = w.where(F.col("_b.t") > as_timestamp("_i")).withColumn("_inside", F.col("_b.sum") - first_sum)
+    in_order = Window.partitionBy(*keys).orderBy("_i")
+    before = F.lag("_b").over(in_order)
+    gap = F.when(before["foster"], day_diff(before["t"], F.col("_a.next"))).otherwise(0)
+    return (held.withColumn("_gap", F.coalesce(gap, F.lit(0))).groupBy(*keys)
+            .agg(F.sum(F.col("_inside") + F.col("_gap")).alias("_foster")))
+
+
+def los_outcomed(m: Model, spine: MonthSpine, same_year: bool = False, per_stay: bool = False) -> DataFrame:
+    """C11: animals that left in the month before each report month.
+
+    ``per_stay`` repairs Q10: the foster days of an animal count once, not once per stay row.
+    """
+    animals = m["animals"].where(F.col("Species").isin(list(SPECIES))).select("AnimalID", "Name", "Species")
+    started = isin_or_null("IntakeType", INTAKE_TYPES) & _month_before(spine, "tin_DateCreated")
+    ended = (F.col("OutComeType").isin(list(OUTCOME_TYPES)) & F.col("tOut_DateCreated").isNotNull()
+             & _month_before(spine, "tOut_DateCreated"))
     vo = m["visits_out"]
     # stays that started and ended in the previous month
-    flow = (vo.where(isin_or_null("IntakeType", INTAKE_TYPES) & _month_before(spine, "tin_DateCreated"))
+    flow = (vo.where(started)
             .withColumn("reference_date", F.add_months(month_start("tin_DateCreated"), 1))
             .where(spine.in_spine("reference_date"))
             .withColumn("intakedate", F.to_date("tin_DateCreated"))
@@ -122,34 +157,31 @@ def los_outcomed(m: Model, spine: MonthSpine, same_year: bool = False) -> DataFr
             .select("AnimalID", "reference_date", "intakedate", "outcomedate",
                     F.coalesce("OutComeType", F.lit(NO_OUTCOME)).alias("Outcome")))
     # outcomes of the previous month for animals with an inactive status in the last five years
-    inv = (vo.where(F.col("OutComeType").isin(list(OUTCOME_TYPES)) & F.col("tOut_DateCreated").isNotNull())
-           .where(_month_before(spine, "tOut_DateCreated"))
-           .withColumn("outcomedate", F.to_date("tOut_DateCreated"))
+    inv = (vo.where(ended).withColumn("outcomedate", F.to_date("tOut_DateCreated"))
            .withColumn("reference_date", F.add_months(month_start("outcomedate"), 1))
            .where(spine.in_spine("reference_date"))
            .select("AnimalID", "reference_date", "outcomedate", F.col("OutComeType").alias("Outcome")))
-    keys = inv.select("AnimalID", "reference_date").distinct()
-    keys = _latest_before(m, keys, "I", strict=False)
-    keys = keys.where(F.col("_st") > as_timestamp(F.add_months("reference_date", -12 * LOOKBACK_YEARS)))
-    keys = _past_intake(m, keys.drop("_st")).where(F.col("_pi").isNotNull())
+    keys = _last_status_and_intake(m, inv.select("AnimalID", "reference_date"), spine, "I")
     inv = (inv.join(keys.select("AnimalID", "reference_date", F.to_date("_pi").alias("intakedate")),
                     ["AnimalID", "reference_date"], "inner")
            .select("AnimalID", "reference_date", "intakedate", "outcomedate", "Outcome"))
     stays = (flow.unionByName(inv).where(F.col("outcomedate") >= F.col("intakedate"))
-             .join(animals.where(F.col("Species").isin(list(SPECIES))), "AnimalID", "inner")
+             .join(animals, "AnimalID", "inner")
              .groupBy("AnimalID", "Name", "Species", "intakedate", "Outcome", "reference_date")
              .agg(F.min("outcomedate").alias("outcomedate")))
-    stays = stays.withColumn("_o", F.col("outcomedate"))
+    stays = materialize(stays.withColumn("_o", F.col("outcomedate")))
     k = stays.groupBy("AnimalID", "reference_date").agg(F.count(F.lit(1)).alias("_k"))
-    foster = (_foster_days(m, stays).join(k, ["AnimalID", "reference_date"], "inner")
-              .select("AnimalID", "reference_date", (F.col("_foster") * F.col("_k")).alias("_foster")))
+    foster = _foster_days(m, stays, spine)
+    if not per_stay:
+        foster = (foster.join(k, ["AnimalID", "reference_date"], "inner")
+                  .select("AnimalID", "reference_date", (F.col("_foster") * F.col("_k")).alias("_foster")))
     return _finish(stays, foster, same_year)
 
 
 def los_not_outcomed(m: Model, spine: MonthSpine, same_year: bool = False) -> DataFrame:
     """Animals still in care at each report date (open foster spell counted to it)."""
     animals = m["animals"].where(F.col("Species").isin(list(SPECIES))).select("AnimalID", "Name", "Species")
-    v = m["visits_out"]
+    v = m["visits_out"].join(animals.select("AnimalID"), "AnimalID", "left_semi")
     flow = (v.where(isin_or_null("IntakeType", INTAKE_TYPES) & _month_before(spine, "tin_DateCreated"))
             .withColumn("reference_date", F.add_months(month_start("tin_DateCreated"), 1))
             .where(spine.in_spine("reference_date"))
@@ -159,17 +191,12 @@ def los_not_outcomed(m: Model, spine: MonthSpine, same_year: bool = False) -> Da
     # inventory: months where the animal has a visit ending later, a past intake and a recent status row
     span = v.groupBy("AnimalID").agg(F.min("tin_DateCreated").alias("_tin_min"),
                                      F.max("tOut_DateCreated").alias("_tout_max"))
-    st_span = m["statuses"].groupBy("AnimalID").agg(F.min("LastUpdated").alias("_st_min"))
-    span = span.join(st_span, "AnimalID", "inner").join(animals.select("AnimalID"), "AnimalID", "left_semi")
-    lo = F.greatest(F.add_months(month_start("_tin_min"), 1), first_month_start_on_or_after("_st_min"))
-    hi = month_start(F.col("_tout_max"))
-    grid = explode_months(span, lo, hi, spine).where(
+    grid = explode_months(span, F.add_months(month_start("_tin_min"), 1), month_start(F.col("_tout_max")), spine).where(
         F.col("_tout_max") > as_timestamp("reference_date")).select("AnimalID", "reference_date")
-    grid = _latest_before(m, grid, None, strict=False)
-    grid = grid.where(F.col("_st") > as_timestamp(F.add_months("reference_date", -12 * LOOKBACK_YEARS)))
-    active_ts = m["statuses"].where(F.col("Status") == "A").select(F.col("LastUpdated").alias("_st")).distinct()
+    grid = _last_status_and_intake(m, grid, spine, None)
+    active_ts = m["statuses"].where((F.col("Status") == "A") & (F.col("LastUpdated") <= as_timestamp(F.lit(spine.last))))
+    active_ts = active_ts.select(F.col("LastUpdated").alias("_st")).distinct()
     grid = grid.join(active_ts, "_st", "left_semi")  # any animal's active row at that instant (Q11)
-    grid = _past_intake(m, grid.drop("_st")).where(F.col("_pi").isNotNull())
     inv = grid.select("AnimalID", "reference_date", F.to_date("_pi").alias("intakedate"))
     stays = (inv.unionByName(flow).join(animals, "AnimalID", "inner")
              .withColumn("outcomedate", F.col("reference_date")))

@@ -105,9 +105,11 @@ def _in_month(df: DataFrame, ts: str, spine: MonthSpine) -> DataFrame:
     return df.where(F.col(ts) <= month_end_midnight("reference_date"))
 
 
-def animal_location(m: Model) -> DataFrame:
-    """Per animal: number of location rows and the earliest non-off-site one (Q22)."""
+def animal_location(m: Model, animals: DataFrame | None = None) -> DataFrame:
+    """Per animal (of ``animals``): number of location rows and the earliest non-off-site one (Q22)."""
     loc = m["locations"]
+    if animals is not None:
+        loc = loc.join(animals, "AnimalID", "left_semi")
     ok = ne_keep_null("Location", OFF_SITE)
     first = F.min(F.when(ok, F.struct(F.col("LastUpdated").isNull().alias("n"), F.col("LastUpdated").alias("d"),
                                       F.col("Location").alias("l"))))
@@ -117,19 +119,30 @@ def animal_location(m: Model) -> DataFrame:
                     F.col("_first.d").alias("LocationDate")))
 
 
-def _with_location(df: DataFrame, m: Model) -> DataFrame:
+def _with_location(df: DataFrame, m: Model, animals: DataFrame | None = None) -> DataFrame:
     """Row-wise off-site removal over the location fan-out: an animal's rows survive
     unless all its location rows are off-site; the kept location is the earliest."""
-    out = df.join(animal_location(m), "AnimalID", "left")
+    out = df.join(animal_location(m, animals), "AnimalID", "left")
     return out.where(F.col("_nloc").isNull() | (F.col("_nok") == 1)).drop("_nloc", "_nok")
 
 
-def _surgery_base(m: Model, spine: MonthSpine, meds: Sequence[str], category: Sequence, cfg: SurgeryConfig,
-                  site_groups: Sequence) -> DataFrame:
-    t = with_surgery_rank(_in_month(m["treatments"].where(F.col("Medication").isin(list(meds))),
-                                    "StatusDateTime", spine))
+def treatment_rows(m: Model, spine: MonthSpine, meds: Sequence[str], stored: bool = False) -> DataFrame:
+    """Treatments of ``meds`` in the report months with their animal and location: what surgeries and
+    complications both start from. ``stored`` writes the treatments, and then the rows, once."""
+    t = _in_month(m["treatments"].where(F.col("Medication").isin(list(meds))), "StatusDateTime", spine)
     animals = m["animals"].where(F.col("has_details")).select("AnimalID", "Name", "Species", "Sex", "DateOfBirth")
     t = t.join(animals, "AnimalID", "inner")
+    if not stored:
+        return _with_location(t, m)
+    t = materialize(t)
+    return materialize(_with_location(t, m, t.select("AnimalID").distinct()))
+
+
+def _surgery_base(rows: DataFrame, meds: Sequence[str], category: Sequence, cfg: SurgeryConfig,
+                  site_groups: Sequence, ranked: bool) -> DataFrame:
+    t = rows.where(F.col("Medication").isin(list(meds)))
+    if ranked:
+        t = with_surgery_rank(t)
     med = F.col("Medication")
     return t.select(
         "AnimalID", "Name",
@@ -139,14 +152,18 @@ def _surgery_base(m: Model, spine: MonthSpine, meds: Sequence[str], category: Se
         med.alias("SurgeryType"), case_in_lists(med, category, "Other").alias("SurgeryCategory"),
         F.col("StatusDateTime").alias("SurgeryTs"), F.to_date("DateCreated").alias("_sday"),
         "SurgeonName", "AssistantName", site_label(F.col("SiteName"), site_groups).alias("Site"), "SiteName",
-        "reference_date", "Rank")
+        "reference_date", "Location", "LocationDate", *(["Rank"] if ranked else []))
 
 
-def surgeries(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_groups: Sequence = ()) -> DataFrame:
+def surgeries(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_groups: Sequence = (),
+              rows: DataFrame | None = None, ranked: bool = True) -> DataFrame:
     """Surgeries per month, one per treatment and per (animal, type, day); ``Multiple``
-    when an exam has more than one surgery that day."""
-    s = _surgery_base(m, spine, cfg.den_medications, cfg.den_category, cfg, site_groups)
-    s = _with_location(s, m)
+    when an exam has more than one surgery that day.
+
+    ``rows``: treatment rows that are at hand already; ``ranked=False`` leaves out ``Rank``.
+    """
+    rows = treatment_rows(m, spine, cfg.den_medications) if rows is None else rows
+    s = _surgery_base(rows, cfg.den_medications, cfg.den_category, cfg, site_groups, ranked)
     if cfg.drop_medication:
         s = s.where(ne_keep_null("SurgeryType", cfg.drop_medication))
     s = s.drop("_sday")
@@ -170,12 +187,15 @@ def surgeries(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_gr
     return s.drop("SurgeryTs")
 
 
-def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL,
-                           site_groups: Sequence = ()) -> DataFrame:
+def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_groups: Sequence = (),
+                           rows: DataFrame | None = None, ranked: bool = True) -> DataFrame:
     """Complications within -2 days of a surgery in the same month; one row per
-    (animal, type, complication), then the minimum days-after per (animal, complication)."""
-    s = _surgery_base(m, spine, cfg.num_medications, cfg.num_category, cfg, site_groups)
-    s = _with_location(s, m).drop("Location", "LocationDate")
+    (animal, type, complication), then the minimum days-after per (animal, complication).
+
+    ``rows`` and ``ranked`` as in ``surgeries``.
+    """
+    rows = treatment_rows(m, spine, cfg.num_medications) if rows is None else rows
+    s = _surgery_base(rows, cfg.num_medications, cfg.num_category, cfg, site_groups, ranked).drop("Location", "LocationDate")
     if cfg.drop_medication:
         s = s.where(ne_keep_null("SurgeryType", cfg.drop_medication))
     c = _in_month(m["exam_conditions"].where(F.col("Condition").isin(list(cfg.complications))),
@@ -187,7 +207,7 @@ def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GEN
     latest = c.groupBy(*keys, "SxComp").agg(F.max("_cday").alias("_maxc"))
     elig = s.join(latest, keys, "inner").where(F.date_sub("_sday", 2) <= F.col("_maxc")).drop("_maxc")
     grp = keys + ["SurgeryType", "SxComp"]
-    cand = keep_min_ties(elig, grp, "UniqueSurgeryID", method="join")
+    cand = keep_min_ties(elig, grp, "UniqueSurgeryID")
     pairs = (cand.join(c, keys + ["SxComp"], "inner").where(F.col("_cday") >= F.date_sub("_sday", 2))
              .withColumn("DaysAfterSurgery", F.datediff("_cday", "_sday")).drop("_cday", "_sday"))
     order = [Ord("UniqueCompID"), Ord("SurgeryTs"), Ord("CompDate"), Ord("DaysAfterSurgery")] + \
@@ -294,22 +314,33 @@ def type_share(df: DataFrame, category_col: str, as_of: _dt.date, date_col: str
             .select(*dims, "Type", F.round(F.coalesce("Percentage", F.lit(0.0)), 1).alias("Percentage")))
 
 
+def _both(m: Model, spine: MonthSpine, cfg: SurgeryConfig, site_groups: Sequence) -> tuple[DataFrame, DataFrame]:
+    """Surgeries and complications from treatment rows that are written once."""
+    meds = tuple(dict.fromkeys(cfg.den_medications + cfg.num_medications))
+    rows = treatment_rows(m, spine, meds, stored=True)
+    return (surgeries(m, spine, cfg, site_groups, rows, ranked=False),
+            surgical_complications(m, spine, cfg, site_groups, rows, ranked=False))
+
+
 def surgery_report(m: Model, spine: MonthSpine, as_of: _dt.date, cfg: SurgeryConfig = GENERAL,
                    site_groups: Sequence = ()) -> dict[str, DataFrame]:
-    den = materialize(surgeries(m, spine, cfg, site_groups))
-    num = materialize(surgical_complications(m, spine, cfg, site_groups))
+    den, num = (materialize(df) for df in _both(m, spine, cfg, site_groups))
     merged = merge_complications(num, den)
     return {"denominator": den, "numerator": num, "merged": merged,
             "share": type_share(merged, "SurgeryCategory_refined", as_of)}
 
 
+def merged_report(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_groups: Sequence = ()) -> DataFrame:
+    """The merged table alone."""
+    den, num = _both(m, spine, cfg, site_groups)
+    return merge_complications(num, den)
+
+
 def type_share_report(m: Model, spine: MonthSpine, as_of: _dt.date, cfg: SurgeryConfig = GENERAL,
                       site_groups: Sequence = ()) -> DataFrame:
     """The share table alone: the surgeries of the trailing months of P11 only.
 
     Surgeries and complications pair within a month, so no other month can matter.
     """
-    cut = spine.trailing(as_of) or spine
-    merged = merge_complications(surgical_complications(m, cut, cfg, site_groups),
-                                 surgeries(m, cut, cfg, site_groups))
+    merged = merged_report(m, spine.trailing(as_of) or spine, cfg, site_groups)
     return type_share(materialize(merged), "SurgeryCategory_refined", as_of)

@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from shelterlens.functions.dates import as_timestamp, day_diff, month_start, week_diff
 from shelterlens.functions.predicates import flag, ne_sql, rank_code
 from shelterlens.operators.dedupe import Ord, keep_first
-from shelterlens.operators.spine import (MonthSpine, _add_months, current_year, months_between_cols, product_of,
-                                         trailing_months)
-from shelterlens.operators.temporal import asof_backward_bucketed
+from shelterlens.operators.spine import MonthSpine, _add_months, current_year, domain, product_of, trailing_months
+from shelterlens.operators.timeline import asof_ranged
 from shelterlens.sources.model import Model
 
 # Fixed values of the wait-time report.
@@ -36,9 +35,9 @@ HISTORY_START = _dt.date(2019, 1, 1)
 MIN_INTAKE_AGE_WEEKS = 7
 
 
-def surgery_map_frame(spark: SparkSession) -> DataFrame:
-    """S3: the treatment -> category map (9 fixed rows)."""
-    return spark.createDataFrame(list(SURGERY_MAP), "Medication string, Surgerycategory string")
+def surgery_category(medication: str) -> F.Column:
+    """S3: the treatment -> category map (9 fixed entries) as a literal map; null for other treatments."""
+    return F.create_map(*[F.lit(x) for pair in SURGERY_MAP for x in pair])[F.col(medication)]
 
 
 def goal(category) -> F.Column:
@@ -64,14 +63,12 @@ def surgery_wait(m: Model, spine: MonthSpine, spark: SparkSession,
                  .groupBy("ExamID", "AnimalID").agg(F.max("StatusDateTime").alias("_exam_ts")))
     visits = (m["visits"].where(F.col("IntakeType").isin(list(INTAKE_TYPES)) & (F.col("tin_DateCreated") >= hs))
               .select("AnimalID", "tin_DateCreated", "IntakeType"))
-    visit_rank = asof_backward_bucketed(exam_last, visits, ["AnimalID"], "_exam_ts", "tin_DateCreated",
-                                        ["IntakeType"]).where(F.col("tin_DateCreated").isNotNull())
+    visit_rank = asof_ranged(exam_last, visits, ["AnimalID"], "_exam_ts", "tin_DateCreated", ["IntakeType"]).where(F.col("tin_DateCreated").isNotNull())
     visit_rank = visit_rank.groupBy("ExamID").agg(
         F.max(F.struct("tin_DateCreated", "IntakeType")).alias("_v")).select("ExamID", "_v.*")
-    smap = F.broadcast(surgery_map_frame(spark))  # 9 fixed rows
     s = (surgeries.withColumn("reference_date", F.add_months(month_start("StatusDateTime"), 1))
          .where(spine.in_spine("reference_date"))
-         .join(smap, "Medication", "inner").join(visit_rank, "ExamID", "inner"))
+         .withColumn("Surgerycategory", surgery_category("Medication")).join(visit_rank, "ExamID", "inner"))
     animals = (m["animals"].where(F.col("has_details") & F.col("Species").isin(list(WAIT_SPECIES)))
                .select("AnimalID", "Name", "Species", "DateOfBirth"))
     s = s.join(animals, "AnimalID", "inner")
@@ -79,6 +76,7 @@ def surgery_wait(m: Model, spine: MonthSpine, spark: SparkSession,
     st = (m["statuses"].where(F.col("Stage").isin(list(WAIT_STAGES)) & ne_sql("Stage", EXCLUDED_STAGE)
                               & (F.col("LastUpdated") >= hs)
                               & (F.col("LastUpdated") < as_timestamp(F.lit(spine.last))))
+          .join(surgeries.select("AnimalID").distinct(), "AnimalID", "left_semi")   # only of animals with a surgery
           .groupBy("AnimalID", "Stage").agg(F.min("LastUpdated").alias("StageDate")))
     s = s.join(st, "AnimalID", "inner").where(F.col("StageDate") < as_timestamp("reference_date"))
     s = s.select(
@@ -103,10 +101,10 @@ def wait_buckets(wait: DataFrame, as_of: _dt.date, only_missing: bool = False) -
     x observed category x observed species, Q9; ``only_missing``: only of months without such a
     surgery), bucket flags and goals."""
     rows = wait.withColumn("SurgeryDate", F.to_date("SurgeryDate"))
-    dom = rows.agg(F.min("SurgeryDate").alias("_lo"))
-    first = F.when(F.trunc("_lo", "MM") == F.col("_lo"), F.col("_lo")).otherwise(F.add_months(F.trunc("_lo", "MM"), 1))
-    months = dom.select(F.explode(months_between_cols(first, F.lit(as_of))).alias("SurgeryDate"))
-    grid = product_of([months, rows.select("Surgerycategory"), rows.select("Species")])
+    first = rows.agg(F.min("SurgeryDate")).first()[0]
+    months = [] if first is None or first > as_of else [d for d in MonthSpine.between(first, as_of).months if d >= first]
+    domains = {"SurgeryDate": months, "Surgerycategory": domain(rows, "Surgerycategory"), "Species": domain(rows, "Species")}
+    grid = product_of(rows.sparkSession, domains, {c: rows.schema[c].dataType for c in domains})
     if only_missing:
         held = rows.select(month_start("SurgeryDate").alias("SurgeryDate"), "Surgerycategory", "Species").distinct()
         grid = grid.join(held, ["SurgeryDate", "Surgerycategory", "Species"], "left_anti")
