@@ -7,7 +7,7 @@ from shelterlens.plans.catalog import register
 from shelterlens.plans.oracle_surgery import surgery_sql
 from shelterlens.plans.params import AS_OF, SPINE
 from shelterlens.plans.roles import model_from_driver
-from shelterlens.session import materialize
+from shelterlens.session import materialize, scratch_path
 
 # Site groups of the benchmark run (sites are supplier nations in the role mapping).
 SITE_GROUPS = ((("NATION_0", "NATION_1"), "Shelter"), (("NATION_2", "NATION_3", "NATION_4"), "Public clinic"))
@@ -144,3 +144,51 @@ def surgery_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kitten_numerator(spark: SparkSession, sf_dir: str) -> DataFrame:
     cohort = materialize(kt.kitten_cohort(model_from_driver(spark, sf_dir), SPINE, AS_OF, KITTEN_START))
     return kt.kitten_numerator(kt.fill_kitten_grid(cohort))
+
+
+# ---------------------------------------------------------------- exports as files, sorted output, containment
+from pyspark.sql import Window  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from shelterlens.operators.timeline import cover_counts  # noqa: E402
+from shelterlens.plans import run  # noqa: E402
+from shelterlens.plans.roles import with_roles  # noqa: E402
+from shelterlens.sources.sinks import write_table  # noqa: E402
+
+
+@register("invoice_from_csv", invoice_sql("rows", AS_OF))
+def invoice_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoice rows of exports that went through CSV files in the shared folder."""
+    folder = scratch_path(spark)
+    for name, df in zip(("animals", "invoices"), exports_from_driver(spark, sf_dir)):
+        write_table(df, f"{folder}/{name}", fmt="csv")
+    return run.invoices_from_csv(spark, f"{folder}/animals", f"{folder}/invoices")
+
+
+DELAYED_ORDER = ("ReportDate", "AnimalID", "IntakeDate")
+
+
+@register("sorted_delayed_list", f"""
+SELECT *, row_number() OVER (ORDER BY {', '.join(DELAYED_ORDER)}) AS place FROM ({delayed_sql()})""")
+def sorted_delayed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 with S7: the delayed list written in order; ``place`` is where a row lies in the files."""
+    path = f"{scratch_path(spark)}/Delayed"
+    write_table(delayed_outcome(spark, sf_dir), path, sort_by=list(DELAYED_ORDER))
+    stored = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"),
+                                             F.col("_metadata.row_index").alias("_at"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)     # one row per file
+    files = stored.groupBy("_file").count().select("_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    return (stored.join(files, "_file").withColumn("place", F.col("_before") + F.col("_at") + 1)
+            .drop("_file", "_at", "_before"))
+
+
+@register("stay_location_cover", with_roles("""
+SELECT l.AnimalID, l.Location, l.LastUpdated,
+       (SELECT count(*) FROM visits_out v WHERE v.AnimalID = l.AnimalID AND v.tin_DateCreated < l.LastUpdated
+          AND l.LastUpdated < v.tOut_DateCreated) AS n_stays
+FROM line_locations l"""))
+def stay_location_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of stays that hold each location row, by a sweep line over all stays."""
+    m = model_from_driver(spark, sf_dir, line_locations=True)
+    return cover_counts(m["locations"], m["visits_out"], ["AnimalID"], "LastUpdated", "tin_DateCreated",
+                        "tOut_DateCreated", "n_stays").select("AnimalID", "Location", "LastUpdated", "n_stays")

@@ -89,6 +89,18 @@ def is_local_master(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path under the shared ``spark.checkpoint.dir``; deleted with the application's tables when it ends."""
+    import uuid
+    root = f"{checkpoint_dir(spark).rstrip('/')}/shelterlens-tables-{spark.sparkContext.applicationId}"
+    if root not in _CLEANED:
+        _CLEANED.add(root)
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(root)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return f"{root}/{uuid.uuid4().hex}"
+
+
 def materialize(df):
     """Cut lineage of an intermediate a report reads several times.
 
@@ -99,16 +111,9 @@ def materialize(df):
     subtree, and a lost executor does not force recomputation from the sources.
     This runs the subtree at once. The application's tables are deleted when it ends.
     """
-    import uuid
     spark = df.sparkSession
-    root = f"{checkpoint_dir(spark).rstrip('/')}/shelterlens-tables-{spark.sparkContext.applicationId}"
-    path = f"{root}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.mode("overwrite").parquet(path)
-    if root not in _CLEANED:
-        _CLEANED.add(root)
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(root)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)   # no job to infer it, and none needed for no rows
 
 
