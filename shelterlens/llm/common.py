@@ -36,18 +36,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _SHIPPED: set[str] = set()
 _RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "16m"
 BATCH_ROWS = 1000   # rows of an Arrow batch where the session has no setting of its own
 
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the executors, whatever their working folder is,
-    and keep Arrow batches of whole texts small (they lie outside the JVM heap, several at once)."""
+    and keep Arrow batches of whole texts and blocks small (they lie outside the JVM heap, several at once).
+
+    The batch settings are the session's: where they have Spark's defaults, they stay changed after the call.
+    """
     import pathlib
     import tempfile
     import zipfile
 
     if spark.conf.get(_RECORDS) == "10000":   # Spark's default: too many for whole texts
         spark.conf.set(_RECORDS, str(BATCH_ROWS))
+    if spark.conf.get(_BYTES) in ("64MB", "64m", "67108864", "67108864b"):     # Spark's default
+        spark.conf.set(_BYTES, BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -222,6 +229,19 @@ def block_batch(rows: list[tuple[int, int, bytes]]):
         names=["part", "kind", "block"])
 
 
+def block_batches(rows: list[tuple[int, int, bytes]], most: int = 4 << 20):
+    """``rows`` as batches of a few MB."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[2])
+        if size >= most:
+            yield block_batch(held)
+            held, size = [], 0
+    if held:
+        yield block_batch(held)
+
+
 def dealt(df: DataFrame, parts: int) -> DataFrame:
     """Blocks to their part, rows of one part next to each other (Spark's sort spills to disk)."""
     return df.repartition(parts, "part").sortWithinPartitions("part", "kind")

@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 from shelterlens.llm import common as C
 from shelterlens.session import materialize
 
-BLOCK_SHINGLES = 1_500_000   # shingles of documents that are combined before they are shuffled
+BLOCK_SHINGLES = 500_000   # shingles of documents that are combined before they are shuffled
 UNIT_ENTRIES = 600_000       # shingles that one verification task holds
 SUBSET = 2                   # size of the enumerated subsets
 LIST_COST = 5.0              # cost of a posting in an inverted list, in enumerated subsets
+FOUND = 500_000              # shared entries that a matching task holds before it sends them
 SUB_BUCKETS = 4              # hash ranges per shuffle partition, handled one after another
 
 
@@ -71,7 +72,7 @@ def _post(buckets: int, doc_parts: int):
         for p in np.unique(part):
             m = part == p
             rows.append((buckets + int(p), 1, C.pack(ids[m], sizes[m])))
-        return C.block_batch(rows)
+        return C.block_batches(rows)
 
     def run(batches):
         ids, hashes, sizes, held = [], [], [], 0
@@ -86,10 +87,10 @@ def _post(buckets: int, doc_parts: int):
                 hashes.append(s)
                 held += len(s)
                 if held >= BLOCK_SHINGLES:
-                    yield flush(ids, hashes, sizes)
+                    yield from flush(ids, hashes, sizes)
                     ids, hashes, sizes, held = [], [], [], 0
         if ids:
-            yield flush(ids, hashes, sizes)
+            yield from flush(ids, hashes, sizes)
     return run
 
 
@@ -104,30 +105,44 @@ def _to_docs(h, d, buckets, doc_parts):
 
 
 def _match(buckets: int, doc_parts: int):
-    """Hash parts: entries met in two blocks are shared. Document parts pass through."""
+    """Hash parts: entries met in two blocks are shared. Document parts pass through, batch by batch."""
+    def shared(blocks):
+        h, d, k = (np.concatenate(c) for c in zip(*(C.unpack(b, np.uint64, np.int64, np.int8) for b in blocks)))
+        o = np.argsort(h, kind="stable")
+        h, d, k = h[o], d[o], k[o]
+        same = np.zeros(len(h), bool)
+        same[1:] = h[1:] == h[:-1]
+        same[:-1] |= same[1:]
+        new = same & (k == 0)
+        return h[new], d[new]
+
     def run(batches):
-        hs, ds, held = [], [], 0
-        for part, blocks in C.runs(batches):
-            if part >= buckets:
-                yield C.block_batch([(part, k, b) for k, b in blocks])
-                continue
-            cols = [C.unpack(b, np.uint64, np.int64, np.int8) for _, b in blocks]
-            h, d, k = (np.concatenate(c) for c in zip(*cols))
-            o = np.argsort(h, kind="stable")
-            h, d, k = h[o], d[o], k[o]
-            same = np.zeros(len(h), bool)
-            same[1:] = h[1:] == h[:-1]
-            same[:-1] |= same[1:]
-            new = same & (k == 0)
-            hs.append(h[new])
-            ds.append(d[new])
-            held += int(new.sum())
-            if held > 1_000_000:
-                h, d = np.concatenate(hs), np.concatenate(ds)
-                yield C.block_batch(_to_docs(*_by_hash(h, d), buckets, doc_parts))
-                hs, ds, held = [], [], 0
-        if held:
-            yield C.block_batch(_to_docs(*_by_hash(np.concatenate(hs), np.concatenate(ds)), buckets, doc_parts))
+        import pyarrow as pa
+
+        found, held, now, blocks = [], 0, None, []
+
+        def settle(final):
+            nonlocal found, held, blocks
+            if blocks:
+                found.append(shared(blocks))
+                held += len(found[-1][0])
+                blocks = []
+            if found and (final or held > FOUND):
+                yield from C.block_batches(_to_docs(*_by_hash(*(np.concatenate(c) for c in zip(*found))), buckets, doc_parts))
+                found, held = [], 0
+
+        for batch in batches:
+            mine = batch.column("part").to_numpy() < buckets
+            if not mine.all():
+                yield batch.filter(pa.array(~mine))
+            if mine.any():
+                own = batch.filter(pa.array(mine))
+                for part, block in zip(own.column("part").to_pylist(), own.column("block")):
+                    if part != now:
+                        yield from settle(False)
+                        now = part
+                    blocks.append(block.as_py())
+        yield from settle(True)
     return run
 
 
@@ -164,7 +179,7 @@ def shared_shingles(docs: DataFrame) -> DataFrame:
     """(doc_id, n, shared): set size, and the shingles other documents have too - null
     where they are less than 75 % of the set, so that the document cannot link."""
     parts = C.parts_of(docs.sparkSession)
-    buckets, doc_parts = parts * SUB_BUCKETS, parts
+    buckets = doc_parts = parts * SUB_BUCKETS
     posted = C.arrow_map(docs.select("doc_id", "text"), _post(buckets, doc_parts), C.BLOCK_SCHEMA)
     matched = C.arrow_map(C.dealt(posted, parts), _match(buckets, doc_parts), C.BLOCK_SCHEMA)
     return C.arrow_map(C.dealt(matched, parts), _gather, "doc_id long, n long, shared array<bigint>")
