@@ -17,7 +17,6 @@ places of their own; a null doc_id stays null.
 
 from __future__ import annotations
 
-import itertools
 import re
 import struct
 import zlib
@@ -31,7 +30,8 @@ from shelterlens.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 400_000   # words whose ids a task remembers
+CACHE_WORDS = 1_000_000 # words whose ids a worker remembers, some 25 bytes each
+CACHE_PARTS = 50_000    # parts of words whose ids it remembers
 
 
 def tokenizer_path() -> str:
@@ -48,9 +48,10 @@ _PLAIN = re.compile(f"({_MARKS})([A-Za-zÀ-ÖØ-öø-ÿ]+)({_MARKS})")
 
 
 class WordIds:
-    """Token ids of words (UTF-8) as little-endian bytes, remembered up to CACHE_WORDS words.
+    """Token ids of words, remembered for up to CACHE_WORDS words in flat arrays.
 
-    White space separates tokens in this vocabulary, so a text's ids are those of its words.
+    White space separates tokens in this vocabulary, so a text's ids are those of its words. Words are
+    known by their 64-bit hash.
     """
 
     def __init__(self, path: str):
@@ -62,38 +63,64 @@ class WordIds:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.as_chars = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys = np.empty(0, np.uint64)      # sorted hashes of the known words
+        self.start = np.empty(0, np.int64)      # where each one's ids lie in ``ids``
+        self.count = np.empty(0, np.int32)
+        self.ids = np.empty(0, np.uint32)
 
     def part(self, text: str) -> bytes:
         got = self.parts.get(text)
         if got is None:
+            if len(self.parts) >= CACHE_PARTS:
+                self.parts = {"": b""}
             chars = text if text.isascii() else self.as_chars.pre_tokenize_str(text)[0][0]
             ids = [t.id for t in self.model.tokenize(chars)]
             got = self.parts[text] = struct.pack(f"<{len(ids)}I", *ids)
         return got
 
-    def learn(self, words: set[bytes]) -> None:
-        """Makes ``words`` known."""
-        new = words.difference(self.words)
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-            self.parts = {"": b""}
-            new = words
+    def tokenized(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word (UTF-8) as little-endian bytes."""
+        out: list[bytes] = [b""] * len(words)
         rest = []
-        for w in new:
+        for i, w in enumerate(words):
             text = w.decode()
             m = None if "<|" in text else _PLAIN.fullmatch(text)    # its special tokens look like <|this|>
             if m is None:
-                rest.append((w, text))
+                rest.append((i, text))
             else:
                 a, b, c = m.groups()
-                self.words[w] = self.part(a) + self.part(b.lower()) + self.part(c)
+                out[i] = self.part(a) + self.part(b.lower()) + self.part(c)
         for x in range(0, len(rest), 2000):
             some = rest[x:x + 2000]
             found = self.whole.encode_batch_fast([t for _, t in some], add_special_tokens=False)
-            for (w, _), e in zip(some, found):
-                self.words[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            for (i, _), e in zip(some, found):
+                out[i] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        return out
+
+    def of(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, number of ids of each word)."""
+        keys, first, where = np.unique(C.word_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        new = np.flatnonzero(~np.isin(keys, self.keys, assume_unique=True))
+        if len(self.keys) + len(new) > CACHE_WORDS:
+            self.forget()
+            new = np.arange(len(keys))
+        if len(new):
+            raw = buf.tobytes()
+            found = self.tokenized([raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            count = np.array([len(f) // 4 for f in found], np.int32)
+            start = len(self.ids) + np.cumsum(count, dtype=np.int64) - count
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
+            at = np.searchsorted(self.keys, keys[new])
+            self.keys = np.insert(self.keys, at, keys[new])
+            self.start, self.count = np.insert(self.start, at, start), np.insert(self.count, at, count)
+        known = np.searchsorted(self.keys, keys)[where]
+        start, count = self.start[known], self.count[known].astype(np.int64)
+        upto = np.cumsum(count)
+        return self.ids[np.repeat(start - (upto - count), count) + np.arange(upto[-1] if len(upto) else 0)], count
 
 
 _KNOWN: dict[str, WordIds] = {}   # of this worker process, by vocabulary file
@@ -106,17 +133,19 @@ def _cut(path: str, capacity: int):
         if path not in _KNOWN:
             _KNOWN[path] = WordIds(path)
         known = _KNOWN[path]
-        end = np.uint32(END_ID).tobytes()
+        end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             out = []
-            docs = batch.column("doc_id").to_pylist()
-            texts = batch.column("text").cast(pa.large_binary())
-            for a in range(0, len(docs), 200):
-                lists = [(t.as_py() or b"").split() for t in texts[a:a + 200]]
-                known.learn(set(itertools.chain.from_iterable(lists)))
-                ids = known.words
-                for doc, words in zip(docs[a:a + 200], lists):
-                    raw = b"".join([ids[w] for w in words]) + end
+            docs, column = batch.column("doc_id").to_pylist(), batch.column("text")
+            group = np.cumsum(np.diff(C.text_buffer(column)[1])) // C.CHUNK_BYTES
+            for g in np.unique(group):
+                a, b = np.searchsorted(group, [g, g + 1])
+                buf, off = C.text_buffer(column[a:b])
+                starts, ends, first = C.word_spans(buf, off)
+                ids, count = known.of(buf, starts, ends)
+                edge = np.r_[0, np.cumsum(count)][first].tolist()       # ids before each document
+                for doc, x, y in zip(docs[a:b], edge[:-1], edge[1:]):
+                    raw = ids[x:y].tobytes() + end
                     n = len(raw) // 4
                     for k, at in enumerate(range(0, n, capacity)):
                         piece = raw[4 * at:4 * (at + capacity)]

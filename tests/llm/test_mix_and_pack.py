@@ -5,8 +5,10 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
+from shelterlens.llm import common as C
 from shelterlens.llm import mixing, packing, quality_rules, queries
 from shelterlens.session import materialize
 
@@ -157,9 +159,10 @@ def test_word_ids_equal_whole_text_ids(monkeypatch):
     for limit in (packing.CACHE_WORDS, 3):
         monkeypatch.setattr(packing, "CACHE_WORDS", limit)
         words = text.encode().split()
-        known.learn(set(words))
-        raw = b"".join(known.words[w] for w in words)
-        assert np.frombuffer(raw, "<u4").tolist() == known.whole.encode(text, add_special_tokens=False).ids
+        buf, off = C.text_buffer(pa.array([text]))
+        starts, ends, _ = C.word_spans(buf, off)
+        ids, count = known.of(buf, starts, ends)
+        assert len(count) == len(words) and ids.tolist() == known.whole.encode(text, add_special_tokens=False).ids
 
 
 # ---------------------------------------------------------------- pipeline
