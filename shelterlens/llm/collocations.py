@@ -41,6 +41,7 @@ from shelterlens.session import materialize
 
 LEAST = 10               # occurrences of a candidate
 TOP = 2000               # phrases reported per language
+SALTS = 16               # shares of a language that are ranked side by side
 RANKED = 1 << 20         # most words (and pairs) that are numbered; also the stride of a pair code
 TILE_BITS = 10           # words on each side of a tile: 2 ** TILE_BITS
 DENSE = 8                # most dense counters of a task (4 MB each)
@@ -435,7 +436,10 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     second = F.col("s2") < F.col("s1")
     three = three.select("lang", "phrase", "a", F.when(second, F.col("l2")).otherwise(F.col("l1")).alias("l"),
                          F.when(second, F.col("r2")).otherwise(F.col("r1")).alias("r"), F.least("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    # the limit on the row number is taken in every partition before the languages are gathered
-    best = two.union(three).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    # the first ones of each of SALTS shares of a language, and of those the first ones of the language: the last
+    # step sees at most SALTS * top rows of one
+    best = two.union(three).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    for keys in (["lang", "salt"], ["lang"]):
+        best = best.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
