@@ -213,11 +213,11 @@ def _read(folder: str):
                 names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
         for batch in batches:
-            for name in batch.column("archive").to_pylist():
+            for name, low, high in zip(*(batch.column(c).to_pylist() for c in ("archive", "low", "high"))):
                 path = f"{root}/{name}"
                 with store.open_input_file(path) as f:
                     reader = SeekableReader(f, f.size())
-                    for k in range(len(reader.starts)):
+                    for k in range(low, high + 1):
                         raw, at, rows = reader.frame(k), 0, []
                         while at < len(raw):
                             head, block, at = parse(raw, at)
@@ -235,10 +235,20 @@ def _read(folder: str):
     return run
 
 
+FRAMES_A_TASK = 16      # frames of an archive that are read in one go
+
+
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
-    """All records of the archives in the index, read frame by frame and checked against their digests."""
-    names = index.select("archive").distinct()
-    return C.arrow_map(names, _read(folder), "page_id long, payload_bytes long, payload_digest string, "
+    """All records of the archives in the index, read frame by frame and checked against their digests.
+
+    Ranges of frames are dealt to the session's shuffle partitions, so a large archive is read by many tasks.
+    """
+    spans = index.groupBy("archive", F.floor(F.col("frame") / FRAMES_A_TASK).alias("span")).agg(
+        F.min("frame").alias("low"), F.max("frame").alias("high"))
+    # by number, so that the few rows are not gathered in one task
+    spans = spans.withColumn("task", F.pmod(F.xxhash64("archive", "span"), F.lit(C.parts_of(index.sparkSession))).cast("int"))
+    dealt = spans.repartitionById(C.parts_of(index.sparkSession), "task").select("archive", "low", "high")
+    return C.arrow_map(dealt, _read(folder), "page_id long, payload_bytes long, payload_digest string, "
                                              "record_type string, refers_to long")
 
 
