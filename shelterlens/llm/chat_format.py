@@ -35,8 +35,9 @@ def escape_role(c: Column) -> Column:
 
 
 def unescape_role(c: Column) -> Column:
-    c = F.replace(unescape(c), F.lit("\\\\"), F.lit("\x00"))
-    return F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    """One pass over the parts between pairs of backslashes: in them a backslash + n is a newline."""
+    parts = F.split(unescape(c), r"\\\\")
+    return F.array_join(F.transform(parts, lambda x: F.replace(x, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def examples(conversations: DataFrame) -> DataFrame:

@@ -123,9 +123,13 @@ def probabilities(cells: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame
         "round(least(1D, greatest(0D, coalesce(best.s, 1e300D) * share / tokens)), 9) as probability")
 
 
+OWN = ("n_tokens", "probability", "kept", "_source", "_lang", "_topic")    # columns that sampling adds
+
+
 def sampled(docs: DataFrame, given=None, keep_share: float = KEEP_SHARE) -> DataFrame:
-    """Documents with n_tokens, their cell, its ``probability`` and ``kept``."""
-    with_dims = with_cells(docs)
+    """Documents with n_tokens, their cell (``_source``, ``_lang``, ``_topic``), its ``probability`` and ``kept``;
+    input columns of these names are replaced."""
+    with_dims = with_cells(docs.drop(*OWN))
     cells = materialize(with_dims.groupBy("_source", "_lang", "_topic").agg(F.sum("n_tokens").alias("tokens")))
     found = materialize(probabilities(rake(targets(cells, given)), keep_share))
     dims = ["_source", "_lang", "_topic"]
@@ -137,13 +141,8 @@ def sampled(docs: DataFrame, given=None, keep_share: float = KEEP_SHARE) -> Data
 
 
 def keep_mixed(docs: DataFrame, given=None, keep_share: float = KEEP_SHARE) -> DataFrame:
-    """The sampled documents, with their own columns only."""
-    mine = ["n_tokens", "probability", "kept", "_source", "_lang", "_topic"]
-    safe = docs
-    clash = [c for c in docs.columns if c in mine]
-    for c in clash:
-        safe = safe.withColumnRenamed(c, f"_own_{c}")
-    out = sampled(safe, given, keep_share).filter("kept").select(*safe.columns)
-    for c in clash:
-        out = out.withColumnRenamed(f"_own_{c}", c)
-    return out
+    """The sampled documents, with their own columns only (they travel in one struct, so any names will do)."""
+    needed = [c for c in ("doc_id", "text", "source", "lang", "topic") if c in docs.columns]
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *needed)
+    out = sampled(whole, given, keep_share).filter("kept")
+    return out.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

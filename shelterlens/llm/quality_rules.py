@@ -74,9 +74,12 @@ def _shifted(a: str, by: int) -> Column:
 
 def measures(docs: DataFrame) -> DataFrame:
     """Adds the per-document measures to documents with a ``text`` column (as columns prefixed by nothing
-    else than their names; an input column of such a name is replaced)."""
+    else than their names; an input column of such a name is replaced). All other columns travel in one
+    struct, so no name of theirs can meet a name used here."""
     long = "long"
-    df = docs.withColumn("_t", F.coalesce("text", F.lit(""))).withColumn("_w", words_of("_t"))
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                     F.coalesce("text", F.lit("")).alias("_t"))
+    df = df.withColumn("_w", words_of("_t"))
     df = df.withColumn("_l", F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, F.lit(" \t\x0b\x0c\r")) != ""))
     # hashes of all 8-word windows by doubling: 1 -> 2 -> 4 -> 8 words
     df = df.withColumn("_h", F.transform("_w", lambda w: F.xxhash64(w)))
@@ -95,7 +98,7 @@ def measures(docs: DataFrame) -> DataFrame:
         0, (s, x) -> s + x)""")).otherwise(0).cast(long))
     stop = sorted({*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)})
     df = df.select(
-        *[c for c in docs.columns if c not in MEASURES],
+        *[F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in MEASURES],
         F.size("_w").cast(long).alias("n_words"),
         F.length(F.array_join("_w", "")).cast(long).alias("word_chars"),
         (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast(long).alias("n_symbols"),
@@ -120,14 +123,8 @@ def judged(docs: DataFrame, rules=RULES) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules=RULES) -> DataFrame:
     """The documents that pass, with their own columns only."""
-    clash = [c for c in docs.columns if c in (*MEASURES, "base_failed", "kept")]
-    safe = docs
-    for c in clash:
-        safe = safe.withColumnRenamed(c, f"_own_{c}")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "text")
     # a condition that is not deterministic (and never true) keeps the optimizer from copying the whole
     # computation of the measures into the filter, once for every place that refers to it
-    out = (judged(safe, rules).withColumn("kept", F.col("kept") | (F.monotonically_increasing_id() < 0)).filter("kept")
-           .select(*safe.columns))
-    for c in clash:
-        out = out.withColumnRenamed(f"_own_{c}", c)
-    return out
+    out = judged(whole, rules).withColumn("kept", F.col("kept") | (F.monotonically_increasing_id() < 0)).filter("kept")
+    return out.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

@@ -189,38 +189,44 @@ def repeats(docs: DataFrame) -> DataFrame:
     return C.arrow_map(C.dealt(matched, parts), _gather, "doc_id long, start long, length long, chunks long, also_in long")
 
 
-def _cut_out(batches):
-    import pyarrow as pa
+def _cut_out(spans_name: str):
+    def run(batches):
+        import pyarrow as pa
 
-    for batch in batches:
-        out = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("__sd_spans").to_pylist()):
-            if spans:
-                raw, kept, pos = text.encode(), [], 0
-                for s in sorted(spans, key=lambda s: s["start"]):
-                    kept.append(raw[pos:s["start"]])
-                    pos = s["start"] + s["length"]
-                kept.append(raw[pos:])
-                text = b"\n".join(k for k in kept if k).decode()
-            out.append(text)
-        names = [n for n in batch.schema.names if n != "__sd_spans"]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out, batch.schema.field(n).type) if n == "text" else batch.column(n) for n in names], names=names)
+        for batch in batches:
+            out = []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(spans_name).to_pylist()):
+                if spans:
+                    raw, kept, pos = text.encode(), [], 0
+                    for s in sorted(spans, key=lambda s: s["start"]):
+                        kept.append(raw[pos:s["start"]])
+                        pos = s["start"] + s["length"]
+                    kept.append(raw[pos:])
+                    text = b"\n".join(k for k in kept if k).decode()
+                out.append(text)
+            names = [n for n in batch.schema.names if n != spans_name]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out, batch.schema.field(n).type) if n == "text" else batch.column(n) for n in names], names=names)
+    return run
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """Documents with their repeated passages cut out; one that had nothing else is left out.
 
-    All columns stay; n_chars, where there is one, is counted anew for texts that changed.
+    All columns stay, whatever their names; n_chars, where there is one, is counted anew for texts that changed.
     """
-    spans = repeats(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("__sd_spans"))
-    spans = spans.withColumnRenamed("doc_id", "__sd_id")
-    joined = docs.join(spans, docs["doc_id"] == spans["__sd_id"], "left").drop("__sd_id")
-    schema = docs.schema
-    out = C.arrow_map(joined.select(*docs.columns, "__sd_spans", F.col("__sd_spans").isNotNull().alias("__sd_cut")),
-                      _cut_out, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", __sd_cut boolean")
-    out = out.filter("not __sd_cut or length(trim(text)) > 0")
+    def free(name):
+        while name in docs.columns:
+            name += "_"
+        return name
+    ids, cuts, changed = free("__sd_id"), free("__sd_spans"), free("__sd_cut")
+    spans = repeats(docs).groupBy(F.col("doc_id").alias(ids)).agg(F.collect_list(F.struct("start", "length")).alias(cuts))
+    joined = docs.join(spans, docs["doc_id"] == spans[ids], "left").drop(ids)
+    schema, own = docs.schema, [F.col(f"`{c}`") for c in docs.columns]
+    out = C.arrow_map(joined.select(*own, cuts, F.col(cuts).isNotNull().alias(changed)), _cut_out(cuts),
+                      ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + f", `{changed}` boolean")
+    out = out.filter(f"not `{changed}` or length(trim(text)) > 0")
     if "n_chars" in docs.columns:
         kind = schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("__sd_cut"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(changed), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*own)
