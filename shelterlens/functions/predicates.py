@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BINARY = "UTF8_BINARY"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -85,15 +87,33 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def rank_code(c, values) -> Column:
-    """Integer code of ``c`` within a fixed list, ordered like the strings (binary
-    order), so min / max over it equal min / max over the text. Values outside the
+def collation_of(df: DataFrame, column: str) -> str:
+    """Name of a text column's collation (``UTF8_BINARY``: plain byte order)."""
+    return getattr(df.schema[column].dataType, "collation", BINARY)
+
+
+def _ranked(values, collation: str) -> Column:
+    """The fixed list in the order of the collation, as a constant array (equal values once, the first in byte order)."""
+    texts = F.array(*[F.collate(F.lit(v), collation) for v in sorted(set(values))])
+    return F.sort_array(F.array_distinct(texts))
+
+
+def rank_code(c, values, collation: str = BINARY) -> Column:
+    """Integer code of ``c`` within a fixed list, ordered like the strings (byte order or
+    ``collation``), so min / max over it equal min / max over the text. Values outside the
     list get NULL. Lets aggregations keep fixed-width (hash-aggregatable) buffers."""
+    if collation != BINARY:
+        found = F.array_position(_ranked(values, collation), F.collate(_col(c), collation))
+        return F.when(found > 0, (found - 1).cast("int"))
     ordered = sorted(set(values))
     return case_map(c, {v: i for i, v in enumerate(ordered)})
 
 
-def rank_decode(code, values) -> Column:
-    """Inverse of ``rank_code``."""
+def rank_decode(code, values, collation: str = BINARY) -> Column:
+    """Inverse of ``rank_code``, as plain text. A null code is null (asked for outright, since under ANSI
+    ``element_at`` with a null place in a constant array gives the last element)."""
+    code = _col(code)
+    if collation != BINARY:
+        return F.when(code.isNotNull(), F.collate(F.element_at(_ranked(values, collation), code + 1), BINARY))
     ordered = sorted(set(values))
-    return F.element_at(F.array(*[F.lit(v) for v in ordered]), (F.col(code) if isinstance(code, str) else code) + 1)
+    return F.when(code.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in ordered]), code + 1))

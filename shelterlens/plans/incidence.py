@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from shelterlens.functions.dates import (as_timestamp, first_month_start_on_or_after,
                                          last_month_start_before, month_end_midnight, month_start,
                                          week_diff)
-from shelterlens.functions.predicates import isin_or_null, rank_code, rank_decode
+from shelterlens.functions.predicates import collation_of, isin_or_null, rank_code, rank_decode
 from shelterlens.operators.spine import (MonthSpine, _add_months, explode_months, fill_missing_months,
                                          trailing_months)
 from shelterlens.operators.temporal import exists_prior_within_days
@@ -180,8 +180,9 @@ def stock_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame
     # Latest stage date and, among active rows at that instant, the smallest stage (Q4).
     # Rows sharing (animal, first month, last month) are combined before the explode
     # (map-side), and the keys are fixed-width (time, stage rank): hash aggregates only.
+    order = collation_of(base, "Stage")
     ts = F.col("ts")  # zone-less timestamp: a fixed-width aggregation key as it is
-    active = F.when(F.col("Status") == "A", F.struct(ts.alias("t"), (-rank_code("Stage", disease.stages)).alias("r")))
+    active = F.when(F.col("Status") == "A", F.struct(ts.alias("t"), (-rank_code("Stage", disease.stages, order)).alias("r")))
     spans = (base.groupBy("AnimalID", first_month_start_on_or_after("ts").alias("_lo"), latest_hi.alias("_hi"))
              .agg(F.max(ts).alias("_t"), F.max(active).alias("_a")))
     latest = (explode_months(spans, "_lo", "_hi", spine)
@@ -189,7 +190,7 @@ def stock_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame
     latest = (latest.where(F.col("_a").isNotNull() & (F.col("_a.t") == F.col("_t")))
               .select("AnimalID", "reference_date",
                       F.col("_t").alias("stagedate"),
-                      rank_decode(-F.col("_a.r"), disease.stages).alias("stage")))
+                      rank_decode(-F.col("_a.r"), disease.stages, order).alias("stage")))
     with_tin = base.where(F.col("tin_DateCreated").isNotNull())
     past_hi = F.least(F.add_months(month_start("ts"), 12), tin_cap)
     past_spans = (with_tin.groupBy("AnimalID", F.add_months(month_start("tin_DateCreated"), 1).alias("_lo"),

@@ -7,20 +7,22 @@ deceased preferred; then a month x band x outcome grid and the deceased percent.
 
 Scale notes: a visit can only give alive rows in the ~5 months after birth, so
 visits explode into a bounded set of months; the correlated ``NOT IN`` (dead
-before the week start) becomes the earliest death date per (animal, month),
-computed from the few candidate months of each animal - no visit x death pairs.
+before the week start) becomes the earliest death date per (animal, month), a running
+minimum over the animal's months - no visit x death pairs. Visits and euthanasia
+records are read once.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import as_timestamp, month_end_midnight, month_start, week_diff
 from shelterlens.operators.dedupe import Ord, keep_first
 from shelterlens.operators.spine import MonthSpine, explode_months, months_between_cols, trailing_months
+from shelterlens.session import materialize
 from shelterlens.sources.model import Model
 
 # Fixed values of the kitten report.
@@ -48,38 +50,63 @@ def _first_report_month(ts: str) -> Column:
     return F.when(F.col(ts) <= month_end_midnight(ms), ms).otherwise(F.add_months(ms, 1))
 
 
+def _earliest_death_until(keys: DataFrame, a_rows: DataFrame) -> DataFrame:
+    """(AnimalID, reference_date, _a_min): the earliest death of source (a) that the report of a month
+    knows (first report month ``_b`` at or before it).
+
+    Deaths are folded to one row per (animal, month) and read as a running minimum over the animal's
+    months, so the window holds months, not visits.
+    """
+    known = a_rows.groupBy("AnimalID", F.col("_b").alias("reference_date")).agg(F.min("_od").alias("_od"))
+    line = (keys.withColumn("_asked", F.lit(True)).unionByName(known, allowMissingColumns=True)
+            .groupBy("AnimalID", "reference_date").agg(F.min("_od").alias("_od"), F.max("_asked").alias("_asked")))
+    until = Window.partitionBy("AnimalID").orderBy("reference_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (line.withColumn("_a_min", F.min("_od").over(until)).where("_asked")
+            .select("AnimalID", "reference_date", "_a_min"))
+
+
 def kitten_cohort(m: Model, spine: MonthSpine, now: _dt.date, cohort_start: _dt.date = COHORT_START,
-                  week_offsets=WEEK_OFFSETS) -> DataFrame:
-    """Alive and deceased kitten rows per report month (one per animal and band)."""
+                  week_offsets=WEEK_OFFSETS, open_stays: bool = False) -> DataFrame:
+    """Alive and deceased kitten rows per report month (one per animal and band).
+
+    The cohort's visits and its young euthanasia records are written once; per animal they are folded
+    into one state row (first dead visit, first euthanasia, best visit). ``open_stays`` repairs Q12: a visit
+    without an out date is present at every week start after it.
+    """
     start = as_timestamp(F.lit(cohort_start))
     cats = (m["animals"].where((F.col("Species") == "Cat") & F.col("has_details"))
             .select("AnimalID", "Name", "DateOfBirth"))
-    v = (m["visits_out"].where(F.col("IntakeType").isin(list(INTAKE_TYPES)) & (F.col("tin_DateCreated") >= start))
-         .join(cats, "AnimalID", "inner")
-         .withColumn("_b", _first_report_month("tin_DateCreated")))
+    v = materialize(m["visits_out"].where(F.col("IntakeType").isin(list(INTAKE_TYPES)) & (F.col("tin_DateCreated") >= start))
+                    .join(cats, "AnimalID", "inner")
+                    .select("AnimalID", "Name", "DateOfBirth", "IntakeType", "OutComeType", "tin_DateCreated",
+                            "tOut_DateCreated", _first_report_month("tin_DateCreated").alias("_b")))
     dob = F.to_date("DateOfBirth")
+    died = F.col("OutComeType").isin(list(DEAD_OUTCOMES))
+    # source (b) looks at visits before now
+    seen = F.col("DateOfBirth").isNotNull() & (F.col("tin_DateCreated") < as_timestamp(F.lit(now)))
 
     # deceased source (a): dead outcomes of visits; source (b): euthanasia records
-    a_ids = (v.where(F.col("OutComeType").isin(list(DEAD_OUTCOMES)))
-             .groupBy("AnimalID").agg(F.min("_b").alias("_first_a")))
-    a_rows = (v.where(F.col("OutComeType").isin(list(DEAD_OUTCOMES)) & F.col("DateOfBirth").isNotNull())
+    a_rows = (v.where(died & F.col("DateOfBirth").isNotNull())
               .select("AnimalID", "Name", "IntakeType", dob.alias("Dateofbirth"),
                       F.to_date("tin_DateCreated").alias("Intakedate"), "_b",
                       F.when(F.col("OutComeType") == "PreEuthanasia", F.lit("Euthanised"))
                       .when(F.col("OutComeType") == "Died", F.lit("Died")).alias("Outcometype"),
                       F.to_date("tOut_DateCreated").alias("_od"))
               .where(week_diff("Dateofbirth", "_od") <= MAX_WEEKS))
-    b_visits = v.where(F.col("DateOfBirth").isNotNull() & (F.col("tin_DateCreated") < as_timestamp(F.lit(now))))
-    b_best_visit = b_visits.groupBy("AnimalID").agg(F.min(F.struct(
-        (-F.unix_date(F.to_date("tin_DateCreated"))).alias("k"), F.col("IntakeType").alias("t"),
-        F.to_date("tin_DateCreated").alias("d"))).alias("_bv"))
-    eu = (m["euthanasia"].join(b_visits.select("AnimalID", "Name", "DateOfBirth").distinct(), "AnimalID", "inner")
-          .select("AnimalID", "Name", dob.alias("Dateofbirth"), F.to_date("DateCreated").alias("_od"))
-          .where(week_diff("Dateofbirth", "_od") <= MAX_WEEKS))
-    b_min = eu.groupBy("AnimalID").agg(F.min("_od").alias("_b_min"))
+    known = v.where(seen).groupBy("AnimalID", "Name", "DateOfBirth").agg(F.lit(1).alias("_one")).drop("_one")
+    eu = materialize(m["euthanasia"].join(known, "AnimalID", "inner")
+                     .select("AnimalID", "Name", dob.alias("Dateofbirth"), F.to_date("DateCreated").alias("_od"))
+                     .where(week_diff("Dateofbirth", "_od") <= MAX_WEEKS))
+    best = F.struct((-F.unix_date(F.to_date("tin_DateCreated"))).alias("k"), F.col("IntakeType").alias("t"),
+                    F.to_date("tin_DateCreated").alias("d"))
+    state = (v.select("AnimalID", F.when(died, F.col("_b")).alias("_b"), F.when(seen, best).alias("_bv"))
+             .unionByName(eu.select("AnimalID", "_od"), allowMissingColumns=True)
+             .groupBy("AnimalID").agg(F.min("_b").alias("_first_a"), F.min("_od").alias("_b_min"), F.min("_bv").alias("_bv")))
+    no_a_until = F.col("_first_a").isNull() | (F.col("_first_a") > F.col("reference_date"))
 
     # alive candidates: visits x report months (bounded by the 20-week age window) x week starts
-    d = (v.where(F.col("tOut_DateCreated").isNotNull() & F.col("DateOfBirth").isNotNull())
+    left = F.lit(True) if open_stays else F.col("tOut_DateCreated").isNotNull()
+    d = (v.where(left & F.col("DateOfBirth").isNotNull())
          .withColumn("IntakeAge", week_diff("DateOfBirth", "tin_DateCreated"))
          .where(F.col("IntakeAge").between(0, MAX_WEEKS)))
     last_month = F.least(month_start("tOut_DateCreated"), month_start(F.date_add(dob, 7 * MAX_WEEKS + 6)))
@@ -87,17 +114,11 @@ def kitten_cohort(m: Model, spine: MonthSpine, now: _dt.date, cohort_start: _dt.
     d = (d.withColumn("_ws", F.explode(F.array(*[F.date_add("reference_date", k) for k in week_offsets])))
          .withColumn("_age", week_diff(dob, "_ws"))
          .where(F.col("_age").between(0, MAX_WEEKS) & (F.to_date("tin_DateCreated") <= F.col("_ws"))
-                & (week_diff("_ws", "tOut_DateCreated") >= 0)))
+                & (F.col("tOut_DateCreated").isNull() | (week_diff("_ws", "tOut_DateCreated") >= 0))))
     keys = d.select("AnimalID", "reference_date").distinct()
-    a_min = (keys.join(a_rows.select("AnimalID", "_b", "_od"), "AnimalID", "inner")
-             .where(F.col("_b") <= F.col("reference_date"))
-             .groupBy("AnimalID", "reference_date").agg(F.min("_od").alias("_a_min")))
-    dead = (keys.join(a_min, ["AnimalID", "reference_date"], "left").join(a_ids, "AnimalID", "left")
-            .join(b_min, "AnimalID", "left")
-            .select("AnimalID", "reference_date", F.least(
-                F.col("_a_min"),
-                F.when(F.col("_first_a").isNull() | (F.col("_first_a") > F.col("reference_date")), F.col("_b_min")))
-                .alias("_dead")))
+    dead = (_earliest_death_until(keys, a_rows).join(state, "AnimalID", "inner")
+            .select("AnimalID", "reference_date",
+                    F.least(F.col("_a_min"), F.when(no_a_until, F.col("_b_min"))).alias("_dead")))
     alive = (d.join(dead, ["AnimalID", "reference_date"], "left")
              .where(F.col("_dead").isNull() | (F.col("_dead") >= F.col("_ws")))
              .select("AnimalID", "Name", "IntakeType", dob.alias("Dateofbirth"),
@@ -112,9 +133,7 @@ def kitten_cohort(m: Model, spine: MonthSpine, now: _dt.date, cohort_start: _dt.
                      week_diff("Dateofbirth", "Intakedate").alias("IntakeAge"), F.col("_od").alias("ReferenceDate"),
                      "Outcometype", age_band(week_diff("Dateofbirth", "_od")).alias("Agegroup"), "reference_date"))
     dec_b = (eu.withColumn("reference_date", month_start("_od")).where(spine.in_spine("reference_date"))
-             .join(a_ids, "AnimalID", "left")
-             .where(F.col("_first_a").isNull() | (F.col("_first_a") > F.col("reference_date")))
-             .join(b_best_visit, "AnimalID", "inner")
+             .join(state, "AnimalID", "inner").where(no_a_until)
              .select("AnimalID", "Name", F.col("_bv.t").alias("IntakeType"), "Dateofbirth",
                      F.col("_bv.d").alias("Intakedate"), week_diff("Dateofbirth", F.col("_bv.d")).alias("IntakeAge"),
                      F.col("_od").alias("ReferenceDate"), F.lit("Euthanised").alias("Outcometype"),

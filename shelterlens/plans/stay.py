@@ -178,8 +178,13 @@ def los_outcomed(m: Model, spine: MonthSpine, same_year: bool = False, per_stay:
     return _finish(stays, foster, same_year)
 
 
-def los_not_outcomed(m: Model, spine: MonthSpine, same_year: bool = False) -> DataFrame:
-    """Animals still in care at each report date (open foster spell counted to it)."""
+def los_not_outcomed(m: Model, spine: MonthSpine, same_year: bool = False, match_animal: bool = False,
+                     open_stays: bool = False) -> DataFrame:
+    """Animals still in care at each report date (open foster spell counted to it).
+
+    ``match_animal`` repairs Q11: only an active status row of the animal itself qualifies its latest status
+    time. ``open_stays`` repairs Q12: a visit without an out date lasts beyond every report date.
+    """
     animals = m["animals"].where(F.col("Species").isin(list(SPECIES))).select("AnimalID", "Name", "Species")
     v = m["visits_out"].join(animals.select("AnimalID"), "AnimalID", "left_semi")
     flow = (v.where(isin_or_null("IntakeType", INTAKE_TYPES) & _month_before(spine, "tin_DateCreated"))
@@ -189,14 +194,17 @@ def los_not_outcomed(m: Model, spine: MonthSpine, same_year: bool = False) -> Da
                    | (F.col("tOut_DateCreated") > as_timestamp("reference_date")))
             .select("AnimalID", "reference_date", F.to_date("tin_DateCreated").alias("intakedate")).distinct())
     # inventory: months where the animal has a visit ending later, a past intake and a recent status row
-    span = v.groupBy("AnimalID").agg(F.min("tin_DateCreated").alias("_tin_min"),
-                                     F.max("tOut_DateCreated").alias("_tout_max"))
+    out = F.col("tOut_DateCreated")
+    if open_stays:
+        out = F.coalesce(out, as_timestamp(F.lit(_add_months(spine.last, 1))))
+    span = v.groupBy("AnimalID").agg(F.min("tin_DateCreated").alias("_tin_min"), F.max(out).alias("_tout_max"))
     grid = explode_months(span, F.add_months(month_start("_tin_min"), 1), month_start(F.col("_tout_max")), spine).where(
         F.col("_tout_max") > as_timestamp("reference_date")).select("AnimalID", "reference_date")
     grid = _last_status_and_intake(m, grid, spine, None)
     active_ts = m["statuses"].where((F.col("Status") == "A") & (F.col("LastUpdated") <= as_timestamp(F.lit(spine.last))))
-    active_ts = active_ts.select(F.col("LastUpdated").alias("_st")).distinct()
-    grid = grid.join(active_ts, "_st", "left_semi")  # any animal's active row at that instant (Q11)
+    same = ["AnimalID", "_st"] if match_animal else ["_st"]   # any animal's active row at that instant (Q11)
+    active_ts = active_ts.withColumnRenamed("LastUpdated", "_st").select(*same).distinct()
+    grid = grid.join(active_ts, same, "left_semi")
     inv = grid.select("AnimalID", "reference_date", F.to_date("_pi").alias("intakedate"))
     stays = (inv.unionByName(flow).join(animals, "AnimalID", "inner")
              .withColumn("outcomedate", F.col("reference_date")))

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import as_timestamp, day_diff, month_start, week_diff
-from shelterlens.functions.predicates import flag, ne_sql, rank_code
+from shelterlens.functions.predicates import case_map, collation_of, flag, ne_sql, rank_code
 from shelterlens.operators.dedupe import Ord, keep_first
 from shelterlens.operators.spine import MonthSpine, _add_months, current_year, domain, product_of, trailing_months
 from shelterlens.operators.timeline import asof_ranged
+from shelterlens.session import materialize
 from shelterlens.sources.model import Model
 
 # Fixed values of the wait-time report.
@@ -36,8 +37,9 @@ MIN_INTAKE_AGE_WEEKS = 7
 
 
 def surgery_category(medication: str) -> F.Column:
-    """S3: the treatment -> category map (9 fixed entries) as a literal map; null for other treatments."""
-    return F.create_map(*[F.lit(x) for pair in SURGERY_MAP for x in pair])[F.col(medication)]
+    """S3: the treatment -> category map (9 fixed entries) as a CASE, which follows the column's collation;
+    null for other treatments."""
+    return case_map(medication, dict(SURGERY_MAP))
 
 
 def goal(category) -> F.Column:
@@ -48,35 +50,57 @@ def goal(category) -> F.Column:
     return expr
 
 
+def _of_animals(df: DataFrame, listed: DataFrame) -> DataFrame:
+    return df.join(listed.select("AnimalID").distinct(), "AnimalID", "left_semi")
+
+
+def _intake_of_exam(et: DataFrame, surgeries: DataFrame, visits: DataFrame) -> DataFrame:
+    """(ExamID, tin_DateCreated, IntakeType): the latest visit before the last treatment time of each of the
+    exam's animals, and of those the latest (one row per exam, Q24)."""
+    exam_last = materialize(et.join(surgeries.select("ExamID").distinct(), "ExamID", "left_semi")
+                            .groupBy("ExamID", "AnimalID").agg(F.max("StatusDateTime").alias("_exam_ts")))
+    found = asof_ranged(exam_last, _of_animals(visits, exam_last), ["AnimalID"], "_exam_ts", "tin_DateCreated", ["IntakeType"])
+    return (found.where(F.col("tin_DateCreated").isNotNull()).groupBy("ExamID")
+            .agg(F.max(F.struct("tin_DateCreated", "IntakeType")).alias("_v")).select("ExamID", "_v.*"))
+
+
+def _intake_of_treatment(surgeries: DataFrame, visits: DataFrame) -> DataFrame:
+    """(AnimalID, StatusDateTime, tin_DateCreated, IntakeType): the latest visit before each surgery's own time."""
+    moments = surgeries.select("AnimalID", "StatusDateTime").distinct()
+    found = asof_ranged(moments, _of_animals(visits, moments), ["AnimalID"], "StatusDateTime", "tin_DateCreated", ["IntakeType"])
+    return found.where(F.col("tin_DateCreated").isNotNull())
+
+
 def surgery_wait(m: Model, spine: MonthSpine, spark: SparkSession,
-                 history_start: _dt.date = HISTORY_START) -> DataFrame:
-    """One row per (animal, surgery category, report month)."""
+                 history_start: _dt.date = HISTORY_START, per_treatment: bool = False) -> DataFrame:
+    """One row per (animal, surgery category, report month).
+
+    ``per_treatment`` repairs Q24: each surgery gets the latest intake before its own time, not the one
+    its exam got. The surgeries are written once, as four steps start from them.
+    """
     hs = as_timestamp(F.lit(history_start))
     et = m["treatments"].select("ExamID", "AnimalID", "Medication", "StatusDateTime")
     # surgeries of the months before the report months: literal bounds, so they reach the scan
-    surgeries = et.where(F.col("Medication").isin([k for k, _ in SURGERY_MAP])
-                         & (F.col("StatusDateTime") >= as_timestamp(F.lit(_add_months(spine.first, -1))))
-                         & (F.col("StatusDateTime") < as_timestamp(F.lit(spine.last))))
-    # As-of intake per exam, of the exams that have such a surgery: latest visit before the last
-    # treatment time of each of its animals, and of those the latest (one row per exam).
-    exam_last = (et.join(surgeries.select("ExamID").distinct(), "ExamID", "left_semi")
-                 .groupBy("ExamID", "AnimalID").agg(F.max("StatusDateTime").alias("_exam_ts")))
+    surgeries = materialize(et.where(
+        F.col("Medication").isin([k for k, _ in SURGERY_MAP])
+        & (F.col("StatusDateTime") >= as_timestamp(F.lit(_add_months(spine.first, -1))))
+        & (F.col("StatusDateTime") < as_timestamp(F.lit(spine.last)))))
     visits = (m["visits"].where(F.col("IntakeType").isin(list(INTAKE_TYPES)) & (F.col("tin_DateCreated") >= hs))
               .select("AnimalID", "tin_DateCreated", "IntakeType"))
-    visit_rank = asof_ranged(exam_last, visits, ["AnimalID"], "_exam_ts", "tin_DateCreated", ["IntakeType"]).where(F.col("tin_DateCreated").isNotNull())
-    visit_rank = visit_rank.groupBy("ExamID").agg(
-        F.max(F.struct("tin_DateCreated", "IntakeType")).alias("_v")).select("ExamID", "_v.*")
     s = (surgeries.withColumn("reference_date", F.add_months(month_start("StatusDateTime"), 1))
          .where(spine.in_spine("reference_date"))
-         .withColumn("Surgerycategory", surgery_category("Medication")).join(visit_rank, "ExamID", "inner"))
+         .withColumn("Surgerycategory", surgery_category("Medication")))
+    if per_treatment:
+        s = s.join(_intake_of_treatment(surgeries, visits), ["AnimalID", "StatusDateTime"], "inner")
+    else:
+        s = s.join(_intake_of_exam(et, surgeries, visits), "ExamID", "inner")
     animals = (m["animals"].where(F.col("has_details") & F.col("Species").isin(list(WAIT_SPECIES)))
                .select("AnimalID", "Name", "Species", "DateOfBirth"))
     s = s.join(animals, "AnimalID", "inner")
     # Highest listed stage (other than the excluded one) seen in [history_start, report date): first date per stage.
-    st = (m["statuses"].where(F.col("Stage").isin(list(WAIT_STAGES)) & ne_sql("Stage", EXCLUDED_STAGE)
-                              & (F.col("LastUpdated") >= hs)
-                              & (F.col("LastUpdated") < as_timestamp(F.lit(spine.last))))
-          .join(surgeries.select("AnimalID").distinct(), "AnimalID", "left_semi")   # only of animals with a surgery
+    st = m["statuses"].where(F.col("Stage").isin(list(WAIT_STAGES)) & ne_sql("Stage", EXCLUDED_STAGE)
+                             & (F.col("LastUpdated") >= hs) & (F.col("LastUpdated") < as_timestamp(F.lit(spine.last))))
+    st = (_of_animals(st, surgeries)
           .groupBy("AnimalID", "Stage").agg(F.min("LastUpdated").alias("StageDate")))
     s = s.join(st, "AnimalID", "inner").where(F.col("StageDate") < as_timestamp("reference_date"))
     s = s.select(
@@ -88,7 +112,7 @@ def surgery_wait(m: Model, spine: MonthSpine, spark: SparkSession,
     s = s.where(F.col("IntakeAge") >= MIN_INTAKE_AGE_WEEKS)
     # stage descending as its rank in the fixed stage list (binary text order), so the
     # keep-first stays a combining aggregate instead of a row_number window
-    s = s.withColumn("_stage_rank", rank_code("Stage", WAIT_STAGES))
+    s = s.withColumn("_stage_rank", rank_code("Stage", WAIT_STAGES, collation_of(st, "Stage")))
     one = keep_first(s, ["AnimalID", "Surgerycategory", "reference_date"],
                      [Ord("_stage_rank", asc=False), Ord("SurgeryDate"), Ord("ExamID"), Ord("Medication"),
                       Ord("StageDate"), Ord("IntakeDate"), Ord("IntakeType"), Ord("Stage")])

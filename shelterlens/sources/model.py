@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from shelterlens.functions.predicates import concat_null
 
@@ -69,3 +70,28 @@ def resolve(t: dict[str, DataFrame]) -> Model:
         "euthanasia": t["Euthanasia"].select("AnimalID", "DateCreated"),
         "treatments": treatments,
     }
+
+
+def with_collation(model: Model, collation: str) -> Model:
+    """Q1: the model with its text columns under a collation (``UNICODE_CI``, ``UTF8_LCASE``, ...).
+
+    The original compares and orders texts by its database's collation, the reports here by bytes. The
+    collation is declared once, on the columns, as a database does: IN, ``=``, max / min, ordering,
+    grouping and joins of every report that reads the model follow it. Texts that are equal under
+    it are one value, of which any spelling may be shown. Filters on such columns are not pushed into parquet scans.
+    Frames are built on first use.
+    """
+    return _Collated(model, collation)
+
+
+class _Collated(dict):
+    def __init__(self, model: Model, collation: str):
+        super().__init__()
+        self._model, self._collation = model, collation
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self._model[name]
+        self[name] = df.select(*[
+            F.collate(F.col(f"`{f.name}`"), self._collation).alias(f.name) if isinstance(f.dataType, StringType)
+            else F.col(f"`{f.name}`") for f in df.schema])
+        return self[name]

@@ -89,7 +89,7 @@ def test_stays_read_few_tables(spark, monkeypatch):
     """Scans over all steps of a stay report, those that it stores included."""
     from shelterlens import session
     from shelterlens.operators import timeline
-    from shelterlens.plans import stay
+    from shelterlens.plans import kitten, stay
     plans = []
 
     def counted(df):
@@ -101,6 +101,10 @@ def test_stays_read_few_tables(spark, monkeypatch):
         plans.clear()
         plans.append(catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString())
         assert len(plans) > 1 and sum(p.count("FileScan") for p in plans) <= 24, name
+    plans.clear()
+    monkeypatch.setattr(kitten, "materialize", counted)
+    plans.append(catalog.queries()["weekly_presence_cohort"](spark, SF)._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 3 and sum(p.count("FileScan") for p in plans) <= 18
     plan = catalog.queries()["complication_min_days"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 14
 

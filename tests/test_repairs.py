@@ -56,3 +56,54 @@ def test_only_missing_cells(spark):
         "AnimalID long, Species string, Surgerycategory string, SurgeryDate timestamp_ntz, SurgeryWait int")
     assert wt.wait_buckets(wait, D(2024, 3, 20)).count() == 2 + 2 * 4
     assert wt.wait_buckets(wait, D(2024, 3, 20), only_missing=True).count() == 2 + 2 * 4 - 2
+
+
+def _stay_model(spark):
+    # animal 1's latest status is inactive, at the instant of an active row of animal 2; animal 3 never left
+    return _model(spark, Animal=[(1, "A", 1, "F"), (2, "B", 1, "F"), (3, "C", 1, "F")],
+                  txnVisit=[(1, 1, T(2024, 1, 5), T(2024, 6, 1), "Stray", "s", "Adoption"),
+                            (2, 2, T(2024, 1, 5), T(2024, 6, 1), "Stray", "s", "Adoption"),
+                            (3, 3, T(2024, 1, 5), None, "Stray", "s", None)],
+                  HistoryStatus=[(1, 1, "I", T(2024, 2, 1, 9), 1), (2, 1, "A", T(2024, 2, 1, 9), 2),
+                                 (3, 1, "A", T(2024, 2, 2), 3)])
+
+
+def test_match_animal_and_open_stays(spark):
+    m, spine = _stay_model(spark), MonthSpine([D(2024, 4, 1)])
+
+    def held(**options):
+        return sorted(r.animalid for r in sy.los_not_outcomed(m, spine, **options).collect())
+    assert held() == [1, 2]
+    assert held(match_animal=True) == [2]
+    assert held(open_stays=True) == [1, 2, 3]
+    assert held(match_animal=True, open_stays=True) == [2, 3]
+
+
+def test_open_stays_of_kittens(spark):
+    m = _model(spark, Animal=[(1, "A", 1, "F"), (2, "B", 1, "F")],
+               AnimalDetails=[(1, T(2024, 2, 20)), (2, T(2024, 2, 20))],
+               txnVisit=[(1, 1, T(2024, 2, 25), T(2024, 3, 20), "Stray", "s", "Adoption"),
+                         (2, 2, T(2024, 2, 25), None, "Stray", "s", None)])
+    spine = MonthSpine([D(2024, 3, 1), D(2024, 8, 1)])
+
+    def alive(**options):
+        rows = kt.kitten_cohort(m, spine, D(2024, 8, 15), D(2024, 1, 1), **options).collect()
+        return {(r.Animalid, r.Agegroup, r.reference_date.month) for r in rows}
+    assert {a for a, _, _ in alive()} == {1}
+    assert {(a, b) for a, b, _ in alive(open_stays=True)} == {(1, "0-2 wks"), (1, "3-6 wks"), (2, "0-2 wks"), (2, "3-6 wks")}
+    assert {mon for _, _, mon in alive(open_stays=True)} == {3}   # over 20 weeks old in August
+
+
+def test_intake_per_treatment(spark):
+    # exam 1: a spay on the 10th, another treatment on the 25th; an intake between the two
+    m = _model(spark, Animal=[(1, "A", 1, "F")], AnimalDetails=[(1, T(2020, 1, 1))], Site=[(1, "S")],
+               refAnimalStage=[(1, "Evaluate")], HistoryStatus=[(1, 1, "A", T(2024, 1, 2), 1)],
+               txnVisit=[(1, 1, T(2024, 1, 3), None, "Stray", "s", None), (2, 1, T(2024, 1, 15), None, "Stray", "s", None)],
+               ExamTreatment=[(1, 1, 1, 1, "Ovariohysterectomy", T(2024, 1, 10), T(2024, 1, 10), 1, None, None),
+                              (2, 1, 1, 1, "Bandage", T(2024, 1, 25), T(2024, 1, 25), 1, None, None)])
+    spine = MonthSpine([D(2024, 2, 1)])
+
+    def wait(**options):
+        return [(r.IntakeDate, r.SurgeryWait) for r in wt.surgery_wait(m, spine, spark, D(2019, 1, 1), **options).collect()]
+    assert wait() == [(T(2024, 1, 15), -5)]
+    assert wait(per_treatment=True) == [(T(2024, 1, 3), 7)]
