@@ -23,6 +23,7 @@ from shelterlens.operators.spine import (MonthSpine, _add_months, explode_months
                                          trailing_months)
 from shelterlens.operators.temporal import exists_prior_within_days
 from shelterlens.session import materialize
+from shelterlens.sources.storage import bounded
 from shelterlens.sources.model import Model
 
 # Fixed values of the incidence reports.
@@ -80,8 +81,7 @@ def _cohort_animals(m: Model, d: Disease) -> DataFrame:
 def _listed_exams(m: Model, d: Disease, spine: MonthSpine) -> DataFrame:
     """Exams with a listed condition inside a report month, closed at 00:00 of the last day (Q3)."""
     e = m["exam_conditions"].where(F.col("Condition").isin(list(d.conditions)))
-    e = e.where((F.col("DateCreated") >= as_timestamp(F.lit(spine.first)))
-                & (F.col("DateCreated") < as_timestamp(F.lit(_add_months(spine.last, 1)))))
+    e = bounded(e, "DateCreated", spine.first, _add_months(spine.last, 1))
     e = e.withColumn("reference_date", month_start("DateCreated")).where(spine.in_spine("reference_date"))
     if not d.closed_month:
         e = e.where(F.col("DateCreated") <= month_end_midnight("reference_date"))
@@ -103,9 +103,8 @@ def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFr
     exams = exams.withColumn("eday", F.to_date("DateCreated"))
     # intakes that any report month can see: literal bounds for the scan
     first_day = spine.first - _dt.timedelta(days=hi)
-    intakes = m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types))
-                                & (F.col("tin_DateCreated") >= as_timestamp(F.lit(first_day)))
-                                & (F.col("tin_DateCreated") < as_timestamp(F.lit(_add_months(spine.last, 1)))))
+    intakes = bounded(m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types))),
+                      "tin_DateCreated", first_day, _add_months(spine.last, 1))
     if hi - lo < 31 or lo < 1:
         return _numerator_rows(_short_window_matches(exams, intakes, lo, hi), animals)
     groups = exams.groupBy("AnimalID", "Condition", "reference_date").agg(
@@ -155,8 +154,7 @@ def _numerator_rows(matched: DataFrame, animals: DataFrame) -> DataFrame:
 def _inventory_base(m: Model, d: Disease, spine: MonthSpine) -> DataFrame:
     """Status rows of listed stages joined to their own visit (left) and the animal."""
     animals = _cohort_animals(m, d)
-    st = m["statuses"].where(F.col("Stage").isin(list(d.stages))
-                             & (F.col("LastUpdated") >= as_timestamp(F.lit(_add_months(spine.first, -12)))))
+    st = bounded(m["statuses"].where(F.col("Stage").isin(list(d.stages))), "LastUpdated", _add_months(spine.first, -12))
     v = m["visits"].select(F.col("AnimalID").alias("_vid"), F.col("InPrimaryKey"),
                            "IntakeType", "tin_DateCreated")
     base = (st.join(v, (F.col("AnimalID") == F.col("_vid")) & (F.col("OperationPrimaryID") == F.col("InPrimaryKey")),
@@ -213,9 +211,8 @@ def flow_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame:
     animals = _cohort_animals(m, disease)
     completed = m["intake_status"].where(F.col("OperationStatus") == "Completed").select(
         F.col("OperationRecordID").alias("InPrimaryKey"), F.col("StatusDateTime").alias("tin_DateCreated"))
-    v = (m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types)))
-         .where((F.col("tin_DateCreated") >= as_timestamp(F.lit(spine.first)))
-                & (F.col("tin_DateCreated") < as_timestamp(F.lit(_add_months(spine.last, 1)))))
+    listed = m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types)))
+    v = (bounded(listed, "tin_DateCreated", spine.first, _add_months(spine.last, 1))
          .withColumn("reference_date", month_start("tin_DateCreated")).where(spine.in_spine("reference_date")))
     if not disease.closed_month:
         v = v.where(F.col("tin_DateCreated") < month_end_midnight("reference_date"))
@@ -225,9 +222,7 @@ def flow_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame:
     e_lo, e_hi = disease.early_days
     exams = _listed_exams(m, disease, spine).join(animals.select("AnimalID"), "AnimalID", "left_semi")
     first_day = spine.first - _dt.timedelta(days=e_hi)
-    all_visits = (m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types))
-                                    & (F.col("tin_DateCreated") >= as_timestamp(F.lit(first_day)))
-                                    & (F.col("tin_DateCreated") < as_timestamp(F.lit(_add_months(spine.last, 1)))))
+    all_visits = (bounded(listed, "tin_DateCreated", first_day, _add_months(spine.last, 1))
                   .join(animals.select("AnimalID"), "AnimalID", "left_semi"))
     excluded = exists_prior_within_days(exams, all_visits, ["AnimalID"], "DateCreated", "tin_DateCreated",
                                         e_lo, e_hi).select("AnimalID", "reference_date").distinct()
