@@ -3,6 +3,7 @@ import hashlib
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelterlens.llm import html_extract as hx
 from shelterlens.llm import queries, warc
@@ -183,12 +184,95 @@ def test_odd_pages_extract(spark, odd_pages):
     assert by[4].text == "" and by[5].n_chars == 0 and by[8].n_chars == 400_000 and by[None].text == "null id"
 
 
-def test_html_query_finds_the_articles(spark):
-    import html
-    import re
-    rows = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
-    for r in queries.op3_html_extraction(spark, SF).collect():
-        inner = re.search("<article>(.*?)</article>", rows[r.page_id], re.S)[1]
-        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", " ", b))).strip()
-                  for b in re.split("</?(?:p|h1)>", inner)]
-        assert r.text == "\n".join(b for b in blocks if b)
+def brute_judges(pages):
+    """What the counts say of each host, from whole tables in Python."""
+    hosts = {}
+    for url, raw in pages:
+        nodes = hx.tree(raw or "")
+        found, places = hx.hashed(nodes)
+        whole = sum(len(p) for n in nodes if not n.drop for p in n.parts if isinstance(p, str))
+        held = hosts.setdefault(hx.host_of(url), {}).setdefault(hx.content_of(nodes), [{}, {}])
+        for k, v in found.items():
+            held[0][k] = min(v, held[0].get(k, v))
+        for k, v in places.items():
+            held[1][k] = min((*v, whole), held[1].get(k, (*v, whole)))
+    out = {}
+    for host, contents in hosts.items():
+        n, kinds, seen = len(contents), {0: [], 1: [], 2: []}, {}
+        for found, places in contents.values():
+            for h, kind in found.items():
+                kinds[kind].append(h)
+            for place, v in places.items():
+                seen.setdefault(place, []).append(v)
+        outside = {h for h in kinds[0] if kinds[0].count(h) >= max(3, 0.1 * n)}
+        inside = {h for h in kinds[1] if kinds[1].count(h) >= max(3, n * (0.5 if n >= 20 else 0.9))}
+        slots = {h for h in kinds[2] if kinds[2].count(h) >= 3}
+        taken = set()
+        for place, vs in seen.items():
+            values = [v[0] for v in vs]
+            again = sum(values.count(x) > 1 for x in values)
+            if len(vs) >= max(3, 0.1 * n) and 2 * again >= len(vs) and 4 * sum(v[1] for v in vs) <= sum(v[2] for v in vs):
+                taken.add(place)
+        out[host] = (outside, inside, taken, slots, n >= 10)
+    return out
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_texts_equal_brute_force_counts(spark, marked):
+    """All pages, as given and with their semantic tags renamed: text by counts in Spark and in Python."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    if not marked:
+        pages = pages.withColumn("html", F.regexp_replace("html", r"<(/?)(nav|article|footer)\b", "<$1div"))
+        pages = pages.withColumn("url", F.concat(F.lit("http://one.example/"), "page_id"))     # hosts large enough to count
+    rows = pages.collect()
+    judges = brute_judges([(r.url, r.html) for r in rows])
+    got = {r.page_id: r.text for r in hx.main_text(pages.repartition(3)).collect()}
+    for r in rows:
+        nodes = hx.tree(r.html or "")
+        hx.hashed(nodes)
+        assert got[r.page_id] == "\n".join(hx.chosen(nodes, hx.Judge(*judges[hx.host_of(r.url)])))
+    assert marked or any(j[2] for j in judges.values())
+
+
+def test_menus_with_other_links_and_rotating_texts_go_by_place(spark):
+    def page(i):
+        menu = "".join(f"<li><a href='/{i}{k}'>word{i * k} {k}</a></li>" for k in range(1, 5))
+        return (f"<div><ul>{menu}</ul></div><div class=x1>offer {i % 4}</div><div><h1>Part {i}</h1>"
+                f"<p>{f'of story {i} ' * 30}</p></div><div class=low>by {'abcde'[i % 5]}</div>")
+    df = spark.createDataFrame([(i, f"http://p.example/{i}", page(i)) for i in range(24)],
+                               "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in hx.main_text(df).collect()}
+    assert all(got[i] == f"Part {i}\n" + (f"of story {i} " * 30).strip() for i in range(24))
+
+
+@pytest.mark.parametrize("raw,want", [
+    ('<p>a much longer text <span class="ad">Buy <span>now</span> cheap</span> b</p>', "a much longer text b"),
+    ("<p>x <span hidden>a <span>b</span> c</span> y</p>", "x y"),
+    ('<p>x <span class="ad">never closed</p><p>y</p>', "x never closed\ny"),
+    ('<p><a href="/1">in a link</a> and <a href=/2>more</p><p>after</p>', "in a link and more\nafter"),
+])
+def test_nested_inline_marks(raw, want):
+    assert text_of(raw) == want
+
+
+@pytest.mark.parametrize("tag", ["div", "x-y", "p", "li", "span class=ad"])
+def test_time_is_linear_in_nesting(tag):
+    import time
+
+    def run(n):
+        raw = f"<{tag}>" * n + "x" + f"</{tag.split()[0]}></p>" * n
+        t0 = time.process_time()
+        text = text_of(raw)
+        return time.process_time() - t0, text
+    small, large = run(4_000), run(32_000)
+    assert large[1] in ("x", "") and large[0] < 24 * small[0] + 1
+
+
+def test_html_query_reads_every_page(spark):
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    got = {r.page_id: r for r in queries.op3_html_extraction(spark, SF).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        text = got[r.page_id].text
+        assert got[r.page_id].n_chars == len(text) and got[r.page_id].url == r.url
+        assert "<p>" not in text and "track(" not in text
