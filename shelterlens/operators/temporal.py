@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import day_diff
+from shelterlens.operators.joins import join_large
 
 
 def _col(c) -> Column:
@@ -44,7 +45,7 @@ def exists_prior_within_days(targets: DataFrame, sources: DataFrame, by: Sequenc
     cond_all = cond[0]
     for c in cond[1:]:
         cond_all = cond_all & c
-    return t.join(shifted, cond_all & residual, "left_semi").drop("_tday")
+    return join_large(t, shifted, cond_all & residual, "left_semi").drop("_tday")
 
 
 SHORT_WINDOW_DAYS = 62   # up to here each source day is offset; longer windows look up the latest day

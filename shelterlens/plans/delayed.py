@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import as_timestamp, month_start
 from shelterlens.operators.dedupe import keep_min_ties
+from shelterlens.operators.joins import join_large
 from shelterlens.operators.spine import MonthSpine, _add_months
 from shelterlens.sources.model import Model
 
@@ -46,11 +47,10 @@ def delayed_outcome(m: Model, spine: MonthSpine, lo: int = MIN_DAYS, hi: int = M
          .agg(F.min(F.struct(F.col("tin_DateCreated").alias("t"), F.col("IntakeType").alias("k"))).alias("_first")))
     shifted = (v.withColumn("TimetoEuth", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
                .withColumn("_eday", F.date_add("_vday", F.col("TimetoEuth"))))
-    pairs = (eu.join(shifted, ["AnimalID", "_eday"], "inner")
-             .join(animals.select("AnimalID"), "AnimalID", "left_semi"))
+    pairs = join_large(join_large(eu, shifted, ["AnimalID", "_eday"]), animals.select("AnimalID"), "AnimalID", "left_semi")
     # at most (days of a month) x (allowed day counts) rows per animal and month: a bounded window
     best = keep_min_ties(pairs, ["AnimalID", "ReportDate"], "TimetoEuth")
-    out = best.join(animals, "AnimalID", "inner")
+    out = join_large(best, animals, "AnimalID")
     return out.select("AnimalID", "Name", "Species", "DateOfBirth", "Sex",
                       F.col("_first.k").alias("IntakeType"), F.col("_first.t").alias("IntakeDate"),
                       "EuthanizedDate", F.col("TimetoEuth").cast("bigint").alias("TimetoEuth"), "ReportDate")

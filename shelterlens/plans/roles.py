@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelterlens.operators.joins import join_large
 from shelterlens.sources.model import Model
 from shelterlens.sources.tables import read_driver_tables
 
@@ -121,16 +122,15 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
         # rather than written out: a write + two reads costs about what a second
         # join does, and one-role reports would pay the write for nothing.
         if "lines" not in cache:
-            cache["lines"] = lineitem.select(*LINE_COLUMNS).join(
-                orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"),
-                "l_orderkey", "inner")
+            cache["lines"] = join_large(lineitem.select(*LINE_COLUMNS), orders.select(
+                F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey")
         return cache["lines"]
 
     def animals() -> DataFrame:
         first_order = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
             F.min("o_orderdate").alias("DateOfBirth"))
-        return (t["customer"].join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
-                .join(first_order, "c_custkey", "left")
+        customer = t["customer"].join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+        return (join_large(customer, first_order, "c_custkey", "left")
                 .select(F.col("c_custkey").alias("AnimalID"), F.col("c_name").alias("Name"),
                         F.expr(SPECIES_CASE).alias("Species"), F.expr(SEX_CASE).alias("Sex"),
                         "DateOfBirth", F.lit(True).alias("has_details")))
@@ -145,7 +145,7 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
     def visits_out() -> DataFrame:
         last_ship = lineitem.groupBy(F.col("l_orderkey").alias("InPrimaryKey")).agg(
             F.max("l_shipdate").alias("tOut_DateCreated"))
-        return visits().join(last_ship, "InPrimaryKey", "left")
+        return join_large(visits(), last_ship, "InPrimaryKey", "left")
 
     def intake_status() -> DataFrame:
         return orders.select(F.col("o_orderkey").alias("OperationRecordID"),
