@@ -19,6 +19,7 @@ from shelterlens.functions.dates import (as_timestamp, first_month_start_on_or_a
                                          last_month_start_before, month_end_midnight, month_start,
                                          week_diff)
 from shelterlens.functions.predicates import collation_of, isin_or_null, rank_code, rank_decode
+from shelterlens.operators.joins import join_large
 from shelterlens.operators.spine import (MonthSpine, _add_months, explode_months, fill_missing_months,
                                          trailing_months)
 from shelterlens.operators.temporal import exists_prior_within_days
@@ -99,7 +100,7 @@ def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFr
     """
     lo, hi = disease.onset_days
     animals = _cohort_animals(m, disease)
-    exams = _listed_exams(m, disease, spine).join(animals.select("AnimalID"), "AnimalID", "left_semi")
+    exams = join_large(_listed_exams(m, disease, spine), animals.select("AnimalID"), "AnimalID", "left_semi")
     exams = exams.withColumn("eday", F.to_date("DateCreated"))
     # intakes that any report month can see: literal bounds for the scan
     first_day = spine.first - _dt.timedelta(days=hi)
@@ -109,21 +110,21 @@ def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFr
         return _numerator_rows(_short_window_matches(exams, intakes, lo, hi), animals)
     groups = exams.groupBy("AnimalID", "Condition", "reference_date").agg(
         F.min("eday").alias("mind"), F.max("eday").alias("maxd"))
-    visits = (intakes.join(animals.select("AnimalID"), "AnimalID", "left_semi")
+    visits = (join_large(intakes, animals.select("AnimalID"), "AnimalID", "left_semi")
               .select("AnimalID", "IntakeType", "tin_DateCreated",
                       F.to_date("tin_DateCreated").alias("vday")))
     vx = explode_months(visits, month_start(F.date_add("vday", lo)), month_start(F.date_add("vday", hi)), spine)
-    matched = (groups.join(vx, ["AnimalID", "reference_date"], "inner")
+    matched = (join_large(groups, vx, ["AnimalID", "reference_date"])
                .where((F.col("vday") >= F.date_sub("mind", hi)) & (F.col("vday") <= F.date_sub("maxd", lo)))
                .groupBy("AnimalID", "Condition", "reference_date")
                .agg(F.max("IntakeType").alias("Intaketype"), F.max("tin_DateCreated").alias("intakedate"),
                     F.min("vday").alias("_vmin")))
-    first_exam = (exams.join(matched.select("AnimalID", "Condition", "reference_date", "_vmin"),
-                             ["AnimalID", "Condition", "reference_date"], "inner")
+    first_exam = (join_large(exams, matched.select("AnimalID", "Condition", "reference_date", "_vmin"),
+                             ["AnimalID", "Condition", "reference_date"])
                   .where(F.col("eday") >= F.date_add("_vmin", lo))
                   .groupBy("AnimalID", "Condition", "reference_date")
                   .agg(F.min("DateCreated").alias("examdate")))
-    return _numerator_rows(matched.join(first_exam, ["AnimalID", "Condition", "reference_date"], "inner"), animals)
+    return _numerator_rows(join_large(matched, first_exam, ["AnimalID", "Condition", "reference_date"]), animals)
 
 
 def _short_window_matches(exams: DataFrame, intakes: DataFrame, lo: int, hi: int) -> DataFrame:
@@ -135,7 +136,7 @@ def _short_window_matches(exams: DataFrame, intakes: DataFrame, lo: int, hi: int
     days = (intakes.select("AnimalID", "IntakeType", "tin_DateCreated",
                            F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("_k"))
             .withColumn("eday", F.date_add(F.to_date("tin_DateCreated"), F.col("_k"))))
-    return (exams.distinct().join(days, ["AnimalID", "eday"], "inner")
+    return (join_large(exams.distinct(), days, ["AnimalID", "eday"])
             .where(F.col("DateCreated") > F.col("tin_DateCreated"))
             .groupBy("AnimalID", "Condition", "reference_date")
             .agg(F.max("IntakeType").alias("Intaketype"), F.max("tin_DateCreated").alias("intakedate"),
@@ -143,7 +144,7 @@ def _short_window_matches(exams: DataFrame, intakes: DataFrame, lo: int, hi: int
 
 
 def _numerator_rows(matched: DataFrame, animals: DataFrame) -> DataFrame:
-    out = matched.join(animals, "AnimalID", "inner").where(F.col("DateOfBirth").isNotNull())
+    out = join_large(matched, animals, "AnimalID").where(F.col("DateOfBirth").isNotNull())
     return out.select(
         F.col("AnimalID").alias("animalid"), F.col("Name").alias("name"), F.col("Species").alias("species"),
         F.col("DateOfBirth").alias("dateofbirth"), "Intaketype", F.col("Condition").alias("condition"),
@@ -157,10 +158,10 @@ def _inventory_base(m: Model, d: Disease, spine: MonthSpine) -> DataFrame:
     st = bounded(m["statuses"].where(F.col("Stage").isin(list(d.stages))), "LastUpdated", _add_months(spine.first, -12))
     v = m["visits"].select(F.col("AnimalID").alias("_vid"), F.col("InPrimaryKey"),
                            "IntakeType", "tin_DateCreated")
-    base = (st.join(v, (F.col("AnimalID") == F.col("_vid")) & (F.col("OperationPrimaryID") == F.col("InPrimaryKey")),
-                    "left")
+    base = (join_large(st, v, (F.col("AnimalID") == F.col("_vid"))
+                       & (F.col("OperationPrimaryID") == F.col("InPrimaryKey")), "left")
             .where(isin_or_null("IntakeType", d.intake_types)))
-    return base.join(animals.select("AnimalID"), "AnimalID", "left_semi").select(
+    return join_large(base, animals.select("AnimalID"), "AnimalID", "left_semi").select(
         "AnimalID", "Stage", "Status", F.col("LastUpdated").alias("ts"), "tin_DateCreated")
 
 
@@ -197,7 +198,7 @@ def stock_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame
     past = (explode_months(past_spans, "_lo", "_hi", spine)
             .groupBy("AnimalID", "reference_date").agg(F.max("_tin").alias("intakedate")))
     animals = _cohort_animals(m, disease).where(F.col("DateOfBirth").isNotNull())
-    out = latest.join(past, ["AnimalID", "reference_date"], "inner").join(animals, "AnimalID", "inner")
+    out = join_large(join_large(latest, past, ["AnimalID", "reference_date"]), animals, "AnimalID")
     return out.select(
         F.col("AnimalID").alias("animalid"), F.col("Name").alias("name"), F.col("Species").alias("species"),
         F.col("DateOfBirth").alias("dateofbirth"), "stagedate", F.lit("A").alias("status"), "stage",
@@ -216,19 +217,19 @@ def flow_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame:
          .withColumn("reference_date", month_start("tin_DateCreated")).where(spine.in_spine("reference_date")))
     if not disease.closed_month:
         v = v.where(F.col("tin_DateCreated") < month_end_midnight("reference_date"))
-    intakes = (v.join(completed, ["InPrimaryKey", "tin_DateCreated"], "left_semi")
-               .join(animals.select("AnimalID"), "AnimalID", "left_semi"))
+    intakes = join_large(join_large(v, completed, ["InPrimaryKey", "tin_DateCreated"], "left_semi"),
+                         animals.select("AnimalID"), "AnimalID", "left_semi")
     # Early-onset exclusion: any listed exam in the month within lo..hi days after any listed intake.
     e_lo, e_hi = disease.early_days
-    exams = _listed_exams(m, disease, spine).join(animals.select("AnimalID"), "AnimalID", "left_semi")
+    exams = join_large(_listed_exams(m, disease, spine), animals.select("AnimalID"), "AnimalID", "left_semi")
     first_day = spine.first - _dt.timedelta(days=e_hi)
-    all_visits = (bounded(listed, "tin_DateCreated", first_day, _add_months(spine.last, 1))
-                  .join(animals.select("AnimalID"), "AnimalID", "left_semi"))
+    all_visits = join_large(bounded(listed, "tin_DateCreated", first_day, _add_months(spine.last, 1)),
+                            animals.select("AnimalID"), "AnimalID", "left_semi")
     excluded = exists_prior_within_days(exams, all_visits, ["AnimalID"], "DateCreated", "tin_DateCreated",
                                         e_lo, e_hi).select("AnimalID", "reference_date").distinct()
-    kept = intakes.join(excluded, ["AnimalID", "reference_date"], "left_anti")
+    kept = join_large(intakes, excluded, ["AnimalID", "reference_date"], "left_anti")
     agg = kept.groupBy("AnimalID", "reference_date").agg(F.max("tin_DateCreated").alias("intakedate"))
-    out = agg.join(animals.where(F.col("DateOfBirth").isNotNull()), "AnimalID", "inner")
+    out = join_large(agg, animals.where(F.col("DateOfBirth").isNotNull()), "AnimalID")
     return out.select(
         F.col("AnimalID").alias("animalid"), F.col("Name").alias("name"), F.col("Species").alias("species"),
         F.col("DateOfBirth").alias("dateofbirth"),
