@@ -68,11 +68,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence, method: str
                 break
             fields.extend(k)
     if fields is not None and method != "window":
-        payload = F.struct(*[F.col(c).alias(c) for c in df.columns if c not in keys])
-        best = F.min(F.struct(*[f.alias(f"_k{i}") for i, f in enumerate(fields)], payload.alias("_row")))
+        # an ascending order column is its own key, so the row is read back from the keys; only the others come along
+        turned = [o.col for o in full if not o.asc and o.col not in keys]
+        payload = [F.struct(*[F.col(c).alias(c) for c in turned]).alias("_row")] if turned else []
+        best = F.min(F.struct(*[f.alias(f"_k{i}") for i, f in enumerate(fields)], *payload))
+        held = {o.col: f"_best._row.{o.col}" if o.col in turned else f"_best._k{2 * i + 1}" for i, o in enumerate(full)}
         return (df.groupBy(*keys).agg(best.alias("_best"))
-                .select(*keys, *[F.col("_best._row." + c).alias(c) for c in df.columns if c not in keys])
-                .select(*df.columns))
+                .select(*[F.col(c) if c in keys else F.col(held[c]).alias(c) for c in df.columns]))
     w = Window.partitionBy(*keys).orderBy(*[_sort_col(o) for o in full])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 

@@ -7,6 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 
 
+ROWS_A_TASK = 100_000   # wide rows that a task sorts several times in a row
+
+
+def deal(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt over tasks by the hash of ``by``: as many tasks as keep each small.
+
+    Aggregates, windows and rank filters on keys that hold ``by`` then need no further shuffle.
+    """
+    return df.repartition(rows // ROWS_A_TASK + 1, *by)
+
+
 def join_large(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner") -> DataFrame:
     """Equi-join that deals both sides over the tasks, whatever their size.
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from shelterlens.functions.dates import as_timestamp, month_end_midnight, month_start, ntz_micros
 from shelterlens.functions.predicates import case_in_lists, ne_keep_null
 from shelterlens.operators.dedupe import Ord, flag_group_size, keep_first, keep_min_ties
+from shelterlens.operators.joins import deal, join_large
 from shelterlens.session import materialize
 from shelterlens.operators.spine import MonthSpine, observed_grid, trailing_months
 from shelterlens.sources.model import Model
@@ -105,11 +106,9 @@ def _in_month(df: DataFrame, ts: str, spine: MonthSpine) -> DataFrame:
     return df.where(F.col(ts) <= month_end_midnight("reference_date"))
 
 
-def animal_location(m: Model, animals: DataFrame | None = None) -> DataFrame:
-    """Per animal (of ``animals``): number of location rows and the earliest non-off-site one (Q22)."""
+def animal_location(m: Model) -> DataFrame:
+    """Per animal: number of location rows and the earliest non-off-site one (Q22)."""
     loc = m["locations"]
-    if animals is not None:
-        loc = loc.join(animals, "AnimalID", "left_semi")
     ok = ne_keep_null("Location", OFF_SITE)
     first = F.min(F.when(ok, F.struct(F.col("LastUpdated").isNull().alias("n"), F.col("LastUpdated").alias("d"),
                                       F.col("Location").alias("l"))))
@@ -119,23 +118,25 @@ def animal_location(m: Model, animals: DataFrame | None = None) -> DataFrame:
                     F.col("_first.d").alias("LocationDate")))
 
 
-def _with_location(df: DataFrame, m: Model, animals: DataFrame | None = None) -> DataFrame:
+def _with_location(df: DataFrame, m: Model) -> DataFrame:
     """Row-wise off-site removal over the location fan-out: an animal's rows survive
     unless all its location rows are off-site; the kept location is the earliest."""
-    out = df.join(animal_location(m, animals), "AnimalID", "left")
+    out = join_large(df, animal_location(m), "AnimalID", "left")
     return out.where(F.col("_nloc").isNull() | (F.col("_nok") == 1)).drop("_nloc", "_nok")
 
 
-def treatment_rows(m: Model, spine: MonthSpine, meds: Sequence[str], stored: bool = False) -> DataFrame:
-    """Treatments of ``meds`` in the report months with their animal and location: what surgeries and
-    complications both start from. ``stored`` writes the treatments, and then the rows, once."""
+def treatment_rows(m: Model, spine: MonthSpine, meds: Sequence[str], location: bool = True) -> DataFrame:
+    """Treatments of ``meds`` in the report months with their animal and location, written once: what surgeries
+    and complications both start from. Every later step is within an animal's month, so the rows are dealt
+    over the tasks by it once and are not shuffled again for each step. ``location=False`` leaves the kept
+    location's columns null, for results without them."""
     t = _in_month(m["treatments"].where(F.col("Medication").isin(list(meds))), "StatusDateTime", spine)
     animals = m["animals"].where(F.col("has_details")).select("AnimalID", "Name", "Species", "Sex", "DateOfBirth")
-    t = t.join(animals, "AnimalID", "inner")
-    if not stored:
-        return _with_location(t, m)
-    t = materialize(t)
-    return materialize(_with_location(t, m, t.select("AnimalID").distinct()))
+    rows = _with_location(join_large(t, animals, "AnimalID"), m)
+    if not location:
+        rows = rows.withColumns({c: F.lit(None).cast(rows.schema[c].dataType) for c in ("Location", "LocationDate")})
+    rows = materialize(rows)
+    return deal(rows, ["AnimalID", "reference_date"], rows.count())
 
 
 def _surgery_base(rows: DataFrame, meds: Sequence[str], category: Sequence, cfg: SurgeryConfig,
@@ -178,12 +179,16 @@ def surgeries(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_gr
                       F.when(F.col("_n") > 1, F.lit("Multiple")).otherwise(F.col("SurgeryCategory")))
          .withColumn("num_surg_mapping", F.col("_n")).drop("_n"))
     if cfg.collapse_multiple:
-        multi = s.where(F.col("SurgeryCategory_refined") == "Multiple")
-        multi = keep_first(multi, ["AnimalID", "SurgeryDate", "reference_date"],
-                           [Ord("SurgeryID"), Ord("SurgeryTs"), Ord("UniqueSurgeryID"), Ord("SurgeryType")] + tb)
-        multi = multi.withColumn("SurgeryCategory_refined", F.lit(cfg.collapse_multiple))
-        s = s.where(F.col("SurgeryCategory_refined") != "Multiple").unionByName(multi)
-        s = s.drop("Location", "LocationDate", "num_surg_mapping")
+        # an animal's surgeries of one day are few: a window, which reads the rows once
+        day = ["AnimalID", "SurgeryDate", "reference_date"]
+        order = ["SurgeryID", "SurgeryTs", "UniqueSurgeryID", "SurgeryType", *SURGERY_TIEBREAK[1:]]
+        order += [c for c in s.columns if c not in day and c not in order]
+        multiple = F.col("SurgeryCategory_refined") == "Multiple"
+        first = Window.partitionBy(*day, multiple).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+        s = (s.withColumn("_nth", F.row_number().over(first)).where(~multiple | (multiple & (F.col("_nth") == 1)))
+             .withColumn("SurgeryCategory_refined", F.when(multiple, F.lit(cfg.collapse_multiple))
+                         .otherwise(F.col("SurgeryCategory_refined"))))
+        s = s.drop("Location", "LocationDate", "num_surg_mapping", "_nth")
     return s.drop("SurgeryTs")
 
 
@@ -204,17 +209,19 @@ def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GEN
                  F.col("DateTimeDiagnosed").alias("CompDate"), F.col("ExamConditionID").alias("UniqueCompID"),
                  F.to_date("DateCreated").alias("_cday"))
     keys = ["AnimalID", "reference_date"]
+    c = materialize(c)   # read twice
     latest = c.groupBy(*keys, "SxComp").agg(F.max("_cday").alias("_maxc"))
-    elig = s.join(latest, keys, "inner").where(F.date_sub("_sday", 2) <= F.col("_maxc")).drop("_maxc")
+    elig = join_large(s, latest, keys).where(F.date_sub("_sday", 2) <= F.col("_maxc")).drop("_maxc")
     grp = keys + ["SurgeryType", "SxComp"]
     cand = keep_min_ties(elig, grp, "UniqueSurgeryID")
-    pairs = (cand.join(c, keys + ["SxComp"], "inner").where(F.col("_cday") >= F.date_sub("_sday", 2))
+    cand = deal(cand, keys + ["SxComp"], max(c.count(), 1))   # each candidate has a complication of its own to meet
+    pairs = (join_large(cand, c, keys + ["SxComp"]).where(F.col("_cday") >= F.date_sub("_sday", 2))
              .withColumn("DaysAfterSurgery", F.datediff("_cday", "_sday")).drop("_cday", "_sday"))
     order = [Ord("UniqueCompID"), Ord("SurgeryTs"), Ord("CompDate"), Ord("DaysAfterSurgery")] + \
         [Ord(x) for x in SURGERY_TIEBREAK]
     first = keep_first(pairs, grp, order)
     if cfg.gap_filter:
-        first = previous_row_gap_filter(first, cfg.gap_per_animal)
+        first = previous_row_gap_filter(materialize(first), cfg.gap_per_animal)   # read twice
     out = keep_min_ties(first, ["AnimalID", "reference_date", "SxComp"], "DaysAfterSurgery")
     out = out.withColumn("SurgeryDate", F.to_date("SurgeryTs")).withColumn("CompDate", F.to_date("CompDate"))
     out = flag_group_size(out, ["AnimalID", "SxComp", "SurgeryDate", "reference_date"], "_n")
@@ -267,7 +274,7 @@ def previous_row_gap_filter(df: DataFrame, per_animal: bool = False) -> DataFram
                 .withColumn("_end", F.lag("_end").over(Window.partitionBy("reference_date").orderBy("_range"))))
         prev = (last.withColumn("_lag", F.lag("_last").over(w_r)).join(ends, ["reference_date", "_range"], "inner")
                 .select("reference_date", "AnimalID", F.coalesce("_lag", "_end").alias("_prev")))
-        d = (d.join(prev, ["reference_date", "AnimalID"], "left")
+        d = (join_large(d, prev, ["reference_date", "AnimalID"], "left")
              .withColumn("_first_of_animal", F.col("_p_sday").isNull() & F.col("_p_cus").isNull())
              .withColumn("_p_sday", F.when(F.col("_first_of_animal"), F.col("_prev.s")).otherwise(F.col("_p_sday")))
              .withColumn("_p_cus", F.when(F.col("_first_of_animal"), F.col("_prev.c")).otherwise(F.col("_p_cus"))))
@@ -314,10 +321,11 @@ def type_share(df: DataFrame, category_col: str, as_of: _dt.date, date_col: str
             .select(*dims, "Type", F.round(F.coalesce("Percentage", F.lit(0.0)), 1).alias("Percentage")))
 
 
-def _both(m: Model, spine: MonthSpine, cfg: SurgeryConfig, site_groups: Sequence) -> tuple[DataFrame, DataFrame]:
+def _both(m: Model, spine: MonthSpine, cfg: SurgeryConfig, site_groups: Sequence,
+          location: bool = True) -> tuple[DataFrame, DataFrame]:
     """Surgeries and complications from treatment rows that are written once."""
     meds = tuple(dict.fromkeys(cfg.den_medications + cfg.num_medications))
-    rows = treatment_rows(m, spine, meds, stored=True)
+    rows = treatment_rows(m, spine, meds, location)
     return (surgeries(m, spine, cfg, site_groups, rows, ranked=False),
             surgical_complications(m, spine, cfg, site_groups, rows, ranked=False))
 
@@ -332,7 +340,7 @@ def surgery_report(m: Model, spine: MonthSpine, as_of: _dt.date, cfg: SurgeryCon
 
 def merged_report(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_groups: Sequence = ()) -> DataFrame:
     """The merged table alone."""
-    den, num = _both(m, spine, cfg, site_groups)
+    den, num = _both(m, spine, cfg, site_groups, location=False)
     return merge_complications(num, den)
 
 
