@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import as_timestamp, day_diff
+from shelterlens.operators.joins import deal
 from shelterlens.session import materialize
 
 
@@ -38,11 +39,12 @@ class Timeline:
         total, most = sizes.agg(F.sum("count"), F.max("count")).first()
         share = max((total or 0) // self.ranges, 1)
         hot = sizes.filter(F.col("count") > share).select(*self.by).collect() if (most or 0) > share else []  # <= ranges
-        self.plain, self.cut = stored, None
+        # as many tasks as keep the sorted windows of each small, however many rows there are
+        self.plain, self.cut = deal(stored, self.by, total or 0), None
         if hot:
             keys = F.broadcast(spark.createDataFrame(hot, stored.select(*self.by).schema))
             same = [stored[c].eqNullSafe(keys[c]) for c in self.by]
-            self.plain = stored.join(keys, same, "left_anti")
+            self.plain = deal(stored.join(keys, same, "left_anti"), self.by, total)
             # written once, so that every use sees the same ranges
             ranged = (stored.join(keys, same, "left_semi").repartitionByRange(self.ranges, *self.by, *self.order)
                       .withColumn("_range", F.spark_partition_id()))

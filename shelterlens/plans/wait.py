@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shelterlens.functions.dates import as_timestamp, day_diff, month_start, week_diff
 from shelterlens.functions.predicates import case_map, collation_of, flag, ne_sql, rank_code
 from shelterlens.operators.dedupe import Ord, keep_first
+from shelterlens.operators.joins import deal, join_large
 from shelterlens.operators.spine import MonthSpine, _add_months, current_year, domain, product_of, trailing_months
 from shelterlens.operators.timeline import asof_ranged
 from shelterlens.session import materialize
@@ -51,13 +52,13 @@ def goal(category) -> F.Column:
 
 
 def _of_animals(df: DataFrame, listed: DataFrame) -> DataFrame:
-    return df.join(listed.select("AnimalID").distinct(), "AnimalID", "left_semi")
+    return join_large(df, listed.select("AnimalID").distinct(), "AnimalID", "left_semi")
 
 
 def _intake_of_exam(et: DataFrame, surgeries: DataFrame, visits: DataFrame) -> DataFrame:
     """(ExamID, tin_DateCreated, IntakeType): the latest visit before the last treatment time of each of the
     exam's animals, and of those the latest (one row per exam, Q24)."""
-    exam_last = materialize(et.join(surgeries.select("ExamID").distinct(), "ExamID", "left_semi")
+    exam_last = materialize(join_large(et, surgeries.select("ExamID").distinct(), "ExamID", "left_semi")
                             .groupBy("ExamID", "AnimalID").agg(F.max("StatusDateTime").alias("_exam_ts")))
     found = asof_ranged(exam_last, _of_animals(visits, exam_last), ["AnimalID"], "_exam_ts", "tin_DateCreated", ["IntakeType"])
     return (found.where(F.col("tin_DateCreated").isNotNull()).groupBy("ExamID")
@@ -91,18 +92,18 @@ def surgery_wait(m: Model, spine: MonthSpine, spark: SparkSession,
          .where(spine.in_spine("reference_date"))
          .withColumn("Surgerycategory", surgery_category("Medication")))
     if per_treatment:
-        s = s.join(_intake_of_treatment(surgeries, visits), ["AnimalID", "StatusDateTime"], "inner")
+        s = join_large(s, _intake_of_treatment(surgeries, visits), ["AnimalID", "StatusDateTime"])
     else:
-        s = s.join(_intake_of_exam(et, surgeries, visits), "ExamID", "inner")
+        s = join_large(s, _intake_of_exam(et, surgeries, visits), "ExamID")
     animals = (m["animals"].where(F.col("has_details") & F.col("Species").isin(list(WAIT_SPECIES)))
                .select("AnimalID", "Name", "Species", "DateOfBirth"))
-    s = s.join(animals, "AnimalID", "inner")
+    s = join_large(deal(s, ["AnimalID"], surgeries.count()), animals, "AnimalID")
     # Highest listed stage (other than the excluded one) seen in [history_start, report date): first date per stage.
     st = m["statuses"].where(F.col("Stage").isin(list(WAIT_STAGES)) & ne_sql("Stage", EXCLUDED_STAGE)
                              & (F.col("LastUpdated") >= hs) & (F.col("LastUpdated") < as_timestamp(F.lit(spine.last))))
     st = (_of_animals(st, surgeries)
           .groupBy("AnimalID", "Stage").agg(F.min("LastUpdated").alias("StageDate")))
-    s = s.join(st, "AnimalID", "inner").where(F.col("StageDate") < as_timestamp("reference_date"))
+    s = join_large(s, st, "AnimalID").where(F.col("StageDate") < as_timestamp("reference_date"))
     s = s.select(
         "AnimalID", "Name", "Species", F.col("DateOfBirth").alias("DateofBirth"),
         F.col("tin_DateCreated").alias("IntakeDate"), "IntakeType", "Medication", "Surgerycategory",
