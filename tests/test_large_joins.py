@@ -2,9 +2,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from shelterlens.operators import joins
+from shelterlens.operators.dedupe import Ord, keep_first
 from shelterlens.operators.spine import MonthSpine
-from shelterlens.plans import delayed, incidence
+from shelterlens.operators.timeline import Timeline
+from shelterlens.plans import delayed, incidence, surgery
 from shelterlens.plans.roles import model_from_driver_tables
 
 T = dt.datetime
@@ -48,3 +52,29 @@ def test_rows_of_the_small_tables(tables):
     assert [(r.animalid, r.condition, r.intakedate, r.examdate) for r in rows] == [(1, "Diarrhea", T(1996, 3, 1), T(1996, 3, 9))]
     rows = delayed.delayed_outcome(m, spine).collect()
     assert [(r.AnimalID, r.TimetoEuth, r.ReportDate) for r in rows] == [(1, 8, dt.date(1996, 4, 1))]
+
+
+def test_surgeries_are_shuffled_once(tables):
+    rows = surgery.surgeries(model_from_driver_tables(tables), MonthSpine.between(dt.date(1996, 1, 1), dt.date(1996, 12, 1)))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1      # the stored treatment rows, by animal and month
+    assert [(r.AnimalID, r.SurgeryType, r.Rank) for r in sorted(rows.collect())] == \
+        [(1, "Ovariohysterectomy", 1), (2, "Ovariohysterectomy", 1)]
+
+
+def test_keep_first_sends_no_column_twice(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 3, "b"), (1, 3, "a")], "k int, t int, v string")
+    first = keep_first(df, ["k"], [Ord("t"), Ord("v")])
+    assert [tuple(r) for r in first.collect()] == [(1, 3, "a")]
+    assert "_row" not in first._jdf.queryExecution().optimizedPlan().toString()
+    last = keep_first(df, ["k"], [Ord("t", asc=False), Ord("v")])
+    assert [tuple(r) for r in last.collect()] == [(1, 5, "a")]
+
+
+def test_timelines_are_dealt_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_A_TASK", 10)
+    events = spark.range(95).selectExpr("id % 50 AS k", "id AS t")
+    line = Timeline(events, ["k"], ["t"], ranges=4)
+    assert line.plain.rdd.getNumPartitions() == 10
+    got = {(r.k, r.t): r.n for r in line.next("n", F.col("t")).rows().collect()}
+    assert got == {(i % 50, i): i + 50 if i + 50 < 95 else None for i in range(95)}
