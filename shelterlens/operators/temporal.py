@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelterlens.functions.dates import day_diff
-from shelterlens.operators.joins import join_large
+from shelterlens.operators.joins import NARROW_ROWS, deal, join_large
 
 
 def _col(c) -> Column:
@@ -249,23 +249,31 @@ def asof_at_month_starts(left: DataFrame, right: DataFrame, by: Sequence[str], m
     return out.withColumnRenamed("_before", name)
 
 
-def latest_at_month_starts(asked: DataFrame, by: Sequence[str], month: str, sources: dict) -> DataFrame:
+def latest_at_month_starts(asked: DataFrame, by: Sequence[str], month: str, sources: dict, rows: int,
+                           until: str | None = None, asked_months: int = 0) -> DataFrame:
     """Of each (key, ``month``) in ``asked`` (a month-start DATE) the latest time of every source before
     00:00 of it: ``sources`` is ``{name: (frame, time column, strict)}``, ``strict`` leaving out that instant.
+    With ``until`` a row asks for every month from ``month`` to ``until``, ``asked_months`` of them in all rows.
 
-    Each source row counts from one month start on, so all sources and the asked months fold into one row
-    per (key, month) - combined before the shuffle, a hot key shrinks to its months - and one running
-    maximum over the months of a key answers all of them: one shuffle for any number of sources.
+    Each source row counts from one month start on, so the sources, of about ``rows`` rows together, fold into
+    one row per (key, month), dealt by both - a hot key spreads over its months and shrinks to them. These rows
+    and the asked ones are then dealt by key, the months are written out only there, and one running
+    maximum over the months of a key answers all of them: two shuffles for any number of sources.
     """
     from shelterlens.functions.dates import as_timestamp, month_start
-    keys = list(by)
-    events = asked.select(*keys, F.col(month).alias("_m"), F.lit(1).alias("_asked"))
+    from shelterlens.operators.spine import months_between_cols
+    keys, names, events = list(by), list(sources), None
     for name, (frame, ts, strict) in sources.items():
         start, next_start = month_start(ts), F.add_months(month_start(ts), 1)
         since = next_start if strict else F.when(F.col(ts) == as_timestamp(start), start).otherwise(next_start)
-        events = events.unionByName(frame.select(*keys, since.alias("_m"), F.col(ts).alias(name)), allowMissingColumns=True)
-    names = list(sources)
-    months = events.groupBy(*keys, "_m").agg(F.max("_asked").alias("_asked"), *[F.max(c).alias(c) for c in names])
+        found = frame.select(*keys, since.alias("_m"), F.col(ts).alias(name))
+        events = found if events is None else events.unionByName(found, allowMissingColumns=True)
+    folded = deal(events, [*keys, "_m"], rows, NARROW_ROWS).groupBy(*keys, "_m").agg(*[F.max(c).alias(c) for c in names])
+    wanted = asked.select(*keys, F.col(month).alias("_m"), F.col(until or month).alias("_to"), F.lit(1).alias("_asked"))
+    both = deal(folded.unionByName(wanted, allowMissingColumns=True), keys, rows + asked_months, NARROW_ROWS)
+    each = F.when(F.col("_asked") == 1, months_between_cols("_m", "_to")).otherwise(F.array("_m"))
+    months = (both.withColumn("_m", F.explode(each)).groupBy(*keys, "_m")
+              .agg(F.max("_asked").alias("_asked"), *[F.max(c).alias(c) for c in names]))
     w = Window.partitionBy(*keys).orderBy("_m").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (months.select(*keys, F.col("_m").alias(month), "_asked", *[F.max(c).over(w).alias(c) for c in names])
             .filter("_asked = 1").drop("_asked"))

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelterlens.operators.joins import join_large
+from shelterlens.operators.joins import NARROW_ROWS, deal, join_large
 from shelterlens.sources.model import Model
 from shelterlens.sources.tables import read_driver_tables
 
@@ -116,14 +116,20 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
     nation = F.broadcast(t["nation"].select("n_nationkey", "n_regionkey", "n_name"))
     cache: dict = {}
 
+    def rows(table: str) -> int:
+        if table not in cache:
+            cache[table] = t[table].count()   # from the files' footers
+        return cache[table]
+
     def lines() -> DataFrame:
         # Order lines with their customer. A report reads at most two roles built on
         # this join, so it is left to the plan (each use prunes its own columns)
         # rather than written out: a write + two reads costs about what a second
         # join does, and one-role reports would pay the write for nothing.
         if "lines" not in cache:
-            cache["lines"] = join_large(lineitem.select(*LINE_COLUMNS), orders.select(
-                F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey")
+            ordered = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+            cache["lines"] = join_large(*[deal(x, ["l_orderkey"], rows("lineitem"), NARROW_ROWS)
+                                          for x in (lineitem.select(*LINE_COLUMNS), ordered)], "l_orderkey")
         return cache["lines"]
 
     def animals() -> DataFrame:
@@ -145,7 +151,8 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
     def visits_out() -> DataFrame:
         last_ship = lineitem.groupBy(F.col("l_orderkey").alias("InPrimaryKey")).agg(
             F.max("l_shipdate").alias("tOut_DateCreated"))
-        return join_large(visits(), last_ship, "InPrimaryKey", "left")
+        return join_large(*[deal(x, ["InPrimaryKey"], rows("orders"), NARROW_ROWS) for x in (visits(), last_ship)],
+                          "InPrimaryKey", "left")
 
     def intake_status() -> DataFrame:
         return orders.select(F.col("o_orderkey").alias("OperationRecordID"),

@@ -23,9 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelterlens.functions.dates import as_timestamp, day_diff, first_month_start_on_or_after, month_start
+from shelterlens.functions.dates import as_timestamp, day_diff, last_month_start_before, lit_date, month_start
 from shelterlens.functions.predicates import isin_or_null
-from shelterlens.operators.spine import MonthSpine, _add_months, explode_months
+from shelterlens.operators.joins import NARROW_ROWS, ROWS_A_TASK, deal, join_large
+from shelterlens.operators.spine import MonthSpine, _add_months, months_between_cols
 from shelterlens.operators.temporal import latest_at_month_starts
 from shelterlens.operators.timeline import Timeline, islands
 from shelterlens.session import materialize
@@ -57,17 +58,22 @@ def _month_before(spine: MonthSpine, ts: str) -> Column:
     return ((F.col(ts) >= as_timestamp(F.lit(_add_months(spine.first, -1)))) & (F.col(ts) < as_timestamp(F.lit(spine.last))))
 
 
-def _last_status_and_intake(m: Model, keys: DataFrame, spine: MonthSpine, status: str | None) -> DataFrame:
-    """Latest status time at or before 00:00 of each (AnimalID, reference_date), optionally of one status value,
-    where it is not older than five years, and the latest intake strictly before it (``_st``, ``_pi``)."""
+def _recent_statuses(m: Model, spine: MonthSpine, status: str | None = None) -> DataFrame:
+    """Status rows that any report date can see, stored: read more than once, and counted."""
     oldest = as_timestamp(F.lit(_add_months(spine.first, -12 * LOOKBACK_YEARS)))
-    until = as_timestamp(F.lit(spine.last))
-    st = m["statuses"].where((F.col("LastUpdated") > oldest) & (F.col("LastUpdated") <= until))
+    st = m["statuses"].where((F.col("LastUpdated") > oldest) & (F.col("LastUpdated") <= as_timestamp(F.lit(spine.last))))
     if status is not None:
         st = st.where(F.col("Status") == status)
-    came = m["visits"].where(F.col("tin_DateCreated") < until).select("AnimalID", "tin_DateCreated")
-    found = latest_at_month_starts(keys, ["AnimalID"], "reference_date", {
-        "_st": (st.select("AnimalID", "LastUpdated"), "LastUpdated", False), "_pi": (came, "tin_DateCreated", True)})
+    return materialize(st.select("AnimalID", "LastUpdated", "Status"))
+
+
+def _last_status_and_intake(m: Model, st: DataFrame, asked: DataFrame, spine: MonthSpine, asked_months: int) -> DataFrame:
+    """Latest time of the status rows ``st`` at or before 00:00 of each month from ``reference_date`` to ``_to`` of an
+    animal, where it is not older than five years, and the latest intake strictly before it (``_st``, ``_pi``)."""
+    came = m["visits"].where(F.col("tin_DateCreated") < as_timestamp(F.lit(spine.last))).select("AnimalID", "tin_DateCreated")
+    found = latest_at_month_starts(asked, ["AnimalID"], "reference_date", {
+        "_st": (st.select("AnimalID", "LastUpdated"), "LastUpdated", False), "_pi": (came, "tin_DateCreated", True)},
+        st.count() + came.count(), "_to", asked_months)
     return found.where((F.col("_st") > as_timestamp(F.add_months("reference_date", -12 * LOOKBACK_YEARS)))
                        & F.col("_pi").isNotNull())
 
@@ -76,10 +82,9 @@ def _probes(m: Model, windows: DataFrame, last_day) -> DataFrame:
     """Per window (AnimalID, reference_date, _i, _o): ``_a``, the last location row at or before its start, and
     ``_b``, the last one before its end - structs of time, foster flag, next row's time and the foster
     days gathered up to the row (each foster row counts to the animal's next row)."""
-    held = (m["locations"].where(F.col("LastUpdated") < last_day)
-            .select("AnimalID", F.col("LastUpdated").alias("_t"), "Location")
-            .join(windows.select("AnimalID").distinct(), "AnimalID", "left_semi").distinct()
-            .withColumn("_kind", F.lit(1)))
+    held = materialize(m["locations"].where(F.col("LastUpdated") < last_day)
+                       .select("AnimalID", F.col("LastUpdated").alias("_t"), "Location"))
+    held = deal(held, held.columns, held.count(), NARROW_ROWS).distinct().withColumn("_kind", F.lit(1))
     end = windows.select("AnimalID", "reference_date", F.to_date("_i").alias("_i"), as_timestamp("_o").alias("_t"),
                          F.lit(0).alias("_kind"))
     start = windows.select("AnimalID", "reference_date", F.to_date("_i").alias("_i"), as_timestamp("_i").alias("_t"),
@@ -161,7 +166,8 @@ def los_outcomed(m: Model, spine: MonthSpine, same_year: bool = False, per_stay:
            .withColumn("reference_date", F.add_months(month_start("outcomedate"), 1))
            .where(spine.in_spine("reference_date"))
            .select("AnimalID", "reference_date", "outcomedate", F.col("OutComeType").alias("Outcome")))
-    keys = _last_status_and_intake(m, inv.select("AnimalID", "reference_date"), spine, "I")
+    asked = inv.select("AnimalID", "reference_date", F.col("reference_date").alias("_to"))
+    keys = _last_status_and_intake(m, _recent_statuses(m, spine, "I"), asked, spine, 0)   # an asked month is a visit
     inv = (inv.join(keys.select("AnimalID", "reference_date", F.to_date("_pi").alias("intakedate")),
                     ["AnimalID", "reference_date"], "inner")
            .select("AnimalID", "reference_date", "intakedate", "outcomedate", "Outcome"))
@@ -175,7 +181,7 @@ def los_outcomed(m: Model, spine: MonthSpine, same_year: bool = False, per_stay:
     if not per_stay:
         foster = (foster.join(k, ["AnimalID", "reference_date"], "inner")
                   .select("AnimalID", "reference_date", (F.col("_foster") * F.col("_k")).alias("_foster")))
-    return _finish(stays, foster, same_year)
+    return _finish(stays, foster, same_year, stays.count())
 
 
 def los_not_outcomed(m: Model, spine: MonthSpine, same_year: bool = False, match_animal: bool = False,
@@ -186,38 +192,46 @@ def los_not_outcomed(m: Model, spine: MonthSpine, same_year: bool = False, match
     time. ``open_stays`` repairs Q12: a visit without an out date lasts beyond every report date.
     """
     animals = m["animals"].where(F.col("Species").isin(list(SPECIES))).select("AnimalID", "Name", "Species")
-    v = m["visits_out"].join(animals.select("AnimalID"), "AnimalID", "left_semi")
-    flow = (v.where(isin_or_null("IntakeType", INTAKE_TYPES) & _month_before(spine, "tin_DateCreated"))
+    v = materialize(m["visits_out"].select(
+        "AnimalID", "tin_DateCreated", "tOut_DateCreated", isin_or_null("IntakeType", INTAKE_TYPES).alias("_listed")))
+    flow = (v.where(F.col("_listed") & _month_before(spine, "tin_DateCreated"))
             .withColumn("reference_date", F.add_months(month_start("tin_DateCreated"), 1))
             .where(spine.in_spine("reference_date"))
             .where(F.col("tOut_DateCreated").isNull()
                    | (F.col("tOut_DateCreated") > as_timestamp("reference_date")))
-            .select("AnimalID", "reference_date", F.to_date("tin_DateCreated").alias("intakedate")).distinct())
+            .select("AnimalID", "reference_date", F.to_date("tin_DateCreated").alias("intakedate")))
     # inventory: months where the animal has a visit ending later, a past intake and a recent status row
     out = F.col("tOut_DateCreated")
     if open_stays:
         out = F.coalesce(out, as_timestamp(F.lit(_add_months(spine.last, 1))))
     span = v.groupBy("AnimalID").agg(F.min("tin_DateCreated").alias("_tin_min"), F.max(out).alias("_tout_max"))
-    grid = explode_months(span, F.add_months(month_start("_tin_min"), 1), month_start(F.col("_tout_max")), spine).where(
-        F.col("_tout_max") > as_timestamp("reference_date")).select("AnimalID", "reference_date")
-    grid = _last_status_and_intake(m, grid, spine, None)
-    active_ts = m["statuses"].where((F.col("Status") == "A") & (F.col("LastUpdated") <= as_timestamp(F.lit(spine.last))))
+    span = materialize(span.where(F.col("_tout_max").isNotNull()).select(
+        "AnimalID", F.greatest(F.add_months(month_start("_tin_min"), 1), lit_date(spine.first)).alias("reference_date"),
+        F.least(last_month_start_before("_tout_max"), lit_date(spine.last)).alias("_to"))
+        .where(F.col("reference_date") <= F.col("_to")))
+    asked_months = span.agg(F.sum(F.size(months_between_cols("reference_date", "_to")))).first()[0] or 0
+    st = _recent_statuses(m, spine)
+    grid = _last_status_and_intake(m, st, span, spine, asked_months).where(spine.in_spine("reference_date"))
     same = ["AnimalID", "_st"] if match_animal else ["_st"]   # any animal's active row at that instant (Q11)
-    active_ts = active_ts.withColumnRenamed("LastUpdated", "_st").select(*same).distinct()
-    grid = grid.join(active_ts, same, "left_semi")
+    active = materialize(st.where(F.col("Status") == "A").withColumnRenamed("LastUpdated", "_st").select(*same).distinct())
+    if active.count() <= ROWS_A_TASK:
+        grid = grid.join(F.broadcast(active), same, "left_semi")   # stored and counted: a proven bound
+    else:
+        grid = join_large(*[deal(x, same, asked_months, NARROW_ROWS) for x in (grid, active)], same, "left_semi")
     inv = grid.select("AnimalID", "reference_date", F.to_date("_pi").alias("intakedate"))
-    stays = (inv.unionByName(flow).join(animals, "AnimalID", "inner")
-             .withColumn("outcomedate", F.col("reference_date")))
+    stays = materialize(inv.unionByName(flow))
+    rows = stays.count()
+    stays = join_large(*[deal(x, ["AnimalID"], rows) for x in (stays, animals)], "AnimalID")
     # every stay window of an (animal, month) ends at the report date, so their union is
     # one window from the earliest intake
-    stays = materialize(stays)
     windows = stays.groupBy("AnimalID", "reference_date").agg(F.min("intakedate").alias("intakedate"))
     foster = _open_foster_days(m, windows, spine)
-    return _finish(stays, foster, same_year)
+    return _finish(stays.withColumn("outcomedate", F.col("reference_date")), foster, same_year, rows)
 
 
-def _finish(stays: DataFrame, foster: DataFrame, same_year: bool) -> DataFrame:
-    out = stays.join(foster, ["AnimalID", "reference_date"], "left")
+def _finish(stays: DataFrame, foster: DataFrame, same_year: bool, rows: int) -> DataFrame:
+    """The report rows of ``rows`` stays: what they are joined with and their distinct rows stay where an animal is dealt."""
+    out = join_large(*[deal(x, ["AnimalID"], rows) for x in (stays, foster)], ["AnimalID", "reference_date"], "left")
     fd = F.coalesce(F.col("_foster"), F.lit(0)).cast("bigint")
     total = F.datediff("outcomedate", "intakedate").cast("bigint")
     return out.select(

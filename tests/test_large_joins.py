@@ -4,11 +4,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shelterlens.operators import joins
+from shelterlens.operators import joins, temporal
 from shelterlens.operators.dedupe import Ord, keep_first
 from shelterlens.operators.spine import MonthSpine
 from shelterlens.operators.timeline import Timeline
-from shelterlens.plans import delayed, incidence, surgery
+from shelterlens.plans import delayed, incidence, stay, surgery
 from shelterlens.plans.roles import model_from_driver_tables
 
 T = dt.datetime
@@ -78,3 +78,35 @@ def test_timelines_are_dealt_by_their_rows(spark, monkeypatch):
     assert line.plain.rdd.getNumPartitions() == 10
     got = {(r.k, r.t): r.n for r in line.next("n", F.col("t")).rows().collect()}
     assert got == {(i % 50, i): i + 50 if i + 50 < 95 else None for i in range(95)}
+
+
+def left_to_the_planner(df):
+    """Shuffles by a hash whose number of tasks is not fixed from the number of rows."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "hashpartitioning" in line and "REPARTITION_BY_NUM" not in line]
+
+
+def test_open_stays_are_dealt_by_their_rows(tables):
+    m = model_from_driver_tables(tables, line_locations=True)
+    rows = stay.los_not_outcomed(m, MonthSpine.between(dt.date(1996, 1, 1), dt.date(1996, 12, 1)))
+    assert left_to_the_planner(rows) == []
+    assert rows.collect() == []      # both left before the first report date after their intake
+    spine = MonthSpine.between(dt.date(1996, 1, 1), dt.date(1996, 12, 1))
+    tables = tables | {"lineitem": tables["lineitem"].withColumn("l_shipdate", F.lit(T(1996, 5, 9)))}
+    rows = stay.los_not_outcomed(model_from_driver_tables(tables, line_locations=True), spine)
+    assert sorted((r.animalid, r.Reportdate, r.total_los, r.days_in_foster) for r in rows.collect()) == [
+        (1, dt.date(1996, 4, 1), 31, 0), (2, dt.date(1996, 4, 1), 30, 0)]
+
+
+def test_asked_months_are_written_out_where_their_key_is_dealt(spark, monkeypatch):
+    monkeypatch.setattr(temporal, "NARROW_ROWS", 10)
+    times = spark.range(40).selectExpr("id % 5 AS k", "timestamp_ntz'1996-01-15' + make_interval(0, id) AS t")
+    asked = spark.range(5).selectExpr("id AS k", "date'1996-03-01' AS m", "date'1996-12-01' AS u")
+    out = temporal.latest_at_month_starts(asked, ["k"], "m", {"last": (times, "t", True)}, 40, "u", 50)
+    assert out.rdd.getNumPartitions() == 10
+    want = {}
+    for k in range(5):
+        for month in range(3, 13):
+            before = [i for i in range(40) if i % 5 == k and i < month - 1]
+            want[k, dt.date(1996, month, 1)] = T(1996, 1 + before[-1], 15) if before else None
+    assert {(r.k, r.m): r.last for r in out.collect()} == want
