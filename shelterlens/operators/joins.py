@@ -11,14 +11,16 @@ ROWS_A_TASK = 100_000   # wide rows that a task sorts several times in a row
 NARROW_ROWS = 250_000   # rows of a few numbers, sorted or hashed once or twice
 
 
-def deal(df: DataFrame, by: Sequence[str], rows: int, a_task: int | None = None) -> DataFrame:
+def deal(df: DataFrame, by: Sequence[str], rows: int, a_task: int | None = None, joined: bool = False) -> DataFrame:
     """``df``, of about ``rows`` rows, dealt over tasks by the hash of ``by``: as many tasks as keep each small.
 
     Aggregates, windows and rank filters on keys that hold ``by`` then need no further shuffle, nor do joins on
-    such keys with a frame dealt by ``by`` over as many tasks. Left to AQE, a shuffle's tasks are only cut at
-    64 MB of compressed files, which unpack to many times that where rows are sorted or hashed.
+    exactly ``by`` with a frame dealt by it over as many tasks. Left to AQE, a shuffle's tasks are only cut at
+    64 MB of compressed files, which unpack to many times that where rows are sorted or hashed. ``joined``: at
+    least as many tasks as a join raises a smaller number to, so that a second join finds them equal.
     """
-    return df.repartition(rows // (a_task or ROWS_A_TASK) + 1, *by)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if joined else 1
+    return df.repartition(max(rows // (a_task or ROWS_A_TASK) + 1, least), *by)
 
 
 def join_large(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner") -> DataFrame:

@@ -22,13 +22,13 @@ def _col(c) -> Column:
 
 
 def exists_prior_within_days(targets: DataFrame, sources: DataFrame, by: Sequence[str], target_ts: str,
-                             source_ts: str, lo: int, hi: int) -> DataFrame:
+                             source_ts: str, lo: int, hi: int, rows: int | None = None) -> DataFrame:
     """Target rows with a source row of the same key ``lo..hi`` day boundaries
     earlier and strictly earlier in time (semi join; for short windows).
 
     Sources are first reduced to one row per (key, day) holding the earliest
     time, then offset by each allowed day difference (``hi - lo + 1`` rows) and
-    equi-joined on (key, day).
+    equi-joined on (key, day). ``rows``: about how many rows a side has, where that is known.
     """
     if hi < lo:
         raise ValueError("empty window")
@@ -40,6 +40,9 @@ def exists_prior_within_days(targets: DataFrame, sources: DataFrame, by: Sequenc
                .select(*[F.col(c).alias("_s_" + c) for c in by],
                        F.date_add("_sday", F.col("_k")).alias("_tday"), "_k", "_sfirst"))
     t = targets.withColumn("_tday", F.to_date(target_ts))
+    if rows is not None:
+        t = deal(t, [*by, "_tday"], rows, NARROW_ROWS, joined=True)
+        shifted = deal(shifted, [*["_s_" + c for c in by], "_tday"], rows, NARROW_ROWS, joined=True)
     cond = [t[c] == shifted["_s_" + c] for c in by] + [t["_tday"] == shifted["_tday"]]
     residual = (shifted["_k"] >= 1) | (shifted["_sfirst"] < t[target_ts])
     cond_all = cond[0]

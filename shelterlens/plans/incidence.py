@@ -19,13 +19,13 @@ from shelterlens.functions.dates import (as_timestamp, first_month_start_on_or_a
                                          last_month_start_before, month_end_midnight, month_start,
                                          week_diff)
 from shelterlens.functions.predicates import collation_of, isin_or_null, rank_code, rank_decode
-from shelterlens.operators.joins import join_large
+from shelterlens.operators.joins import NARROW_ROWS, ROWS_A_TASK, deal, join_large
 from shelterlens.operators.spine import (MonthSpine, _add_months, explode_months, fill_missing_months,
                                          trailing_months)
 from shelterlens.operators.temporal import exists_prior_within_days
 from shelterlens.session import materialize
 from shelterlens.sources.storage import bounded
-from shelterlens.sources.model import Model
+from shelterlens.sources.model import Model, known_rows
 
 # Fixed values of the incidence reports.
 INTAKE_TYPES = ("TransferIn", "Stray", "[Return]", "OwnerSurrender")
@@ -79,6 +79,11 @@ def _cohort_animals(m: Model, d: Disease) -> DataFrame:
             .select("AnimalID", "Name", "Species", "DateOfBirth"))
 
 
+def _dealt(df: DataFrame, by: list[str], rows: int | None, a_task: int = NARROW_ROWS) -> DataFrame:
+    """``df`` dealt by ``by`` where its rows are known; else the planner places it (or its buckets have)."""
+    return df if rows is None else deal(df, by, rows, a_task, joined=True)
+
+
 def _listed_exams(m: Model, d: Disease, spine: MonthSpine) -> DataFrame:
     """Exams with a listed condition inside a report month, closed at 00:00 of the last day (Q3)."""
     e = m["exam_conditions"].where(F.col("Condition").isin(list(d.conditions)))
@@ -94,37 +99,41 @@ def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFr
 
     A visit matches some exam of a (animal, condition, month) group iff its day
     lies in ``[min exam day - hi, max exam day - lo]`` (the window is longer than
-    a month), so the intake maxima are a range aggregate over the visits; the
+    a month), so the intake maxima are taken over the days of that range; the
     first exam that has a match is the first one on or after the earliest
     matching visit + ``lo`` days.
     """
     lo, hi = disease.onset_days
     animals = _cohort_animals(m, disease)
-    exams = join_large(_listed_exams(m, disease, spine), animals.select("AnimalID"), "AnimalID", "left_semi")
-    exams = exams.withColumn("eday", F.to_date("DateCreated"))
+    exams = _listed_exams(m, disease, spine).withColumn("eday", F.to_date("DateCreated"))
     # intakes that any report month can see: literal bounds for the scan
     first_day = spine.first - _dt.timedelta(days=hi)
     intakes = bounded(m["visits"].where(F.col("IntakeType").isin(list(disease.intake_types))),
                       "tin_DateCreated", first_day, _add_months(spine.last, 1))
     if hi - lo < 31 or lo < 1:
         return _numerator_rows(_short_window_matches(exams, intakes, lo, hi), animals)
-    groups = exams.groupBy("AnimalID", "Condition", "reference_date").agg(
-        F.min("eday").alias("mind"), F.max("eday").alias("maxd"))
-    visits = (join_large(intakes, animals.select("AnimalID"), "AnimalID", "left_semi")
-              .select("AnimalID", "IntakeType", "tin_DateCreated",
-                      F.to_date("tin_DateCreated").alias("vday")))
-    vx = explode_months(visits, month_start(F.date_add("vday", lo)), month_start(F.date_add("vday", hi)), spine)
-    matched = (join_large(groups, vx, ["AnimalID", "reference_date"])
-               .where((F.col("vday") >= F.date_sub("mind", hi)) & (F.col("vday") <= F.date_sub("maxd", lo)))
-               .groupBy("AnimalID", "Condition", "reference_date")
-               .agg(F.max("IntakeType").alias("Intaketype"), F.max("tin_DateCreated").alias("intakedate"),
-                    F.min("vday").alias("_vmin")))
-    first_exam = (join_large(exams, matched.select("AnimalID", "Condition", "reference_date", "_vmin"),
-                             ["AnimalID", "Condition", "reference_date"])
-                  .where(F.col("eday") >= F.date_add("_vmin", lo))
-                  .groupBy("AnimalID", "Condition", "reference_date")
-                  .agg(F.min("DateCreated").alias("examdate")))
-    return _numerator_rows(join_large(matched, first_exam, ["AnimalID", "Condition", "reference_date"]), animals)
+    # Both sides shrink to one row per day of an animal, dealt by (animal, month or day): a hot animal spreads. Then
+    # each month's exam days meet the animal's intake days as lists, no longer than the calendar.
+    n_exams, n_visits = known_rows(m, "statuses"), known_rows(m, "visits")
+    days = (_dealt(exams, ["AnimalID", "reference_date"], n_exams)
+            .groupBy("AnimalID", "Condition", "reference_date", "eday").agg(F.min("DateCreated").alias("DateCreated")))
+    groups = days.groupBy("AnimalID", "Condition", "reference_date").agg(
+        F.min("eday").alias("mind"), F.max("eday").alias("maxd"), F.collect_list(F.struct("eday", "DateCreated")).alias("_exams"))
+    visits = intakes.select("AnimalID", "IntakeType", "tin_DateCreated", F.to_date("tin_DateCreated").alias("vday"))
+    visits = (_dealt(visits, ["AnimalID", "vday"], n_visits).groupBy("AnimalID", "vday")
+              .agg(F.max("IntakeType").alias("IntakeType"), F.max("tin_DateCreated").alias("tin_DateCreated")))
+    visits = (_dealt(visits, ["AnimalID"], n_visits).groupBy("AnimalID")
+              .agg(F.collect_list(F.struct("vday", "tin_DateCreated", "IntakeType")).alias("_visits")))
+    met = join_large(_dealt(groups, ["AnimalID"], n_visits), visits, "AnimalID")
+    fits = F.filter("_visits", lambda v: (v["vday"] >= F.date_sub("mind", hi)) & (v["vday"] <= F.date_sub("maxd", lo)))
+    matched = (met.withColumn("_fits", fits).where(F.size("_fits") > 0)
+               .withColumn("_from", F.date_add(F.array_min(F.transform("_fits", lambda v: v["vday"])), lo))
+               .select("AnimalID", "Condition", "reference_date",
+                       F.array_max(F.transform("_fits", lambda v: v["IntakeType"])).alias("Intaketype"),
+                       F.array_max(F.transform("_fits", lambda v: v["tin_DateCreated"])).alias("intakedate"),
+                       F.array_min(F.transform(F.filter("_exams", lambda e: e["eday"] >= F.col("_from")),
+                                               lambda e: e["DateCreated"])).alias("examdate")))
+    return _numerator_rows(matched, _dealt(animals, ["AnimalID"], n_visits))
 
 
 def _short_window_matches(exams: DataFrame, intakes: DataFrame, lo: int, hi: int) -> DataFrame:
@@ -153,15 +162,14 @@ def _numerator_rows(matched: DataFrame, animals: DataFrame) -> DataFrame:
 
 
 def _inventory_base(m: Model, d: Disease, spine: MonthSpine) -> DataFrame:
-    """Status rows of listed stages joined to their own visit (left) and the animal."""
-    animals = _cohort_animals(m, d)
+    """Status rows of listed stages joined to their own visit (left)."""
+    rows = known_rows(m, "statuses")
     st = bounded(m["statuses"].where(F.col("Stage").isin(list(d.stages))), "LastUpdated", _add_months(spine.first, -12))
-    v = m["visits"].select(F.col("AnimalID").alias("_vid"), F.col("InPrimaryKey"),
-                           "IntakeType", "tin_DateCreated")
-    base = (join_large(st, v, (F.col("AnimalID") == F.col("_vid"))
-                       & (F.col("OperationPrimaryID") == F.col("InPrimaryKey")), "left")
-            .where(isin_or_null("IntakeType", d.intake_types)))
-    return join_large(base, animals.select("AnimalID"), "AnimalID", "left_semi").select(
+    v = _dealt(m["visits"].select(F.col("AnimalID").alias("_vid"), F.col("InPrimaryKey"), "IntakeType", "tin_DateCreated"),
+               ["_vid", "InPrimaryKey"], rows)
+    base = join_large(st, v, (F.col("AnimalID") == F.col("_vid"))
+                      & (F.col("OperationPrimaryID") == F.col("InPrimaryKey")), "left")
+    return base.where(isin_or_null("IntakeType", d.intake_types)).select(
         "AnimalID", "Stage", "Status", F.col("LastUpdated").alias("ts"), "tin_DateCreated")
 
 
@@ -172,33 +180,38 @@ def stock_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame
     a visit, ``M - 1y <= intake``): at most 12 months per row. Past intakes use
     the inventory bound ``ts >= M - 1y`` only (Q5).
     """
-    base = _inventory_base(m, disease, spine)
+    base, rows = _inventory_base(m, disease, spine), known_rows(m, "statuses")
     tin_cap = F.add_months(month_start("tin_DateCreated"), 12)
     latest_hi = F.add_months(last_month_start_before("ts"), 12)
     latest_hi = F.when(F.col("tin_DateCreated").isNull(), latest_hi).otherwise(F.least(latest_hi, tin_cap))
-    # Latest stage date and, among active rows at that instant, the smallest stage (Q4).
-    # Rows sharing (animal, first month, last month) are combined before the explode
-    # (map-side), and the keys are fixed-width (time, stage rank): hash aggregates only.
+    # Latest stage date and, among active rows at that instant, the smallest stage (Q4); latest intake of the past.
+    # Each status row gives one span of months for either. Dealt by (animal, month), so that a hot animal spreads, the
+    # spans of equal months are combined before they are dealt by animal and written out as months. The keys are
+    # fixed-width (time, stage rank): hash aggregates only.
     order = collation_of(base, "Stage")
     ts = F.col("ts")  # zone-less timestamp: a fixed-width aggregation key as it is
-    active = F.when(F.col("Status") == "A", F.struct(ts.alias("t"), (-rank_code("Stage", disease.stages, order)).alias("r")))
-    spans = (base.groupBy("AnimalID", first_month_start_on_or_after("ts").alias("_lo"), latest_hi.alias("_hi"))
-             .agg(F.max(ts).alias("_t"), F.max(active).alias("_a")))
-    latest = (explode_months(spans, "_lo", "_hi", spine)
-              .groupBy("AnimalID", "reference_date").agg(F.max("_t").alias("_t"), F.max("_a").alias("_a")))
-    latest = (latest.where(F.col("_a").isNotNull() & (F.col("_a.t") == F.col("_t")))
-              .select("AnimalID", "reference_date",
-                      F.col("_t").alias("stagedate"),
-                      rank_decode(-F.col("_a.r"), disease.stages, order).alias("stage")))
-    with_tin = base.where(F.col("tin_DateCreated").isNotNull())
-    past_hi = F.least(F.add_months(month_start("ts"), 12), tin_cap)
-    past_spans = (with_tin.groupBy("AnimalID", F.add_months(month_start("tin_DateCreated"), 1).alias("_lo"),
-                                   past_hi.alias("_hi"))
-                  .agg(F.max("tin_DateCreated").alias("_tin")))
-    past = (explode_months(past_spans, "_lo", "_hi", spine)
-            .groupBy("AnimalID", "reference_date").agg(F.max("_tin").alias("intakedate")))
-    animals = _cohort_animals(m, disease).where(F.col("DateOfBirth").isNotNull())
-    out = join_large(join_large(latest, past, ["AnimalID", "reference_date"]), animals, "AnimalID")
+    rank = F.when(F.col("Status") == "A", -rank_code("Stage", disease.stages, order))
+    coded = base.select("AnimalID", "ts", "tin_DateCreated", rank.alias("_r"),
+                        month_start(F.coalesce("tin_DateCreated", ts)).alias("_b"))
+    active = F.when(F.col("_r").isNotNull(), F.struct(ts.alias("t"), F.col("_r").alias("r")))
+    past_lo, past_hi = F.add_months(month_start("tin_DateCreated"), 1), F.least(F.add_months(month_start("ts"), 12), tin_cap)
+    came = F.col("tin_DateCreated").isNotNull()
+    latest_span = F.struct(first_month_start_on_or_after("ts").alias("lo"), latest_hi.alias("hi"), ts.alias("t"),
+                           active.alias("a"), F.lit(None).cast("timestamp_ntz").alias("tin"))
+    past_span = F.struct(past_lo.alias("lo"), past_hi.alias("hi"), F.lit(None).cast("timestamp_ntz").alias("t"),
+                         F.lit(None).cast("struct<t:timestamp_ntz,r:int>").alias("a"), F.col("tin_DateCreated").alias("tin"))
+    spans = (_dealt(coded, ["AnimalID", "_b"], rows)
+             .select("AnimalID", "_b", F.explode(F.when(came, F.array(latest_span, past_span)).otherwise(F.array(latest_span))).alias("_s"))
+             .groupBy("AnimalID", "_b", F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"))
+             .agg(F.max("_s.t").alias("_t"), F.max("_s.a").alias("_a"), F.max("_s.tin").alias("_tin")).drop("_b"))
+    months = (explode_months(_dealt(spans, ["AnimalID"], rows, ROWS_A_TASK), "_lo", "_hi", spine)
+              .groupBy("AnimalID", "reference_date")
+              .agg(F.max("_t").alias("_t"), F.max("_a").alias("_a"), F.max("_tin").alias("intakedate")))
+    found = (months.where((F.col("_a.t") == F.col("_t")) & F.col("intakedate").isNotNull())
+             .select("AnimalID", "reference_date", F.col("_t").alias("stagedate"),
+                     rank_decode(-F.col("_a.r"), disease.stages, order).alias("stage"), "intakedate"))
+    animals = _dealt(_cohort_animals(m, disease).where(F.col("DateOfBirth").isNotNull()), ["AnimalID"], rows, ROWS_A_TASK)
+    out = join_large(found, animals, "AnimalID")
     return out.select(
         F.col("AnimalID").alias("animalid"), F.col("Name").alias("name"), F.col("Species").alias("species"),
         F.col("DateOfBirth").alias("dateofbirth"), "stagedate", F.lit("A").alias("status"), "stage",
@@ -217,19 +230,22 @@ def flow_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame:
          .withColumn("reference_date", month_start("tin_DateCreated")).where(spine.in_spine("reference_date")))
     if not disease.closed_month:
         v = v.where(F.col("tin_DateCreated") < month_end_midnight("reference_date"))
-    intakes = join_large(join_large(v, completed, ["InPrimaryKey", "tin_DateCreated"], "left_semi"),
-                         animals.select("AnimalID"), "AnimalID", "left_semi")
+    n_exams, n_visits = known_rows(m, "statuses"), known_rows(m, "visits")
+    visit_key = ["InPrimaryKey", "tin_DateCreated"]
+    intakes = join_large(*[_dealt(x, visit_key, n_visits) for x in (v, completed)], visit_key, "left_semi")
     # Early-onset exclusion: any listed exam in the month within lo..hi days after any listed intake.
     e_lo, e_hi = disease.early_days
-    exams = join_large(_listed_exams(m, disease, spine), animals.select("AnimalID"), "AnimalID", "left_semi")
+    exams = _listed_exams(m, disease, spine)
     first_day = spine.first - _dt.timedelta(days=e_hi)
-    all_visits = join_large(bounded(listed, "tin_DateCreated", first_day, _add_months(spine.last, 1)),
-                            animals.select("AnimalID"), "AnimalID", "left_semi")
+    all_visits = bounded(listed, "tin_DateCreated", first_day, _add_months(spine.last, 1))
     excluded = exists_prior_within_days(exams, all_visits, ["AnimalID"], "DateCreated", "tin_DateCreated",
-                                        e_lo, e_hi).select("AnimalID", "reference_date").distinct()
-    kept = join_large(intakes, excluded, ["AnimalID", "reference_date"], "left_anti")
-    agg = kept.groupBy("AnimalID", "reference_date").agg(F.max("tin_DateCreated").alias("intakedate"))
-    out = join_large(agg, animals.where(F.col("DateOfBirth").isNotNull()), "AnimalID")
+                                        e_lo, e_hi, n_exams).select("AnimalID", "reference_date")
+    month = ["AnimalID", "reference_date"]
+    agg = _dealt(intakes.select(*month, "tin_DateCreated"), month, n_visits).groupBy(*month).agg(
+        F.max("tin_DateCreated").alias("intakedate"))
+    agg = join_large(agg, _dealt(excluded, month, n_visits).distinct(), month, "left_anti")
+    born = animals.where(F.col("DateOfBirth").isNotNull())
+    out = join_large(*[_dealt(x, ["AnimalID"], n_visits) for x in (agg, born)], "AnimalID")
     return out.select(
         F.col("AnimalID").alias("animalid"), F.col("Name").alias("name"), F.col("Species").alias("species"),
         F.col("DateOfBirth").alias("dateofbirth"),

@@ -85,9 +85,10 @@ SURGEON_LAST = "CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_nationkey AS STRIN
 class LazyModel(dict):
     """A model whose frames are built on first access (a plain dict to callers)."""
 
-    def __init__(self, builders: dict):
+    def __init__(self, builders: dict, rows=None):
         super().__init__()
         self._builders = builders
+        self.rows = rows   # rows of a frame, without building it (``sources.model.known_rows``)
 
     def __missing__(self, key):
         if key not in self._builders:
@@ -128,7 +129,7 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
         # join does, and one-role reports would pay the write for nothing.
         if "lines" not in cache:
             ordered = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-            cache["lines"] = join_large(*[deal(x, ["l_orderkey"], rows("lineitem"), NARROW_ROWS)
+            cache["lines"] = join_large(*[deal(x, ["l_orderkey"], rows("lineitem"), NARROW_ROWS, joined=True)
                                           for x in (lineitem.select(*LINE_COLUMNS), ordered)], "l_orderkey")
         return cache["lines"]
 
@@ -196,7 +197,7 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
         "animals": animals, "visits": visits, "visits_out": visits_out, "intake_status": intake_status,
         "exam_conditions": exam_conditions, "statuses": statuses, "locations": locations,
         "euthanasia": euthanasia, "treatments": treatments,
-    })
+    }, lambda frame: rows({"statuses": "lineitem", "visits": "orders"}[frame]))
 
 
 def exports_from_driver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -72,6 +72,13 @@ def resolve(t: dict[str, DataFrame]) -> Model:
     }
 
 
+def known_rows(model: Model, frame: str) -> int | None:
+    """Rows of a frame where the model knows them without building it (None: left to the planner, as for
+    stored models, whose buckets place the rows already)."""
+    rows = getattr(model, "rows", None)
+    return rows(frame) if rows else None
+
+
 def with_collation(model: Model, collation: str) -> Model:
     """Q1: the model with its text columns under a collation (``UNICODE_CI``, ``UTF8_LCASE``, ...).
 
