@@ -16,11 +16,14 @@ def deal(df: DataFrame, by: Sequence[str], rows: int, a_task: int | None = None,
 
     Aggregates, windows and rank filters on keys that hold ``by`` then need no further shuffle, nor do joins on
     exactly ``by`` with a frame dealt by it over as many tasks. Left to AQE, a shuffle's tasks are only cut at
-    64 MB of compressed files, which unpack to many times that where rows are sorted or hashed. ``joined``: at
-    least as many tasks as a join raises a smaller number to, so that a second join finds them equal.
+    64 MB of compressed files, which unpack to many times that where rows are sorted or hashed. ``joined``: for
+    both sides of a join, which would raise a smaller number of tasks to that of all shuffles and fix it: then the
+    rows are few enough for the planner to deal them.
     """
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if joined else 1
-    return df.repartition(max(rows // (a_task or ROWS_A_TASK) + 1, least), *by)
+    tasks = rows // (a_task or ROWS_A_TASK) + 1
+    if joined and tasks < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *by)
 
 
 def join_large(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner") -> DataFrame:

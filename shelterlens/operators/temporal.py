@@ -41,8 +41,8 @@ def exists_prior_within_days(targets: DataFrame, sources: DataFrame, by: Sequenc
                        F.date_add("_sday", F.col("_k")).alias("_tday"), "_k", "_sfirst"))
     t = targets.withColumn("_tday", F.to_date(target_ts))
     if rows is not None:
-        t = deal(t, [*by, "_tday"], rows, NARROW_ROWS, joined=True)
-        shifted = deal(shifted, [*["_s_" + c for c in by], "_tday"], rows, NARROW_ROWS, joined=True)
+        t = deal(t, [*by, "_tday"], rows, joined=True)
+        shifted = deal(shifted, [*["_s_" + c for c in by], "_tday"], rows, joined=True)
     cond = [t[c] == shifted["_s_" + c] for c in by] + [t["_tday"] == shifted["_tday"]]
     residual = (shifted["_k"] >= 1) | (shifted["_sfirst"] < t[target_ts])
     cond_all = cond[0]

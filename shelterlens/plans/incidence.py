@@ -19,7 +19,7 @@ from shelterlens.functions.dates import (as_timestamp, first_month_start_on_or_a
                                          last_month_start_before, month_end_midnight, month_start,
                                          week_diff)
 from shelterlens.functions.predicates import collation_of, isin_or_null, rank_code, rank_decode
-from shelterlens.operators.joins import NARROW_ROWS, ROWS_A_TASK, deal, join_large
+from shelterlens.operators.joins import deal, join_large
 from shelterlens.operators.spine import (MonthSpine, _add_months, explode_months, fill_missing_months,
                                          trailing_months)
 from shelterlens.operators.temporal import exists_prior_within_days
@@ -79,9 +79,9 @@ def _cohort_animals(m: Model, d: Disease) -> DataFrame:
             .select("AnimalID", "Name", "Species", "DateOfBirth"))
 
 
-def _dealt(df: DataFrame, by: list[str], rows: int | None, a_task: int = NARROW_ROWS) -> DataFrame:
+def _dealt(df: DataFrame, by: list[str], rows: int | None) -> DataFrame:
     """``df`` dealt by ``by`` where its rows are known; else the planner places it (or its buckets have)."""
-    return df if rows is None else deal(df, by, rows, a_task, joined=True)
+    return df if rows is None else deal(df, by, rows, joined=True)
 
 
 def _listed_exams(m: Model, d: Disease, spine: MonthSpine) -> DataFrame:
@@ -204,13 +204,13 @@ def stock_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame
              .select("AnimalID", "_b", F.explode(F.when(came, F.array(latest_span, past_span)).otherwise(F.array(latest_span))).alias("_s"))
              .groupBy("AnimalID", "_b", F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"))
              .agg(F.max("_s.t").alias("_t"), F.max("_s.a").alias("_a"), F.max("_s.tin").alias("_tin")).drop("_b"))
-    months = (explode_months(_dealt(spans, ["AnimalID"], rows, ROWS_A_TASK), "_lo", "_hi", spine)
+    months = (explode_months(_dealt(spans, ["AnimalID"], rows), "_lo", "_hi", spine)
               .groupBy("AnimalID", "reference_date")
               .agg(F.max("_t").alias("_t"), F.max("_a").alias("_a"), F.max("_tin").alias("intakedate")))
     found = (months.where((F.col("_a.t") == F.col("_t")) & F.col("intakedate").isNotNull())
              .select("AnimalID", "reference_date", F.col("_t").alias("stagedate"),
                      rank_decode(-F.col("_a.r"), disease.stages, order).alias("stage"), "intakedate"))
-    animals = _dealt(_cohort_animals(m, disease).where(F.col("DateOfBirth").isNotNull()), ["AnimalID"], rows, ROWS_A_TASK)
+    animals = _dealt(_cohort_animals(m, disease).where(F.col("DateOfBirth").isNotNull()), ["AnimalID"], rows)
     out = join_large(found, animals, "AnimalID")
     return out.select(
         F.col("AnimalID").alias("animalid"), F.col("Name").alias("name"), F.col("Species").alias("species"),

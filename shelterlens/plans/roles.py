@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelterlens.operators.joins import NARROW_ROWS, deal, join_large
+from shelterlens.operators.joins import deal, join_large
 from shelterlens.sources.model import Model
 from shelterlens.sources.tables import read_driver_tables
 
@@ -129,7 +129,7 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
         # join does, and one-role reports would pay the write for nothing.
         if "lines" not in cache:
             ordered = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-            cache["lines"] = join_large(*[deal(x, ["l_orderkey"], rows("lineitem"), NARROW_ROWS, joined=True)
+            cache["lines"] = join_large(*[deal(x, ["l_orderkey"], rows("lineitem"), joined=True)
                                           for x in (lineitem.select(*LINE_COLUMNS), ordered)], "l_orderkey")
         return cache["lines"]
 
@@ -152,7 +152,7 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
     def visits_out() -> DataFrame:
         last_ship = lineitem.groupBy(F.col("l_orderkey").alias("InPrimaryKey")).agg(
             F.max("l_shipdate").alias("tOut_DateCreated"))
-        return join_large(*[deal(x, ["InPrimaryKey"], rows("orders"), NARROW_ROWS) for x in (visits(), last_ship)],
+        return join_large(*[deal(x, ["InPrimaryKey"], rows("orders"), joined=True) for x in (visits(), last_ship)],
                           "InPrimaryKey", "left")
 
     def intake_status() -> DataFrame:

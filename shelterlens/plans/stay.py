@@ -232,7 +232,7 @@ def los_not_outcomed(m: Model, spine: MonthSpine, same_year: bool = False, match
 def _finish(stays: DataFrame, foster: DataFrame, same_year: bool, rows: int) -> DataFrame:
     """The report rows of ``rows`` stays: what they are joined with and their distinct rows stay where an animal's month is dealt."""
     keys = ["AnimalID", "reference_date"]   # all of the join's: it would deal rows dealt by some of them once more
-    out = join_large(*[deal(x, keys, rows, joined=True) for x in (stays, foster)], keys, "left")
+    out = join_large(*[deal(x, keys, rows) for x in (stays, foster)], keys, "left")
     fd = F.coalesce(F.col("_foster"), F.lit(0)).cast("bigint")
     total = F.datediff("outcomedate", "intakedate").cast("bigint")
     return out.select(

@@ -110,3 +110,22 @@ def test_asked_months_are_written_out_where_their_key_is_dealt(spark, monkeypatc
             before = [i for i in range(40) if i % 5 == k and i < month - 1]
             want[k, dt.date(1996, month, 1)] = T(1996, 1 + before[-1], 15) if before else None
     assert {(r.k, r.m): r.last for r in out.collect()} == want
+
+
+def test_status_rows_are_dealt_by_their_rows(tables, monkeypatch):
+    m = model_from_driver_tables(tables)
+    monkeypatch.setattr(m, "rows", lambda frame: 2_000_000)   # 21 tasks, over the 8 of the session
+    spine = MonthSpine.between(dt.date(1996, 1, 1), dt.date(1996, 12, 1))
+    stock = incidence.stock_population(m, spine, incidence.DISEASES["diarrhea"])
+    plan = stock._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 4      # visits, spans by (animal, month) and by animal, animals
+    assert sorted((r.animalid, r.Referencedate.month, r.stage, r.intakedate) for r in stock.collect()) == [
+        (2, month, "Evaluate", T(1996, 3, 2)) for month in range(4, 13)]
+
+
+def test_intakes_are_not_written_out_into_months(tables):
+    m = model_from_driver_tables(tables)
+    rows = incidence.incidence_numerator(m, MonthSpine.between(dt.date(1996, 1, 1), dt.date(1996, 12, 1)),
+                                         incidence.DISEASES["ringworm"])
+    assert "Generate" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.collect() == []
