@@ -79,9 +79,9 @@ def _cohort_animals(m: Model, d: Disease) -> DataFrame:
             .select("AnimalID", "Name", "Species", "DateOfBirth"))
 
 
-def _dealt(df: DataFrame, by: list[str], rows: int | None) -> DataFrame:
+def _dealt(df: DataFrame, by: list[str], rows: int | None, joined: bool = True) -> DataFrame:
     """``df`` dealt by ``by`` where its rows are known; else the planner places it (or its buckets have)."""
-    return df if rows is None else deal(df, by, rows, joined=True)
+    return df if rows is None else deal(df, by, rows, joined=joined)
 
 
 def _listed_exams(m: Model, d: Disease, spine: MonthSpine) -> DataFrame:
@@ -115,7 +115,7 @@ def incidence_numerator(m: Model, spine: MonthSpine, disease: Disease) -> DataFr
     # Both sides shrink to one row per day of an animal, dealt by (animal, month or day): a hot animal spreads. Then
     # each month's exam days meet the animal's intake days as lists, no longer than the calendar.
     n_exams, n_visits = known_rows(m, "statuses"), known_rows(m, "visits")
-    days = (_dealt(exams, ["AnimalID", "reference_date"], n_exams)
+    days = (_dealt(exams, ["AnimalID", "reference_date"], n_exams, joined=False)
             .groupBy("AnimalID", "Condition", "reference_date", "eday").agg(F.min("DateCreated").alias("DateCreated")))
     groups = days.groupBy("AnimalID", "Condition", "reference_date").agg(
         F.min("eday").alias("mind"), F.max("eday").alias("maxd"), F.collect_list(F.struct("eday", "DateCreated")).alias("_exams"))
@@ -200,11 +200,11 @@ def stock_population(m: Model, spine: MonthSpine, disease: Disease) -> DataFrame
                            active.alias("a"), F.lit(None).cast("timestamp_ntz").alias("tin"))
     past_span = F.struct(past_lo.alias("lo"), past_hi.alias("hi"), F.lit(None).cast("timestamp_ntz").alias("t"),
                          F.lit(None).cast("struct<t:timestamp_ntz,r:int>").alias("a"), F.col("tin_DateCreated").alias("tin"))
-    spans = (_dealt(coded, ["AnimalID", "_b"], rows)
+    spans = (_dealt(coded, ["AnimalID", "_b"], rows, joined=False)
              .select("AnimalID", "_b", F.explode(F.when(came, F.array(latest_span, past_span)).otherwise(F.array(latest_span))).alias("_s"))
              .groupBy("AnimalID", "_b", F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"))
              .agg(F.max("_s.t").alias("_t"), F.max("_s.a").alias("_a"), F.max("_s.tin").alias("_tin")).drop("_b"))
-    months = (explode_months(_dealt(spans, ["AnimalID"], rows), "_lo", "_hi", spine)
+    months = (explode_months(_dealt(spans, ["AnimalID"], rows, joined=False), "_lo", "_hi", spine)
               .groupBy("AnimalID", "reference_date")
               .agg(F.max("_t").alias("_t"), F.max("_a").alias("_a"), F.max("_tin").alias("intakedate")))
     found = (months.where((F.col("_a.t") == F.col("_t")) & F.col("intakedate").isNotNull())
