@@ -85,10 +85,11 @@ SURGEON_LAST = "CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(s_nationkey AS STRIN
 class LazyModel(dict):
     """A model whose frames are built on first access (a plain dict to callers)."""
 
-    def __init__(self, builders: dict, rows=None):
+    def __init__(self, builders: dict, rows=None, packed: dict | None = None):
         super().__init__()
         self._builders = builders
         self.rows = rows   # rows of a frame, without building it (``sources.model.known_rows``)
+        self.packed = packed or {}   # builder of a narrower frame, and what makes the frame of it (``sources.model.packed``)
 
     def __missing__(self, key):
         if key not in self._builders:
@@ -160,10 +161,17 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
                              F.col("o_orderdate").alias("StatusDateTime"),
                              F.expr(OPERATION_STATUS_CASE).alias("OperationStatus"))
 
+    def condition_lines() -> DataFrame:
+        return lines().select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("o_custkey").alias("AnimalID"),
+                              F.expr(CONDITION_CASE).alias("Condition"), F.col("l_shipdate").alias("DateTimeDiagnosed"))
+
+    def with_condition_ids(df: DataFrame) -> DataFrame:
+        return (df.withColumns({"ExamConditionID": F.expr(LINE_ID), "DateCreated": F.col("DateTimeDiagnosed")})
+                .withColumnRenamed("l_orderkey", "ExamID").drop("l_linenumber", "l_partkey", "l_suppkey"))
+
     def exam_conditions() -> DataFrame:
-        return lines().select(F.expr(LINE_ID).alias("ExamConditionID"), F.col("l_orderkey").alias("ExamID"),
-                              F.col("o_custkey").alias("AnimalID"), F.expr(CONDITION_CASE).alias("Condition"),
-                              F.col("l_shipdate").alias("DateCreated"), F.col("l_shipdate").alias("DateTimeDiagnosed"))
+        return with_condition_ids(condition_lines()).select("ExamConditionID", "ExamID", "AnimalID", "Condition",
+                                                            "DateCreated", "DateTimeDiagnosed")
 
     def statuses() -> DataFrame:
         return lines().select(F.col("o_custkey").alias("AnimalID"), F.expr(STAGE_CASE).alias("Stage"),
@@ -181,23 +189,31 @@ def model_from_driver_tables(t: dict[str, DataFrame], line_locations: bool = Fal
         return lines().where(F.col("l_returnflag") == "R").select(
             F.col("o_custkey").alias("AnimalID"), F.col("l_shipdate").alias("DateCreated"))
 
-    def treatments() -> DataFrame:
+    def treatment_lines() -> DataFrame:
         supplier = (t["supplier"].join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
                     .select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("SiteName"),
                             F.concat(F.col("s_name"), F.lit(" "), F.expr(SURGEON_LAST)).alias("SurgeonName")))
         part = t["part"].select(F.col("p_partkey").alias("l_partkey"), F.expr(MEDICATION_CASE).alias("Medication"))
         return (lines().join(part, "l_partkey", "inner").join(supplier, "l_suppkey", "inner")
-                .select(F.expr(LINE_ID).alias("ExamTreatmentID"), F.col("l_orderkey").alias("ExamID"),
-                        F.col("o_custkey").alias("AnimalID"), F.col("l_partkey").alias("TreatmentID"),
+                .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("o_custkey").alias("AnimalID"),
                         "Medication", F.col("l_shipdate").alias("StatusDateTime"),
-                        F.col("o_orderdate").alias("DateCreated"), "SiteName", "SurgeonName",
-                        F.col("SurgeonName").alias("AssistantName")))
+                        F.col("o_orderdate").alias("DateCreated"), "SiteName", "SurgeonName"))
+
+    def with_treatment_ids(df: DataFrame) -> DataFrame:
+        return (df.withColumns({"ExamTreatmentID": F.expr(LINE_ID), "AssistantName": F.col("SurgeonName")})
+                .withColumnsRenamed({"l_orderkey": "ExamID", "l_partkey": "TreatmentID"}).drop("l_linenumber", "l_suppkey"))
+
+    def treatments() -> DataFrame:
+        return with_treatment_ids(treatment_lines()).select(
+            "ExamTreatmentID", "ExamID", "AnimalID", "TreatmentID", "Medication", "StatusDateTime", "DateCreated",
+            "SiteName", "SurgeonName", "AssistantName")
 
     return LazyModel({
         "animals": animals, "visits": visits, "visits_out": visits_out, "intake_status": intake_status,
         "exam_conditions": exam_conditions, "statuses": statuses, "locations": locations,
         "euthanasia": euthanasia, "treatments": treatments,
-    }, lambda frame: rows({"statuses": "lineitem", "visits": "orders"}[frame]))
+    }, lambda frame: rows({"statuses": "lineitem", "visits": "orders"}[frame]),
+        {"treatments": (treatment_lines, with_treatment_ids), "exam_conditions": (condition_lines, with_condition_ids)})
 
 
 def exports_from_driver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

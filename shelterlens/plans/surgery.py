@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from shelterlens.functions.dates import as_timestamp, month_end_midnight, month_start, ntz_micros
 from shelterlens.functions.predicates import case_in_lists, ne_keep_null
 from shelterlens.operators.dedupe import Ord, flag_group_size, keep_first, keep_min_ties
-from shelterlens.operators.joins import deal, join_large
-from shelterlens.session import materialize
+from shelterlens.operators.joins import ROWS_A_TASK, crowded, deal, join_in_place, join_large
+from shelterlens.session import materialize, materialize_dealt
 from shelterlens.operators.spine import MonthSpine, observed_grid, trailing_months
-from shelterlens.sources.model import Model
+from shelterlens.sources.model import Model, packed
 
 # Surgery lists, category rules and complication lists of the reports.
 SURGERY_MEDICATIONS = (
@@ -125,18 +125,38 @@ def _with_location(df: DataFrame, m: Model) -> DataFrame:
     return out.where(F.col("_nloc").isNull() | (F.col("_nok") == 1)).drop("_nloc", "_nok")
 
 
-def treatment_rows(m: Model, spine: MonthSpine, meds: Sequence[str], location: bool = True) -> DataFrame:
-    """Treatments of ``meds`` in the report months with their animal and location, written once: what surgeries
-    and complications both start from. Every later step is within an animal's month, so the rows are dealt
-    over the tasks by it once and are not shuffled again for each step. ``location=False`` leaves the kept
-    location's columns null, for results without them."""
-    t = _in_month(m["treatments"].where(F.col("Medication").isin(list(meds))), "StatusDateTime", spine)
+@dataclass(frozen=True)
+class Treatments:
+    """Treatment rows with their animal and location, dealt by ``by`` over ``tasks`` tasks."""
+    rows: DataFrame
+    by: tuple
+    tasks: int
+
+
+def treatment_rows(m: Model, spine: MonthSpine, meds: Sequence[str], location: bool = True,
+                   stored: bool = False) -> Treatments:
+    """Treatments of ``meds`` in the report months with their animal and location: what surgeries and complications
+    both start from. They are written once without what follows from their other columns (``packed``), dealt by animal
+    and joined with the animals there; every later step is within an animal's month, so nothing is shuffled again.
+    An animal with so many treatments that it would crowd a task (``crowded``) makes all of them dealt by animal and
+    month instead, after the join. ``location=False`` leaves the kept location's columns null, for results without
+    them; ``stored`` keeps the dealt rows, for callers that read them more than once."""
+    t, unpack = packed(m, "treatments")
+    t = t.where(F.col("Medication").isin(list(meds)) & F.col("AnimalID").isNotNull())
+    t = materialize(_in_month(t, "StatusDateTime", spine).drop("reference_date", "TreatmentID"))
+    n = t.count()
     animals = m["animals"].where(F.col("has_details")).select("AnimalID", "Name", "Species", "Sex", "DateOfBirth")
-    rows = _with_location(join_large(t, animals, "AnimalID"), m)
+    animals = _with_location(animals, m)
     if not location:
-        rows = rows.withColumns({c: F.lit(None).cast(rows.schema[c].dataType) for c in ("Location", "LocationDate")})
-    rows = materialize(rows)
-    return deal(rows, ["AnimalID", "reference_date"], rows.count())
+        animals = animals.withColumns({c: F.lit(None).cast(animals.schema[c].dataType) for c in ("Location", "LocationDate")})
+    tasks, by = n // ROWS_A_TASK + 1, ("AnimalID",)
+    if crowded([t], by, tasks):
+        by = ("AnimalID", "reference_date")
+        rows = materialize(join_large(t, animals, "AnimalID").withColumn("reference_date", month_start("StatusDateTime")))
+        return Treatments(unpack(deal(rows, by, n)), by, tasks)
+    animals = materialize_dealt(deal(animals, by, n), by, tasks)
+    rows = join_large(deal(t, by, n), animals, "AnimalID").withColumn("reference_date", month_start("StatusDateTime"))
+    return Treatments(unpack(materialize_dealt(rows, by, tasks) if stored else rows), by, tasks)
 
 
 def _surgery_base(rows: DataFrame, meds: Sequence[str], category: Sequence, cfg: SurgeryConfig,
@@ -157,14 +177,14 @@ def _surgery_base(rows: DataFrame, meds: Sequence[str], category: Sequence, cfg:
 
 
 def surgeries(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_groups: Sequence = (),
-              rows: DataFrame | None = None, ranked: bool = True) -> DataFrame:
+              rows: Treatments | None = None, ranked: bool = True) -> DataFrame:
     """Surgeries per month, one per treatment and per (animal, type, day); ``Multiple``
     when an exam has more than one surgery that day.
 
     ``rows``: treatment rows that are at hand already; ``ranked=False`` leaves out ``Rank``.
     """
     rows = treatment_rows(m, spine, cfg.den_medications) if rows is None else rows
-    s = _surgery_base(rows, cfg.den_medications, cfg.den_category, cfg, site_groups, ranked)
+    s = _surgery_base(rows.rows, cfg.den_medications, cfg.den_category, cfg, site_groups, ranked)
     if cfg.drop_medication:
         s = s.where(ne_keep_null("SurgeryType", cfg.drop_medication))
     s = s.drop("_sday")
@@ -193,29 +213,25 @@ def surgeries(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_gr
 
 
 def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GENERAL, site_groups: Sequence = (),
-                           rows: DataFrame | None = None, ranked: bool = True) -> DataFrame:
+                           rows: Treatments | None = None, ranked: bool = True) -> DataFrame:
     """Complications within -2 days of a surgery in the same month; one row per
     (animal, type, complication), then the minimum days-after per (animal, complication).
 
     ``rows`` and ``ranked`` as in ``surgeries``.
     """
     rows = treatment_rows(m, spine, cfg.num_medications) if rows is None else rows
-    s = _surgery_base(rows, cfg.num_medications, cfg.num_category, cfg, site_groups, ranked).drop("Location", "LocationDate")
+    s = _surgery_base(rows.rows, cfg.num_medications, cfg.num_category, cfg, site_groups, ranked).drop("Location", "LocationDate")
     if cfg.drop_medication:
         s = s.where(ne_keep_null("SurgeryType", cfg.drop_medication))
-    c = _in_month(m["exam_conditions"].where(F.col("Condition").isin(list(cfg.complications))),
-                  "DateTimeDiagnosed", spine)
-    c = c.select("AnimalID", "reference_date", F.col("Condition").alias("SxComp"),
-                 F.col("DateTimeDiagnosed").alias("CompDate"), F.col("ExamConditionID").alias("UniqueCompID"),
-                 F.to_date("DateCreated").alias("_cday"))
-    keys = ["AnimalID", "reference_date"]
-    c = materialize(c)   # read twice
+    by, keys = rows.by, ["AnimalID", "reference_date"]
+    c = _complications(m, spine, cfg, rows)
     latest = c.groupBy(*keys, "SxComp").agg(F.max("_cday").alias("_maxc"))
-    elig = join_large(s, latest, keys).where(F.date_sub("_sday", 2) <= F.col("_maxc")).drop("_maxc")
+    elig = (join_in_place(s, latest, by, [k for k in keys if k not in by])
+            .where(F.date_sub("_sday", 2) <= F.col("_maxc")).drop("_maxc"))
     grp = keys + ["SurgeryType", "SxComp"]
     cand = keep_min_ties(elig, grp, "UniqueSurgeryID")
-    cand = deal(cand, keys + ["SxComp"], max(c.count(), 1))   # each candidate has a complication of its own to meet
-    pairs = (join_large(cand, c, keys + ["SxComp"]).where(F.col("_cday") >= F.date_sub("_sday", 2))
+    pairs = (join_in_place(cand, c, by, [k for k in (*keys, "SxComp") if k not in by])
+             .where(F.col("_cday") >= F.date_sub("_sday", 2))
              .withColumn("DaysAfterSurgery", F.datediff("_cday", "_sday")).drop("_cday", "_sday"))
     order = [Ord("UniqueCompID"), Ord("SurgeryTs"), Ord("CompDate"), Ord("DaysAfterSurgery")] + \
         [Ord(x) for x in SURGERY_TIEBREAK]
@@ -230,6 +246,17 @@ def surgical_complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig = GEN
     return out.drop("_n", "SurgeryTs")
 
 
+def _complications(m: Model, spine: MonthSpine, cfg: SurgeryConfig, rows: Treatments) -> DataFrame:
+    """Complications of the report months, stored where the treatments of their animal are dealt (read twice)."""
+    c, unpack = packed(m, "exam_conditions")
+    c = c.where(F.col("Condition").isin(list(cfg.complications)) & F.col("AnimalID").isNotNull())
+    c = _in_month(c, "DateTimeDiagnosed", spine)
+    c = unpack(materialize_dealt(c.repartition(rows.tasks, *rows.by), rows.by, rows.tasks))
+    return c.select("AnimalID", "reference_date", F.col("Condition").alias("SxComp"),
+                    F.col("DateTimeDiagnosed").alias("CompDate"), F.col("ExamConditionID").alias("UniqueCompID"),
+                    F.to_date("DateCreated").alias("_cday"))
+
+
 def with_surgery_rank(t: DataFrame) -> DataFrame:
     """Adds ``Rank``, the place of each treatment among those of its (animal, medication, report
     month) by time, then id - a total order, where the original numbers rows multiplied by the
@@ -295,12 +322,15 @@ def merge_complications(numerator: DataFrame, denominator: DataFrame) -> DataFra
 
     Remaining ties are broken by surgery date, type, refined category, surgeon.
     """
-    rows = (denominator.select(*MERGE_COLS).withColumn("Type", F.lit("NoComp"))
-            .unionByName(numerator.select(*MERGE_COLS).withColumn("Type", F.lit("Comp"))))
+    # under a name of its own on both sides, so that the union of rows dealt by animal is known to be dealt by it
+    numerator, denominator = (df.select(F.col("AnimalID").alias("_animal"), *MERGE_COLS[1:]) for df in (numerator, denominator))
+    rows = (numerator.withColumn("Type", F.lit("Comp"))
+            .unionByName(denominator.withColumn("Type", F.lit("NoComp"))))
     rows = rows.withColumn("SurgeryMonth", month_start("SurgeryDate"))
-    return keep_first(rows, ["AnimalID", "SurgeryMonth", "SurgeryCategory"],
-                      [Ord("Type"), Ord("SurgeryDate"), Ord("SurgeryType"), Ord("SurgeryCategory_refined"),
-                       Ord("SurgeonName"), Ord("Name"), Ord("Species"), Ord("Sex")])
+    first = keep_first(rows, ["_animal", "SurgeryMonth", "SurgeryCategory"],
+                       [Ord("Type"), Ord("SurgeryDate"), Ord("SurgeryType"), Ord("SurgeryCategory_refined"),
+                        Ord("SurgeonName"), Ord("Name"), Ord("Species"), Ord("Sex")])
+    return first.withColumnRenamed("_animal", "AnimalID")
 
 
 def type_share(df: DataFrame, category_col: str, as_of: _dt.date, date_col: str = "SurgeryDate",
@@ -325,7 +355,7 @@ def _both(m: Model, spine: MonthSpine, cfg: SurgeryConfig, site_groups: Sequence
           location: bool = True) -> tuple[DataFrame, DataFrame]:
     """Surgeries and complications from treatment rows that are written once."""
     meds = tuple(dict.fromkeys(cfg.den_medications + cfg.num_medications))
-    rows = treatment_rows(m, spine, meds, location)
+    rows = treatment_rows(m, spine, meds, location, stored=True)
     return (surgeries(m, spine, cfg, site_groups, rows, ranked=False),
             surgical_complications(m, spine, cfg, site_groups, rows, ranked=False))
 

@@ -60,6 +60,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 _CKPT: dict[str, str] = {}   # by application id
+STORED_AS = "zstd"           # stored intermediates take about a third less than with the session's default
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -113,8 +114,22 @@ def materialize(df):
     """
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", STORED_AS).parquet(path)
     return spark.read.schema(df.schema).parquet(path)   # no job to infer it, and none needed for no rows
 
 
+def materialize_dealt(df, by, tasks: int):
+    """``materialize`` of rows that are dealt by the hash of ``by`` over ``tasks`` tasks (``operators.joins.deal``).
+
+    They are stored in as many buckets, so whoever reads them finds them dealt and shuffles nothing. The table
+    is an entry of the session's catalog, its folder is one of ``scratch_path``.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    table = f"shelterlens_{path.rsplit('/', 1)[-1]}"
+    (df.write.format("parquet").option("path", path).option("compression", STORED_AS)
+     .bucketBy(tasks, *by).sortBy(*by).saveAsTable(table))
+    return spark.read.table(table)
+
+
 _CLEANED: set[str] = set()

@@ -25,6 +25,8 @@ treatments         ExamTreatmentID, ExamID, AnimalID, TreatmentID, Medication,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -79,6 +81,14 @@ def known_rows(model: Model, frame: str) -> int | None:
     return rows(frame) if rows else None
 
 
+def packed(model: Model, frame: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """A frame without the columns that follow from its others, and what adds them to its rows: texts such as a
+    line's id need not go through shuffles and stored tables when the numbers they are made of do. Models that
+    know no such columns give the frame itself."""
+    found = getattr(model, "packed", {}).get(frame)
+    return (found[0](), found[1]) if found else (model[frame], lambda df: df)
+
+
 def with_collation(model: Model, collation: str) -> Model:
     """Q1: the model with its text columns under a collation (``UNICODE_CI``, ``UTF8_LCASE``, ...).
 
