@@ -54,6 +54,22 @@ def test_merged_surgeries_are_not_shuffled_after_they_are_stored(tables, monkeyp
     assert rows(surgery.merged_report(model_from_driver_tables(tables), SPINE)) == found
 
 
+def test_treatments_are_stored_without_ids_of_text_and_animals(tables, monkeypatch):
+    stored = []
+    plain = surgery.materialize
+    monkeypatch.setattr(surgery, "materialize", lambda df: stored.append(df.columns) or plain(df))
+    dedup = surgery.surgeries(model_from_driver_tables(tables), SPINE)
+    assert shuffles(dedup) == 1
+    assert len(stored) == 1 and not {"ExamTreatmentID", "AssistantName", "Name", "Species", "Location"} & set(stored[0])
+    found = {(r.AnimalID, r.UniqueSurgeryID, r.Name, r.Location, r.SurgeonName, r.AssistantName) for r in dedup.collect()}
+    ids = "-".join(f"{k:019d}" for k in (10, 0, 1, 2))
+    assert (1, ids, "animal 1", "Fosters", "t 1", "t 1") in found
+    assert {r[3] for r in found if r[0] == 2} == {"Kennel"} and {r[3] for r in found if r[0] == 3} == {None}
+    monkeypatch.setattr(joins, "CROWDED", 0)
+    again = surgery.surgeries(model_from_driver_tables(tables), SPINE)
+    assert rows(again) == rows(dedup)
+
+
 def test_join_in_place(spark):
     left = spark.range(60).selectExpr("id % 7 AS k", "if(id % 5 = 0, null, id % 5) AS m", "id AS v")
     right = spark.range(40).selectExpr("id % 9 AS k", "id % 4 AS m", "id AS w")
