@@ -253,7 +253,7 @@ def asof_at_month_starts(left: DataFrame, right: DataFrame, by: Sequence[str], m
 
 
 def latest_at_month_starts(asked: DataFrame, by: Sequence[str], month: str, sources: dict, rows: int,
-                           until: str | None = None, asked_months: int = 0) -> DataFrame:
+                           until: str | None = None, asked_months: int = 0, tasks: int | None = None) -> DataFrame:
     """Of each (key, ``month``) in ``asked`` (a month-start DATE) the latest time of every source before
     00:00 of it: ``sources`` is ``{name: (frame, time column, strict)}``, ``strict`` leaving out that instant.
     With ``until`` a row asks for every month from ``month`` to ``until``, ``asked_months`` of them in all rows.
@@ -261,7 +261,8 @@ def latest_at_month_starts(asked: DataFrame, by: Sequence[str], month: str, sour
     Each source row counts from one month start on, so the sources, of about ``rows`` rows together, fold into
     one row per (key, month), dealt by both - a hot key spreads over its months and shrinks to them. These rows
     and the asked ones are then dealt by key, the months are written out only there, and one running
-    maximum over the months of a key answers all of them: two shuffles for any number of sources.
+    maximum over the months of a key answers all of them: two shuffles for any number of sources. ``tasks``, for
+    keys none of which is hot: all rows are dealt by key over so many tasks and fold there, which is one shuffle.
     """
     from shelterlens.functions.dates import as_timestamp, month_start
     from shelterlens.operators.spine import months_between_cols
@@ -271,9 +272,11 @@ def latest_at_month_starts(asked: DataFrame, by: Sequence[str], month: str, sour
         since = next_start if strict else F.when(F.col(ts) == as_timestamp(start), start).otherwise(next_start)
         found = frame.select(*keys, since.alias("_m"), F.col(ts).alias(name))
         events = found if events is None else events.unionByName(found, allowMissingColumns=True)
-    folded = deal(events, [*keys, "_m"], rows, NARROW_ROWS).groupBy(*keys, "_m").agg(*[F.max(c).alias(c) for c in names])
+    if tasks is None:
+        events = deal(events, [*keys, "_m"], rows, NARROW_ROWS).groupBy(*keys, "_m").agg(*[F.max(c).alias(c) for c in names])
     wanted = asked.select(*keys, F.col(month).alias("_m"), F.col(until or month).alias("_to"), F.lit(1).alias("_asked"))
-    both = deal(folded.unionByName(wanted, allowMissingColumns=True), keys, rows + asked_months, NARROW_ROWS)
+    both = events.unionByName(wanted, allowMissingColumns=True)
+    both = both.repartition(tasks, *keys) if tasks else deal(both, keys, rows + asked_months, NARROW_ROWS)
     each = F.when(F.col("_asked") == 1, months_between_cols("_m", "_to")).otherwise(F.array("_m"))
     months = (both.withColumn("_m", F.explode(each)).groupBy(*keys, "_m")
               .agg(F.max("_asked").alias("_asked"), *[F.max(c).alias(c) for c in names]))

@@ -27,12 +27,17 @@ from shelterlens.session import materialize
 class Timeline:
     """Events in the order of ``by`` and ``order`` with running values (``last``, ``next``, ``total``).
 
-    ``order`` has to tell events apart wherever a running value depends on their order.
+    ``order`` has to tell events apart wherever a running value depends on their order. ``dealt``: the events are dealt
+    by ``by`` already and no key is hot (``joins.crowded``), so they are neither counted nor stored nor shuffled.
     """
 
-    def __init__(self, events: DataFrame, by: Sequence[str], order: Sequence[str], ranges: int | None = None):
+    def __init__(self, events: DataFrame, by: Sequence[str], order: Sequence[str], ranges: int | None = None,
+                 dealt: bool = False):
         spark = events.sparkSession
         self.by, self.order = list(by), list(order)
+        if dealt:
+            self.plain, self.cut = events, None
+            return
         self.ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
         stored = materialize(events)
         sizes = stored.groupBy(*self.by).count()

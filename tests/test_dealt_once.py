@@ -2,9 +2,9 @@
 import datetime as dt
 
 import pytest
-from shelterlens.operators import joins
+from shelterlens.operators import joins, temporal
 from shelterlens.operators.spine import MonthSpine
-from shelterlens.plans import surgery
+from shelterlens.plans import stay, surgery
 from shelterlens.plans.roles import model_from_driver_tables
 from shelterlens.session import materialize_dealt
 
@@ -86,3 +86,30 @@ def test_a_hot_key_crowds_its_task(spark):
     hot = spark.range(100).selectExpr("if(id < 60, 1, id) AS k")
     assert not joins.crowded([even], ["k"], 10, 10) and joins.crowded([even, hot], ["k"], 10, 10)
     assert not joins.crowded([even.where("k < 0")], ["k"], 10, 10)
+
+
+def test_open_stays_are_dealt_once(tables, monkeypatch):
+    late = tables | {"lineitem": tables["lineitem"].selectExpr("* except (l_shipdate)", "l_shipdate + interval 40 days AS l_shipdate")}
+
+    def report():
+        return stay.los_not_outcomed(model_from_driver_tables(late, line_locations=True), SPINE)
+    first = report()
+    assert shuffles(first) == 1          # the location rows; stays and windows lie where their animal is
+    found = rows(first)
+    assert len(found) > 10 and any(r.days_in_foster for r in first.collect())
+    monkeypatch.setattr(stay, "NARROW_ROWS", 10)         # several tasks
+    several = report()
+    assert shuffles(several) == 1 and rows(several) == found
+    monkeypatch.setattr(joins, "CROWDED", 0)             # each animal is too much for a task
+    spread = report()
+    assert shuffles(spread) > 1 and rows(spread) == found
+
+
+def test_latest_at_month_starts_folds_where_the_key_is_dealt(spark):
+    times = spark.range(40).selectExpr("id % 5 AS k", "timestamp_ntz'1996-01-15' + make_interval(0, id) AS t")
+    firsts = spark.range(30).selectExpr("id % 5 AS k", "timestamp_ntz'1996-01-01' + make_interval(0, id) AS u")
+    asked = spark.range(5).selectExpr("id AS k", "date'1996-03-01' AS m", "date'1996-12-01' AS until")
+    sources = {"last": (times, "t", True), "at": (firsts, "u", False)}
+    dealt, folded = (temporal.latest_at_month_starts(asked, ["k"], "m", sources, 70, "until", 50, tasks) for tasks in (3, None))
+    assert shuffles(dealt) == 1 < shuffles(folded) and dealt.rdd.getNumPartitions() == 3
+    assert dealt.count() == 50 and rows(dealt) == rows(folded)
